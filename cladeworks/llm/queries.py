@@ -5,30 +5,63 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .decontaminate import contaminated_pairs
 from .jaccard_join import jaccard_components
+from .toxicity import learn_toxicity, score_toxicity
+from .url_trie import judge_urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated_pairs(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"), k=4, percent=85)
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score_toxicity(docs, learn_toxicity(docs, _table(spark, sf_dir, "labels")))
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+#: Fixed values of op10: host, path prefix, verdict.
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "allow"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = judge_urls(_table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
+    "op9_toxicity": op9_toxicity,
+    "op10_url_filter": op10_url_filter,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op5_ngram_jaccard_join": r"""
 WITH RECURSIVE w AS (
-  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') AS w
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
   FROM documents
 ), s AS (
   SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
-    ELSE list_distinct(list_transform(range(1, len(w) - 2), i -> w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3])) END AS s
+    ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3])) END AS s
   FROM w
 ), e AS (SELECT doc_id, len(s) AS n, unnest(s) AS sh FROM s),
 pairs AS (
@@ -42,5 +75,22 @@ pairs AS (
   UNION SELECT l.b, r.root FROM reach r JOIN links l ON l.a = r.doc_id
 ), roots AS (SELECT doc_id, min(root) AS component_id FROM reach GROUP BY 1)
 SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, r.component_id FROM s JOIN roots r USING (doc_id)
+""",
+    "op10_url_filter": r"""
+WITH p AS (
+  SELECT page_id, CASE WHEN contains(coalesce(url, ''), '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), h AS (
+  SELECT page_id,
+    translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM p
+), rules(rhost, rpath, v) AS (
+  VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'allow'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')
+), m AS (
+  SELECT h.page_id, host, path, rhost || rpath AS rule, v,
+    row_number() OVER (PARTITION BY h.page_id, host, path ORDER BY length(rhost) + length(rpath) DESC NULLS LAST) AS k
+  FROM h LEFT JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)
+)
+SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM m WHERE k = 1
 """,
 }
