@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,8 +10,14 @@ from pyspark.sql import functions as F
 
 from .decontaminate import contaminated_pairs
 from .jaccard_join import jaccard_components
+from .shared import materialize, shared_dir
+from .token_scan import count_tokens
 from .toxicity import learn_toxicity, score_toxicity
 from .url_trie import judge_urls
+from .warc import read_warc, write_warc
+
+#: Folder of the public vocabulary files.
+TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,10 +28,29 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return contaminated_pairs(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_dir(spark)
+    write_warc(_table(spark, sf_dir, "pages"), path)
+    page = lambda name: F.regexp_extract(F.coalesce(name, F.lit("")), r"^<urn:page:(-?\d+)>$", 1).try_cast("long")
+    digested = read_warc(spark, path).select(
+        page("record_id").alias("page_id"), F.col("type").alias("record_type"), page("refers_to").alias("refers_to"),
+        F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha1("payload").alias("payload_digest"),
+    )
+    digested = materialize(digested)
+    held = digested.filter("record_type = 'response'")
+    full = held.select(F.col("page_id").alias("refers_to"), "payload_bytes", "payload_digest").filter("payload_bytes >= 1000").distinct()
+    revisits = digested.filter("record_type = 'revisit'").select("page_id", "record_type", "refers_to").join(full, "refers_to")
+    return held.unionByName(revisits).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"), k=4, percent=85)
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(_table(spark, sf_dir, "documents"), shared_dir(spark), f"{TOKENIZERS}/byte_bpe_50k.tiktoken")
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = score_toxicity(docs, learn_toxicity(docs, _table(spark, sf_dir, "labels")))
@@ -49,12 +75,23 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
+    "op4_warc": op4_warc,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
+    "op6_token_counts": op6_token_counts,
     "op9_toxicity": op9_toxicity,
     "op10_url_filter": op10_url_filter,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_warc": r"""
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS d FROM pages
+), k AS (SELECT d, max(page_id) AS kept FROM p WHERE n >= 1000 GROUP BY 1)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, p.d AS payload_digest,
+  CASE WHEN kept <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN kept <> page_id THEN kept END AS refers_to
+FROM p LEFT JOIN k ON p.d = k.d AND n >= 1000
+""",
     "op5_ngram_jaccard_join": r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
