@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .cross_polytope import nearest_neighbours
 from .decontaminate import contaminated_pairs
 from .jaccard_join import jaccard_components
 from .shared import materialize, shared_dir
@@ -51,6 +52,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_table(spark, sf_dir, "documents"), shared_dir(spark), f"{TOKENIZERS}/byte_bpe_50k.tiktoken")
 
 
+def op8_cross_polytope_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(_table(spark, sf_dir, "embeddings"), k=5, query_mod=50)
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = score_toxicity(docs, learn_toxicity(docs, _table(spark, sf_dir, "labels")))
@@ -78,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_warc": op4_warc,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_token_counts": op6_token_counts,
+    "op8_cross_polytope_neighbours": op8_cross_polytope_neighbours,
     "op9_toxicity": op9_toxicity,
     "op10_url_filter": op10_url_filter,
 }
