@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .cross_polytope import nearest_neighbours
 from .decontaminate import contaminated_pairs
 from .jaccard_join import jaccard_components
+from .maxent_lm import score_texts
 from .shared import materialize, shared_dir
 from .token_scan import count_tokens
 from .toxicity import learn_toxicity, score_toxicity
@@ -52,6 +53,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_table(spark, sf_dir, "documents"), shared_dir(spark), f"{TOKENIZERS}/byte_bpe_50k.tiktoken")
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(_table(spark, sf_dir, "documents"))
+
+
 def op8_cross_polytope_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_neighbours(_table(spark, sf_dir, "embeddings"), k=5, query_mod=50)
 
@@ -83,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_warc": op4_warc,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_token_counts": op6_token_counts,
+    "op7_lm_scoring": op7_lm_scoring,
     "op8_cross_polytope_neighbours": op8_cross_polytope_neighbours,
     "op9_toxicity": op9_toxicity,
     "op10_url_filter": op10_url_filter,
