@@ -12,6 +12,7 @@ from .cross_polytope import nearest_neighbours
 from .decontaminate import contaminated_pairs
 from .jaccard_join import jaccard_components
 from .maxent_lm import score_texts
+from .pieces import Vocabulary, decode_pieces, encode_pieces
 from .shared import materialize, shared_dir
 from .token_scan import count_tokens
 from .toxicity import learn_toxicity, score_toxicity
@@ -26,6 +27,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of each whole text, scores of its four best segmentations, and whether decoding gives it back."""
+    vocabulary = Vocabulary.load(f"{TOKENIZERS}/piece_bpe_32k.model")
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = decode_pieces(encode_pieces(docs, vocabulary, nbest=4), vocabulary)
+    return out.select(
+        "doc_id", F.size("ids").cast("long").alias("n_pieces"), "nbest_scores", F.xxhash64("ids").alias("ids_hash"),
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
+    )
+
+
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated_pairs(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -84,6 +96,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op4_warc": op4_warc,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
