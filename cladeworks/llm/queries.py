@@ -13,6 +13,7 @@ from .decontaminate import contaminated_pairs
 from .jaccard_join import jaccard_components
 from .maxent_lm import score_texts
 from .pieces import Vocabulary, decode_pieces, encode_pieces
+from .secret_scan import scan_secrets
 from .shared import materialize, shared_dir
 from .token_scan import count_tokens
 from .toxicity import learn_toxicity, score_toxicity
@@ -42,6 +43,11 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return contaminated_pairs(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.sha2("candidate", 256).alias("candidate_sha256"), F.length("candidate").alias("length"), "start", "times", "probability", "is_secret")
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark)
     write_warc(_table(spark, sf_dir, "pages"), path)
@@ -98,6 +104,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
+    "op3_secret_scan": op3_secret_scan,
     "op4_warc": op4_warc,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_token_counts": op6_token_counts,
