@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from ..functions.staging import staged
 
+SALTS = 16
+
 
 def _under(n: str, x: str):
     return (F.col(f"{n}.tree_id") == F.col(f"{x}.tree_id")) & F.col(f"{x}.pre").between(F.col(f"{n}.pre"), F.col(f"{n}.last"))
@@ -60,16 +62,21 @@ def mrca(nodes: DataFrame, cells: DataFrame) -> DataFrame:
 def pairwise_distances(nodes: DataFrame) -> DataFrame:
     """Distances of all leaves of each tree, both ways and with the diagonal: ``tree_id, cell_a, cell_b, dist``.
 
-    Pairs meet under their common ancestors and keep the farthest from the root. For
-    trees over about 2,000 leaves use :func:`cladeworks.functions.linkage.tree_distances`.
+    Each pair meets once, at its deepest common ancestor, as leaves of two different
+    children, so nothing is aggregated; ``SALTS`` tasks share an ancestor. The result
+    has the square of a tree's leaves; to work on it within a task use
+    :func:`cladeworks.functions.linkage.tree_distances`.
     """
-    a, b, n = nodes.filter("is_leaf").alias("a"), nodes.filter("is_leaf").alias("b"), nodes.filter("NOT is_leaf").alias("n")
-    under = n.join(a, _under("n", "a")).select(F.col("n.tree_id").alias("tree_id"), F.col("n.pre").alias("pre"), F.col("n.last").alias("last"), F.col("n.root_dist").alias("up"), F.col("a.node_id").alias("cell_a"), F.col("a.pre").alias("pre_a"), F.col("a.root_dist").alias("ra")).alias("u")
-    pairs = under.join(b, (F.col("u.tree_id") == F.col("b.tree_id")) & (F.col("b.pre") > F.col("u.pre_a")) & (F.col("b.pre") <= F.col("u.last")))
-    far = pairs.groupBy(F.col("u.tree_id").alias("tree_id"), "cell_a", F.col("b.node_id").alias("cell_b")).agg((F.first("ra") + F.first("b.root_dist") - 2 * F.max("up")).alias("dist"))
-    mirrored = far.select("tree_id", F.explode(F.array(F.struct("cell_a", "cell_b"), F.struct(F.col("cell_b").alias("cell_a"), F.col("cell_a").alias("cell_b")))).alias("p"), "dist")
+    leaf = nodes.filter("is_leaf").alias("x")
+    parent = nodes.select("tree_id", F.col("node_id").alias("parent_id"), F.col("pre").alias("top"), F.col("root_dist").alias("up"))
+    child = nodes.filter("parent_id IS NOT NULL").join(parent, ["tree_id", "parent_id"]).alias("n")
+    under = child.join(leaf, _under("n", "x")).select("n.tree_id", "n.top", "n.up", F.col("n.pre").alias("child"), F.col("x.node_id").alias("cell"), F.col("x.root_dist").alias("r"))
+    a = under.withColumn("salt", F.pmod(F.xxhash64("cell"), F.lit(SALTS)))
+    b = under.select("tree_id", "top", F.col("child").alias("child_b"), F.col("cell").alias("other"), F.col("r").alias("rb"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long").alias("salt"))
+    pairs = a.join(b, ["tree_id", "top", "salt"]).filter("child <> child_b")
+    far = pairs.select("tree_id", F.col("cell").alias("cell_a"), F.col("other").alias("cell_b"), (F.col("r") + F.col("rb") - 2 * F.col("up")).alias("dist"))
     own = nodes.filter("is_leaf").select("tree_id", F.col("node_id").alias("cell_a"), F.col("node_id").alias("cell_b"), F.lit(0.0).alias("dist"))
-    return mirrored.select("tree_id", "p.cell_a", "p.cell_b", "dist").union(own)
+    return far.union(own)
 
 
 def node_positions(nodes: DataFrame) -> DataFrame:
