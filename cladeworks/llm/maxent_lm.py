@@ -217,8 +217,15 @@ def train_maxent(train: DataFrame, counts: DataFrame, rounds: int = 3, rate: flo
     ``counts`` is :func:`count_tokens` of the same texts. Only counts of bounded
     number reach the driver: the commonest ``HEAD`` and sums of each class.
     """
-    top = counts.orderBy(F.desc("c"), "h").limit(HEAD).toPandas()
-    h, c = top["h"].to_numpy(np.int64).view(_U), top["c"].to_numpy(np.int64)
+    level = F.floor(F.log2("c") * 8)  # at most HEAD tokens: whole levels of counts, from the top
+    left, least = HEAD, 1 << 10
+    for r in sorted(counts.groupBy(level.alias("b")).agg(F.count("*").alias("n")).collect(), reverse=True):
+        left, least = left - r.n, r.b
+        if left < 0:
+            least += 1
+            break
+    top = counts.filter(level >= least).toArrow().sort_by([("c", "descending"), ("h", "ascending")])
+    h, c, classes = top["h"].to_numpy().view(_U), top["c"].to_numpy(), top["cls"].to_numpy()
     k = min(len(h), COMMON * WIDTH)
     order = np.argsort(h)
     code = np.arange(k)  # classes of neighbouring ranks
@@ -230,7 +237,7 @@ def train_maxent(train: DataFrame, counts: DataFrame, rounds: int = 3, rate: flo
         size[code[i] // WIDTH] += c[i]
     rest_norm = np.log10(np.full(WIDTH, 0.5))
     for r in counts.groupBy("cls").agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect():
-        mine = top["cls"].to_numpy()[:k] == r.cls
+        mine = classes[:k] == r.cls
         n, v = r.n - int(c[:k][mine].sum()), r.v - int(mine.sum())
         rest_norm[r.cls] = np.log10(n + 0.5 * (v + 1))
         size[r.cls] += n
