@@ -72,7 +72,7 @@ def pairwise_distances(nodes: DataFrame) -> DataFrame:
     child = nodes.filter("parent_id IS NOT NULL").join(parent, ["tree_id", "parent_id"]).alias("n")
     under = child.join(leaf, _under("n", "x")).select("n.tree_id", "n.top", "n.up", F.col("n.pre").alias("child"), F.col("x.node_id").alias("cell"), F.col("x.root_dist").alias("r"))
     a = under.withColumn("salt", F.pmod(F.xxhash64("cell"), F.lit(SALTS)))
-    b = under.select("tree_id", "top", F.col("child").alias("child_b"), F.col("cell").alias("other"), F.col("r").alias("rb"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long").alias("salt"))
+    b = under.select("tree_id", "top", F.col("child").alias("child_b"), F.col("cell").alias("other"), F.col("r").alias("rb"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"))
     pairs = a.join(b, ["tree_id", "top", "salt"]).filter("child <> child_b")
     far = pairs.select("tree_id", F.col("cell").alias("cell_a"), F.col("other").alias("cell_b"), (F.col("r") + F.col("rb") - 2 * F.col("up")).alias("dist"))
     own = nodes.filter("is_leaf").select("tree_id", F.col("node_id").alias("cell_a"), F.col("node_id").alias("cell_b"), F.lit(0.0).alias("dist"))

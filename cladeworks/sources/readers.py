@@ -6,11 +6,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.cigar import reference_length
 from ..functions.columns import clone_and_caller
 from ..functions.newick import parse_newick
 from ..operators.validate import check_required_columns, infer_index
 
 NODES = "tree_id string, node_id string, parent_id string, is_leaf boolean, edge_length double, pre long, last long, depth long, root_dist double"
+_ARROW = pa.schema(
+    [(c, pa.string()) for c in ("tree_id", "node_id", "parent_id")] + [("is_leaf", pa.bool_()), ("edge_length", pa.float64())]
+    + [(c, pa.int64()) for c in ("pre", "last", "depth")] + [("root_dist", pa.float64())]
+)
 # The mandatory columns of SAM lines, and columns whose types are known.
 SAM = ["qname", "flag", "rname", "pos", "mapq", "cigar", "rnext", "pnext", "tlen", "seq", "qual"]
 TYPES = {"start": "long", "end": "long", "copy_number": "int", "is_unique": "boolean", "is_recent": "boolean", "ploidy": "double", "alpha": "double", "rpc": "int", "pass_qc": "boolean"}
@@ -44,21 +49,12 @@ def read_newick(spark: SparkSession, path: str) -> DataFrame:
             for tree, text in zip(*(batch.column(i).to_pylist() for i in (0, 1)), strict=True):
                 rows = [{"tree_id": tree, **n} for n in parse_newick(text)]
                 if rows:
-                    yield pa.RecordBatch.from_pylist(rows, pa.schema([(f.name, t) for f, t in zip(_schema(), _TYPES, strict=True)]))
+                    yield pa.RecordBatch.from_pylist(rows, _ARROW)
 
     name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]*?)(?:\.[^./]*)?$", 1)
     return spark.read.text(path, wholetext=True).select(name.alias("tree_id"), "value").mapInArrow(run, NODES)
 
 
-_TYPES = [pa.string(), pa.string(), pa.string(), pa.bool_(), pa.float64(), pa.int64(), pa.int64(), pa.int64(), pa.float64()]
-
-
-def _schema():
-    from pyspark.sql.types import StructType
-
-    return StructType.fromDDL(NODES).fields
-
-
 def parse_vcf_lines(lines: DataFrame) -> DataFrame:
     """``chrom, pos, ref, alt, qual, filters, info`` of VCF text in ``value``, other columns kept."""
     f = F.split("value", "\t")
@@ -91,16 +87,11 @@ def read_reads(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     f = F.split("value", "\t")
     cell = F.regexp_extract(F.col("_metadata.file_path"), r"([^/.]*)[^/]*$", 1)
     lines = spark.read.text(paths).select("value", cell.alias("cell_id")).filter(~F.col("value").startswith("@") & (F.size(f) >= len(SAM)))
-    r = {c: f[i] for i, c in enumerate(SAM)}
+    r = {c: F.get(f, F.lit(i)) for i, c in enumerate(SAM)}
     quality = F.aggregate(F.transform(F.split(r["qual"], "(?<=.)(?=.)"), lambda c: F.ascii(c) - 33), F.lit(0), lambda a, x: a + x)
     return lines.select(
         "cell_id", r["qname"].alias("read_id"), r["rname"].alias("chrom"), (r["pos"].cast("long") - 1).alias("start"), r["cigar"].alias("cigar"), r["mapq"].cast("long").alias("mapq"),
         r["flag"].cast("int").alias("flag"), F.when(r["rnext"] == "=", r["rname"]).otherwise(r["rnext"]).alias("mate_chrom"), (r["pnext"].cast("long") - 1).alias("mate_start"),
         r["seq"].alias("seq"), quality.cast("long").alias("base_quality"),
-    ).withColumn("end", F.col("start") + _covered())
-
-
-def _covered():
-    from ..functions.cigar import reference_length
+    ).withColumn("end", F.col("start") + reference_length(F.col("cigar")))
 
-    return reference_length(F.col("cigar"))
