@@ -16,7 +16,6 @@ from dataclasses import dataclass, field
 
 import ahocorasick
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +31,8 @@ HOMOGLYPHS = {
 # Signs that stand for letters when a letter follows.
 SUBSTITUTES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s"}
 MIN_PREFIX, MAX_PREFIX = 4, 10
+ROWS = 128  # texts that are Python strings at a time
+COUNTED_ENTRIES = 600_000  # entries that a task counts before it hands them on
 
 
 def _fold_table() -> dict[int, str | None]:
@@ -46,7 +47,7 @@ def _fold_table() -> dict[int, str | None]:
 
 
 _TABLE = _fold_table()
-_SIGN = re.compile(r"[013457 8@$](?=[^\W\d_])".replace(" ", ""))
+_SIGN = re.compile(r"[0134578@$](?=[0134578@$]*[^\W\d_])")
 _GAP = re.compile(r"[\W\d_]+")
 
 
@@ -143,6 +144,12 @@ def _entries(text: str) -> set[str]:
     return {w[:k] for w in words for k in range(MIN_PREFIX, min(MAX_PREFIX, len(w)) + 1)} | {f"{w} " for w in words}
 
 
+def _counted(seen: tuple[Counter, Counter]) -> pa.RecordBatch:
+    keys = list(seen[0].keys() | seen[1].keys())
+    counts = [pa.array([seen[i][k] for k in keys], pa.int64()) for i in (1, 0)]
+    return pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), *counts], ["entry", "n1", "n0"])
+
+
 def learn_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_entries: int = 20_000, share: float = 0.01, least: float = 2.0) -> ToxicityModel:
     """Learn lexicon, exceptions and weights from at most ``max_rows`` labelled rows.
 
@@ -159,18 +166,20 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, m
     if not n1 or not n0:
         return ToxicityModel()
 
-    def count(frames):
+    def count(batches):
         seen: tuple[Counter, Counter] = (Counter(), Counter())
-        for f in frames:
-            for toxic, text in zip(f["toxic"], f["text"], strict=True):
-                seen[toxic].update(_entries(text or ""))
-        keys = seen[0].keys() | seen[1].keys()
-        yield pd.DataFrame({"entry": list(keys), "n1": [seen[1][k] for k in keys], "n0": [seen[0][k] for k in keys]})
+        for batch in batches:
+            for at in range(batch.num_rows):
+                seen[batch.column(0)[at].as_py()].update(_entries(batch.column(1)[at].as_py() or ""))
+                if len(seen[0]) + len(seen[1]) > COUNTED_ENTRIES:
+                    yield _counted(seen)
+                    seen = (Counter(), Counter())
+        yield _counted(seen)
 
     odds = F.log((F.col("n1") + 0.5) / (n1 + 1)) - F.log((F.col("n0") + 0.5) / (n0 + 1))
     spread = F.sqrt(1 / (F.col("n1") + 0.5) + 1 / (F.col("n0") + 0.5))
     support = max(3, int(np.ceil(share * n1)))
-    counts = materialize(train.repartition(16).mapInPandas(count, "entry string, n1 long, n0 long").groupBy("entry").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")).filter("n1 >= 3 OR n0 >= 3").withColumn("w", odds))
+    counts = materialize(train.select("toxic", "text").repartition(16).mapInArrow(count, "entry string, n1 long, n0 long").groupBy("entry").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")).filter("n1 >= 3 OR n0 >= 3").withColumn("w", odds))
     top = counts.filter(~F.col("entry").endswith(" ") & (F.col("n1") >= support) & (F.col("w") - spread >= least)).orderBy(F.desc("w"), "entry").limit(max_entries)
     weights: dict[str, float] = {}
     for r in sorted(top.collect(), key=lambda r: (len(r.entry), r.entry)):
@@ -187,12 +196,14 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, m
 
     shared = spark.sparkContext.broadcast(model)
 
-    def features(frames):
-        for f in frames:
-            x = shared.value.features(f["text"].tolist())
-            yield pd.DataFrame({"toxic": f["toxic"], **{f"x{i}": x[:, i] for i in range(4)}})
+    def features(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
+                x = shared.value.features(part.column(1).to_pylist())
+                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(x[:, i]) for i in range(4))], ["toxic", "x0", "x1", "x2", "x3"])
 
-    rows = train.mapInPandas(features, "toxic int, x0 double, x1 double, x2 double, x3 double").toPandas()
+    rows = train.select("toxic", "text").mapInArrow(features, "toxic int, x0 double, x1 double, x2 double, x3 double").toPandas()
     model.coef = _logistic(rows[["x0", "x1", "x2", "x3"]].to_numpy(), rows["toxic"].to_numpy(float))
     return model
 
@@ -205,9 +216,10 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text") ->
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def scored(texts: pd.Series) -> pd.Series:
-        return pd.Series(shared.value.score(texts.tolist()))
+    @F.arrow_udf("double")
+    def scored(texts: pa.Array) -> pa.Array:
+        parts = [shared.value.score(texts.slice(at, ROWS).to_pylist()) for at in range(0, len(texts), ROWS)]
+        return pa.array(np.concatenate(parts) if parts else np.zeros(0))
 
     out = docs.withColumn("score", scored(F.col(text).cast("string")))
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
