@@ -1,5 +1,6 @@
 """The 12-cell example: its tree, its events, and values worked out from them."""
 
+# The example's tree and events.
 NEWICK = (
     "((((CELL_001:0.05,CELL_002:0.05)node_A:0.20,(CELL_003:0.08,CELL_004:0.07)node_B:0.18)node_C:0.30,CELL_005:0.50)node_D:0.15,"
     "((CELL_006:0.12,CELL_007:0.10)node_E:0.25,(CELL_008:0.08)node_F:0.20)node_G:0.35,"
