@@ -16,20 +16,30 @@ from cladeworks.llm.secret_scan import redact_secrets
 from cladeworks.llm.shared import materialize
 from cladeworks.llm.toxicity import learn_toxicity, score_toxicity
 
+#: Whole documents may be long: batches between Spark and Python hold few of them.
+BATCH_ROWS = 1000
+
+
+def _few_rows(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the lexicon model doesn't call toxic."""
+    _few_rows(spark)
     model = learn_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return score_toxicity(docs, model).filter("predicted = 0").select(docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that links by five-word shingles at 0.8."""
+    _few_rows(spark)
     return drop_near_copies(docs, k=5, percent=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without benchmark items."""
+    _few_rows(spark)
     return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
@@ -40,6 +50,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with the piece ids of their texts."""
+    _few_rows(spark)
     vocabulary = Vocabulary.load(f"{TOKENIZERS}/piece_bpe_32k.model")
     return encode_pieces(docs, vocabulary, nbest=1).select("doc_id", "lang", "source", "ids")
 
