@@ -181,13 +181,14 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
     members = members.withColumn("key", F.xxhash64("prefix"))
     members = materialize(members.select("set_a", "set_b", "n", "member", "prefix", "key"))
     groups = members.groupBy("key", "n").agg(F.min("member").alias("g"), F.first("prefix").alias("prefix"), F.count("*").alias("size"))
-    postings = materialize(groups.select("g", "n", F.posexplode("prefix").alias("p", "token")))
+    postings = materialize(groups.select("g", "n", "size", F.posexplode("prefix").alias("p", "token")))
     in_group = members.join(groups.filter("size > 1").select("key", "n", "g"), ["key", "n"]).select("g", "member")
     in_group = materialize(in_group)  # only groups of several different sets
 
-    pivots = postings.groupBy("token").agg(F.min(F.struct(F.expr("p / n").alias("share"), "g", "p", "n")).alias("pivot"), F.count("*").alias("c"))
-    pivots = materialize(pivots.filter("c > 1").select("token", F.col("pivot.g").alias("g1"), F.col("pivot.p").alias("p1"), F.col("pivot.n").alias("n1")))
-    shared = materialize(postings.join(pivots, "token"))
+    pivots = postings.groupBy("token").agg(F.min(F.struct(F.expr("p / n").alias("share"), "g", "p", "n", "size")).alias("pivot"), F.count("*").alias("c"))
+    # Members of a group that shares nothing with others meet at its first shingle.
+    pivots = materialize(pivots.filter("c > 1 OR pivot.size > 1 AND pivot.p = 0").select("token", F.col("pivot.g").alias("g1"), F.col("pivot.p").alias("p1"), F.col("pivot.n").alias("n1")))
+    shared = materialize(postings.drop("size").join(pivots, "token"))
     near = shared.select("g1", "p1", "n1", F.col("g").alias("g2"), F.col("p").alias("p2"), F.col("n").alias("n2"))
     near = near.filter("g1 <> g2").filter(_compatible(percent)).select(F.col("g1").alias("a"), F.col("g2").alias("b"))
     first = materialize(near.union(in_group.filter("g <> member")).distinct())

@@ -9,7 +9,7 @@ import zlib
 import numpy as np
 import pytest
 
-from cladeworks.llm import cross_polytope, flat, maxent_lm, pieces, queries, toxicity
+from cladeworks.llm import cross_polytope, flat, jaccard_join, maxent_lm, pieces, queries, toxicity
 from cladeworks.llm.components import connected_components
 from cladeworks.llm.decontaminate import contaminated_pairs, drop_contaminated
 from cladeworks.llm.jaccard_join import drop_near_copies, jaccard_components
@@ -243,6 +243,24 @@ def test_jaccard_components_against_all_pairs(spark, k, percent):
         assert jaccard_components(docs.limit(0), k, percent).count() == 0
 
 
+@pytest.mark.parametrize("ranked", [True, False])
+def test_jaccard_links_inside_a_lone_group(spark, monkeypatch, ranked):
+    """Members with one prefix link with each other, though not with the smallest one, and no other group has their prefix."""
+    if not ranked:
+        monkeypatch.setattr(jaccard_join, "shingle_sketch", lambda docs, k: np.zeros(1 << jaccard_join.SKETCH_BITS, np.uint8))
+    texts = {}
+    for t in range(25):
+        x = [f"x{t}n{i}" for i in range(21)]
+        ends = [["u", "v"], ["w", "y"], ["w", "z"]]
+        texts |= {10 * t + i: " ".join(x + e) for i, e in enumerate(ends)}
+        # Other texts make the ends common, so that the prefixes hold shingles of x only.
+        texts |= {10_000 + 30 * t + i: " ".join([*(f"f{t}n{i}n{j}" for j in range(30)), *x[-3:], *ends[i % 3]]) for i in range(12)}
+    want = brute_components(texts, 4, 85)
+    assert all(want[10 * t + 2][1] == 10 * t + 1 for t in range(25))
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_components(docs, 4, 85).collect()} == want
+
+
 def test_components_of_a_chain_and_a_star(spark):
     chain = [(i, i + 1) for i in range(40)]
     star = [(1000, 1000 + i) for i in range(1, 40)]
