@@ -9,6 +9,7 @@ chain reaches.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -17,12 +18,12 @@ from pyspark.sql import functions as F
 from .shared import materialize
 from .splits import bases, read_lines, splits_of
 
-HEADER_LIMIT = 1 << 15
 SPLITS_AT_ONCE = 500_000
 REVISITS_AT_ONCE = 1_000_000
 _HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 _MAGIC = re.compile(rb"(?:\A|(?<=\n))WARC/1\.[01]\r\n")
-_LENGTH = re.compile(rb"\r\ncontent-length:[ \t]*(\d+)[ \t]*\r\n", re.I)
+_LENGTH = re.compile(rb"\r\ncontent-length:[ \t]*(\d{1,18})[ \t]*\r\n", re.I)
+_EDGE = pa.struct([(n, pa.bool_() if n in ("crlf", "blank") else pa.int64()) for n in ("open", "length", "crlf", "blank", "end", "first", "first_end", "once")])
 
 
 def plan_records(pages: DataFrame, least_bytes: int = 1000) -> DataFrame:
@@ -60,64 +61,96 @@ def write_warc(pages: DataFrame, path: str, least_bytes: int = 1000, date: str =
     plan.select(record.alias("value")).write.option("lineSep", "\n").text(path)
 
 
-def _header(data: bytes, at: int) -> tuple[int, int] | None:
-    """Length of the header at ``at`` and of the block; None without an end or a length."""
-    end = data.find(b"\r\n\r\n", at, at + HEADER_LIMIT)
-    found = _LENGTH.search(data, at, end + 2) if end >= 0 else None
-    return (end + 4 - at, int(found[1])) if found else None
+def _headers(data: bytes) -> Callable[[int], tuple[int, int] | None]:
+    """Length of the header at an offset and of its block; None without an end or a length.
+
+    Headers may have any length. Asked for growing offsets; what is found serves all
+    offsets up to it, so many candidates before one end cost no more than one.
+    """
+    end, length, length_end, value = -1, -1, -1, 0  # len(data): there is none from here on
+
+    def header(at: int) -> tuple[int, int] | None:
+        nonlocal end, length, length_end, value
+        if end < at:
+            end = data.find(b"\r\n\r\n", at)
+            end = len(data) if end < 0 else end
+        if length < at:
+            found = _LENGTH.search(data, at)
+            length, length_end, value = (found.start(), found.end(), int(found[1])) if found else (len(data), len(data) + 3, 0)
+        return (end + 4 - at, value) if end < len(data) and length_end <= end + 2 else None
+
+    return header
 
 
 def scan_candidates(spark: SparkSession, path: str) -> DataFrame:
-    """Per split a row ``kind`` 0 with its size, first and unfinished last bytes, and per
-    candidate record a row ``kind`` 1: offsets from the split's start of itself, of where
-    its chain leaves the split, and of the last record before that and its block (all
-    null for a chain that breaks inside)."""
+    """Per split a row ``kind`` 0 and per candidate record a row ``kind`` 1.
+
+    Of a candidate: offsets from the split's start of itself, of where its chain leaves
+    the split, and of the last record before that and its block (all null for a chain
+    that breaks inside). Of a split: its size in ``at``, and in ``edge`` what headers
+    that cross its ends need: the first candidate without an end (``open``) and the
+    length it names so far, whether the split ends in CR LF, and, for a header from
+    before, whether a blank line or the rest of a length line may come first (they
+    count only behind a split that ends in CR LF), the end of the first blank line,
+    and the first length with the place where it ends.
+    """
 
     def run(batches):
         for key, split, data in splits_of(batches):
-            starts, nexts, bodies, tail = [], [], [], b""
+            starts, nexts, bodies, open_at = [], [], [], None
+            header = _headers(data)
+            last_end = data.rfind(b"\r\n\r\n")
             for m in _MAGIC.finditer(data):
                 at = m.start()
-                if found := _header(data, at):
+                if found := header(at):
                     starts.append(at)
                     bodies.append(at + found[0])
                     nexts.append(at + found[0] + found[1] + 4)
-                elif len(data) - at < HEADER_LIMIT and not tail:
-                    tail = data[at:]
+                elif at > last_end:
+                    open_at = at
+                    break  # all that follow are open too, and inside this one's header or block
             none, leave = (None, None, None), {}
             for at, to, body in zip(starts[::-1], nexts[::-1], bodies[::-1], strict=True):
-                leave[at] = (to, at, body) if to >= len(data) - len(tail) else leave.get(to, none)
+                leave[at] = (to, at, body) if to >= (len(data) if open_at is None else open_at) else leave.get(to, none)
             n = len(starts)
             ends = list(zip(*(leave[s] for s in starts), strict=True)) or [(), (), ()]
+            own = _LENGTH.search(data, open_at) if open_at is not None else None
+            first, after = _LENGTH.search(data), data.find(b"\r\n\r\n")
+            at_once = _LENGTH.match(b"\r\n" + data[: data.find(b"\n") + 1])
+            edge = {
+                "open": open_at, "length": int(own[1]) if own else None, "crlf": data.endswith(b"\r\n"), "blank": data.startswith(b"\r\n"),
+                "end": after + 4 if after >= 0 else None, "first": int(first[1]) if first else None, "first_end": first.end() if first else None,
+                "once": int(at_once[1]) if at_once else None,
+            }
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([key] * (n + 1), pa.int64()), pa.array([split] * (n + 1), pa.int64()), pa.array([0] + [1] * n, pa.int32()),
                     pa.array([len(data), *starts], pa.int64()), *(pa.array([None, *e], pa.int64()) for e in ends),
-                    pa.array([data[:HEADER_LIMIT]] + [None] * n, pa.binary()), pa.array([tail] + [None] * n, pa.binary()),
+                    pa.array([edge] + [None] * n, _EDGE),
                 ],
-                ["file_key", "split", "kind", "at", "leave", "last", "body", "head", "tail"],
+                ["file_key", "split", "kind", "at", "leave", "last", "body", "edge"],
             )
 
-    return read_lines(spark, path).mapInArrow(run, "file_key long, split long, kind int, at long, leave long, last long, body long, head binary, tail binary")
+    edge = ", ".join(f"{f.name}: {'boolean' if f.type == pa.bool_() else 'long'}" for f in _EDGE)
+    return read_lines(spark, path).mapInArrow(run, f"file_key long, split long, kind int, at long, leave long, last long, body long, edge struct<{edge}>")
 
 
 def _stitched(summary: DataFrame) -> DataFrame:
-    """Candidates whose header crosses the end of a split."""
-    after = Window.partitionBy("file_key").orderBy("split")
-    rows = summary.withColumn("more", F.lead("head").over(after)).filter(F.octet_length("tail") > 0)
-
-    def run(batches):
-        for batch in batches:
-            out = []
-            for row in batch.to_pylist():
-                whole = row["tail"] + (row["more"] or b"")
-                if found := _header(whole, 0):
-                    at = row["base"] + row["n_bytes"] - len(row["tail"])
-                    out.append((row["file_key"], row["split"], at, at + found[0] + found[1] + 4, at, at + found[0]))
-            cols = list(zip(*out, strict=True)) or [()] * 6
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["file_key", "split", "at", "leave", "last", "body"])
-
-    return rows.select("file_key", "split", "base", "n_bytes", "tail", "more").mapInArrow(run, "file_key long, split long, at long, leave long, last long, body long")
+    """Candidates whose header crosses the end of a split, and of any number of splits."""
+    order = Window.partitionBy("file_key").orderBy("split")
+    after = order.rowsBetween(1, Window.unboundedFollowing)
+    joined = F.coalesce(F.lag("edge.crlf").over(order), F.lit(False))  # the split before ends in CR LF
+    end = F.when(joined & F.col("edge.blank"), F.lit(2)).otherwise(F.col("edge.end"))
+    once = joined & F.col("edge.once").isNotNull()
+    length = F.when(once, F.struct(F.col("base").alias("by"), F.col("edge.once").alias("n")))
+    length = length.when(F.col("edge.first").isNotNull(), F.struct((F.col("base") + F.col("edge.first_end")).alias("by"), F.col("edge.first").alias("n")))
+    rows = summary.withColumn("end", F.col("base") + end).withColumn("named", length)
+    rows = rows.withColumn("body", F.first("end", ignorenulls=True).over(after)).withColumn("next", F.first("named", ignorenulls=True).over(after))
+    # A length line ends at the blank line at the latest: two bytes before the block.
+    size = F.coalesce("edge.length", F.when(F.col("next.by") <= F.col("body") - 2, F.col("next.n")))
+    rows = rows.filter("edge.open IS NOT NULL").select("file_key", "split", (F.col("base") + F.col("edge.open")).alias("at"), "body", size.alias("size"))
+    rows = rows.filter("body IS NOT NULL AND size IS NOT NULL")
+    return rows.select("file_key", "split", "at", (F.col("body") + F.col("size") + 4).alias("leave"), F.col("at").alias("last"), "body")
 
 
 def reachable_entries(candidates: DataFrame, max_rounds: int = 48) -> DataFrame:
@@ -154,9 +187,9 @@ def _records_of(spark: SparkSession, path: str, entries: dict) -> DataFrame:
             if carried is not None:  # bytes of a record that began before
                 a, b = min(len(data), max(0, carried_head - base)), min(len(data), carried_end - base)
                 out.append((carried, base, carried_end - carried_head, False, data[:a], data[a:b]))
-            at = enters
+            at, header = enters, _headers(data)
             while at is not None and at < len(data):
-                found = _header(data, at)
+                found = header(at)
                 if not found:
                     break
                 head, length = found
@@ -184,7 +217,7 @@ def _parsed(pieces: DataFrame) -> DataFrame:
         "file_key", "offset", value("WARC-Type").alias("type"), value("WARC-Record-ID").alias("record_id"), value("WARC-Refers-To").alias("refers_to"),
         value("WARC-Target-URI").alias("uri"), value("WARC-Payload-Digest").alias("digest"), value("Content-Type").startswith("application/http").alias("http"), "block",
     )
-    body = F.instr(F.substring("block", 1, HEADER_LIMIT).cast("string"), "\r\n\r\n")  # HTTP headers are ASCII
+    body = F.instr(F.col("block").cast("string"), "\r\n\r\n")  # HTTP headers are ASCII
     payload = F.when(F.col("http") & (body > 0), F.substring(F.col("block"), body + 4, F.octet_length("block"))).otherwise(F.col("block"))
     return rows.withColumn("payload", payload).drop("http", "block")
 
@@ -194,11 +227,11 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 
     Returns ``file_key, offset, type, record_id, refers_to, uri, digest, payload``;
     the payload of an HTTP message is what follows its header. Bytes that no chain
-    from a file's start reaches are not records. Headers may have 32 KB; a record may
-    span any number of splits, but must fit a task.
+    from a file's start reaches are not records. Headers and records may
+    span any number of splits, but a record must fit a task.
     """
     scan = materialize(scan_candidates(spark, path))
-    summary = materialize(bases(scan.filter("kind = 0").select("file_key", "split", F.col("at").alias("n_bytes"), "head", "tail")))
+    summary = materialize(bases(scan.filter("kind = 0").select("file_key", "split", F.col("at").alias("n_bytes"), "edge")))
     where = summary.select("file_key", "split", "base")
     inside = scan.filter("kind = 1").join(where, ["file_key", "split"]).select("file_key", "split", *[(F.col(c) + F.col("base")).alias(c) for c in ("at", "leave", "last", "body")])
     candidates = materialize(inside.union(_stitched(summary)))

@@ -196,6 +196,17 @@ def test_warc_round_trip_over_splits(spark, tiny_splits):
     assert read_warc(spark, empty).count() == 0
 
 
+def test_warc_long_headers(spark, tiny_splits):
+    """URLs beyond 32 KB in the middle of a file, within a split and over many."""
+    for long, size in ((100_000, "9000b"), (40, "60b")):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        rows = [(i, "http://h/" + "u" * (long if i == 1 else 9), f"<p>{i}</p>\r\n\r\n") for i in range(4)]
+        path = shared_dir(spark)
+        write_warc(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), path)
+        got = {r.record_id: (r.uri, bytes(r.payload).decode()) for r in read_warc(spark, path).collect()}
+        assert got == {f"<urn:page:{i}>": (u, h) for i, u, h in rows}
+
+
 # 5 -------------------------------------------------------------------------------------------------
 
 
