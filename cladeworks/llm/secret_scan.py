@@ -17,13 +17,14 @@ from .shared import materialize
 
 # Words that name a secret.
 KEYWORDS = r"token|secret|passw(?:or)?d|passwd|api[_-]?key|access[_-]?key|private[_-]?key|credential|auth|bearer"
-CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-][A-Za-z0-9+/_=-]{15,511}(?![A-Za-z0-9+/_=-])"
+CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?:={1,2}(?![A-Za-z0-9+/_=-]))?"
 FEATURES = [
     "length", "transitions", "runs", "digits", "capitals", "hexadecimal", "signs", "vowels", "coverage",
     "slashes", "after_path", "before_extension", "keyword", "assigned", "quoted", "left_letters", "right_letters",
 ]
 DICTIONARY_WORDS = 20_000
-MAX_FINDINGS = 20_000
+MAX_FINDINGS = 20_000  # of each label
+CHUNK = 1024
 BROADCAST_ROWS = 500_000
 REDACTED = "<secret>"
 
@@ -35,8 +36,8 @@ def _count(pattern: str, text: Column) -> Column:
 def find_candidates(docs: DataFrame) -> DataFrame:
     """Candidates of each whole text: ``doc_id, candidate, start, times, left, right``.
 
-    A candidate is a run of 16 to 512 letters, digits and ``+/_=-``, once per row with
-    the place of its first occurrence (from 1) and how often it is there; ``left`` and
+    A candidate is a run of 16 or more letters, digits and ``+/_-``, with one or two
+    ``=`` as padding at its end (elsewhere ``=`` parts name and value), once per row with the place of its first occurrence (from 1) and how often it is there; ``left`` and
     ``right`` are up to 80 and 40 characters beside it.
     """
     found = docs.select("doc_id", "text", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)))).alias("candidate"))
@@ -63,7 +64,10 @@ def with_features(candidates: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Append the columns of :data:`FEATURES`. ``dictionary`` has a bounded number of grams and is broadcast."""
     c, left, right = F.col("candidate"), F.col("left"), F.col("right")
     size = F.length(c).cast("double")
-    grams = candidates.select("candidate").distinct().select("candidate", F.explode(_grams("candidate")).alias("gram"))
+    # Long candidates by chunks that hold the three letters after them.
+    chunks = candidates.select("candidate").distinct().withColumn("c", F.regexp_extract_all("candidate", F.lit(rf"(?s).{{1,{CHUNK}}}"), F.lit(0)))
+    chunks = chunks.select("candidate", F.explode(F.expr("transform(c, (x, i) -> concat(x, coalesce(substring(get(c, i + 1), 1, 3), '')))")).alias("chunk"))
+    grams = chunks.filter("length(chunk) > 3").select("candidate", F.explode(_grams("chunk")).alias("gram"))
     covered = grams.join(F.broadcast(dictionary.withColumn("known", F.lit(1.0))), "gram", "left").groupBy("candidate").agg((F.sum(F.coalesce("known", F.lit(0.0))) / F.count("*")).alias("coverage"))
     return candidates.join(covered, "candidate", "left").withColumns({
         "length": size,
@@ -90,13 +94,16 @@ def label_by_assignment(candidates: DataFrame) -> DataFrame:
     """Labels for want of reviewed findings: ``candidate, left, right, label``.
 
     1 for what a keyword is assigned or set beside in quotes, unless it is one
-    character over and over; 0 for all else. At most ``MAX_FINDINGS`` findings are
-    labelled, picked by a hash of the candidate.
+    character over and over; 0 for all else. At most ``MAX_FINDINGS`` findings of
+    each label are used, picked by a hash of the finding.
     """
     named = F.col("left").rlike(rf"(?i)(?:{KEYWORDS})[\"']?\s*[:=]?\s*[\"']?$") & F.col("left").rlike(r"[:=\"']\s*[\"']?$")
     plain = F.col("candidate").rlike(r"^(.)\1*$|(?i)example|changeme|placeholder")
     rows = candidates.select("candidate", "left", "right", (named & ~plain).cast("double").alias("label")).distinct()
-    return rows.orderBy(F.xxhash64("candidate", "left", "right"), "candidate", "left", "right").limit(MAX_FINDINGS)
+    rows = rows.withColumn("pick", F.xxhash64("candidate", "left", "right"))
+    # Only hashes go to the driver: candidates may be long.
+    last = [rows.filter(F.col("label") == x).select("pick").orderBy("pick").limit(MAX_FINDINGS).agg(F.max("pick").alias("last")).withColumn("label", F.lit(x)) for x in (0.0, 1.0)]
+    return rows.join(F.broadcast(last[0].union(last[1])), "label").filter("pick <= last").select("candidate", "left", "right", "label")
 
 
 def train_forest(labelled: DataFrame, trees: int = 30, depth: int = 6, seed: int = 7) -> RandomForestClassificationModel | None:

@@ -150,6 +150,24 @@ def test_secret_scan(spark):
     assert scan_secrets(docs.limit(0)).count() == 0
 
 
+def test_secret_candidates_long_and_assigned(spark):
+    """Long runs are whole candidates, KEY=value parts at the sign, and rare secrets are among the labelled."""
+    from cladeworks.llm import secret_scan as s
+
+    rng = random.Random(6)
+    run = lambda n: "".join(rng.choice("abcdefgh0123456789XYZ") for _ in range(n))
+    long, a, b = run(3000), run(40), run(30)
+    docs = spark.createDataFrame([(0, f"key {long}== end"), (1, f"AWS_SECRET_ACCESS_KEY={a}"), (2, f"http://h/?token={b}&x=1")], "doc_id long, text string")
+    found = s.find_candidates(docs)
+    assert {r.candidate for r in found.collect()} == {f"{long}==", "AWS_SECRET_ACCESS_KEY", a, b}
+    assert {r.candidate for r in s.label_by_assignment(found).filter("label = 1").collect()} == {a, b}
+    gram = spark.createDataFrame([(g,) for g in {long[i : i + 4].lower() for i in range(1020, 1030)}], "gram string")
+    known = {r.gram for r in gram.collect()}
+    got = s.with_features(found.filter("doc_id = 0"), gram).first().coverage
+    grams = [f"{long}=="[i : i + 4].lower() for i in range(2999)]
+    assert got == pytest.approx(sum(g in known for g in grams) / len(grams))
+
+
 def test_secret_scan_held_out(spark):
     """A forest from one half of the labelled findings decides on the other half."""
     from cladeworks.llm import secret_scan as s
