@@ -31,6 +31,7 @@ HOMOGLYPHS = {
 # Signs that stand for letters when a letter follows.
 SUBSTITUTES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s"}
 MIN_PREFIX, MAX_PREFIX = 4, 10
+SHORT_WORD = 2  # letters of a word that may be an entry as a whole
 ROWS = 128  # texts that are Python strings at a time
 COUNTED_ENTRIES = 600_000  # entries that a task counts before it hands them on
 
@@ -47,20 +48,21 @@ def _fold_table() -> dict[int, str | None]:
 
 
 _TABLE = _fold_table()
-_SIGN = re.compile(r"[0134578@$](?=[0134578@$]*[^\W\d_])")
+_SIGN = re.compile(r"(?<![0134578@$])[0134578@$]++(?=[^\W\d_])")  # whole runs, each looked at once
+_AS_LETTERS = str.maketrans(SUBSTITUTES)
 _GAP = re.compile(r"[\W\d_]+")
 
 
 def fold(text: str | None) -> str:
     """Folded words, each between two blanks: ``'  words  of  a  text  '``."""
     text = (text or "").translate(_TABLE)
-    text = _SIGN.sub(lambda m: SUBSTITUTES[m[0]], text)
+    text = _SIGN.sub(lambda m: m[0].translate(_AS_LETTERS), text)
     return f"  {_GAP.sub('  ', text)}  "
 
 
 @dataclass
 class ToxicityModel:
-    """``weights``: word beginning to weight; ``exceptions``: phrases that don't count.
+    """``weights``: word beginning to weight, with a blank behind for a whole word; ``exceptions``: phrases that don't count.
 
     ``coef``: intercept and weights of the four features. All are of bounded size.
     """
@@ -77,7 +79,7 @@ class ToxicityModel:
         if self._automaton is None and self.weights:
             self._automaton = ahocorasick.Automaton()
             for entry, weight in self.weights.items():
-                self._automaton.add_word(f" {fold(entry).strip()}", weight)
+                self._automaton.add_word(f" {fold(entry).strip()}{' ' * entry.endswith(' ')}", weight)
             for phrase in self.exceptions:
                 self._automaton.add_word(f" {fold(phrase).strip()} ", 0.0)
             self._automaton.make_automaton()
@@ -116,7 +118,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 30
 
 
 def labelled_rows(docs: DataFrame, labels: DataFrame, max_rows: int, mod: int = 5) -> DataFrame:
-    """At most ``max_rows`` labelled texts outside the held-out fold: ``toxic, sketch, text``.
+    """At most ``max_rows`` labelled texts outside the held-out fold: ``doc_id, toxic, sketch, text``.
 
     A doc_id labelled more than once counts as toxic if one label says so; labels
     other than 0 and 1 are left out. Rows are picked by a hash of doc_id, so any
@@ -126,61 +128,84 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, max_rows: int, mod: int =
     ids = labels.filter("toxic IN (0, 1) AND doc_id IS NOT NULL").filter(fold_of != 0)
     ids = ids.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
     ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(ids), "doc_id").select("toxic", "text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(ids), "doc_id").select("doc_id", "toxic", "text")
 
     def run(batches):
         for batch in batches:
-            for w in word_slices(batch.column(1)):
+            for w in word_slices(batch.column(2)):
                 values, bounds = shingle_hashes(w.hashes(), w.bounds, 5)
                 sketch = [int(values[a:b].min()) - (1 << 63) if b > a else 0 for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
                 part = batch.slice(w.first, w.n_docs)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sketch, pa.int64()), part.column(1)], ["toxic", "sketch", "text"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(sketch, pa.int64()), part.column(2)], ["doc_id", "toxic", "sketch", "text"])
 
-    return rows.mapInArrow(run, "toxic int, sketch long, text string")
+    return rows.mapInArrow(run, "doc_id long, toxic int, sketch long, text string")
 
 
 def _entries(text: str) -> set[str]:
-    words = {w for w in fold(text).split() if len(w) >= MIN_PREFIX}
-    return {w[:k] for w in words for k in range(MIN_PREFIX, min(MAX_PREFIX, len(w)) + 1)} | {f"{w} " for w in words}
+    """Word beginnings, and whole words with a blank behind."""
+    words = {w for w in fold(text).split() if len(w) >= SHORT_WORD}
+    return {w[:k] for w in words for k in range(MIN_PREFIX, min(MAX_PREFIX, len(w)) + 1)} | {f"{w} " for w in words if len(w) < MIN_PREFIX}
 
 
-def _counted(seen: tuple[Counter, Counter]) -> pa.RecordBatch:
-    keys = list(seen[0].keys() | seen[1].keys())
-    counts = [pa.array([seen[i][k] for k in keys], pa.int64()) for i in (1, 0)]
-    return pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), *counts], ["entry", "n1", "n0"])
+def _phrases(text: str, weights: dict[str, float]) -> set[str]:
+    """The words that entries match, alone and with one word before, behind, or both."""
+    words, out = fold(text).split(), set()
+    for i, w in enumerate(words):
+        if f"{w} " in weights or any(w[:k] in weights for k in range(MIN_PREFIX, min(MAX_PREFIX, len(w)) + 1)):
+            out.update(" ".join(words[max(0, i - a) : i + 1 + b]) for a in (0, 1) for b in (0, 1))
+    return out
 
 
-def learn_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_entries: int = 20_000, share: float = 0.01, least: float = 2.0) -> ToxicityModel:
-    """Learn lexicon, exceptions and weights from at most ``max_rows`` labelled rows.
+def _counts(train: DataFrame, parts_of, n1: int, n0: int) -> DataFrame:
+    """``entry, n1, n0, w, spread``: toxic and clean texts that hold an entry, its log odds and their standard error."""
 
-    An entry is a word beginning found in at least 3 toxic texts and in ``share`` of
-    them, with log odds of ``least`` or more after one standard error is taken off;
-    near copies count once. Words that an
-    entry covers, but whose own log odds are low, become exceptions. Without toxic
-    and clean labelled rows the model scores every text near 0.
-    """
-    spark = docs.sparkSession
-    train = materialize(labelled_rows(docs, labels, max_rows).dropDuplicates(["toxic", "sketch"]))
-    totals = {r["toxic"]: r["n"] for r in train.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    n1, n0 = totals.get(1, 0), totals.get(0, 0)
-    if not n1 or not n0:
-        return ToxicityModel()
+    def handed_on(seen: tuple[Counter, Counter]) -> pa.RecordBatch:
+        keys = list(seen[0].keys() | seen[1].keys())
+        counts = [pa.array([seen[i][k] for k in keys], pa.int64()) for i in (1, 0)]
+        return pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), *counts], ["entry", "n1", "n0"])
 
     def count(batches):
         seen: tuple[Counter, Counter] = (Counter(), Counter())
         for batch in batches:
             for at in range(batch.num_rows):
-                seen[batch.column(0)[at].as_py()].update(_entries(batch.column(1)[at].as_py() or ""))
+                seen[batch.column(0)[at].as_py()].update(parts_of(batch.column(1)[at].as_py() or ""))
                 if len(seen[0]) + len(seen[1]) > COUNTED_ENTRIES:
-                    yield _counted(seen)
+                    yield handed_on(seen)
                     seen = (Counter(), Counter())
-        yield _counted(seen)
+        yield handed_on(seen)
 
+    counts = train.select("toxic", "text").repartition(16).mapInArrow(count, "entry string, n1 long, n0 long")
+    counts = counts.groupBy("entry").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")).filter("n1 >= 3 OR n0 >= 3")
     odds = F.log((F.col("n1") + 0.5) / (n1 + 1)) - F.log((F.col("n0") + 0.5) / (n0 + 1))
-    spread = F.sqrt(1 / (F.col("n1") + 0.5) + 1 / (F.col("n0") + 0.5))
-    support = max(3, int(np.ceil(share * n1)))
-    counts = materialize(train.select("toxic", "text").repartition(16).mapInArrow(count, "entry string, n1 long, n0 long").groupBy("entry").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")).filter("n1 >= 3 OR n0 >= 3").withColumn("w", odds))
-    top = counts.filter(~F.col("entry").endswith(" ") & (F.col("n1") >= support) & (F.col("w") - spread >= least)).orderBy(F.desc("w"), "entry").limit(max_entries)
+    return materialize(counts.withColumns({"w": odds, "spread": F.sqrt(1 / (F.col("n1") + 0.5) + 1 / (F.col("n0") + 0.5))}))
+
+
+def learn_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_entries: int = 20_000, least: float = 2.0, chance: float = 10.0) -> ToxicityModel:
+    """Learn lexicon, exceptions and weights from at most ``max_rows`` labelled rows.
+
+    An entry is a word beginning of 4 to 10 letters, or a whole word of 2 or 3. It needs
+    log odds of ``least`` or more after one standard error is taken off, and so many
+    more toxic texts than their share that among all entries counted one as uneven
+    would turn up by chance ``chance`` times at most (Chernoff's bound); so
+    a rare word that only toxic texts hold is enough, whatever the number of rows.
+    Near copies count once. Words that an entry covers, and phrases of two and three
+    words around them, become exceptions if their own log odds are low. Words are runs of letters: inside compounds
+    and in scripts without blanks entries match at the beginning of a run only.
+    Without toxic and clean labelled rows the model scores every text near 0.
+    """
+    spark = docs.sparkSession
+    rows = labelled_rows(docs, labels, max_rows).groupBy("toxic", "sketch").agg(F.min(F.struct("doc_id", "text")).alias("first"))
+    train = materialize(rows.select("first.doc_id", "toxic", "first.text"))
+    totals = {r["toxic"]: r["n"] for r in train.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    n1, n0 = totals.get(1, 0), totals.get(0, 0)
+    if not n1 or not n0:
+        return ToxicityModel()
+    counts = _counts(train, _entries, n1, n0)
+    n, usual = F.col("n1") + F.col("n0"), n1 / (n1 + n0)
+    share = F.col("n1") / n
+    evidence = F.col("n1") * F.log(share / usual) + F.when(F.col("n0") > 0, F.col("n0") * F.log((1 - share) / (1 - usual))).otherwise(0.0)
+    proven = evidence >= float(np.log(max(counts.count(), 1) / chance))
+    top = counts.filter((F.col("n1") >= 3) & (share > usual) & proven & (F.col("w") - F.col("spread") >= least)).orderBy(F.desc("w"), "entry").limit(max_entries)
     weights: dict[str, float] = {}
     for r in sorted(top.collect(), key=lambda r: (len(r.entry), r.entry)):
         shorter = [weights[r.entry[:k]] for k in range(MIN_PREFIX, len(r.entry)) if r.entry[:k] in weights]
@@ -188,11 +213,10 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, m
             weights[r.entry] = float(r.w)
     if not weights:
         return ToxicityModel()
-    stems = spark.createDataFrame([(k,) for k in weights], "stem string")
-    whole = counts.filter(F.col("entry").endswith(" ") & (F.col("w") < least / 2) & (F.col("n0") >= 3))
-    covered = whole.withColumn("stem", F.explode(F.transform(F.sequence(F.lit(MIN_PREFIX), F.lit(MAX_PREFIX)), lambda k: F.substring(F.col("entry"), F.lit(1), k))))
-    exceptions = covered.join(F.broadcast(stems), "stem").groupBy("entry").agg(F.max("n0").alias("n0")).orderBy(F.desc("n0"), "entry").limit(max_entries)
-    model = ToxicityModel(weights, [r.entry.strip() for r in exceptions.collect()])
+    around = _counts(train, lambda text: _phrases(text, weights), n1, n0)
+    sure = F.when(F.contains("entry", F.lit(" ")), F.col("spread")).otherwise(0.0)
+    mild = around.filter((F.col("n0") >= 3) & (F.col("w") + sure < least / 2)).orderBy(F.desc("n0"), "entry").limit(max_entries)
+    model = ToxicityModel(weights, [r.entry for r in mild.collect()])
 
     shared = spark.sparkContext.broadcast(model)
 
@@ -203,16 +227,18 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, m
                 x = shared.value.features(part.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(x[:, i]) for i in range(4))], ["toxic", "x0", "x1", "x2", "x3"])
 
-    rows = train.select("toxic", "text").mapInArrow(features, "toxic int, x0 double, x1 double, x2 double, x3 double").toPandas()
-    model.coef = _logistic(rows[["x0", "x1", "x2", "x3"]].to_numpy(), rows["toxic"].to_numpy(float))
+    named = ["toxic", "x0", "x1", "x2", "x3"]
+    rows = train.select("toxic", "text").mapInArrow(features, "toxic int, x0 double, x1 double, x2 double, x3 double").toPandas().sort_values(named)
+    model.coef = _logistic(rows[named[1:]].to_numpy(), rows["toxic"].to_numpy(float))
     return model
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text") -> DataFrame:
     """Append ``score`` (0 to 1) and ``predicted`` (1 from 0.5 on) for every row; no shuffle.
 
-    Whole texts are scored; null and empty ones get the score of a text without
-    hits. Columns of those names are replaced.
+    Whole texts are scored, in time that grows with their length; null and empty ones
+    get the score of a text without hits. Columns of those names are replaced, other
+    ones stay; every row gives one row, repeated ones too.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
