@@ -392,8 +392,42 @@ def test_nearest_neighbours(spark):
             assert [v for v, _ in found] == best
     assert hits / total >= 0.9
     assert cross_polytope.nearest_neighbours(df.limit(0)).count() == 0
-    few = cross_polytope.nearest_neighbours(df.filter("vec_id IN (0, 1, 2)")).collect()
-    assert [r.rank for r in few] == list(range(1, len(few) + 1)) and len(few) <= 2
+    two = cross_polytope.nearest_neighbours(df, hashes=2, tables=40, probes=300).collect()
+    best = {(q, v) for q, found in got.items() for v, _ in found}
+    assert len({(r.query_id, r.vec_id) for r in two} & best) >= 0.8 * len(best)
+
+
+def test_few_neighbours_are_all_found(spark):
+    """Fewer candidates than k: all come back, and large or tiny components still count."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for dim in range(20, 50):  # a table for each length, as vectors of other lengths never meet
+        rows += [(50 * dim + i, rng.normal(size=dim).tolist()) for i in range(4)]
+    rows += [(5000, [1e200, 2e200, 0.0]), (5001, [1e-200, 0.0, 1e-200]), (5002, [1.0, 2.0, 0.0])]
+    got = collections.defaultdict(dict)
+    for r in cross_polytope.nearest_neighbours(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect():
+        got[r.query_id][r.rank] = (r.vec_id, r.score)
+    for dim in range(20, 50):
+        q = 50 * dim
+        assert sorted(got[q]) == [1, 2, 3] and {v for v, _ in got[q].values()} == {q + 1, q + 2, q + 3}
+    assert got[5000][1] == (5002, pytest.approx(1)) and got[5000][2] == (5001, pytest.approx(1 / np.sqrt(10)))
+
+
+def test_neighbours_of_the_table(spark):
+    """Recall against brute force on the whole table."""
+    d = "/root/testdata/sf0.1"
+    rows = spark.read.parquet(f"{d}/embeddings.parquet").filter("embedding IS NOT NULL").toPandas().sort_values("vec_id")
+    x = np.stack([np.asarray(v, float) for v in rows["embedding"]])
+    ids, unit = rows["vec_id"].to_numpy(), x / np.linalg.norm(x, axis=1, keepdims=True)
+    got = collections.defaultdict(set)
+    for r in queries.op8_cross_polytope_neighbours(spark, d).collect():
+        got[r.query_id].add(r.vec_id)
+    hits = 0
+    for i in np.flatnonzero(ids % 50 == 0):
+        s = unit @ unit[i]
+        s[i] = -2
+        hits += len(got[ids[i]] & set(ids[np.argsort(-s)[:5]]))
+    assert hits >= 0.9 * 5 * (ids % 50 == 0).sum()
 
 
 def test_hadamard_keeps_lengths():
