@@ -44,8 +44,9 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every place of a candidate in any text, with the forest's verdict."""
     found = scan_secrets(_table(spark, sf_dir, "documents"))
-    return found.select("doc_id", F.sha2("candidate", 256).alias("candidate_sha256"), F.length("candidate").alias("length"), "start", "times", "probability", "is_secret")
+    return found.select("doc_id", F.sha2("candidate", 256).alias("candidate_sha256"), F.length("candidate").alias("length"), "start", "probability", "is_secret")
 
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,16 +1,18 @@
 """Secret scan with a random forest that removes false positives; DataFrame functions only.
 
-A pattern finds candidates in whole texts. Each gets features: length, character
-transitions, how much of it common words of the corpus cover, path signs, and the
-words beside it. A random forest, trained from labelled findings, decides.
+A pattern finds candidates in whole texts. Every place where one stands gets features:
+length, character transitions, how much of it common words of the corpus cover, path
+signs, and the words beside it. A random forest, trained from labelled findings,
+decides. Nothing is joined or grouped by candidate, so one that is in a third of all
+texts is no bottleneck.
 """
 
 from __future__ import annotations
 
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import StopWordsRemover, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .shared import materialize
@@ -18,14 +20,14 @@ from .shared import materialize
 # Words that name a secret.
 KEYWORDS = r"token|secret|passw(?:or)?d|passwd|api[_-]?key|access[_-]?key|private[_-]?key|credential|auth|bearer"
 CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?:={1,2}(?![A-Za-z0-9+/_=-]))?"
+LEFT, RIGHT = 80, 40  # characters beside a candidate
 FEATURES = [
     "length", "transitions", "runs", "digits", "capitals", "hexadecimal", "signs", "vowels", "coverage",
     "slashes", "after_path", "before_extension", "keyword", "assigned", "quoted", "left_letters", "right_letters",
 ]
 DICTIONARY_WORDS = 20_000
 MAX_FINDINGS = 20_000  # of each label
-CHUNK = 1024
-BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 32 << 20
 REDACTED = "<secret>"
 
 
@@ -34,42 +36,47 @@ def _count(pattern: str, text: Column) -> Column:
 
 
 def find_candidates(docs: DataFrame) -> DataFrame:
-    """Candidates of each whole text: ``doc_id, candidate, start, times, left, right``.
+    """Every candidate of each whole text: ``doc_id, text_hash, candidate, start, left, right``.
 
     A candidate is a run of 16 or more letters, digits and ``+/_-``, with one or two
-    ``=`` as padding at its end (elsewhere ``=`` parts name and value), once per row with the place of its first occurrence (from 1) and how often it is there; ``left`` and
-    ``right`` are up to 80 and 40 characters beside it.
+    ``=`` as padding at its end (elsewhere ``=`` parts name and value); ``start`` is its
+    place from 1. ``left`` and ``right`` are up to 80 and 40 characters beside it, but no
+    more than the candidate before and the one after. ``text_hash`` is the xxhash64 of
+    the text. The work grows with the text's length.
     """
-    found = docs.select("doc_id", "text", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)))).alias("candidate"))
-    found = found.withColumn("start", F.expr("instr(text, candidate)"))
-    size = F.length("candidate")
-    return found.select(
-        "doc_id", "candidate", "start", ((F.length("text") - F.length(F.replace(F.col("text"), F.col("candidate")))) / size).cast("long").alias("times"),
-        F.expr("substring(text, greatest(1, start - 80), least(80, start - 1))").alias("left"), F.expr("substring(text, start + length(candidate), 40)").alias("right"),
+    text = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"), F.monotonically_increasing_id().alias("row"))
+    text = text.withColumns({"c": F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)), "gap": F.split("text", CANDIDATE)}).filter("size(c) > 0").drop("text")
+    found = text.select("doc_id", "text_hash", "row", "gap", "c", F.posexplode("c").alias("i", "candidate"))
+    at = lambda name, shift: F.get(name, F.col("i") + shift)
+    found = found.select(
+        "doc_id", "text_hash", "row", "i", "candidate", F.length(at("gap", 0)).alias("before"),
+        F.right(F.concat(F.coalesce(F.right(at("c", -1), F.lit(LEFT)), F.lit("")), F.right(at("gap", 0), F.lit(LEFT))), F.lit(LEFT)).alias("left"),
+        F.left(F.concat(F.left(at("gap", 1), F.lit(RIGHT)), F.coalesce(F.left(at("c", 1), F.lit(RIGHT)), F.lit(""))), F.lit(RIGHT)).alias("right"),
     )
+    upto = Window.partitionBy("row").orderBy("i")
+    start = 1 + F.sum(F.col("before") + F.length("candidate")).over(upto) - F.length("candidate")
+    return found.withColumn("start", start).select("doc_id", "text_hash", "candidate", "start", "left", "right")
 
 
-def corpus_dictionary(docs: DataFrame, words: int = DICTIONARY_WORDS) -> DataFrame:
-    """Four-letter pieces (``gram``) of the ``words`` commonest words of 4 to 12 letters a-z in all texts."""
-    every = docs.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(?<![a-z])[a-z]{4,12}(?![a-z])"), F.lit(0))).alias("word"))
-    top = every.groupBy("word").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "word").limit(words)
-    return top.select(F.explode(_grams("word")).alias("gram")).distinct()
+def _grams(text: str) -> Column:
+    """All four-letter pieces, in lower case."""
+    return F.regexp_extract_all(F.lower(text), F.lit(r"(?s)(?=(.{4}))"), F.lit(1))
 
 
-def _grams(name: str) -> Column:
-    return F.expr(f"transform(sequence(1, greatest(1, length({name}) - 3)), i -> lower(substring({name}, i, 4)))")
+def corpus_dictionary(docs: DataFrame, words: int = DICTIONARY_WORDS) -> list[str]:
+    """Four-letter pieces of the ``words`` commonest words of 4 to 12 letters a-z in all texts: 9 a word at most."""
+    every = docs.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(?<![a-z])[a-z]{4,12}(?![a-z])"), F.lit(0))).alias("word"))
+    top = every.groupBy("word").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "word").limit(words)
+    return [r.gram for r in top.select(F.explode(_grams("word")).alias("gram")).distinct().orderBy("gram").collect()]
 
 
-def with_features(candidates: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """Append the columns of :data:`FEATURES`. ``dictionary`` has a bounded number of grams and is broadcast."""
+def with_features(candidates: DataFrame, dictionary: list[str]) -> DataFrame:
+    """Append the columns of :data:`FEATURES`, row by row."""
     c, left, right = F.col("candidate"), F.col("left"), F.col("right")
     size = F.length(c).cast("double")
-    # Long candidates by chunks that hold the three letters after them.
-    chunks = candidates.select("candidate").distinct().withColumn("c", F.regexp_extract_all("candidate", F.lit(rf"(?s).{{1,{CHUNK}}}"), F.lit(0)))
-    chunks = chunks.select("candidate", F.explode(F.expr("transform(c, (x, i) -> concat(x, coalesce(substring(get(c, i + 1), 1, 3), '')))")).alias("chunk"))
-    grams = chunks.filter("length(chunk) > 3").select("candidate", F.explode(_grams("chunk")).alias("gram"))
-    covered = grams.join(F.broadcast(dictionary.withColumn("known", F.lit(1.0))), "gram", "left").groupBy("candidate").agg((F.sum(F.coalesce("known", F.lit(0.0))) / F.count("*")).alias("coverage"))
-    return candidates.join(covered, "candidate", "left").withColumns({
+    rows = candidates.withColumn("_all", _grams("candidate"))
+    rows = StopWordsRemover(inputCol="_all", outputCol="_new", stopWords=dictionary, caseSensitive=True).transform(rows)
+    return rows.withColumns({
         "length": size,
         "transitions": (_count("[a-z]+|[A-Z]+|[0-9]+|[^a-zA-Z0-9]+", c) - 1) / size,
         "runs": _count(r"(.)\1", c) / size,
@@ -78,28 +85,32 @@ def with_features(candidates: DataFrame, dictionary: DataFrame) -> DataFrame:
         "hexadecimal": _count("[0-9a-fA-F]", c) / size,
         "signs": _count("[^a-zA-Z0-9]", c) / size,
         "vowels": _count("[aeiouAEIOU]", c) / size,
-        "coverage": F.coalesce("coverage", F.lit(0.0)),
+        "coverage": F.when(F.size("_all") > 0, (F.size("_all") - F.size("_new")) / F.size("_all")).otherwise(0.0),
         "slashes": _count("/", c),
         "after_path": left.rlike(r"[/.~:\\]$").cast("double"),
         "before_extension": right.rlike(r"^\.[A-Za-z0-9]{1,5}\b").cast("double"),
         "keyword": left.rlike(rf"(?i)(?:{KEYWORDS})[^\n]{{0,16}}$").cast("double"),
-        "assigned": left.rlike(r"[:=]\s*[\"'`]?$").cast("double"),
+        "assigned": left.rlike(r"[:=]\s*(?:[a-zA-Z]{1,12} )?[\"'`]?$").cast("double"),
         "quoted": (left.rlike(r"[\"'`]$") & right.rlike(r"^[\"'`]")).cast("double"),
         "left_letters": F.length(F.regexp_extract(left, r"(\p{L}*)[^\p{L}]*$", 1)).cast("double"),
         "right_letters": F.length(F.regexp_extract(right, r"^[^\p{L}]*(\p{L}*)", 1)).cast("double"),
-    })
+    }).drop("_all", "_new")
 
 
 def label_by_assignment(candidates: DataFrame) -> DataFrame:
     """Labels for want of reviewed findings: ``candidate, left, right, label``.
 
-    1 for what a keyword is assigned or set beside in quotes, unless it is one
-    character over and over; 0 for all else. At most ``MAX_FINDINGS`` findings of
-    each label are used, picked by a hash of the finding.
+    Two kinds of evidence that don't depend on each other must agree on a 1: a name of
+    a secret is given the value (``name = "v"``, ``name: v``, ``name=v``, ``"name": "v"``,
+    ``Authorization: Bearer v``), and the value looks drawn at random, having ten
+    different characters, letters among them, and digits in two places. All else is 0: words and numbers beside such a name, and random values, as checksums, beside
+    others. At most ``MAX_FINDINGS`` findings of each label are used, picked by a hash
+    of the finding.
     """
-    named = F.col("left").rlike(rf"(?i)(?:{KEYWORDS})[\"']?\s*[:=]?\s*[\"']?$") & F.col("left").rlike(r"[:=\"']\s*[\"']?$")
-    plain = F.col("candidate").rlike(r"^(.)\1*$|(?i)example|changeme|placeholder")
-    rows = candidates.select("candidate", "left", "right", (named & ~plain).cast("double").alias("label")).distinct()
+    named = F.col("left").rlike(rf"(?i)(?:{KEYWORDS})[a-z0-9_-]{{0,12}}[\"']?\s*(?:[:=]\s*(?:bearer |basic |token )?|[\"'])[\"'`]?$")
+    random = (F.regexp_count("candidate", F.lit("[0-9]+")) >= 2) & (F.size(F.array_distinct(F.split("candidate", ""))) >= 10)
+    random = random & F.col("candidate").rlike("[A-Za-z]") & ~F.col("candidate").rlike("(?i)example|changeme|placeholder")
+    rows = candidates.select("candidate", "left", "right", (named & random).cast("double").alias("label")).distinct()
     rows = rows.withColumn("pick", F.xxhash64("candidate", "left", "right"))
     # Only hashes go to the driver: candidates may be long.
     last = [rows.filter(F.col("label") == x).select("pick").orderBy("pick").limit(MAX_FINDINGS).agg(F.max("pick").alias("last")).withColumn("label", F.lit(x)) for x in (0.0, 1.0)]
@@ -115,44 +126,50 @@ def train_forest(labelled: DataFrame, trees: int = 30, depth: int = 6, seed: int
     return RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy="sqrt").fit(rows)
 
 
-def scan_secrets(docs: DataFrame, findings: DataFrame | None = None, threshold: float = 0.5) -> DataFrame:
-    """All candidates in ``docs(doc_id, text)`` with the forest's verdict.
-
-    Returns ``doc_id, candidate, start, times, probability, is_secret``, a row for each
-    distinct candidate of each row of ``docs``; other columns are ignored. ``findings``
-    are labelled ones (``candidate, left, right, label`` 0 or 1; null labels are left
-    out); without them :func:`label_by_assignment` labels a bounded number. If all
-    labels are alike, that label decides. Null and empty texts have no candidates; a
-    null doc_id is kept; repeated rows are repeated.
-    """
+def _scored(docs: DataFrame, findings: DataFrame | None, threshold: float) -> DataFrame:
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     candidates = materialize(find_candidates(docs))
-    dictionary = materialize(corpus_dictionary(docs))
-    featured = with_features(candidates, dictionary)
-    labelled = (label_by_assignment(candidates) if findings is None else findings.select("candidate", "left", "right", F.col("label").cast("double"))).filter("label IN (0, 1)")
-    labelled = materialize(with_features(labelled, dictionary))
-    model = train_forest(labelled)
+    dictionary = corpus_dictionary(docs)
+    labelled = label_by_assignment(candidates) if findings is None else findings.select("candidate", "left", "right", F.col("label").cast("double"))
+    labelled = materialize(with_features(labelled.filter("label IN (0, 1)"), dictionary))
+    model, featured = train_forest(labelled), with_features(candidates, dictionary)
     if model is None:
         only = labelled.agg(F.coalesce(F.max("label"), F.lit(0.0))).first()[0]
         scored = featured.withColumn("probability", F.lit(float(only)))
     else:
         scored = model.transform(VectorAssembler(inputCols=FEATURES, outputCol="features").transform(featured))
-        scored = scored.select("*", vector_to_array("probability")[1].alias("p")).drop("probability").withColumnRenamed("p", "probability")
-    return scored.select("doc_id", "candidate", F.col("start").cast("long").alias("start"), "times", "probability", (F.col("probability") >= threshold).alias("is_secret"))
+        scored = scored.withColumn("probability", vector_to_array("probability")[1])
+    return scored.select("doc_id", "text_hash", "candidate", F.col("start").cast("long").alias("start"), "probability", (F.col("probability") >= threshold).alias("is_secret"))
+
+
+def scan_secrets(docs: DataFrame, findings: DataFrame | None = None, threshold: float = 0.5) -> DataFrame:
+    """All candidates in ``docs(doc_id, text)`` with the forest's verdict.
+
+    Returns ``doc_id, candidate, start, probability, is_secret``, a row for each place
+    of each candidate in each row of ``docs``; other columns are ignored. ``findings``
+    are labelled ones (``candidate, left, right, label`` 0 or 1; null labels are left
+    out); without them :func:`label_by_assignment` labels a bounded number. If all
+    labels are alike, that label decides. Null and empty texts have no candidates; a
+    null doc_id is kept; repeated rows are repeated; an empty table gives no rows.
+    """
+    return _scored(docs, findings, threshold).drop("text_hash")
 
 
-def redact_secrets(docs: DataFrame, **options) -> DataFrame:
+def redact_secrets(docs: DataFrame, findings: DataFrame | None = None, threshold: float = 0.5) -> DataFrame:
     """``docs`` with every secret in ``text`` replaced by ``<secret>``; no row goes.
 
-    An integer column ``n_chars`` is counted anew where the text changed. Rows with a
-    null doc_id stay as they are.
+    What is a secret in one place of a text is replaced in all of it. Texts are matched
+    by their hash, so rows without a doc_id and repeated rows are treated alike. An
+    integer column ``n_chars`` is counted anew where the text changed.
     """
-    found = scan_secrets(docs, **options).filter("is_secret AND doc_id IS NOT NULL")
+    found = _scored(docs, findings, threshold).filter("is_secret")
     # Longest first, so that a secret within another one doesn't spoil it.
-    by_doc = found.groupBy("doc_id").agg(F.reverse(F.array_sort(F.collect_set(F.struct(F.length("candidate").alias("n"), "candidate")))).alias("_secrets"))
-    by_doc = materialize(by_doc)
-    out = docs.join(F.broadcast(by_doc) if by_doc.count() <= BROADCAST_ROWS else by_doc, "doc_id", "left")
-    text = F.aggregate(F.coalesce("_secrets", F.expr("cast(array() as array<struct<n:int,candidate:string>>)")), F.col("text"), lambda t, s: F.replace(t, s["candidate"], F.lit(REDACTED)))
+    by_text = found.groupBy("text_hash").agg(F.reverse(F.array_sort(F.collect_set(F.struct(F.length("candidate").alias("n"), "candidate")))).alias("_secrets"))
+    by_text = materialize(by_text.withColumnRenamed("text_hash", "_hash"))
+    few = by_text.agg(F.sum(F.aggregate("_secrets", F.lit(64), lambda a, x: a + x["n"] + 32))).first()[0] or 0
+    out = docs.join(F.broadcast(by_text) if few <= BROADCAST_BYTES else by_text, F.xxhash64(F.col("text").cast("string")) == F.col("_hash"), "left")
+    none = F.expr("cast(array() as array<struct<n:int,candidate:string>>)")
+    text = F.aggregate(F.coalesce("_secrets", none), F.col("text"), lambda t, s: F.replace(t, s["candidate"], F.lit(REDACTED)))
     out = out.withColumn("text", text)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
