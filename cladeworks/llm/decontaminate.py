@@ -4,7 +4,8 @@ Words become canonical: numbers, names and units turn into typed placeholders, a
 else is lower-cased. Windows of canonical words are hashed and hash-joined between
 documents and benchmark items, beside windows of plain lower-cased words. Where
 placeholders stand for other values than in the item, the values must be consistent:
-within an alignment one item value always stands for one document value. So a
+within an alignment one item value always stands for one document value, and of names
+one document value for one item value too (numbers may be alike by chance). So a
 question with other numbers or names is caught, and text that has only the shape of
 one is not.
 """
@@ -41,8 +42,8 @@ class Tokens:
     n_docs: int
     bounds: np.ndarray
     plain: np.ndarray  # hash of the lower-cased word
-    kind: np.ndarray
-    canonical: np.ndarray  # the same hash, or that of the placeholder
+    kinds: tuple[np.ndarray, np.ndarray]  # with capitals at the start of a sentence as plain words, and as names
+    canonical: tuple[np.ndarray, np.ndarray]  # the same hash, or that of the placeholder, by kind
 
 
 def _word_set(words) -> np.ndarray:
@@ -58,9 +59,10 @@ def canonical_slices(column: pa.Array, limit: int = SLICE_BYTES):
 
     Words are runs of letters, digits and bytes from 0x80 on, so punctuation between
     them doesn't matter. A number is a word of digits (digits joined by one ``.`` or
-    ``,`` count as one word) or a number word; a unit is a unit word after a number;
-    a name is a word with a capital and a small letter in front that doesn't start a
-    sentence.
+    ``,`` count as one word; letters right behind digits are a word of their own) or a
+    number word; a unit is a unit word after a number; a name is a word with a capital
+    and a small letter in front. Where such a word starts a sentence it may be either,
+    so there are two readings.
     """
     units, numbers = _word_set(UNITS), _word_set(NUMBER_WORDS)
     placeholder = mix(np.arange(4, dtype=np.uint64) + np.uint64(0xF00D))
@@ -79,6 +81,10 @@ def canonical_slices(column: pa.Array, limit: int = SLICE_BYTES):
         before[edges[edges < len(raw)]] = False
         after[edges[edges > 0] - 1] = False
         starts, ends = np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after) + 1
+        other = np.append(np.flatnonzero(~digit), len(raw))
+        turn = other[np.searchsorted(other, starts)]  # where the digits in front of a word end
+        turn = turn[(turn > starts) & (turn < ends)]
+        starts, ends = np.sort(np.concatenate([starts, turn])), np.sort(np.concatenate([ends, turn]))
         bounds = np.searchsorted(starts, cut)
         plain = Words(at, end - at, raw, starts, ends, bounds).hashes() if len(raw) else np.zeros(0, np.uint64)
         digits = np.concatenate([[0], np.cumsum(digit)])
@@ -108,37 +114,44 @@ def canonical_slices(column: pa.Array, limit: int = SLICE_BYTES):
         first = raw[starts] if len(starts) else np.zeros(0, np.uint8)
         second = raw[np.minimum(starts + 1, max(len(raw) - 1, 0))] if len(starts) else first
         capital = ((first >= 65) & (first <= 90) & ((second >= 97) & (second <= 122) | (second >= 128))) | ((first == 0xC3) & (second >= 0x80) & (second <= 0x9E))
-        kind = np.where(number, NUMBER, np.where(capital & (ends - starts > 1) & ~opens, NAME, PLAIN)).astype(np.int8)
-        if len(starts):
-            unit = np.isin(plain, units) & ~head
-            unit[1:] &= number[:-1]
-            unit[0] = False
-            kind[unit] = UNIT
-        yield Tokens(at, end - at, bounds, plain, kind, np.where(kind > 0, placeholder[kind], plain))
+        capital &= ends - starts > 1
+        kinds = []
+        for names in (capital & ~opens, capital):
+            kind = np.where(number, NUMBER, np.where(names, NAME, PLAIN)).astype(np.int8)
+            if len(starts):
+                unit = np.isin(plain, units) & ~head
+                unit[1:] &= number[:-1]
+                unit[0] = False
+                kind[unit] = UNIT
+            kinds.append(kind)
+        yield Tokens(at, end - at, bounds, plain, tuple(kinds), tuple(np.where(k > 0, placeholder[k], plain) for k in kinds))
         at = end
 
 
 def _windows(t: Tokens, size: int):
-    """Start, document and both hashes of each window, and whether the template one is of use."""
+    """Start and document of each window, and per reading (plain words first) its hash and number of slots."""
     sizes = np.diff(t.bounds)
     count = np.maximum(sizes - size + 1, 0)
     ends = np.cumsum(count)
     start = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - count - t.bounds[:-1], count)
     doc = np.repeat(np.arange(t.n_docs), count)
-    plain, shape = np.full(len(start), size, np.uint64), np.full(len(start), size + 100, np.uint64)
-    for j in range(size):
-        plain = plain * np.uint64(0x2545F4914F6CDD1D) + t.plain[start + j]
-        shape = shape * np.uint64(0x2545F4914F6CDD1D) + t.canonical[start + j]
-    slots = np.concatenate([[0], np.cumsum(t.kind > 0)])
-    held = slots[start + size] - slots[start] if len(start) else start
-    return start, doc, mix(plain), mix(shape), (held > 0) & (2 * held <= size)
+    readings = []
+    for add, words, kind in ((0, t.plain, None), *((100, c, k) for c, k in zip(t.canonical, t.kinds, strict=True))):
+        h = np.full(len(start), size + add, np.uint64)
+        for j in range(size):
+            h = h * np.uint64(0x2545F4914F6CDD1D) + words[start + j]
+        slots = np.concatenate([[0], np.cumsum(kind > 0)]) if kind is not None else np.zeros(len(t.plain) + 1, np.int64)
+        readings.append((mix(h), slots[start + size] - slots[start] if len(start) else start))
+    return start, doc, readings
 
 
-def _window_rows(texts: DataFrame, id_name: str, sizes: list[int], bloom=None) -> DataFrame:
-    """``h, templ, id, pos, slots`` of each window; with ``bloom`` only those it may hold.
+def _window_rows(texts: DataFrame, id_name: str, sizes: list[int], shortest: int, bloom=None) -> DataFrame:
+    """``h, templ, heavy, id, pos, slots`` of each window; with ``bloom`` only those it may hold.
 
     Without ``bloom``, as for items, a text has the windows of the largest size that
-    it can fill.
+    it can fill. A template of windows needs two plain words and ``shortest`` words in
+    all; ``heavy`` ones are slots for the more part. A slot is the hash of its word, with
+    1 in the last bit for names.
     """
 
     def run(batches):
@@ -146,12 +159,14 @@ def _window_rows(texts: DataFrame, id_name: str, sizes: list[int], bloom=None) -
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for t in canonical_slices(batch.column(1)):
-                out = ([], [], [], [])
+                out = ([], [], [], [], [])
                 slots = []
                 for size in sizes:
-                    start, doc, plain, shape, useful = _windows(t, size)
-                    for templ, h in ((False, plain), (True, shape)):
-                        pick = useful.copy() if templ else np.ones(len(h), bool)
+                    start, doc, readings = _windows(t, size)
+                    for reading, (h, held) in enumerate(readings):
+                        pick = (held > 0) & (held <= size - 2) & (size >= shortest) if reading else np.ones(len(h), bool)
+                        if reading == 2:
+                            pick &= h != readings[1][0]
                         if bits is None and size < sizes[-1]:
                             pick &= np.diff(t.bounds)[doc] == size
                         if bits is not None:
@@ -159,21 +174,27 @@ def _window_rows(texts: DataFrame, id_name: str, sizes: list[int], bloom=None) -
                             pick &= (bits[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 == 1
                         at = np.flatnonzero(pick)
                         out[0].append(h[at].view(np.int64))
-                        out[1].append(np.full(len(at), templ))
-                        out[2].append(ids[t.first + doc[at]])
-                        out[3].append(start[at] - t.bounds[doc[at]])
-                        slots += [t.plain[s : s + size][t.kind[s : s + size] > 0].view(np.int64).tolist() if templ else [] for s in start[at]]
-                h, templ, who, pos = (np.concatenate(x) if x else np.zeros(0) for x in out)
+                        out[1].append(np.full(len(at), reading > 0))
+                        out[2].append(2 * held[at] > size)
+                        out[3].append(ids[t.first + doc[at]])
+                        out[4].append(start[at] - t.bounds[doc[at]])
+                        if reading:
+                            kind = t.kinds[reading - 1]
+                            value = (t.plain & ~np.uint64(1)) | (kind == NAME).astype(np.uint64)
+                            slots += [value[s : s + size][kind[s : s + size] > 0].view(np.int64).tolist() for s in start[at]]
+                        else:
+                            slots += [[]] * len(at)
+                h, templ, heavy, who, pos = (np.concatenate(x) if x else np.zeros(0) for x in out)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h, pa.int64()), pa.array(templ, pa.bool_()), pa.array(who.astype(np.int64)), pa.array(pos.astype(np.int32)), pa.array(slots, pa.list_(pa.int64()))],
-                    ["h", "templ", "id", "pos", "slots"],
+                    [pa.array(h, pa.int64()), pa.array(templ, pa.bool_()), pa.array(heavy, pa.bool_()), pa.array(who.astype(np.int64)), pa.array(pos.astype(np.int32)), pa.array(slots, pa.list_(pa.int64()))],
+                    ["h", "templ", "heavy", "id", "pos", "slots"],
                 )
 
     rows = texts.filter(F.col(id_name).isNotNull() & F.col("text").isNotNull()).select(F.col(id_name).cast("long").alias("id"), "text")
-    return rows.mapInArrow(run, "h long, templ boolean, id long, pos int, slots array<long>")
+    return rows.mapInArrow(run, "h long, templ boolean, heavy boolean, id long, pos int, slots array<long>")
 
 
-def _item_sizes(benchmark: DataFrame, window: int, shortest: int) -> list[int]:
+def _item_sizes(benchmark: DataFrame, window: int) -> list[int]:
     """The window sizes in use: ``window``, and the lengths of items that are shorter."""
 
     def run(batches):
@@ -182,7 +203,7 @@ def _item_sizes(benchmark: DataFrame, window: int, shortest: int) -> list[int]:
                 n = np.unique(np.diff(t.bounds))
                 yield pa.RecordBatch.from_arrays([pa.array(n.astype(np.int32))], ["n"])
 
-    lengths = benchmark.filter("text IS NOT NULL").select("text").mapInArrow(run, "n int").filter(f"n >= {shortest} AND n < {window}").distinct()
+    lengths = benchmark.filter("text IS NOT NULL").select("text").mapInArrow(run, "n int").filter(f"n >= 1 AND n < {window}").distinct()
     return sorted({window, *(r.n for r in lengths.collect())})
 
 
@@ -210,33 +231,41 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, window: int = 8, c
 
     ``docs``: ``doc_id, text``; ``benchmark``: ``item_id, text``; other columns are
     ignored. A pair is returned when at least ``coverage`` of the item's windows of
-    ``window`` words (one window for an item of ``shortest`` to ``window - 1`` words)
-    are found in the document, either word for word, or as a template in an alignment
-    whose slots are consistent. ``reparameterised`` says that templates were needed.
-    Null ids and null texts hold nothing; items under ``shortest`` words are never
-    found; repeated rows count once. The benchmark side of the join is as large as
-    the benchmark; whole documents are scanned, and only windows that pass a 2 MB
-    filter leave the scan.
+    ``window`` words (one window for an item of fewer words) are found in the document,
+    either word for word, or as a template in an alignment whose slots are consistent.
+    Templates that are slots for the more part count only in an alignment that has all
+    of the item's windows. Items of fewer than ``shortest`` words are matched word for
+    word only. ``reparameterised`` says that templates were needed. Null ids, null texts
+    and texts without words hold nothing; repeated rows count once; an empty table on
+    either side gives no rows. The benchmark side of the join is as large as the
+    benchmark; whole documents are scanned, and only windows that pass a 2 MB filter
+    leave the scan.
     """
     if window < 2 or not 0 < coverage <= 1:
         raise ValueError("window must be 2 or more and coverage in (0, 1]")
     spark = docs.sparkSession
-    sizes = _item_sizes(benchmark, window, shortest)
-    items = materialize(_window_rows(benchmark, "item_id", sizes).distinct())
+    sizes = _item_sizes(benchmark, window)
+    items = materialize(_window_rows(benchmark, "item_id", sizes, shortest).distinct())
     bloom = spark.sparkContext.broadcast(benchmark_bloom(items))
     whole = items.filter("NOT templ").groupBy("id").agg(F.countDistinct("pos").alias("n_windows"))
-    hits = materialize(_window_rows(docs, "doc_id", sizes, bloom))
+    hits = materialize(_window_rows(docs, "doc_id", sizes, shortest, bloom))
     both = hits.alias("d").join(items.alias("i"), (F.col("d.h") == F.col("i.h")) & (F.col("d.templ") == F.col("i.templ")))
     both = both.select(
-        F.col("d.id").alias("doc_id"), F.col("i.id").alias("item_id"), F.col("d.templ").alias("templ"),
+        F.col("d.id").alias("doc_id"), F.col("i.id").alias("item_id"), F.col("d.templ").alias("templ"), F.col("d.heavy").alias("heavy"),
         F.col("i.pos").alias("pos"), (F.col("d.pos") - F.col("i.pos")).alias("shift"), F.arrays_zip(F.col("i.slots").alias("theirs"), F.col("d.slots").alias("ours")).alias("slots"),
     )
     both = materialize(both)
-    slots = both.filter("templ").select("doc_id", "item_id", "shift", F.explode("slots").alias("s")).select("doc_id", "item_id", "shift", "s.theirs", "s.ours").distinct()
-    clash = slots.groupBy("doc_id", "item_id", "shift", "theirs").agg(F.count("*").alias("c")).filter("c > 1").select("doc_id", "item_id", "shift").distinct()
-    exact = both.filter("NOT templ").select("doc_id", "item_id", "pos", F.lit(0).alias("by"))
-    shaped = both.filter("templ").join(clash, ["doc_id", "item_id", "shift"], "left_anti").select("doc_id", "item_id", "pos", F.lit(1).alias("by"))
-    found = exact.union(shaped).groupBy("doc_id", "item_id", "pos").agg(F.min("by").alias("by"))
+    at = ["doc_id", "item_id", "shift"]
+    slots = both.filter("templ").select(*at, F.explode("slots").alias("s")).select(*at, "s.theirs", "s.ours").distinct()
+    clash = slots.groupBy(*at, "theirs").agg(F.count("*").alias("c")).filter("c > 1").select(*at)
+    clash = clash.union(slots.filter("ours & 1 = 1").groupBy(*at, "ours").agg(F.count("*").alias("c")).filter("c > 1").select(*at)).distinct()
+    exact = both.filter("NOT templ").select(*at, "pos", F.lit(0).alias("by"), "heavy")
+    shaped = both.filter("templ").join(clash, at, "left_anti").select(*at, "pos", F.lit(1).alias("by"), "heavy")
+    every = exact.union(shaped)
+    full = every.groupBy(*at).agg(F.countDistinct("pos").alias("n"), F.bool_or("heavy").alias("heavy")).filter("heavy").join(whole, F.col("item_id") == whole.id).filter("n = n_windows")
+    light = every.filter("NOT heavy").select("doc_id", "item_id", "pos", "by")
+    heavy = every.filter("heavy").join(full.select(*at), at, "left_semi").select("doc_id", "item_id", "pos", "by")
+    found = light.union(heavy).groupBy("doc_id", "item_id", "pos").agg(F.min("by").alias("by"))
     found = found.groupBy("doc_id", "item_id").agg(F.count("*").alias("found"), F.count_if(F.col("by") == 0).alias("word_for_word"))
     out = found.join(whole, found.item_id == whole.id).filter(F.col("found") >= coverage * F.col("n_windows"))
     return out.select(
@@ -246,5 +275,5 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, window: int = 8, c
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """Rows of ``docs`` that hold no benchmark item; null doc_ids stay."""
+    """Rows of ``docs``, with all columns, that hold no benchmark item; those with a null doc_id stay, repeated rows go or stay together."""
     return docs.join(contaminated_pairs(docs, benchmark, **options).select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)

@@ -110,13 +110,19 @@ def test_decontamination(spark):
         "So: If Carol buys 99 apples at 7 dollars each and sells 98 of them to Dan how much does Erna keep in the end now",
         "Entirely other words about nothing of the kind whatsoever, as one would expect of clean text today",
         "say what is pi equal to then",
+        "Right. Bob has 7 apples and buys 12 more. What is 3 + 40 - 5 * 6 + 7?",
+        "Tom ran 12km in 55min before Ann slept",
+        "Tom ran 7km in 31min before Tom slept",
+        "they say hello  There to all",
+        "12 14 15 16 17 18 19 20 and more",
     ]
     docs = docs_of(spark, texts)
-    bench = spark.createDataFrame([(7, item, 1), (8, "What is pi equal to", 1), (9, None, 1), (10, "hi", 1), (7, item, 1)], "item_id long, text string, doc_id int")
+    bench = spark.createDataFrame([(7, item, 1), (8, "What is pi equal to", 1), (9, None, 1), (10, "hi", 1), (7, item, 1), (11, "Anna has 5 apples and buys 3 more.", 1), (12, "What is 14 + 27 - 9 * 3 + 8?", 1), (13, "Jim ran 5km in 20min before Sue slept", 1), (14, "Hello there", 1), (15, "1 2 3 4 5 6 7 8", 1), (16, "?!", 1)], "item_id long, text string, doc_id int")
     got = {(r.doc_id, r.item_id): r.reparameterised for r in contaminated_pairs(docs, bench).collect()}
     n = len(ODD)
-    assert got == {(n, 7): False, (n + 1, 7): True, (n + 4, 8): False}
-    assert docs.count() - drop_contaminated(docs, bench).count() == 4
+    assert got == {(n, 7): False, (n + 1, 7): True, (n + 4, 8): False, (n + 5, 11): True, (n + 5, 12): True, (n + 6, 13): True, (n + 8, 14): False}
+    kept = drop_contaminated(docs, bench)
+    assert docs.count() - kept.count() == 6 and kept.columns == docs.columns
     assert contaminated_pairs(docs, bench.limit(0)).count() == contaminated_pairs(docs.limit(0), bench).count() == 0
 
 
