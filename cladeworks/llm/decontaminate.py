@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .flat import SLICE_BYTES, Words, mix, string_buffers
-from .shared import materialize
+from .shared import hash_filter, materialize, may_hold
 
 # Unit and number words that become placeholders.
 UNITS = (
@@ -31,7 +31,6 @@ UNITS = (
 NUMBER_WORDS = "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion".split()
 
 PLAIN, NUMBER, NAME, UNIT = 0, 1, 2, 3
-BLOOM_BITS = 24
 
 
 @dataclass
@@ -170,8 +169,7 @@ def _window_rows(texts: DataFrame, id_name: str, sizes: list[int], shortest: int
                         if bits is None and size < sizes[-1]:
                             pick &= np.diff(t.bounds)[doc] == size
                         if bits is not None:
-                            cell = (h >> np.uint64(64 - BLOOM_BITS)).astype(np.int64)
-                            pick &= (bits[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 == 1
+                            pick &= may_hold(bits, h)
                         at = np.flatnonzero(pick)
                         out[0].append(h[at].view(np.int64))
                         out[1].append(np.full(len(at), reading > 0))
@@ -207,25 +205,6 @@ def _item_sizes(benchmark: DataFrame, window: int) -> list[int]:
     return sorted({window, *(r.n for r in lengths.collect())})
 
 
-def benchmark_bloom(windows: DataFrame) -> np.ndarray:
-    """2 MB of bits that may hold a window hash; more windows only let more rows pass."""
-
-    def run(batches):
-        bits = np.zeros(1 << BLOOM_BITS, bool)
-        for batch in batches:
-            bits[(batch.column(0).to_numpy().view(np.uint64) >> np.uint64(64 - BLOOM_BITS)).astype(np.int64)] = True
-        cells = np.flatnonzero(np.packbits(bits, bitorder="little"))
-        if len(cells):
-            packed = np.packbits(bits, bitorder="little")
-            yield pa.RecordBatch.from_arrays([pa.array(cells.astype(np.int32)), pa.array(packed[cells].astype(np.int32))], ["cell", "bits"])
-
-    rows = windows.select("h").mapInArrow(run, "cell int, bits int").groupBy("cell").agg(F.bit_or("bits").cast("short").alias("bits"))
-    out = np.zeros((1 << BLOOM_BITS) // 8, np.uint8)
-    got = rows.toPandas()
-    out[got["cell"].to_numpy(np.int64)] = got["bits"].to_numpy(np.uint8)
-    return out
-
-
 def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, window: int = 8, coverage: float = 0.5, shortest: int = 4) -> DataFrame:
     """Documents that hold a benchmark item, and which: ``doc_id, item_id, coverage, n_windows, reparameterised``.
 
@@ -246,7 +225,7 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, window: int = 8, c
     spark = docs.sparkSession
     sizes = _item_sizes(benchmark, window)
     items = materialize(_window_rows(benchmark, "item_id", sizes, shortest).distinct())
-    bloom = spark.sparkContext.broadcast(benchmark_bloom(items))
+    bloom = spark.sparkContext.broadcast(hash_filter(items))
     whole = items.filter("NOT templ").groupBy("id").agg(F.countDistinct("pos").alias("n_windows"))
     hits = materialize(_window_rows(docs, "doc_id", sizes, shortest, bloom))
     both = hits.alias("d").join(items.alias("i"), (F.col("d.h") == F.col("i.h")) & (F.col("d.templ") == F.col("i.templ")))

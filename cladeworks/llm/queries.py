@@ -50,18 +50,20 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as WARC records and read back: digest, size and kind of each record."""
     path = shared_dir(spark)
     write_warc(_table(spark, sf_dir, "pages"), path)
     page = lambda name: F.regexp_extract(F.coalesce(name, F.lit("")), r"^<urn:page:(-?\d+)>$", 1).try_cast("long")
     digested = read_warc(spark, path).select(
         page("record_id").alias("page_id"), F.col("type").alias("record_type"), page("refers_to").alias("refers_to"),
-        F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha1("payload").alias("payload_digest"),
+        F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha1("payload").alias("payload_digest"), F.substring_index("digest", ":", -1).alias("named"),
     )
     digested = materialize(digested)
     held = digested.filter("record_type = 'response'")
     full = held.select(F.col("page_id").alias("refers_to"), "payload_bytes", "payload_digest").filter("payload_bytes >= 1000").distinct()
-    revisits = digested.filter("record_type = 'revisit'").select("page_id", "record_type", "refers_to").join(full, "refers_to")
-    return held.unionByName(revisits).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    revisits = digested.filter("record_type = 'revisit'").select("page_id", "record_type", "refers_to", F.col("named").alias("payload_digest"))
+    revisits = revisits.join(full, ["refers_to", "payload_digest"])  # a page_id may be there with several payloads
+    return held.drop("named").unionByName(revisits).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,15 +11,15 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .shared import materialize
-from .splits import bases, read_lines, splits_of
+from .shared import hash_filter, materialize, may_hold
+from .splits import bases, file_sizes, read_lines, splits_of
 
-SPLITS_AT_ONCE = 500_000
-REVISITS_AT_ONCE = 1_000_000
+SPLITS_AT_ONCE = 1 << 20  # 56 MB of what tasks must know of them, for 128 TB in splits of 128 MB
 _HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 _MAGIC = re.compile(rb"(?:\A|(?<=\n))WARC/1\.[01]\r\n")
 _LENGTH = re.compile(rb"\r\ncontent-length:[ \t]*(\d{1,18})[ \t]*\r\n", re.I)
@@ -32,20 +32,30 @@ def plan_records(pages: DataFrame, least_bytes: int = 1000) -> DataFrame:
     Of pages with equal payloads of ``least_bytes`` or more, all but the largest
     page_id refer to it. Null html is an empty payload; a null page_id never refers
     and isn't referred to; rows that repeat the largest page_id are all responses.
+    Only rows that a 2 MB filter of the revisits lets pass are joined with them; all
+    other payloads stay where they are.
     """
     pages = pages.select("page_id", "url", F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload")).withColumn("digest", F.sha1("payload"))
     large = pages.filter(F.octet_length("payload") >= least_bytes).filter("page_id IS NOT NULL").select("page_id", "digest")
     kept = large.groupBy("digest").agg(F.max("page_id").alias("refers_to"), F.min("page_id").alias("least")).filter("refers_to <> least").select("digest", "refers_to")
     revisits = materialize(large.join(kept, "digest").filter("page_id <> refers_to").select("page_id", "digest", "refers_to").distinct())
-    small = revisits.count() <= REVISITS_AT_ONCE
-    return pages.join(F.broadcast(revisits) if small else revisits, ["page_id", "digest"], "left")
+    shared = pages.sparkSession.sparkContext.broadcast(hash_filter(revisits.select(F.xxhash64("page_id", "digest").alias("h"))))
+
+    @F.arrow_udf("boolean")
+    def may_revisit(h: pa.Array) -> pa.Array:
+        return pa.array(may_hold(shared.value, h.to_numpy(zero_copy_only=False)))
+
+    pages = pages.withColumn("_may", may_revisit(F.xxhash64("page_id", "digest")))
+    alone = pages.filter("NOT _may").withColumn("refers_to", F.lit(None).cast(pages.schema["page_id"].dataType))
+    return alone.unionByName(pages.filter("_may").join(revisits, ["page_id", "digest"], "left")).drop("_may")
 
 
 def write_warc(pages: DataFrame, path: str, least_bytes: int = 1000, date: str = "2020-01-01T00:00:00Z") -> None:
     """Write a record for each row of ``pages(page_id, url, html)`` below ``path``.
 
     Records are built and written JVM-side, a file for each task; line breaks in a
-    URL are left out.
+    URL are left out. Every row gives a record, repeated page_ids too; other columns are
+    ignored; an empty table gives no record. A record must fit a task.
     """
     plan = plan_records(pages, least_bytes)
     revisit = F.col("refers_to").isNotNull()
@@ -173,22 +183,38 @@ def reachable_entries(candidates: DataFrame, max_rounds: int = 48) -> DataFrame:
     return reached
 
 
-def _records_of(spark: SparkSession, path: str, entries: dict) -> DataFrame:
-    """Pieces of the records of the splits in ``entries``: header of the first piece, block bytes."""
-    shared = spark.sparkContext.broadcast(entries)
+class _Plan:
+    """What tasks must know of each split, in sorted arrays."""
+
+    def __init__(self, table: pa.Table):
+        table = table.sort_by([("file_key", "ascending"), ("split", "ascending")])
+        self.columns = {c: table[c].fill_null(-1).to_numpy() for c in table.column_names}
+
+    def of(self, key: int, split: int) -> tuple[int, ...] | None:
+        """Base, where records begin, start and block and end of the record before (-1 for none); None for a split of another plan."""
+        c = self.columns
+        a, b = (np.searchsorted(c["file_key"], key, side) for side in ("left", "right"))
+        i = a + np.searchsorted(c["split"][a:b], split)
+        if i == b:
+            return None
+        return tuple(int(c[n][i]) for n in ("base", "enters", "carried", "carried_head", "carried_end"))
+
+
+def _records_of(lines: DataFrame, plan: _Plan) -> DataFrame:
+    """Pieces of the records of the splits in ``plan``: header of the first piece, block bytes."""
+    shared = lines.sparkSession.sparkContext.broadcast(plan)
 
     def run(batches):
-        known = shared.value
         for key, split, data in splits_of(batches):
-            if (key, split) not in known:
+            if (known := shared.value.of(key, split)) is None:
                 continue
-            base, enters, carried, carried_head, carried_end = known[key, split]
+            base, enters, carried, carried_head, carried_end = known
             out = []
-            if carried is not None:  # bytes of a record that began before
+            if carried >= 0:  # bytes of a record that began before
                 a, b = min(len(data), max(0, carried_head - base)), min(len(data), carried_end - base)
                 out.append((carried, base, carried_end - carried_head, False, data[:a], data[a:b]))
-            at, header = enters, _headers(data)
-            while at is not None and at < len(data):
+            at, header = enters - base if enters >= 0 else len(data), _headers(data)
+            while at < len(data):
                 found = header(at)
                 if not found:
                     break
@@ -196,13 +222,13 @@ def _records_of(spark: SparkSession, path: str, entries: dict) -> DataFrame:
                 block = data[at + head : min(at + head + length, len(data))]
                 out.append((at + base, at + base, length, len(block) == length, data[at : at + head], block))
                 at += head + length + 4
-            if at is not None and at < len(data):  # a header that goes on in the next split
+            if at < len(data):  # a header that goes on in the next split
                 out.append((at + base, at + base, -1, False, data[at:], b""))
             cols = list(zip(*out, strict=True)) or [()] * 6
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array([key] * len(out), pa.int64()), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], ["file_key", "offset", "at", "length", "whole", "header", "block"])
 
-    return read_lines(spark, path).mapInArrow(run, "file_key long, offset long, at long, length long, whole boolean, header binary, block binary")
+    return lines.mapInArrow(run, "file_key long, offset long, at long, length long, whole boolean, header binary, block binary")
 
 
 def _parsed(pieces: DataFrame) -> DataFrame:
@@ -222,13 +248,15 @@ def _parsed(pieces: DataFrame) -> DataFrame:
     return rows.withColumn("payload", payload).drop("http", "block")
 
 
-def read_warc(spark: SparkSession, path: str) -> DataFrame:
+def read_warc(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
     """All records of the uncompressed archives below ``path``.
 
     Returns ``file_key, offset, type, record_id, refers_to, uri, digest, payload``;
     the payload of an HTTP message is what follows its header. Bytes that no chain
     from a file's start reaches are not records. Headers and records may
-    span any number of splits, but a record must fit a task.
+    span any number of splits, but a record must fit a task. A file whose chain ends
+    before the file does, or after it, as one that is cut off or damaged, is an error;
+    with ``strict=False`` its records before that place are returned.
     """
     scan = materialize(scan_candidates(spark, path))
     summary = materialize(bases(scan.filter("kind = 0").select("file_key", "split", F.col("at").alias("n_bytes"), "edge")))
@@ -236,6 +264,12 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     inside = scan.filter("kind = 1").join(where, ["file_key", "split"]).select("file_key", "split", *[(F.col(c) + F.col("base")).alias(c) for c in ("at", "leave", "last", "body")])
     candidates = materialize(inside.union(_stitched(summary)))
     entries = reachable_entries(candidates.select("file_key", "at", "leave"))
+    if strict:
+        ends = candidates.join(entries, ["file_key", "at"], "left_semi").groupBy("file_key").agg(F.max("leave").alias("end"))
+        sizes = summary.groupBy("file_key").agg(F.sum("n_bytes").alias("size")).join(ends, "file_key", "left")
+        bad = sizes.filter("end IS NULL OR end <> size").join(file_sizes(spark, path).select("file_key", "path"), "file_key").select("path", "end").take(1)
+        if bad:
+            raise ValueError(f"the records of {bad[0].path} don't end with the file (last known end: byte {bad[0].end})")
     # Of each split the first reached record, and the record that covers its start.
     entered = candidates.join(entries, ["file_key", "at"], "left_semi").groupBy("file_key", "split").agg(F.min("at").alias("enters"), F.max(F.struct("at", "leave", "last", "body")).alias("e"))
     before = Window.partitionBy("file_key").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
@@ -245,11 +279,10 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
         "file_key", "split", "base", "enters",
         *[F.when(covers, x).alias(n) for n, x in (("carried", F.col("c.last")), ("carried_head", F.col("c.body")), ("carried_end", F.col("c.leave") - 4))],
     )
-    plan = materialize(plan)
+    plan, lines = materialize(plan), read_lines(spark, path)
     out, groups = None, max(1, -(-plan.count() // SPLITS_AT_ONCE))
-    for g in range(groups):  # one for all but very many splits
-        rows = plan.filter(F.pmod(F.col("file_key"), F.lit(groups)) == g).collect()
-        known = {(r.file_key, r.split): (r.base, None if r.enters is None else r.enters - r.base, r.carried, r.carried_head, r.carried_end) for r in rows}
-        part = _records_of(spark, path, known)
+    # One for all but very many splits. Each reads all files: the reader would cut a part of them into other splits.
+    for g in range(groups):
+        part = _records_of(lines, _Plan(plan.filter(F.pmod(F.col("file_key"), F.lit(groups)) == g).toArrow()))
         out = part if out is None else out.union(part)
     return _parsed(out)

@@ -261,6 +261,30 @@ def test_warc_round_trip_over_splits(spark, tiny_splits):
     assert read_warc(spark, empty).count() == 0
 
 
+def test_warc_damaged_and_many(spark, tiny_splits, monkeypatch, tmp_path):
+    """A cut-off file is an error; splits may go in groups; repeated page_ids keep their rows."""
+    from cladeworks.llm import warc
+
+    big, other = "q" * 1200, "r" * 1300
+    rows = [(1, "u", big), (1, "u", other), (2, "u", big), (3, "u", "s"), (3, "u", other), (3, "u", other), (4, "u" * 1000, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    pages.write.parquet(str(tmp_path / "pages.parquet"))
+    got = collections.Counter((r.page_id, r.payload_bytes, r.record_type, r.refers_to) for r in queries.op4_warc(spark, str(tmp_path)).collect())
+    want = [(1, 1200, "revisit", 2), (1, 1300, "revisit", 3), (2, 1200, "response", None), (3, 1, "response", None), (3, 1300, "response", None), (3, 1300, "response", None), (4, 0, "response", None)]
+    assert got == collections.Counter(want)
+    path = tmp_path / "w"
+    write_warc(pages.repartition(4), str(path))
+    whole = collections.Counter((r.record_id, bytes(r.payload)) for r in read_warc(spark, str(path)).collect())
+    monkeypatch.setattr(warc, "SPLITS_AT_ONCE", 4)
+    assert collections.Counter((r.record_id, bytes(r.payload)) for r in read_warc(spark, str(path)).collect()) == whole
+    file = max(path.glob("part-*"), key=lambda p: p.stat().st_size)
+    (path / f".{file.name}.crc").unlink()
+    file.write_bytes(file.read_bytes()[:-20])
+    with pytest.raises(ValueError, match="don't end"):
+        read_warc(spark, str(path))
+    assert 0 < read_warc(spark, str(path), strict=False).count() < len(rows)
+
+
 def test_warc_long_headers(spark, tiny_splits):
     """URLs beyond 32 KB in the middle of a file, within a split and over many."""
     for long, size in ((100_000, "9000b"), (40, "60b")):
