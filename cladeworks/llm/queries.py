@@ -71,6 +71,7 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of each whole text, counted in flat token files."""
     return count_tokens(_table(spark, sf_dir, "documents"), shared_dir(spark), f"{TOKENIZERS}/byte_bpe_50k.tiktoken")
 
 

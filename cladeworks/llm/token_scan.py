@@ -12,7 +12,7 @@ import base64
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .shared import materialize
@@ -36,12 +36,24 @@ def _encoder(ranks_text: bytes):
     return _ENCODERS[key]
 
 
-def write_token_files(docs: DataFrame, path: str, ranks_file: str, end: int = END_OF_DOCUMENT) -> None:
-    """Encode whole ``text`` values and write them as flat token files, one for each task.
+def _dealt(docs: DataFrame) -> DataFrame:
+    """Append ``place`` (task and place in it) and ``sign``, a hash of it and doc_id."""
+    rows = docs.withColumn("place", F.monotonically_increasing_id())
+    return rows.withColumn("sign", F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), "place"))
+
+
+def _signs() -> list[Column]:
+    return [F.count(F.lit(1)).alias("n"), F.bit_xor("sign").alias("sign")]
+
+
+def write_token_files(docs: DataFrame, path: str, ranks_file: str, end: int = END_OF_DOCUMENT) -> dict:
+    """Encode whole ``text`` values of ``docs(doc_id, text)`` and write them as flat token files, one for each task.
 
     The vocabulary (``ranks_file``: base64 token and rank a line, read on the driver,
     under 65,536 entries) is broadcast. Null and empty texts are documents of no
-    tokens. ``end`` must be unused and its two bytes one UTF-8 character.
+    tokens. ``end`` must be unused and its two bytes one UTF-8 character. Returns the
+    number of rows and a sign of how they were dealt out to tasks, which
+    :func:`count_tokens` holds against its own.
     """
     with open(ranks_file, "rb") as f:
         ranks_text = f.read()
@@ -58,8 +70,11 @@ def write_token_files(docs: DataFrame, path: str, ranks_file: str, end: int = EN
                 rows = [np.array(encode(t), ">u2").tobytes() if t else b"" for t in batch.column(0).slice(at, 256).to_pylist()]
                 yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], ["value"])
 
-    rows = docs.select(F.col("text").cast("string")).mapInArrow(run, "value binary")
-    rows.select(F.col("value").cast("string")).write.option("lineSep", end.to_bytes(2, "big").decode()).text(path)
+    seen = Observation()
+    rows = _dealt(docs.select("doc_id", F.col("text").cast("string").alias("text"))).observe(seen, *_signs())
+    rows = rows.select("text").mapInArrow(run, "value binary")
+    rows.select(F.col("value").cast("string")).write.option("lineSep", end.to_bytes(2, "big").decode()).option("maxRecordsPerFile", 0).text(path)
+    return seen.get
 
 
 def scan_token_files(spark: SparkSession, path: str, end: int = END_OF_DOCUMENT) -> DataFrame:
@@ -119,11 +134,17 @@ def count_tokens(docs: DataFrame, path: str, ranks_file: str, end: int = END_OF_
     """Tokens of each row's whole text: ``doc_id, n_tokens``.
 
     Writes ``docs(doc_id, text)`` as token files to ``path`` and counts by scanning
-    them. Rows are matched by task and place in it, so ``docs`` must be a scan that
-    is dealt out alike each time. Null ids and repeated rows keep their rows.
+    them. Rows are matched by task and place in it; should the second scan of ``docs``
+    have been dealt out in another way than the one that was written, or files hold
+    another number of documents, that is an error. Other columns are ignored; null ids
+    and repeated rows keep their rows; an empty table gives none.
     """
-    write_token_files(docs, path, ranks_file, end)
-    place = F.monotonically_increasing_id()
-    rows = docs.select("doc_id", F.shiftright(place, 33).alias("part"), place.bitwiseAND((1 << 33) - 1).alias("ordinal"))
+    written = write_token_files(docs, path, ranks_file, end)
+    rows = materialize(_dealt(docs.select("doc_id")))
+    again = rows.agg(*_signs()).first()
     part = F.regexp_extract("path", r"part-(\d+)-[^/]*$", 1).cast("long")
-    return rows.join(scan_token_files(docs.sparkSession, path, end).withColumn("part", part), ["part", "ordinal"], "left").select("doc_id", "n_tokens")
+    found = materialize(scan_token_files(docs.sparkSession, path, end).filter("ended").select(part.alias("part"), "ordinal", "n_tokens"))
+    if (again.n, again.sign) != (written["n"], written["sign"]) or found.count() != again.n:
+        raise RuntimeError("the rows were dealt out to tasks in two ways; write them as a table first")
+    rows = rows.select("doc_id", F.shiftright("place", 33).alias("part"), F.col("place").bitwiseAND((1 << 33) - 1).alias("ordinal"))
+    return rows.join(found, ["part", "ordinal"], "left").select("doc_id", "n_tokens")

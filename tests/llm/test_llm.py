@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cladeworks.llm import cross_polytope, flat, jaccard_join, maxent_lm, pieces, queries, toxicity
 from cladeworks.llm.components import connected_components
@@ -382,8 +383,17 @@ def test_token_counts_over_splits(spark, tiny_splits):
     docs = docs_of(spark, texts)
     got = collections.Counter((r.doc_id, r.n_tokens) for r in count_tokens(docs, shared_dir(spark), ranks).collect())
     assert got == collections.Counter((r.doc_id, len(encode(r.text or ""))) for r in docs.collect())
+    clash = docs.withColumn("n_tokens", F.lit(-1)).withColumn("place", F.lit("p")).withColumn("ordinal", F.lit(0))
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "2")
+    assert collections.Counter((r.doc_id, r.n_tokens) for r in count_tokens(clash, shared_dir(spark), ranks).collect()) == got
+    spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    # A table that comes out of its scan in another order each time.
+    shuffled = docs.repartition(3).withColumn("r", F.expr("uuid()")).sortWithinPartitions("r")
+    with pytest.raises(RuntimeError, match="dealt out"):
+        count_tokens(shuffled, shared_dir(spark), ranks)
     path = shared_dir(spark)
     write_token_files(docs.limit(0), path, ranks)
+    assert count_tokens(docs.limit(0), shared_dir(spark), ranks).count() == 0
     assert scan_token_files(spark, path).count() == 0
     with pytest.raises(ValueError):
         write_token_files(docs, path, ranks, end=50256)
