@@ -1,12 +1,15 @@
 """Language-model scores by a hashed maximum-entropy model.
 
 P(token | context) = P(class | context) * P(token | class, context). The commonest
-tokens form classes of 32; all other words fall into classes by their last letters
-and have their smoothed relative count in the class as inner probability, so that the
-model is a distribution over any vocabulary. Both softmaxes have hashed features of
-the context: last word, last two words, and the word before the last (a skip).
-
-Counts cover all training texts. Training is distributed: every task runs minibatch
+768 tokens form 24 classes of 32, whose inner probabilities are learned; all other words
+fall into 8 classes by their last letters and have their smoothed relative count in
+the class as inner probability, so that the model is a distribution over any
+vocabulary. Both softmaxes have hashed features of the context: last word, last two
+words, and the word before the last (a skip).
+
+Counts cover all training texts and grow with them. The rows of weights that features
+are hashed to grow with the number of distinct tokens from 2**13 to 2**16 (8 MB a table,
+which every task holds). Training is distributed: every task runs minibatch
 gradient updates over its texts from the weights broadcast last, and what each row of
 weights moved is averaged over tasks, weighted by how often the row was in use.
 """
@@ -25,8 +28,8 @@ from .flat import Words, mix, word_slices
 from .shared import materialize
 
 WIDTH = 32  # classes, and tokens of a class
-COMMON = 16  # classes of common tokens; the rest are by word ending
-BUCKET_BITS = 13
+COMMON = 24  # classes of common tokens; the rest are by word ending
+BUCKET_BITS = (13, 16)  # of the rows of weights, by the number of distinct tokens
 HEAD = 1 << 19  # commonest tokens whose counts are broadcast (8 MB)
 BATCH = 1 << 14
 BLOCK = 256
@@ -118,11 +121,14 @@ class MaxEnt:
         two[second[second < len(h)]] = _START
         return np.stack([mix(one + _U(1)), mix(one * _U(0x9FB21C651E98DF25) + mix(two + _U(2))), mix(two + _U(3))], axis=1)
 
+    def _buckets(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes >> _U(65 - len(self.weights).bit_length())).astype(np.uint16)
+
     def class_rows(self, feats: np.ndarray) -> np.ndarray:
-        return (feats >> _U(64 - BUCKET_BITS)).astype(np.int64)
+        return self._buckets(feats)
 
     def inner_rows(self, feats: np.ndarray, cls: np.ndarray) -> np.ndarray:
-        return (mix(feats + (cls[:, None].astype(_U) + _U(11)) * _U(0x8CB92BA72F3D8DD7)) >> _U(64 - BUCKET_BITS)).astype(np.int64)
+        return self._buckets(mix(feats + (cls[:, None].astype(_U) + _U(11)) * _U(0x8CB92BA72F3D8DD7)))
 
     @staticmethod
     def softmax(table: np.ndarray, rows: np.ndarray, bias: np.ndarray) -> np.ndarray:
@@ -148,27 +154,31 @@ class MaxEnt:
 
 
 class _Trainer:
-    """Minibatch gradient updates (AdaGrad) of one table of weights within a task."""
+    """Minibatch gradient updates (AdaGrad) of one table of weights within a task; a step touches the rows in use."""
 
     def __init__(self, table: np.ndarray, rate: float):
         self.table, self.start, self.rate = table.copy(), table, rate
-        self.squares = np.full(table.shape, 1.0, np.float32)
-        self.used = np.zeros(len(table))
+        self.squares = np.ones(table.shape, np.float32)
+        self.used = np.zeros(len(table), np.float32)
 
     def step(self, rows: np.ndarray, bias: np.ndarray, target: np.ndarray) -> None:
         p = MaxEnt.softmax(self.table, rows, bias)
         p[np.arange(len(target)), target] -= 1
-        flat = np.arange(WIDTH)
-        g = np.zeros(self.table.size)
-        for j in range(rows.shape[1]):
-            g += np.bincount((rows[:, j, None] * WIDTH + flat).ravel(), p.ravel(), minlength=self.table.size)
-            self.used += np.bincount(rows[:, j], minlength=len(self.table))
-        g = g.reshape(self.table.shape).astype(np.float32)
-        self.squares += g * g
-        self.table -= self.rate * g / np.sqrt(self.squares)
-
-    def moved(self) -> np.ndarray:
-        return np.hstack([(self.table - self.start) * self.used[:, None], self.used[:, None]]).astype(np.float32)
+        flat = rows.ravel()
+        order = np.argsort(flat, kind="stable")
+        flat = flat[order]
+        first = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
+        row = flat[first]
+        g = np.add.reduceat(p[order // rows.shape[1]], first, axis=0)
+        self.used[row] += np.diff(np.append(first, len(flat)))
+        squares = self.squares[row] + g * g
+        self.squares[row] = squares
+        self.table[row] -= self.rate * g / np.sqrt(squares)
+
+    def moved(self) -> tuple[np.ndarray, np.ndarray]:
+        """Rows in use, and their use and movement in half precision (use as a power of two)."""
+        row = np.flatnonzero(self.used)
+        return row, np.hstack([np.log2(self.used[row])[:, None], (self.table - self.start)[row]]).astype(np.float16)
 
 
 def gradient_round(texts: DataFrame, model: MaxEnt, rate: float) -> None:
@@ -191,16 +201,24 @@ def gradient_round(texts: DataFrame, model: MaxEnt, rate: float) -> None:
                     if len(inside):
                         inner.step(m.inner_rows(f[inside], c[inside]), m.inner_bias[c[inside]], p[inside])
         if seen:
-            blocks = np.vstack([outer.moved(), inner.moved()]).reshape(-1, BLOCK * (WIDTH + 1))
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(blocks), dtype=np.int32)), pa.array([b.tobytes() for b in blocks], pa.binary())], ["block", "moved"])
+            row, moved = (np.concatenate(x) for x in zip(outer.moved(), (lambda r, v: (r + len(m.weights), v))(*inner.moved()), strict=True))
+            block, first = np.unique(row // BLOCK, return_index=True)
+            cut = [*first[1:], len(row)]
+            packed = [(row[a:b] % BLOCK).astype(np.uint8).tobytes() + moved[a:b].tobytes() for a, b in zip(first, cut, strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(block.astype(np.int32)), pa.array(packed, pa.binary())], ["block", "moved"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, block = np.zeros((BLOCK, WIDTH + 1)), 0
+        total, use, block = np.zeros((BLOCK, WIDTH)), np.zeros((BLOCK, 1)), 0
         for batch in batches:
             block = batch.column(0)[0].as_py()
             for x in batch.column(1):
-                total += np.frombuffer(x.as_buffer(), np.float32).reshape(BLOCK, WIDTH + 1)
-        step = (total[:, :WIDTH] / np.maximum(total[:, WIDTH:], 1)).astype(np.float32)
+                data = x.as_py()
+                n = len(data) // (2 * WIDTH + 3)  # a byte for the row and halves for its use and movement
+                row, moved = np.frombuffer(data, np.uint8, n), np.frombuffer(data, np.float16, offset=n).reshape(n, WIDTH + 1).astype(float)
+                weight = 2 ** moved[:, :1]
+                use[row] += weight
+                total[row] += weight * moved[:, 1:]
+        step = (total / np.maximum(use, 1)).astype(np.float32)
         yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([step.tobytes()], pa.binary())], ["block", "moved"])
 
     rows = texts.select("text").mapInArrow(run, "block int, moved binary").groupBy("block").applyInArrow(add, "block int, moved binary").collect()
@@ -241,7 +259,8 @@ def train_maxent(train: DataFrame, counts: DataFrame, rounds: int = 3, rate: flo
         n, v = r.n - int(c[:k][mine].sum()), r.v - int(mine.sum())
         rest_norm[r.cls] = np.log10(n + 0.5 * (v + 1))
         size[r.cls] += n
-    shape = (1 << BUCKET_BITS, WIDTH)
+    low, high = BUCKET_BITS
+    shape = (1 << min(high, max(low, int(counts.count()).bit_length() - 3)), WIDTH)
     model = MaxEnt(
         h[order], c[order], h[:k][place], code[place], np.log(size / size.sum()).astype(np.float32), inner_bias,
         rest_norm, np.zeros(shape, np.float32), np.zeros(shape, np.float32),
@@ -260,7 +279,8 @@ def score_texts(docs: DataFrame, rounds: int = 3, rate: float = 0.25) -> DataFra
     unigram's log10 probability, ``score`` the model's. Counts of all but the
     ``HEAD`` commonest tokens are joined, not broadcast. One row comes back for each
     row, repeated doc_ids too; without training rows both scores treat every token
-    as unseen.
+    as unseen. Null texts are empty ones; columns besides doc_id and text are ignored;
+    an empty table gives no rows.
     """
     spark = docs.sparkSession
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1, F.lit(False))

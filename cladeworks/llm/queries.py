@@ -40,6 +40,7 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of a document and a benchmark item that it holds, word for word or with other slots."""
     return contaminated_pairs(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
@@ -67,6 +68,7 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size of each document's shingle set and its component of links."""
     return jaccard_components(_table(spark, sf_dir, "documents"), k=4, percent=85)
 
 
@@ -76,14 +78,17 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Smoothed unigram and maximum-entropy scores of each whole text."""
     return score_texts(_table(spark, sf_dir, "documents"))
 
 
 def op8_cross_polytope_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors found for every fiftieth one."""
     return nearest_neighbours(_table(spark, sf_dir, "embeddings"), k=5, query_mod=50)
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of each whole text by a lexicon learned outside the held-out fold."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = score_toxicity(docs, learn_toxicity(docs, _table(spark, sf_dir, "labels")))
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
@@ -101,6 +106,7 @@ URL_RULES = [
 
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, longest rule and verdict of each page's URL."""
     judged = judge_urls(_table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict")
 

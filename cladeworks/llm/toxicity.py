@@ -17,7 +17,7 @@ from dataclasses import dataclass, field
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .flat import shingle_hashes, word_slices
@@ -233,6 +233,17 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, m
     return model
 
 
+def _score(docs: DataFrame, model: ToxicityModel, text: str) -> Column:
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.arrow_udf("double")
+    def scored(texts: pa.Array) -> pa.Array:
+        parts = [shared.value.score(texts.slice(at, ROWS).to_pylist()) for at in range(0, len(texts), ROWS)]
+        return pa.array(np.concatenate(parts) if parts else np.zeros(0))
+
+    return scored(F.col(text).cast("string"))
+
+
 def score_toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text") -> DataFrame:
     """Append ``score`` (0 to 1) and ``predicted`` (1 from 0.5 on) for every row; no shuffle.
 
@@ -240,12 +251,10 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text") ->
     get the score of a text without hits. Columns of those names are replaced, other
     ones stay; every row gives one row, repeated ones too.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    out = docs.withColumn("score", _score(docs, model, text))
+    return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
-    @F.arrow_udf("double")
-    def scored(texts: pa.Array) -> pa.Array:
-        parts = [shared.value.score(texts.slice(at, ROWS).to_pylist()) for at in range(0, len(texts), ROWS)]
-        return pa.array(np.concatenate(parts) if parts else np.zeros(0))
 
-    out = docs.withColumn("score", scored(F.col(text).cast("string")))
-    return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+def drop_toxic(docs: DataFrame, model: ToxicityModel, text: str = "text") -> DataFrame:
+    """Rows of ``docs`` with a score under 0.5, with just its columns, whatever their names."""
+    return docs.filter(_score(docs, model, text) < 0.5)

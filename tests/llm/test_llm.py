@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -416,7 +417,8 @@ def test_lm_counts_and_held_out_gain(spark):
         assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held(r.doc_id), len(tokens), sum(c[w] > 0 for w in tokens), n)
         assert r.base_score == pytest.approx(base, abs=1e-6)
     out = [r for r in rows if r.held_out]
-    assert sum(r.score for r in out) > sum(r.base_score for r in out)
+    gain = (sum(r.score for r in out) - sum(r.base_score for r in out)) / sum(r.n_tokens for r in out)
+    assert gain * np.log2(10) > 0.3  # bits a token
 
 
 def test_lm_is_a_distribution(spark):
@@ -571,10 +573,37 @@ def test_url_rules(spark):
     assert got == [("", "", None, "allow")] * 3 + [
         ("www.example.org", "/ES/x", "org/", "allow"), ("example.org", "", None, "allow"), ("a:", "//b/c", None, "allow"), ("m.com", "/de/1", "com/de/", "block"),
     ]
+    twice = judge_urls(pages.union(pages), queries.URL_RULES).collect()
+    assert len(twice) == 14 and judge_urls(pages.limit(0), queries.URL_RULES).count() == 0
     with pytest.raises(ValueError):
         RuleTrie([("a", "/", "maybe")])
 
 
+# Very long texts -----------------------------------------------------------------------------------
+
+
+def test_a_megabyte_ends_in_seconds(spark, vocabulary):
+    """Digits, a URL segment, a text without blanks and a run of one candidate: work grows with the length, not its square."""
+    from cladeworks.llm import secret_scan
+
+    size = 1 << 20
+    rng = random.Random(9)
+    letters = random_key(rng, size, "etaoinshrdlu")
+    began = time.time()
+    assert len(toxicity.fold("1" * size + " x")) < size
+    trie = RuleTrie([("org", "/", "allow"), ("org", "/abc", "block")])
+    assert trie.match("x.org", "/" + "a" * size) == ("org/", "allow")
+    scores = [s for s, _ in pieces.Segmenter(vocabulary).encode(letters[: size // 4], 4)]
+    assert scores == sorted(scores, reverse=True) and len(scores) == 4
+    docs = spark.createDataFrame([(1, letters), (2, "abcdefgh-12345678 " * (size // 18))], "doc_id long, text string")
+    found = secret_scan.find_candidates(docs)
+    assert found.count() == 1 + size // 18
+    assert secret_scan.with_features(found, ["abcd", "etao"]).agg(F.sum("coverage")).first()[0] > 0
+    pages = spark.createDataFrame([(1, "http://x.org/" + "a" * size), (2, "h" * size), (3, "http://" + "a." * (size // 2))], "page_id long, url string")
+    assert judge_urls(pages, queries.URL_RULES).filter("verdict = 'allow'").count() == 3
+    assert time.time() - began < 60
+
+
 # Pipeline ------------------------------------------------------------------------------------------
 
 
@@ -595,3 +624,34 @@ def test_pipeline_stages(spark):
     assert counts == sorted(counts, reverse=True) and counts[3] == counts[4] == counts[5] and counts[5] > 0.6 * counts[0]
     left = kept.select("doc_id").collect()
     assert len({r.doc_id for r in left}) == len(left)
+
+
+def test_pipeline_on_odd_rows(spark, tmp_path):
+    """Nulls in any column, empty and repeated rows, an empty table, columns of clashing names: each stage keeps its columns."""
+    import corpus_pipeline
+
+    item = "what is the largest number of apples that a person may carry in a small basket"
+    key = random_key(random.Random(1), 40, "0123456789abcdef")
+    texts = [*ODD, f"Before it {item} after", f'in it token = "{key}" stands', "some more words of an entirely plain text here"]
+    rows = [(i, t, "en", "web", len(t or ""), 7, [1.0], "x") for i, t in enumerate(texts)]
+    rows += [rows[-1], (None, texts[-1], None, None, None, None, None, None), (None, None, None, None, None, None, None, None)]
+    extra = "score int, ids array<double>, component_id string"
+    docs = spark.createDataFrame(rows, f"doc_id long, text string, lang string, source string, n_chars long, {extra}")
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(6)] + [(None, None, None)], "doc_id long, quality int, toxic int")
+    bench = spark.createDataFrame([(1, item), (2, None), (None, item)], "item_id long, text string")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    bench.write.parquet(str(tmp_path / "benchmark.parquet"))
+    for table, least in ((docs, len(rows) - 4), (docs.limit(0), 0)):
+        kept = table
+        for name, stage in corpus_pipeline.STAGES:
+            before, kept = kept, stage(spark, kept, str(tmp_path))
+            if name != corpus_pipeline.STAGES[-1][0]:
+                assert kept.columns == docs.columns
+                path = shared_dir(spark)
+                kept.write.parquet(path)
+                kept = spark.read.schema(docs.schema).parquet(path)
+            assert kept.count() <= before.count()
+        assert kept.count() >= least
+        if least:
+            ids = [r.doc_id for r in kept.collect()]
+            assert len(texts) - 3 not in ids and ids.count(None) == 2 and ids.count(len(texts) - 1) == 2
