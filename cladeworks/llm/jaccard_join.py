@@ -9,10 +9,11 @@
 3. Each shingle's posting list is paired with its cleanest group (the one with the
    smallest share of rarer shingles): a number of pairs linear in the postings.
    These are verified on whole texts and give first components.
-4. Then every pair of groups that share a prefix shingle and are still in
-   different components is filtered by sizes and positions and verified. So no
-   link between different texts is missed, while pairs inside a component, whose
-   links change nothing, are never formed.
+4. Then pairs of groups that share a prefix shingle are filtered by sizes, by
+   positions and by whether all their members are in one component already; what
+   is left expands to pairs of members in different components, which are
+   verified. So no link between different texts is missed, while pairs inside a
+   component, whose links change nothing, are never formed.
 """
 
 from __future__ import annotations
@@ -31,7 +32,8 @@ from .shared import materialize
 SKETCH_BITS = 22
 SKETCH_BLOCK = 1 << 14
 BROADCAST_IDS = 2_000_000
-MEMBERS_PER_TASK = 256
+MEMBERS_PER_TASK = 64
+GROUPS_PER_TASK = 256
 
 
 def shingle_sketch(docs: DataFrame, k: int) -> np.ndarray:
@@ -178,11 +180,11 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
     prefixes = materialize(document_prefixes(docs, k, percent))
     sets = prefixes.filter("n > 0 AND doc_id IS NOT NULL")
     members = sets.groupBy("set_a", "set_b", "n").agg(F.min("doc_id").alias("member"), F.first("prefix").alias("prefix"))
-    members = members.withColumn("key", F.xxhash64("prefix"))
-    members = materialize(members.select("set_a", "set_b", "n", "member", "prefix", "key"))
-    groups = members.groupBy("key", "n").agg(F.min("member").alias("g"), F.first("prefix").alias("prefix"), F.count("*").alias("size"))
+    members = members.withColumns({"key": F.xxhash64("prefix"), "key2": F.xxhash64(F.lit(1), "prefix")})  # 128 bits in all
+    members = materialize(members.select("set_a", "set_b", "n", "member", "prefix", "key", "key2"))
+    groups = members.groupBy("key", "key2", "n").agg(F.min("member").alias("g"), F.first("prefix").alias("prefix"), F.count("*").alias("size"))
     postings = materialize(groups.select("g", "n", "size", F.posexplode("prefix").alias("p", "token")))
-    in_group = members.join(groups.filter("size > 1").select("key", "n", "g"), ["key", "n"]).select("g", "member")
+    in_group = members.join(groups.filter("size > 1").select("key", "key2", "n", "g"), ["key", "key2", "n"]).select("g", "member")
     in_group = materialize(in_group)  # only groups of several different sets
 
     pivots = postings.groupBy("token").agg(F.min(F.struct(F.expr("p / n").alias("share"), "g", "p", "n", "size")).alias("pivot"), F.count("*").alias("c"))
@@ -195,16 +197,24 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
     links = materialize(verify_pairs(docs, first, k, percent))
     found = materialize(connected_components(links))
 
-    # Every pair that may link and whose ends are still apart.
-    expanded = shared.join(in_group, "g", "left").withColumn("m", F.coalesce("member", "g")).drop("member")
-    labelled = expanded.join(found.withColumnRenamed("node", "m"), "m", "left").withColumn("comp", F.coalesce("component", "m"))
-    span = labelled.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("token")
-    labelled = labelled.join(span, "token").select("token", "m", "p", "n", "comp", "g1")
-    labelled = labelled.join(found.select(F.col("node").alias("g1"), F.col("component").alias("home")), "g1", "left")
-    labelled = materialize(labelled.withColumn("apart", F.col("comp") != F.coalesce("home", "g1")).select("token", "m", "p", "n", "comp", "apart"))
-    left = labelled.filter("apart").select("token", F.col("m").alias("a"), F.col("p").alias("p1"), F.col("n").alias("n1"), F.col("comp").alias("c1"))
-    right = labelled.select("token", F.col("m").alias("b"), F.col("p").alias("p2"), F.col("n").alias("n2"), F.col("comp").alias("c2"), "apart")
-    rest = left.join(right, (left.token == right.token) & (F.col("c1") != F.col("c2")) & (~F.col("apart") | (F.col("a") < F.col("b"))) & _compatible(percent))
+    # Pairs of groups that may link and aren't in one component yet: lo and hi are the first and last component of a group.
+    placed = in_group.join(found, in_group.member == found.node, "left").select("g", "member", F.coalesce("component", "member").alias("comp"))
+    several = placed.groupBy("g").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    alone = found.select(F.col("node").alias("g"), F.col("component").alias("c"))
+    home = found.select(F.col("node").alias("g1"), F.col("component").alias("home"))
+    labelled = shared.select("token", "g", "p", "n", "g1").join(several, "g", "left").join(alone, "g", "left").join(home, "g1", "left")
+    lo, hi, home = F.coalesce("lo", "c", "g"), F.coalesce("hi", "c", "g"), F.coalesce("home", "g1")
+    labelled = labelled.select("token", "g", "p", "n", lo.alias("lo"), hi.alias("hi"), ((lo != home) | (hi != home)).alias("apart"))
+    span = labelled.groupBy("token").agg(F.min("lo").alias("a"), F.max("hi").alias("b"), F.ceil(F.count_if("apart") / GROUPS_PER_TASK).cast("int").alias("parts")).filter("a <> b AND parts > 0").select("token", "parts")
+    labelled = materialize(labelled.join(span, "token"))
+    left = labelled.filter("apart").select("token", F.pmod(F.hash("g"), F.col("parts")).alias("part"), F.col("g").alias("ga"), F.col("p").alias("p1"), F.col("n").alias("n1"), F.col("lo").alias("lo1"), F.col("hi").alias("hi1"))
+    right = labelled.select("token", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("g").alias("gb"), F.col("p").alias("p2"), F.col("n").alias("n2"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"), "apart")
+    once = ~F.col("apart") | F.expr("ga <= gb")
+    open_ = F.expr("NOT (lo1 = hi1 AND lo2 = hi2 AND lo1 = lo2)")
+    pairs = left.join(right, ["token", "part"]).filter(once & open_ & _compatible(percent)).select("ga", "gb", "lo1", "lo2").distinct()
+    of = lambda g, m, c: placed.select(F.col("g").alias(g), F.col("member").alias(m), F.col("comp").alias(c))
+    rest = pairs.join(of("ga", "ma", "ca"), "ga", "left").join(of("gb", "mb", "cb"), "gb", "left")
+    rest = rest.select(F.coalesce("ma", "ga").alias("a"), F.coalesce("mb", "gb").alias("b"), F.coalesce("ca", "lo1").alias("c"), F.coalesce("cb", "lo2").alias("d")).filter("c <> d")
     rest = materialize(rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     more = materialize(verify_pairs(docs, rest, k, percent)) if not rest.isEmpty() else rest
     if not more.isEmpty():
