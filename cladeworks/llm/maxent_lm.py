@@ -154,26 +154,36 @@ class MaxEnt:
 
 
 class _Trainer:
-    """Minibatch gradient updates (AdaGrad) of one table of weights within a task; a step touches the rows in use."""
+    """Minibatch gradient updates of one table of weights within a task; a step touches the rows in use.
+
+    The rate of a row falls with the sum of its squared gradients (AdaGrad by rows).
+    """
 
     def __init__(self, table: np.ndarray, rate: float):
         self.table, self.start, self.rate = table.copy(), table, rate
-        self.squares = np.ones(table.shape, np.float32)
+        self.squares = np.ones(len(table), np.float32)
         self.used = np.zeros(len(table), np.float32)
 
     def step(self, rows: np.ndarray, bias: np.ndarray, target: np.ndarray) -> None:
         p = MaxEnt.softmax(self.table, rows, bias)
         p[np.arange(len(target)), target] -= 1
-        flat = rows.ravel()
+        flat = rows.T.ravel()
         order = np.argsort(flat, kind="stable")
         flat = flat[order]
         first = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
-        row = flat[first]
-        g = np.add.reduceat(p[order // rows.shape[1]], first, axis=0)
-        self.used[row] += np.diff(np.append(first, len(flat)))
-        squares = self.squares[row] + g * g
+        row, times = flat[first], np.diff(np.append(first, len(flat)))
+        self.used[row] += times
+        order %= len(p)
+        g = p[order[first]]
+        many = np.flatnonzero(times > 1)  # most rows are in use once
+        if len(many):
+            inside = np.repeat(times > 1, times)
+            start = np.cumsum(times[many]) - times[many]
+            g[many] = np.add.reduceat(p[order[inside]], start, axis=0)
+        squares = self.squares[row] + np.einsum("ij,ij->i", g, g) * np.float32(1 / WIDTH)
         self.squares[row] = squares
-        self.table[row] -= self.rate * g / np.sqrt(squares)
+        g *= (self.rate / np.sqrt(squares))[:, None]
+        self.table[row] -= g
 
     def moved(self) -> tuple[np.ndarray, np.ndarray]:
         """Rows in use, and their use and movement in half precision (use as a power of two)."""
