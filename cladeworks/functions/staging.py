@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def staging_path(spark: SparkSession) -> str:
-    """A new folder below ``spark.checkpoint.dir``; a temporary one where that is unset."""
+    """A new folder below ``spark.checkpoint.dir``; a temporary one where a local session has none."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         known = spark.sparkContext._jsc.sc().getCheckpointDir()
         base = known.get() if known.isDefined() else None
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="spark-")
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"

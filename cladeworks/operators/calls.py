@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.alleles import left_align_indel
-from ..functions.cigar import aligned_bases
+from ..functions.cigar import aligned_runs
 from ..functions.columns import KEY
 
 BIN = 16_384
@@ -36,9 +36,8 @@ def threshold_alleles(counts: DataFrame, min_count: int = 3, min_fraction: float
     ``counts``: ``clone_id, chrom, pos, ref, alt, n_alt``; the depth of a position is
     the sum over its alleles, that of the reference included.
     """
-    site = ["clone_id", "chrom", "pos"]
-    depth = counts.groupBy(*site).agg(F.sum("n_alt").alias("depth"))
-    out = counts.join(depth, site).withColumn("fraction", F.col("n_alt") / F.col("depth"))
+    depth = F.sum("n_alt").over(Window.partitionBy("clone_id", "chrom", "pos"))
+    out = counts.withColumn("depth", depth).withColumn("fraction", F.col("n_alt") / F.col("depth"))
     return out.filter((F.col("alt") != F.col("ref")) & (F.col("n_alt") >= min_count) & (F.col("fraction") >= min_fraction))
 
 
@@ -168,20 +167,14 @@ def pileup_counts(reads: DataFrame, reference: DataFrame, chunk: int) -> DataFra
     ``reads``: ``clone_id, chrom, start`` (from 0), ``cigar, seq, flag``; unmapped,
     secondary, failed and duplicate reads are left out. ``reference`` as in
     :func:`left_align`; rows where ``alt`` is ``ref`` give the reference count. Counts
-    are added up within each batch before the shuffle.
+    are added up within each task before the shuffle.
     """
-    used = reads.filter("(flag & 1796) = 0").select("clone_id", "chrom", "start", "cigar", "seq")
-
-    def expand(frames):
-        for f in frames:
-            rows = [(c, h, p + 1, b) for c, h, s, cig, q in zip(f["clone_id"], f["chrom"], f["start"], f["cigar"], f["seq"], strict=True) for p, b in aligned_bases(s, cig, q)]
-            out = pd.DataFrame(rows, columns=["clone_id", "chrom", "pos", "alt"])
-            yield out.groupby(["clone_id", "chrom", "pos", "alt"], as_index=False).size().rename(columns={"size": "n"})
-
-    counts = used.mapInPandas(expand, "clone_id string, chrom string, pos long, alt string, n long")
-    counts = counts.groupBy("clone_id", "chrom", "pos", "alt").agg(F.sum("n").alias("n_alt"))
+    used = reads.filter("(flag & 1796) = 0").select("clone_id", "chrom", "start", "seq", F.explode(aligned_runs(F.col("cigar"))).alias("r"))
+    # A run of aligned bases is a stretch of the reference and one of the read, base by base.
+    used = used.select("clone_id", "chrom", (F.col("start") + F.col("r.at") + 1).alias("first"), F.expr("substring(seq, r.i + 1, r.n)").alias("bases"))
+    counts = used.select("clone_id", "chrom", "first", F.posexplode(F.split("bases", "(?<=.)(?=.)")).alias("k", "alt")).filter("alt <> ''")
+    counts = counts.groupBy("clone_id", "chrom", (F.col("first") + F.col("k")).alias("pos"), "alt").agg(F.count("*").alias("n_alt"))
     counts = counts.withColumn("chunk_index", F.floor((F.col("pos") - 1) / chunk).cast("long")).join(reference, ["chrom", "chunk_index"], "left")
     ref = F.expr(f"substring(sequence, cast((pos - 1) % {chunk} as int) + 1, 1)")
     counts = counts.withColumn("ref", ref).select("clone_id", "chrom", "pos", "ref", "alt", "n_alt")
-    depth = counts.groupBy("clone_id", "chrom", "pos").agg(F.sum("n_alt").alias("depth"))
-    return counts.join(depth, ["clone_id", "chrom", "pos"])
+    return counts.withColumn("depth", F.sum("n_alt").over(Window.partitionBy("clone_id", "chrom", "pos")))

@@ -197,11 +197,16 @@ def sort_assignments(assignments: DataFrame) -> DataFrame:
     return assignments.orderBy("clone_id", "cell_id")
 
 
+def clone_cell_events(assignments: DataFrame, events: DataFrame) -> DataFrame:
+    """Events of assigned cells with their clone: ``clone_id, cell_id, event``."""
+    keyed = events.select("cell_id", event_key(events.columns).alias("event"))
+    return keyed.join(assignments.select("cell_id", "clone_id"), "cell_id").select("clone_id", "cell_id", "event")
+
+
 def clone_events(assignments: DataFrame, events: DataFrame) -> DataFrame:
     """Per clone every event with the share of the clone's cells that have it."""
     size = assignments.groupBy("clone_id").agg(F.countDistinct("cell_id").alias("n"))
-    has = events.select("cell_id", event_key(events.columns).alias("event")).join(assignments.select("cell_id", "clone_id"), "cell_id")
-    per = has.groupBy("clone_id", "event").agg(F.countDistinct("cell_id").alias("k"))
+    per = clone_cell_events(assignments, events).groupBy("clone_id", "event").agg(F.countDistinct("cell_id").alias("k"))
     return per.join(size, "clone_id").select("clone_id", "event", (F.col("k") / F.col("n")).alias("fraction_cells"))
 
 

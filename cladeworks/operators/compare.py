@@ -72,10 +72,14 @@ def sharing_by_clone(calls: DataFrame, files: DataFrame) -> DataFrame:
     return rows.groupBy("clone_id").pivot("sharing_class", ["private", "partial", "shared"]).agg(F.count(F.lit(1))).fillna(0)
 
 
+def detected_records(calls: DataFrame, present: DataFrame) -> DataFrame:
+    """Records whose clone and key are among ``present``."""
+    return calls.join(present, ["clone_id", *KEY], "left_semi")
+
+
 def per_clone_variants(calls: DataFrame) -> DataFrame:
     """Every record of every caller of a clone; the caller comes first."""
-    present = clone_presence(calls)
-    return calls.join(present, ["clone_id", *KEY], "left_semi").select("clone_id", "caller", *KEY, "qual", "filters")
+    return detected_records(calls, clone_presence(calls)).select("clone_id", "caller", *KEY, "qual", "filters")
 
 
 def clone_similarity(calls: DataFrame, files: DataFrame) -> DataFrame:

@@ -78,14 +78,14 @@ def mark_duplicates(reads: DataFrame, across_cells: bool = False, enabled: bool
     if not enabled:
         return reads
     takes = F.col("flag").bitwiseAND(UNMAPPED | SECONDARY | SUPPLEMENTARY) == 0
-    rows = reads.withColumns({"_takes": takes, "_five": five_prime(F.col("start"), F.col("cigar"), _bit(REVERSE)), "_strand": _bit(REVERSE), "_mate": _bit(MATE_REVERSE)})
-    key = ["clone_id", *([] if across_cells else ["cell_id"]), "chrom", "_five", "_strand", "mate_chrom", "mate_start", "_mate", "_takes"]
-    # What takes no part would be one group by position; its own id deals it out.
-    rows = rows.withColumn("_own", F.when(~F.col("_takes"), F.col("read_id")))
-    rank = F.row_number().over(Window.partitionBy(*key, "_own").orderBy(F.desc("base_quality"), "read_id"))
-    rows = rows.withColumn("_r", rank)
+    five = five_prime(F.col("start"), F.col("cigar"), _bit(REVERSE))
+    key = ["clone_id", *([] if across_cells else ["cell_id"]), "chrom", five, "mate_chrom", "mate_start", F.col("flag").bitwiseAND(REVERSE | MATE_REVERSE)]
+    # The group as 128 bits, so that rows are sorted by numbers; what takes no part would be one group by position, and its own id deals it out.
+    own = lambda *seed: F.when(takes, F.xxhash64(*seed, *key)).otherwise(F.xxhash64(*seed, "read_id"))
+    rows = reads.withColumns({"_takes": takes, "_a": own(F.lit(1)), "_b": own(F.lit(2))})
+    rank = F.row_number().over(Window.partitionBy("_takes", "_a", "_b").orderBy(F.desc("base_quality"), "read_id"))
     flag = F.when(F.col("_takes") & (F.col("_r") > 1), F.col("flag").bitwiseOR(DUPLICATE)).otherwise(F.col("flag"))
-    return rows.withColumn("flag", flag).select(reads.columns)
+    return rows.withColumn("_r", rank).withColumn("flag", flag).select(reads.columns)
 
 
 def flag_stats(reads: DataFrame, by: str = "clone_id") -> DataFrame:

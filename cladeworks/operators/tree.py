@@ -115,6 +115,25 @@ def select_boundary_nodes(nodes: DataFrame, min_cells: int, min_branch_length: f
     return rows.filter((F.col("edge_length") > F.col("threshold")) & (F.col("n_leaves") >= min_cells)).select("tree_id", "node_id", "edge_length", "n_leaves")
 
 
+def cut_candidates(nodes: DataFrame, min_branch_length: float | None = None) -> DataFrame:
+    """Internal nodes below the root whose branch is at or above the tree's threshold."""
+    rows = _inner(nodes).join(cut_threshold(nodes, min_branch_length), "tree_id").filter("edge_length >= threshold")
+    return rows.select("tree_id", "node_id", "edge_length", "pre", "last")
+
+
+def longest_edges(parts: DataFrame, candidates: DataFrame, min_cells: int) -> DataFrame:
+    """Of each part the longest candidate that leaves ``min_cells`` on both sides (ties: first in preorder): ``tree_id, part, from, to``.
+
+    ``parts``: ``tree_id, part, pre`` of each leaf.
+    """
+    size = parts.groupBy("tree_id", "part").agg(F.count("*").alias("n")).filter(F.col("n") >= 2 * min_cells)
+    within = parts.join(size, ["tree_id", "part"]).alias("x").join(candidates.alias("n"), _under("n", "x"))
+    count = within.groupBy(F.col("x.tree_id").alias("tree_id"), F.col("x.part").alias("part"), F.col("n.pre").alias("from"), F.col("n.last").alias("to"), "n.edge_length").agg(F.count("*").alias("below"), F.first("x.n").alias("n"))
+    good = count.filter((F.col("below") >= min_cells) & (F.col("n") - F.col("below") >= min_cells))
+    best = Window.partitionBy("tree_id", "part").orderBy(F.desc("edge_length"), "from")
+    return good.withColumn("r", F.row_number().over(best)).filter("r = 1").select("tree_id", "part", "from", "to")
+
+
 def cut_into_clones(nodes: DataFrame, min_cells: int = 5, min_branch_length: float | None = None) -> DataFrame:
     """Cut trees at long branches: ``tree_id, clone_id, cell_id, part``.
 
@@ -126,16 +145,10 @@ def cut_into_clones(nodes: DataFrame, min_cells: int = 5, min_branch_length: flo
     """
     if min_cells < 1:
         raise ValueError("min_cells must be 1 or more")
-    candidates = staged(_inner(nodes).join(cut_threshold(nodes, min_branch_length), "tree_id").filter("edge_length >= threshold").select("tree_id", "node_id", "edge_length", "pre", "last"))
+    candidates = staged(cut_candidates(nodes, min_branch_length))
     parts = nodes.filter("is_leaf").select("tree_id", F.col("node_id").alias("cell_id"), "pre", F.lit("").alias("part"), F.lit(True).alias("live"))
     while True:
-        live = parts.filter("live")
-        size = live.groupBy("tree_id", "part").agg(F.count("*").alias("n")).filter(F.col("n") >= 2 * min_cells)
-        within = live.join(size, ["tree_id", "part"]).alias("x").join(candidates.alias("n"), _under("n", "x"))
-        count = within.groupBy(F.col("x.tree_id").alias("tree_id"), F.col("x.part").alias("part"), F.col("n.pre").alias("from"), F.col("n.last").alias("to"), "n.edge_length").agg(F.count("*").alias("below"), F.first("x.n").alias("n"))
-        good = count.filter((F.col("below") >= min_cells) & (F.col("n") - F.col("below") >= min_cells))
-        best = Window.partitionBy("tree_id", "part").orderBy(F.desc("edge_length"), "from")
-        cut = staged(good.withColumn("r", F.row_number().over(best)).filter("r = 1").select("tree_id", "part", "from", "to"))
+        cut = staged(longest_edges(parts.filter("live"), candidates, min_cells))
         if cut.isEmpty():
             break
         moved = parts.join(cut, ["tree_id", "part"], "left")

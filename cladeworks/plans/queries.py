@@ -15,6 +15,7 @@ from ..operators import pseudobulk as P
 from ..operators import report as R
 from ..operators import tree as T
 from ..operators import validate as V
+from ..functions.staging import staging_path
 from ..sources import readers, writers
 from .testdata import view, with_views
 
@@ -71,7 +72,7 @@ query("x5_clone_presence", f"SELECT DISTINCT clone_id, {KEYS} FROM {PASSED}")(la
 query("x6_variant_sharing", f"SELECT * FROM {SHARING}")(lambda get: X.variant_sharing(passed(get), get("files")))
 query("x7_per_clone_variants", f"SELECT clone_id, caller, {KEYS}, round(qual, 6) AS qual, filters FROM {PASSED}")(lambda get: X.per_clone_variants(passed(get)))
 query("j4_detected_records", f"SELECT clone_id, caller, {KEYS}, round(qual, 6) AS qual, filters FROM calls c WHERE EXISTS (SELECT 1 FROM {PASSED} p WHERE p.clone_id = c.clone_id AND p.chrom = c.chrom AND p.pos = c.pos AND p.ref = c.ref AND p.alt = c.alt)")(
-    lambda get: get("calls").join(X.clone_presence(passed(get)), ["clone_id", *C.KEY], "left_semi").select("clone_id", "caller", *C.KEY, "qual", "filters")
+    lambda get: X.detected_records(get("calls"), X.clone_presence(passed(get))).select("clone_id", "caller", *C.KEY, "qual", "filters")
 )
 query("x8_sharing_by_clone", f"""
 SELECT clone_id, count_if(sharing_class = 'private') AS private, count_if(sharing_class = 'partial') AS partial, count_if(sharing_class = 'shared') AS shared
@@ -115,8 +116,9 @@ SELECT clone_id, caller, count(*) AS records, count(*) AS snps, CAST(0 AS BIGINT
   count_if(ref || alt IN ('AG', 'GA', 'CT', 'TC')) AS transitions, count_if(ref || alt NOT IN ('AG', 'GA', 'CT', 'TC')) AS transversions,
   round(count_if(ref || alt IN ('AG', 'GA', 'CT', 'TC')) / nullif(count_if(ref || alt NOT IN ('AG', 'GA', 'CT', 'TC')), 0), 6) AS ts_tv
 FROM calls GROUP BY 1, 2""")(lambda get: K.caller_stats(get("calls")))
-query("u4_concat_calls", f"SELECT {KEYS}, caller FROM calls WHERE caller = 'strelka2' AND pos % 200 = 0 UNION ALL SELECT {KEYS}, caller FROM calls WHERE caller = 'strelka2' AND pos % 300 = 0 ORDER BY ALL")(
-    lambda get: K.concat_calls(*(get("calls").filter(f"caller = 'strelka2' AND pos % {m} = 0").select(*C.KEY, "caller") for m in (200, 300)))
+# Two call sets that hold all calls between them and overlap in one caller.
+query("u4_concat_calls", f"SELECT {KEYS}, caller FROM calls WHERE caller <> 'freebayes' UNION ALL SELECT {KEYS}, caller FROM calls WHERE caller <> 'mutect2' ORDER BY ALL")(
+    lambda get: K.concat_calls(*(get("calls").filter(F.col("caller") != c).select(*C.KEY, "caller") for c in ("freebayes", "mutect2")))
 )
 query("u5_union_callers", f"SELECT clone_id, caller, {KEYS} FROM calls")(
     lambda get: K.union_callers({k: get("calls").filter(F.col("caller") == k).drop("caller") for k in ("mutect2", "strelka2", "freebayes")}).select("clone_id", "caller", *C.KEY)
@@ -202,6 +204,7 @@ query("f4_manifest_from_tree", "SELECT node_id AS cell_id, '/d/' || node_id || '
 )
 query("f5_infer_index", "SELECT cell_id, bam_path, coalesce(nullif(bai_path, ''), bam_path || '.bai') AS bai_path, sample_id, patient_id FROM cells")(lambda get: V.infer_index(get("cells")))
 query("f8_filter_cells", "SELECT c.*, clone_id, round(confidence, 6) AS confidence, flagged FROM cells c JOIN assignments USING (cell_id) WHERE confidence >= 0.5")(lambda get: P.filter_cells(get("cells"), get("assignments"), 0.5))
+query("p1_filtered_manifest", "SELECT c.*, clone_id, round(confidence, 6) AS confidence, flagged FROM cells c JOIN assignments USING (cell_id) WHERE confidence >= 0.25")(lambda get: P.filter_cells(get("cells"), get("assignments"), 0.25))
 query("j1_assigned_cells", "SELECT c.*, clone_id, round(confidence, 6) AS confidence, flagged FROM cells c JOIN assignments USING (cell_id)")(lambda get: P.filter_cells(get("cells"), get("assignments")))
 query("f9_filter_by_metrics", """
 SELECT c.* FROM cells c JOIN (SELECT cell_id, count_if((flag & 2308) = 0) AS m FROM reads GROUP BY 1) USING (cell_id) WHERE m >= 20""")(
@@ -230,7 +233,15 @@ SELECT count(x) AS n_bam_cells, count(y) AS n_meta_cells, count_if(x IS NOT NULL
 query("v5_usable_cells", "SELECT tree_id, node_id AS cell_id, pre, count(*) OVER (PARTITION BY tree_id) >= 2 AS enough FROM nodes WHERE is_leaf AND node_id IN (SELECT id FROM ids)")(
     lambda get: V.usable_cells(get("nodes"), get("ids").withColumnRenamed("id", "cell_id"))
 )
-query("v6_validate_inputs")(lambda get: V.validate_inputs(get("cells"), get("assignments"), get("nodes"), get("cn_events"), get("cells").filter("cell_id NOT LIKE '%55'").select(F.col("bam_path").alias("path"), F.lit(1).alias("length"))))
+query("v6_validate_inputs", """
+WITH bad AS (SELECT DISTINCT bam_path AS path FROM cells WHERE cell_id LIKE '%55' ORDER BY 1 LIMIT 10), lost AS (SELECT DISTINCT coalesce(nullif(bai_path, ''), bam_path || '.bai') AS path FROM cells ORDER BY 1 LIMIT 10),
+c AS (SELECT count(DISTINCT cell_id) AS n FROM cells), a AS (SELECT count(DISTINCT cell_id) AS n FROM assignments), b AS (SELECT count(DISTINCT cell_id) AS n FROM cells JOIN assignments USING (cell_id))
+SELECT 'BAM manifest: missing or empty ' || (SELECT string_agg(path, ', ' ORDER BY path) FROM bad) AS errors, 'BAM manifest: no index ' || (SELECT string_agg(path, ', ' ORDER BY path) FROM lost) AS warnings, 'failed' AS status,
+  c.n AS n_bam_cells, a.n AS n_meta_cells, b.n AS n_overlap, round(100.0 * b.n / c.n, 2) AS pct_overlap, (SELECT count_if(is_leaf) FROM nodes) AS n_tree_leaves, (SELECT count(*) FROM nodes) AS n_tree_nodes,
+  (SELECT count(*) FROM cn_events) AS n_events, (SELECT count(DISTINCT cell_id) FROM cn_events) AS n_event_cells FROM c, a, b""")(
+    lambda get: V.validate_inputs(get("cells"), get("assignments"), get("nodes"), get("cn_events"), get("cells").filter("cell_id NOT LIKE '%55'").select(F.col("bam_path").alias("path"), F.lit(1).alias("length")))
+    .withColumns({c: F.array_join(c, " | ") for c in ("errors", "warnings")})
+)
 query("u3_compare_ids", """
 WITH a AS (SELECT cell_id FROM cells WHERE cell_id NOT LIKE '%4'), b AS (SELECT id AS cell_id FROM ids UNION SELECT 'other')
 SELECT coalesce(a.cell_id, b.cell_id) AS cell_id, CASE WHEN a.cell_id IS NULL THEN 'right' WHEN b.cell_id IS NULL THEN 'left' ELSE 'both' END AS side FROM a FULL JOIN b ON a.cell_id = b.cell_id""")(
@@ -251,7 +262,7 @@ FRACTION = f"""(SELECT clone_id, event, k / n AS f FROM (SELECT clone_id, {EVENT
   JOIN (SELECT clone_id, count(DISTINCT cell_id) AS n FROM assignments GROUP BY 1) USING (clone_id))"""
 query("c1_event_profile", f"SELECT DISTINCT c.cell_id, {EVENT} AS event FROM cells c LEFT JOIN cn_events e ON e.cell_id = c.cell_id")(lambda get: G.event_profile(get("cn_events"), get("cells")))
 query("j3_clone_cell_events", f"SELECT clone_id, cell_id, {EVENT} AS event FROM cn_events JOIN assignments USING (cell_id)")(
-    lambda get: get("cn_events").select("cell_id", C.event_key(get("cn_events").columns).alias("event")).join(get("assignments").select("cell_id", "clone_id"), "cell_id")
+    lambda get: G.clone_cell_events(get("assignments"), get("cn_events"))
 )
 query("c10_clone_events", f"SELECT clone_id, event, round(f, 6) AS fraction_cells FROM {FRACTION}")(lambda get: G.clone_events(get("assignments"), get("cn_events")))
 # Whole chromosomes as events: single ones are in less than half of any clone's cells here.
@@ -284,19 +295,23 @@ SELECT a.t AS tree_id, a.cell_id AS cell_a, b.cell_id AS cell_b, round(CASE WHEN
 FROM n a JOIN n b ON a.t = b.t AND a.cell_id < b.cell_id LEFT JOIN m ON m.t = a.t AND x = a.cell_id AND y = b.cell_id""")(
     lambda get: G.jaccard_distances(get("labelled").select(F.col("nat").alias("tree_id"), F.col("cell").alias("cell_id")).join(G.event_profile(get("cn_events"), get("cells")), "cell_id"))
 )
-query("c3_internal_node")(lambda get: G.assign_clones("internal_node", get("nodes"), get("cells"), min_cells=10, max_clones=6))
 query("c4_distance")(lambda get: G.assign_clones("distance", get("nodes"), get("cells"), distance_threshold=1.0, min_cells=5))
 query("c5_event_profile")(lambda get: G.assign_clones("event_profile", get("nodes"), get("cells"), get("cn_events").select("cell_id", "chr", "event_type"), similarity=0.5, max_clones=20))
 query("c6_hybrid")(lambda get: G.assign_clones("hybrid", get("nodes"), get("cells"), get("cn_events").select("cell_id", "chr", "event_type"), min_cells=5, similarity=0.6))
-query("c9_assignments_merged")(lambda get: G.assign_clones("internal_node", get("nodes"), get("ids").withColumnRenamed("id", "cell_id"), min_cells=12, small="merge"))
-# Four rounds, as five nations become two clones in three.
-_MERGE = f"SELECT tree_id, clone_id, count(*) AS n, CAST(regexp_extract(clone_id, '([0-9]+)$', 1) AS INT) AS p FROM {BYNATION} GROUP BY 1, 2"
-_R = [f"r0 AS (SELECT tree_id, clone_id, clone_id AS now, n, p FROM ({_MERGE}))"]
-for _i in range(1, 4):
-    _R.append(f"s{_i} AS (SELECT tree_id, now, any_value(n) AS n, row_number() OVER (PARTITION BY tree_id ORDER BY any_value(n), min(CASE WHEN now = clone_id THEN p END)) AS k, count(*) OVER (PARTITION BY tree_id) AS c FROM r{_i - 1} GROUP BY tree_id, now)")
-    _R.append(f"""r{_i} AS (SELECT r.tree_id, r.clone_id, CASE WHEN a.c > 2 AND r.now = a.now THEN b.now ELSE r.now END AS now, CASE WHEN a.c > 2 AND r.now IN (a.now, b.now) THEN a.n + b.n ELSE r.n END AS n, r.p
-  FROM r{_i - 1} r JOIN s{_i} a ON a.tree_id = r.tree_id AND a.k = 1 JOIN s{_i} b ON b.tree_id = r.tree_id AND b.k = 2)""")
-query("c7_merge_to_n", f"WITH {', '.join(_R)} SELECT b.tree_id, r3.now AS clone_id, cell_id FROM {BYNATION} b JOIN r3 USING (tree_id, clone_id)")(lambda get: G.merge_to_n(by_nation(get), 2))
+
+
+def merge_sql(sizes: str, most: int, rounds: int) -> list[str]:
+    """Common table expressions ``r0`` to ``r{rounds}``: where each clone is (``now``) when the smallest joins the second smallest until ``most`` are left."""
+    out = [f"r0 AS (SELECT tree_id, clone_id, clone_id AS now, n, p FROM ({sizes}))"]
+    for i in range(1, rounds + 1):
+        out.append(f"s{i} AS (SELECT tree_id, now, any_value(n) AS n, row_number() OVER (PARTITION BY tree_id ORDER BY any_value(n), min(CASE WHEN now = clone_id THEN p END)) AS k, count(*) OVER (PARTITION BY tree_id) AS c FROM r{i - 1} GROUP BY tree_id, now)")
+        out.append(f"""r{i} AS (SELECT r.tree_id, r.clone_id, CASE WHEN a.c > {most} AND r.now = a.now THEN b.now ELSE r.now END AS now, CASE WHEN a.c > {most} AND r.now IN (a.now, b.now) THEN a.n + b.n ELSE r.n END AS n, r.p
+  FROM r{i - 1} r JOIN s{i} a ON a.tree_id = r.tree_id AND a.k = 1 LEFT JOIN s{i} b ON b.tree_id = r.tree_id AND b.k = 2)""")
+    return out
+
+
+_MERGE = merge_sql(f"SELECT tree_id, clone_id, count(*) AS n, CAST(regexp_extract(clone_id, '([0-9]+)$', 1) AS INT) AS p FROM {BYNATION} GROUP BY 1, 2", 2, 3)  # five nations become two clones in three
+query("c7_merge_to_n", f"WITH {', '.join(_MERGE)} SELECT b.tree_id, r3.now AS clone_id, cell_id FROM {BYNATION} b JOIN r3 USING (tree_id, clone_id)")(lambda get: G.merge_to_n(by_nation(get), 2))
 
 # Trees ---------------------------------------------------------------------------------------------
 
@@ -325,13 +340,27 @@ query("t10_cut_threshold", f"SELECT tree_id, round(threshold, 6) AS threshold FR
 query("t11_boundary_nodes", f"SELECT tree_id, node_id, round(edge_length, 6) AS edge_length, n_leaves FROM nodes JOIN {LEAVES} USING (tree_id, node_id) JOIN {THRESHOLD} USING (tree_id) WHERE NOT is_leaf AND parent_id IS NOT NULL AND edge_length > threshold AND n_leaves >= 5")(
     lambda get: T.select_boundary_nodes(get("nodes"), 5)
 )
-_CUT = ["p0 AS (SELECT tree_id, node_id AS cell_id, pre, '' AS part FROM nodes WHERE is_leaf)", f"cand AS (SELECT * FROM nodes JOIN {THRESHOLD} USING (tree_id) WHERE NOT is_leaf AND parent_id IS NOT NULL AND edge_length >= threshold)"]
-for _i in range(1, 9):
-    _CUT.append(f"n{_i} AS (SELECT tree_id, part, count(*) AS n FROM p{_i - 1} GROUP BY 1, 2 HAVING count(*) >= 20)")
-    _CUT.append(f"""c{_i} AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY tree_id, part ORDER BY edge_length DESC, f) AS k FROM (
-  SELECT p.tree_id, p.part, c.pre AS f, c.last AS l, c.edge_length, count(*) AS b, any_value(n) AS n FROM p{_i - 1} p JOIN n{_i} USING (tree_id, part) JOIN cand c ON c.tree_id = p.tree_id AND p.pre BETWEEN c.pre AND c.last GROUP BY ALL) WHERE b >= 10 AND n - b >= 10) WHERE k = 1)""")
-    _CUT.append(f"p{_i} AS (SELECT p.tree_id, cell_id, pre, CASE WHEN f IS NULL THEN p.part WHEN pre BETWEEN f AND l THEN p.part || '0' ELSE p.part || '1' END AS part FROM p{_i - 1} p LEFT JOIN c{_i} c ON c.tree_id = p.tree_id AND c.part = p.part)")
-query("t12_cut_into_clones", f"WITH {', '.join(_CUT)} SELECT tree_id, 'clade_' || dense_rank() OVER (PARTITION BY tree_id ORDER BY part) AS clone_id, cell_id, part FROM p8")(lambda get: T.cut_into_clones(get("nodes"), 10))
+
+
+def cut_sql(least: int, rounds: int = 8) -> list[str]:
+    """Common table expressions ``p0`` to ``p{rounds}``: the parts after each round of cuts."""
+    out = ["p0 AS (SELECT tree_id, node_id AS cell_id, pre, '' AS part FROM nodes WHERE is_leaf)", f"cand AS (SELECT * FROM nodes JOIN {THRESHOLD} USING (tree_id) WHERE NOT is_leaf AND parent_id IS NOT NULL AND edge_length >= threshold)"]
+    for i in range(1, rounds + 1):
+        out.append(f"n{i} AS (SELECT tree_id, part, count(*) AS n FROM p{i - 1} GROUP BY 1, 2 HAVING count(*) >= {2 * least})")
+        out.append(f"""c{i} AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY tree_id, part ORDER BY edge_length DESC, f) AS k FROM (
+  SELECT p.tree_id, p.part, c.pre AS f, c.last AS l, c.edge_length, count(*) AS b, any_value(n) AS n FROM p{i - 1} p JOIN n{i} USING (tree_id, part) JOIN cand c ON c.tree_id = p.tree_id AND p.pre BETWEEN c.pre AND c.last GROUP BY ALL) WHERE b >= {least} AND n - b >= {least}) WHERE k = 1)""")
+        out.append(f"p{i} AS (SELECT p.tree_id, cell_id, pre, CASE WHEN f IS NULL THEN p.part WHEN pre BETWEEN f AND l THEN p.part || '0' ELSE p.part || '1' END AS part FROM p{i - 1} p LEFT JOIN c{i} c ON c.tree_id = p.tree_id AND c.part = p.part)")
+    return [*out, f"cut AS (SELECT tree_id, 'clade_' || dense_rank() OVER (PARTITION BY tree_id ORDER BY part) AS clone_id, cell_id, part FROM p{rounds})"]
+
+
+query("t12_cut_into_clones", f"WITH {', '.join(cut_sql(10))} SELECT * FROM cut")(lambda get: T.cut_into_clones(get("nodes"), 10))
+_FINAL = "SELECT tree_id, cell_id, 'clone_' || lpad(CAST(dense_rank() OVER (PARTITION BY tree_id ORDER BY clone_id) AS STRING), 3, '0') AS clone_id, 'internal_node' AS strategy, flagged, 1.0 AS confidence FROM ({0})"
+_CAP = merge_sql("SELECT tree_id, clone_id, count(*) AS n, CAST(regexp_extract(clone_id, '([0-9]+)$', 1) AS INT) AS p FROM cut GROUP BY 1, 2", 6, 24)
+query("c3_internal_node", f"""WITH {", ".join([*cut_sql(10), *_CAP])}, k AS (SELECT tree_id, cell_id, r24.now AS clone_id FROM cut JOIN r24 USING (tree_id, clone_id))
+{_FINAL.format("SELECT *, count(*) OVER (PARTITION BY tree_id, clone_id) < 10 AS flagged FROM k WHERE cell_id IN (SELECT cell_id FROM cells)")}""")(lambda get: G.assign_clones("internal_node", get("nodes"), get("cells"), min_cells=10, max_clones=6))
+query("c9_assignments_merged", f"""WITH {", ".join(cut_sql(12))}, k AS (SELECT tree_id, clone_id, cell_id FROM cut WHERE cell_id IN (SELECT id FROM ids)),
+z AS (SELECT tree_id, clone_id, count(*) AS n, row_number() OVER (PARTITION BY tree_id ORDER BY count(*) DESC, clone_id) AS r FROM k GROUP BY 1, 2)
+{_FINAL.format("SELECT k.tree_id, cell_id, CASE WHEN z.n >= 12 THEN k.clone_id WHEN t.n < 12 THEN 'clone_merged' ELSE t.clone_id END AS clone_id, false AS flagged FROM k JOIN z USING (tree_id, clone_id) JOIN z t ON t.tree_id = k.tree_id AND t.r = 1")}""")(lambda get: G.assign_clones("internal_node", get("nodes"), get("ids").withColumnRenamed("id", "cell_id"), min_cells=12, small="merge"))
 query("t13_cut_at_nodes", f"""
 SELECT x.tree_id, coalesce(arg_min(n.node_id, l.n_leaves), 'unassigned') AS clone_id, x.node_id AS cell_id FROM nodes x LEFT JOIN (SELECT * FROM nodes WHERE node_id IN ('N1', 'N5', 'N8_BUILDING', 'N8')) n ON {UNDER} LEFT JOIN {LEAVES} l ON l.tree_id = n.tree_id AND l.node_id = n.node_id
 WHERE x.is_leaf GROUP BY x.tree_id, x.node_id""")(lambda get: T.cut_at_nodes(get("nodes"), ["N8", "N1", "N5", "N8_BUILDING"]))
@@ -343,7 +372,28 @@ SELECT n.tree_id, n.node_id, array_to_string(list_sort(list(DISTINCT clone_id) F
 query("j2_nodes_with_events", f"""
 SELECT t.*, coalesce(k, 0) AS n_events, coalesce(e, '') AS event_summary FROM {NODE_TABLE} t
 LEFT JOIN (SELECT child_node, CAST(count(*) AS INT) AS k, array_to_string(list_sort(list(DISTINCT event_type)), ';') AS e FROM branch_events GROUP BY 1) ON child_node = node_id""")(lambda get: T.annotate_nodes_with_events(get("nodes"), get("branch_events")))
-query("s10_to_newick")(lambda get: writers.to_newick(get("nodes")))
+_UP = "SELECT n.tree_id, n.parent_id, n.pre, '(' || string_agg(x.t, ',' ORDER BY x.pre) || ')' || n.node_id || CASE WHEN n.parent_id IS NULL THEN ';' ELSE ':' || CAST(n.edge_length AS VARCHAR) END AS t FROM {0} x JOIN nodes n ON n.tree_id = x.tree_id AND n.node_id = x.parent_id GROUP BY n.tree_id, n.node_id, n.parent_id, n.pre, n.edge_length"
+query("s10_to_newick", f"WITH l AS (SELECT tree_id, parent_id, pre, node_id || ':' || CAST(edge_length AS VARCHAR) AS t FROM nodes WHERE is_leaf), s AS ({_UP.format('l')}), m AS ({_UP.format('s')}), r AS ({_UP.format('m')}) SELECT tree_id, t AS newick FROM r")(lambda get: writers.to_newick(get("nodes")))
+_NODES = "SELECT {0}node_id, parent_id, is_leaf, round(edge_length, 6) AS edge_length, pre, last, depth, round(root_dist, 6) AS root_dist FROM nodes"
+query("t1_parse_trees", _NODES.format("tree_id, "))(lambda get: readers.parse_trees(writers.to_newick(get("nodes")).withColumnRenamed("newick", "value")))
+
+
+@query("s3_read_newick", _NODES.format(""))
+def _trees_from_files(get) -> DataFrame:
+    """Newick files of all trees, written one a file and read back."""
+    trees = writers.to_newick(get("nodes"))
+    path = staging_path(trees.sparkSession)
+    trees.repartition("tree_id").write.partitionBy("tree_id").text(path)
+    return readers.read_newick(trees.sparkSession, f"{path}/tree_id=*").drop("tree_id")
+
+
+query("w3_longest_edges", f"""
+WITH l AS (SELECT tree_id, pre FROM nodes WHERE is_leaf), k AS (SELECT tree_id, count(*) AS n FROM l GROUP BY 1 HAVING count(*) >= 20),
+b AS (SELECT c.tree_id, c.pre AS f, c.last AS t, c.edge_length, count(*) AS below, any_value(n) AS n FROM nodes c JOIN {THRESHOLD} h USING (tree_id) JOIN k USING (tree_id) JOIN l ON l.tree_id = c.tree_id AND l.pre BETWEEN c.pre AND c.last
+  WHERE NOT c.is_leaf AND c.parent_id IS NOT NULL AND c.edge_length >= threshold GROUP BY 1, 2, 3, 4)
+SELECT tree_id, '' AS part, f AS first_pre, t AS last_pre FROM (SELECT *, row_number() OVER (PARTITION BY tree_id ORDER BY edge_length DESC, f) AS k FROM b WHERE below >= 10 AND n - below >= 10) WHERE k = 1""")(
+    lambda get: T.longest_edges(get("nodes").filter("is_leaf").select("tree_id", F.lit("").alias("part"), "pre"), T.cut_candidates(get("nodes")), 10).withColumnsRenamed({"from": "first_pre", "to": "last_pre"})
+)
 
 # Reads ---------------------------------------------------------------------------------------------
 
@@ -404,9 +454,10 @@ query("l1_build_pseudobulk", "SELECT a.clone_id, r.cell_id, read_id, chrom, star
 
 # Report --------------------------------------------------------------------------------------------
 
-query("q1_run_overview", f"""
+_OVERVIEW = f"""
 SELECT (SELECT count(DISTINCT clone_id) FROM assignments) AS n_clones, (SELECT count(*) FROM assignments) AS n_assigned_cells,
-  (SELECT count(*) FROM (SELECT 1 FROM {SUPPORT} GROUP BY {KEYS} HAVING max(n_callers) >= 2)) AS n_consensus, (SELECT count(*) FROM (SELECT DISTINCT {KEYS} FROM {PASSED})) AS n_unique_positions, 'ok' AS status""")(
+  (SELECT count(*) FROM (SELECT 1 FROM {SUPPORT} GROUP BY {KEYS} HAVING max(n_callers) >= 2)) AS n_consensus, (SELECT count(*) FROM (SELECT DISTINCT {KEYS} FROM {PASSED})) AS n_unique_positions, 'ok' AS status"""
+query("q1_run_overview", _OVERVIEW)(
     lambda get: R.run_overview(G.clone_summary(get("assignments"), get("cn_events")), X.consensus_variants(passed(get)), X.all_keys(passed(get)))
 )
 query("q2_sharing_counts", f"SELECT sharing_class, count(*) AS n FROM {SHARING} GROUP BY 1")(lambda get: R.sharing_counts(X.variant_sharing(passed(get), get("files"))))
@@ -419,3 +470,60 @@ SELECT clone_id, total, mapped, dup_rate, mean_depth, records, snps FROM f FULL
 query("l4_preview", f"SELECT *, (SELECT count(*) FROM (SELECT 1 FROM {SUPPORT} GROUP BY {KEYS} HAVING max(n_callers) >= 2)) - 20 AS n_more FROM (SELECT {KEYS}, max(n_callers) AS max_callers FROM {SUPPORT} GROUP BY {KEYS} HAVING max(n_callers) >= 2 ORDER BY 1, 2, 3, 4 LIMIT 20)")(
     lambda get: R.preview(X.consensus_variants(passed(get)), R.TEXT_ROWS, *C.KEY)
 )
+
+# Reads and writes: tables are written to the shared folder and read back --------------------------
+
+
+def _path(df: DataFrame, name: str) -> str:
+    return f"{staging_path(df.sparkSession)}/{name}"
+
+
+@query("s1_read_manifest", "SELECT cell_id, bam_path, coalesce(nullif(bai_path, ''), bam_path || '.bai') AS bai_path, sample_id, patient_id FROM cells")
+def _manifest(get) -> DataFrame:
+    path = _path(get("cells"), "cells.csv")
+    writers.write_table(get("cells"), path)
+    return readers.read_manifest(get("cells").sparkSession, path, "bam")
+
+
+@query("s2_read_events", 'SELECT cell_id, chr, start, "end", event_type FROM cn_events')
+def _events(get) -> DataFrame:
+    path = _path(get("cn_events"), "events.tsv")
+    get("cn_events").write.option("header", True).option("sep", "\t").csv(path)
+    return readers.read_events(get("cn_events").sparkSession, path)
+
+
+@query("s5_read_reads", 'SELECT read_id, chrom, start, "end", cigar, mapq, flag, mate_chrom, mate_start, 40 * ("end" - start) AS base_quality FROM reads')
+def _sam(get) -> DataFrame:
+    reads = get("reads")
+    size = (F.col("end") - F.col("start")).cast("int")
+    text = lambda c: F.col(c).cast("string")
+    mate = F.when(F.col("mate_chrom") == F.col("chrom"), "=").otherwise(F.col("mate_chrom"))
+    line = F.concat_ws("\t", "read_id", text("flag"), "chrom", (F.col("start") + 1).cast("string"), text("mapq"), "cigar", mate, (F.col("mate_start") + 1).cast("string"), F.lit("0"), F.repeat(F.lit("A"), size), F.repeat(F.lit("I"), size))
+    path = _path(reads, "reads")
+    reads.select(line.alias("value")).write.text(path)
+    return readers.read_reads(reads.sparkSession, path).drop("cell_id", "seq")
+
+
+@query("s6_write_per_clone", f"SELECT clone_id, caller, {KEYS}, round(qual, 6) AS qual, filters FROM {PASSED}")
+def _per_clone(get) -> DataFrame:
+    rows = X.per_clone_variants(passed(get))
+    path = _path(rows, "clones")
+    writers.write_per_clone(rows, path)
+    back = rows.sparkSession.read.option("header", True).option("sep", "\t").csv(path)
+    return back.withColumns({"pos": F.col("pos").cast("long"), "qual": F.col("qual").cast("double")})
+
+
+@query("s7_write_table", f"SELECT * FROM {SHARING}")
+def _table(get) -> DataFrame:
+    rows = X.variant_sharing(passed(get), get("files"))
+    path = _path(rows, "sharing.csv")
+    writers.write_table(rows, path)
+    return rows.sparkSession.read.option("header", True).csv(path).withColumns({c: F.col(c).cast("long") for c in ("pos", "n_clones_with_variant")})
+
+
+@query("s9_write_report", _OVERVIEW)
+def _report(get) -> DataFrame:
+    report = R.run_overview(G.clone_summary(get("assignments"), get("cn_events")), X.consensus_variants(passed(get)), X.all_keys(passed(get)))
+    path = _path(report, "report.json")
+    writers.write_report(report, path)
+    return report.sparkSession.read.schema(report.schema).json(path)

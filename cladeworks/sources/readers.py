@@ -41,8 +41,8 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
     return df
 
 
-def read_newick(spark: SparkSession, path: str) -> DataFrame:
-    """Node table of Newick files, one tree a file; ``tree_id`` is the file's name without its ending."""
+def parse_trees(texts: DataFrame) -> DataFrame:
+    """Node table of Newick texts: ``tree_id, value``, one tree a row."""
 
     def run(batches):
         for batch in batches:
@@ -51,8 +51,13 @@ def read_newick(spark: SparkSession, path: str) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, _ARROW)
 
+    return texts.select("tree_id", "value").mapInArrow(run, NODES)
+
+
+def read_newick(spark: SparkSession, path: str) -> DataFrame:
+    """Node table of Newick files, one tree a file; ``tree_id`` is the file's name without its ending."""
     name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]*?)(?:\.[^./]*)?$", 1)
-    return spark.read.text(path, wholetext=True).select(name.alias("tree_id"), "value").mapInArrow(run, NODES)
+    return parse_trees(spark.read.text(path, wholetext=True).select(name.alias("tree_id"), "value"))
 
 
 def parse_vcf_lines(lines: DataFrame) -> DataFrame:

@@ -1,10 +1,11 @@
 import gzip
 
 import pytest
+from pyspark.sql import functions as F
 from example import NEWICK, nodes
 
 from cladeworks.functions.alleles import left_align_indel
-from cladeworks.functions.cigar import aligned_bases
+from cladeworks.functions.cigar import aligned_runs, five_prime, reference_length
 from cladeworks.operators import calls as K
 from cladeworks.operators import compare as X
 from cladeworks.operators import pseudobulk as P
@@ -118,8 +119,16 @@ def test_left_alignment_and_cigar():
     assert left_align_indel(12, "TT", "T", seq, 1) == (11, "AT", "A", True)
     assert left_align_indel(4, "C", "T", seq, 1) == (4, "C", "T", True)
     assert left_align_indel(4, "G", "T", seq, 1)[3] is False
-    assert list(aligned_bases(10, "2S2M1D1I1M1H", "AACCGT")) == [(10, "C"), (11, "C"), (13, "T")]
-    assert list(aligned_bases(0, None, None)) == []
+
+
+def test_cigars(spark):
+    rows = [("2S2M1D1I1M1H", False), ("2S2M1D1I1M1H", True), ("75M", False), ("75M", True), ("10M5N3=", True), ("4H3S9M", False), (None, False)]
+    got = spark.createDataFrame(rows, "cigar string, reverse boolean").select(
+        reference_length(F.col("cigar")).alias("n"), five_prime(F.lit(100), F.col("cigar"), F.col("reverse")).alias("five"), aligned_runs(F.col("cigar")).alias("runs")
+    ).collect()
+    assert [r.n for r in got] == [4, 4, 75, 75, 18, 9, 0]
+    assert [r.five for r in got][:6] == [98, 104, 100, 174, 117, 93]
+    assert [[tuple(x) for x in r.runs or []] for r in got] == [[(0, 2, 2), (3, 5, 1)]] * 2 + [[(0, 0, 75)]] * 2 + [[(0, 0, 10), (15, 10, 3)], [(0, 3, 9)], []]
 
 
 def test_intervals_in_bins(spark, monkeypatch):
