@@ -30,6 +30,7 @@ from .shared import materialize
 WIDTH = 32  # classes, and tokens of a class
 COMMON = 24  # classes of common tokens; the rest are by word ending
 BUCKET_BITS = (13, 16)  # of the rows of weights, by the number of distinct tokens
+TOKENS_PER_TASK = 1 << 21  # of training: a task hands on as many rows of weights as it has used
 HEAD = 1 << 19  # commonest tokens whose counts are broadcast (8 MB)
 BATCH = 1 << 14
 BLOCK = 256
@@ -263,18 +264,20 @@ def train_maxent(train: DataFrame, counts: DataFrame, rounds: int = 3, rate: flo
     for i in range(k):
         inner_bias[code[i] // WIDTH, code[i] % WIDTH] = np.log(c[i])
         size[code[i] // WIDTH] += c[i]
-    rest_norm = np.log10(np.full(WIDTH, 0.5))
+    rest_norm, tokens = np.log10(np.full(WIDTH, 0.5)), 0
     for r in counts.groupBy("cls").agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect():
         mine = classes[:k] == r.cls
         n, v = r.n - int(c[:k][mine].sum()), r.v - int(mine.sum())
         rest_norm[r.cls] = np.log10(n + 0.5 * (v + 1))
         size[r.cls] += n
+        tokens += r.n
     low, high = BUCKET_BITS
     shape = (1 << min(high, max(low, int(counts.count()).bit_length() - 3)), WIDTH)
     model = MaxEnt(
         h[order], c[order], h[:k][place], code[place], np.log(size / size.sum()).astype(np.float32), inner_bias,
         rest_norm, np.zeros(shape, np.float32), np.zeros(shape, np.float32),
     )
+    train = train.coalesce(-(-tokens // TOKENS_PER_TASK) or 1)  # small partitions share a task, without a shuffle
     for i in range(rounds if k else 0):
         gradient_round(train.filter(F.pmod(F.xxhash64("doc_id", F.lit("round")), F.lit(rounds)) == i), model, rate)
     return model
