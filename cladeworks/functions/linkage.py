@@ -1,80 +1,74 @@
-"""Hierarchical clustering of one tree's cells with numpy (H3), and the cap on clones (H6)."""
+"""Numpy helpers of one task: the last merges of a small group of clusters (H3), and the cap on clones (H6)."""
 
 from __future__ import annotations
 
 import numpy as np
 
-MAX_CELLS = 20_000
+#: Fixed values of the order among equal distances; products stay below 2^63.
+TIE_MODULUS, TIE_FACTOR = 2_147_483_647, 1_103_515_245
+#: Distances are compared to this many digits, so that ties survive sums in another order.
+DIGITS = 9
 
 
-def linkage_labels(dist: np.ndarray, threshold: float, method: str) -> np.ndarray:
-    """Clusters of merges up to ``threshold``, numbered by their first member.
+def tie(a, b):
+    """Order of the pairs ``a < b`` at one distance: mixed, so that many ties merge in few rounds."""
+    x = (a % TIE_MODULUS * TIE_FACTOR + b) % TIE_MODULUS
+    return (x * x + b) % TIE_MODULUS
 
-    ``average`` or ``ward`` (Lance-Williams updates). Of equal distances the smallest
-    (i, j) in the order of the rows merges first.
-    """
-    n = len(dist)
-    if method not in ("average", "ward"):
-        raise ValueError("method is 'average' or 'ward'")
-    if n > MAX_CELLS:
-        raise ValueError(f"{n} cells in one tree; clustering is limited to {MAX_CELLS}")
-    label = np.arange(n)
-    d = dist.astype(float).copy()
-    np.fill_diagonal(d, np.inf)
-    d[np.tril_indices(n)] = np.inf  # upper triangle only
-    size = np.ones(n)
-    alive = np.ones(n, bool)
-    nearest = d.min(axis=1) if n else np.zeros(0)
-    for _ in range(n - 1):
-        i = int(np.argmin(nearest))
-        height = nearest[i]
-        if not height <= threshold:
-            break
-        j = int(np.argmin(d[i]))
-        label[label == j] = i
-        alive[j] = False
-        k = np.flatnonzero(alive & (np.arange(n) != i))
-        at_i = np.where(k < i, d[k, i], d[i, k])
-        at_j = np.where(k < j, d[k, j], d[j, k])
-        if method == "average":
-            new = (size[i] * at_i + size[j] * at_j) / (size[i] + size[j])
-        else:
-            total = size[i] + size[j] + size[k]
-            new = np.sqrt(np.maximum(((size[i] + size[k]) * at_i**2 + (size[j] + size[k]) * at_j**2 - size[k] * height**2) / total, 0))
-        d[j, :] = np.inf
-        d[:, j] = np.inf
-        d[k[k < i], i] = new[k < i]
-        d[i, k[k > i]] = new[k > i]
-        size[i] += size[j]
-        nearest = d.min(axis=1)
-    _, first, code = np.unique(label, return_index=True, return_inverse=True)
-    rank = np.empty(len(first), int)
-    rank[np.argsort(first)] = np.arange(1, len(first) + 1)
-    return rank[code]
 
+def heights(s, na, nb, pa, pb, method: str):
+    """Distances of clusters from the sums over their members' pairs.
+
+    ``average``: ``s`` holds similarities between the two. ``ward``: ``s`` holds squared
+    distances between the two, ``pa`` and ``pb`` those within each.
+    """
+    if method == "average":
+        return np.round(1 - s / (na * nb), DIGITS)
+    return np.round(np.sqrt(np.maximum(2 * ((pa + pb + s) / (na + nb) - pa / na - pb / nb), 0)), DIGITS)
 
-def tree_distances(pre: np.ndarray, last: np.ndarray, is_leaf: np.ndarray, root_dist: np.ndarray) -> np.ndarray:
-    """Sum of the edges between each two leaves, leaves in preorder."""
-    order = np.argsort(pre)
-    pre, last, is_leaf, root_dist = pre[order], last[order], is_leaf[order], root_dist[order]
-    leaf_pre, r = pre[is_leaf], root_dist[is_leaf]
-    shared = np.zeros((len(r), len(r)))
-    for p, e, d in zip(pre[~is_leaf], last[~is_leaf], root_dist[~is_leaf], strict=True):  # deeper nodes come later
-        a, b = np.searchsorted(leaf_pre, (p, e + 1))
-        shared[a:b, a:b] = d
-    out = r[:, None] + r[None, :] - 2 * shared
-    np.fill_diagonal(out, 0)
-    return out
 
+def merge_clusters(a, b, s, size: dict, within: dict, threshold: float, method: str) -> dict[int, int]:
+    """Where each cluster goes when the nearest two merge, one pair at a time, up to ``threshold``.
 
-def jaccard_matrix(cell: np.ndarray, event: np.ndarray, n_cells: int) -> np.ndarray:
-    """Jaccard distances of cells from pairs of cell and event codes; two empty cells have 0."""
-    has = np.zeros((n_cells, int(event.max()) + 1 if len(event) else 0), np.float32)
-    has[cell, event] = 1
-    both = has @ has.T
-    size = has.sum(axis=1)
-    union = size[:, None] + size[None, :] - both
-    return np.where(union > 0, 1 - both / np.maximum(union, 1), 0.0)
+    ``a, b, s``: pairs of cluster ids with their sums (a pair that is missing has 0).
+    A merged cluster keeps the smaller id. Of equal distances the smallest :func:`tie`
+    merges first, then the smallest pair.
+    """
+    ids = np.array(sorted(size))
+    at = {x: i for i, x in enumerate(ids.tolist())}
+    m = len(ids)
+    n, p = np.array([size[x] for x in ids.tolist()], float), np.array([within[x] for x in ids.tolist()], float)
+    i, j = np.array([at[x] for x in a], int), np.array([at[x] for x in b], int)
+    total = np.zeros((m, m))
+    total[i, j] = total[j, i] = s
+    h = heights(total, n[:, None], n[None, :], p[:, None], p[None, :], method)
+    np.fill_diagonal(h, np.inf)
+    nearest = h.min(axis=1) if m else np.zeros(0)
+    goes = np.arange(m)
+    for _ in range(m - 1):
+        low = nearest.min()
+        if not low <= threshold:
+            break
+        rows = np.flatnonzero(nearest == low)
+        x, y = np.nonzero(h[rows] == low)
+        x = rows[x]
+        x, y = x[x < y], y[x < y]
+        k = np.lexsort((y, x, tie(ids[x], ids[y])))[0]
+        i, j = x[k], y[k]
+        goes[goes == j] = i
+        stale = (h[:, i] == nearest) | (h[:, j] == nearest)
+        p[i] += p[j] + total[i, j]
+        n[i] += n[j]
+        total[i] += total[j]
+        total[:, i] = total[i]
+        new = heights(total[i], n[i], n, p[i], p, method)
+        new[np.isinf(h[i]) | (np.arange(m) == j)] = np.inf
+        h[i], h[:, i] = new, new
+        h[j], h[:, j] = np.inf, np.inf
+        stale[[i, j]] = True
+        nearest = np.minimum(nearest, new)
+        nearest[stale] = h[stale].min(axis=1)
+    return dict(zip(ids.tolist(), ids[goes].tolist(), strict=True))
 
 
 def merge_smallest(sizes: list[tuple[str, int]], n: int) -> dict[str, str]:

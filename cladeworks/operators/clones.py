@@ -5,15 +5,17 @@
 
 from __future__ import annotations
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import linkage
 from ..functions.columns import event_key
-from .tree import cut_into_clones
+from ..functions.linkage import DIGITS, merge_smallest
+from ..functions.staging import staged
+from . import tree as T
+from .linkage import agglomerate
 
+SALTS = 16
 STRATEGIES = ("internal_node", "distance", "event_profile", "hybrid")
 
 
@@ -31,27 +33,40 @@ def profile_matrix(profile: DataFrame, max_columns: int = 400) -> DataFrame:
     return profile.groupBy("cell_id").pivot("event", names).agg(F.lit(1)).fillna(0) if names else profile.select("cell_id").distinct()
 
 
+def _salted(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of ``left`` (with ``a``) and ``right`` (with ``b``) at the same keys, ``a < b``; ``SALTS`` tasks share a key."""
+    salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
+    return left.withColumn("salt", F.pmod(F.xxhash64("a"), F.lit(SALTS))).join(right.withColumn("salt", salts), [*keys, "salt"]).filter("a < b")
+
+
+def _shared_events(profile: DataFrame, all_pairs: bool) -> DataFrame:
+    """Pairs of ids with their sizes and shared events: ``g, a, b, sa, sb, both``.
+
+    ``profile``: ``g, id, event`` (null: none). Pairs that share nothing come only with
+    ``all_pairs``. An event that all have is counted, not joined.
+    """
+    has = profile.filter("event IS NOT NULL").distinct()
+    size = profile.select("g", "id").distinct().join(has.groupBy("g", "id").agg(F.count("*").alias("size")), ["g", "id"], "left").fillna(0)
+    n = size.groupBy("g").agg(F.count("*").alias("n"))
+    spread = has.groupBy("g", "event").agg(F.count("*").alias("k")).join(n, "g")
+    common = spread.filter("k = n").groupBy("g").agg(F.count("*").alias("common"))
+    some = has.join(spread.filter("k < n").select("g", "event"), ["g", "event"])
+    met = _salted(some.select("g", "event", F.col("id").alias("a")), some.select("g", "event", F.col("id").alias("b")), ["g", "event"]).groupBy("g", "a", "b").agg(F.count("*").alias("both"))
+    sized = size if all_pairs else size.join(common.select("g"), "g", "left_semi")
+    grid = _salted(sized.select("g", F.col("id").alias("a")), sized.select("g", F.col("id").alias("b")), ["g"]).select("g", "a", "b", F.lit(0).cast("long").alias("both"))
+    pairs = met.union(grid).groupBy("g", "a", "b").agg(F.sum("both").alias("both")).join(common, "g", "left").fillna(0, ["common"])
+    pairs = pairs.join(size.select("g", F.col("id").alias("a"), F.col("size").alias("sa")), ["g", "a"]).join(size.select("g", F.col("id").alias("b"), F.col("size").alias("sb")), ["g", "b"])
+    return pairs.select("g", "a", "b", "sa", "sb", (F.col("both") + F.col("common")).alias("both"))
+
+
 def jaccard_distances(profile: DataFrame) -> DataFrame:
     """Jaccard distance of each two cells of a group: ``tree_id, cell_a, cell_b, dist`` with ``cell_a < cell_b``.
 
-    ``profile``: ``tree_id, cell_id, event``. An event that all cells of a group have
-    is counted, not joined: it would pair every cell with every other.
+    ``profile``: ``tree_id, cell_id, event``. Two cells without events are at 0.
     """
-    cells = profile.select("tree_id", "cell_id").distinct()
-    has = profile.filter("event IS NOT NULL").distinct()
-    n = cells.groupBy("tree_id").agg(F.count("*").alias("n"))
-    spread = has.groupBy("tree_id", "event").agg(F.count("*").alias("k")).join(n, "tree_id")
-    common = spread.filter("k = n").groupBy("tree_id").agg(F.count("*").alias("common"))
-    some = has.join(spread.filter("k < n").select("tree_id", "event"), ["tree_id", "event"])
-    size = cells.join(has.groupBy("tree_id", "cell_id").agg(F.count("*").alias("size")), ["tree_id", "cell_id"], "left").fillna(0)
-    a, b = some.alias("a"), some.alias("b")
-    met = a.join(b, (F.col("a.tree_id") == F.col("b.tree_id")) & (F.col("a.event") == F.col("b.event")) & (F.col("a.cell_id") < F.col("b.cell_id")))
-    met = met.groupBy(F.col("a.tree_id").alias("tree_id"), F.col("a.cell_id").alias("cell_a"), F.col("b.cell_id").alias("cell_b")).agg(F.count("*").alias("both"))
-    grid = size.select("tree_id", F.col("cell_id").alias("cell_a"), F.col("size").alias("sa")).join(size.select("tree_id", F.col("cell_id").alias("cell_b"), F.col("size").alias("sb")), "tree_id").filter("cell_a < cell_b")
-    grid = grid.join(met, ["tree_id", "cell_a", "cell_b"], "left").join(common, "tree_id", "left").fillna(0)
-    both = F.col("both") + F.col("common")
-    union = F.col("sa") + F.col("sb") - both
-    return grid.select("tree_id", "cell_a", "cell_b", F.when(union > 0, 1 - both / union).otherwise(0.0).alias("dist"))
+    pairs = _shared_events(profile.select(F.col("tree_id").alias("g"), F.col("cell_id").alias("id"), "event"), True)
+    union = F.col("sa") + F.col("sb") - F.col("both")
+    return pairs.select(F.col("g").alias("tree_id"), F.col("a").alias("cell_a"), F.col("b").alias("cell_b"), F.when(union > 0, 1 - F.col("both") / union).otherwise(0.0).alias("dist"))
 
 
 def merge_to_n(clones: DataFrame, max_clones: int | None) -> DataFrame:
@@ -66,7 +81,7 @@ def merge_to_n(clones: DataFrame, max_clones: int | None) -> DataFrame:
 
     def cap(f: pd.DataFrame) -> pd.DataFrame:
         f = f.sort_values(["place", "clone_id"])
-        goes = linkage.merge_smallest(list(zip(f["clone_id"], f["n"], strict=True)), max_clones)
+        goes = merge_smallest(list(zip(f["clone_id"], f["n"], strict=True)), max_clones)
         return pd.DataFrame({"tree_id": f["tree_id"], "clone_id": f["clone_id"], "to": [goes[c] for c in f["clone_id"]]})
 
     goes = sizes.groupBy("tree_id").applyInPandas(cap, "tree_id string, clone_id string, to string")
@@ -75,49 +90,63 @@ def merge_to_n(clones: DataFrame, max_clones: int | None) -> DataFrame:
 
 def assign_internal_node(nodes: DataFrame, min_cells: int, min_branch_length: float | None = None, max_clones: int | None = None) -> DataFrame:
     """Cut at long branches, then cap the number of clones."""
-    return merge_to_n(cut_into_clones(nodes, min_cells, min_branch_length).select("tree_id", "clone_id", "cell_id"), max_clones)
+    return merge_to_n(T.cut_into_clones(nodes, min_cells, min_branch_length).select("tree_id", "clone_id", "cell_id"), max_clones)
+
+
+def _numbered(clusters: DataFrame, name: str) -> DataFrame:
+    """``g, cell_id, label``: clusters numbered by their first member."""
+    rank = F.dense_rank().over(Window.partitionBy("g").orderBy("c"))
+    labels = clusters.select("g", "c").distinct().withColumn("label", F.concat(F.lit(name), rank.cast("string")))
+    return clusters.join(labels, ["g", "c"]).select("g", "cell_id", "label")
 
 
 def assign_distance(nodes: DataFrame, distance_threshold: float | None) -> DataFrame:
-    """Ward linkage on tree distances, one tree a task, cut at ``distance_threshold``."""
+    """Ward linkage on tree distances, cut at ``distance_threshold``."""
     if distance_threshold is None:
         raise ValueError("the distance strategy needs distance_threshold")
+    one, none = F.lit(1).cast("long"), F.lit(0.0)
+    pairs = T.leaf_pairs(nodes).select(F.col("tree_id").alias("g"), "a", "b", one.alias("na"), one.alias("nb"), none.alias("pa"), none.alias("pb"), (F.col("dist") * F.col("dist")).alias("s"))
+    members = nodes.filter("is_leaf").select(F.col("tree_id").alias("g"), F.col("pre").alias("c"), F.col("node_id").alias("cell_id"))
+    return _numbered(agglomerate(pairs, members, distance_threshold, "ward"), "clone_").select(F.col("g").alias("tree_id"), F.col("label").alias("clone_id"), "cell_id")
 
-    def cluster(f: pd.DataFrame) -> pd.DataFrame:
-        f = f.sort_values("pre")
-        d = linkage.tree_distances(f["pre"].to_numpy(), f["last"].to_numpy(), f["is_leaf"].to_numpy(), f["root_dist"].to_numpy())
-        leaf = f[f["is_leaf"]]
-        label = linkage.linkage_labels(d, distance_threshold, "ward")
-        return pd.DataFrame({"tree_id": leaf["tree_id"], "clone_id": [f"clone_{x}" for x in label], "cell_id": leaf["node_id"]})
 
-    rows = nodes.select("tree_id", "node_id", "is_leaf", "pre", "last", "root_dist")
-    return rows.groupBy("tree_id").applyInPandas(cluster, "tree_id string, clone_id string, cell_id string")
+def _alike(profile: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Cells of equal events as one: ``g, cell_id, c`` and the clusters ``g, c, n, events``.
+
+    ``profile``: ``g, cell_id, place, event``; ``c`` is the smallest place.
+    """
+    cells = staged(profile.groupBy("g", "cell_id").agg(F.min("place").cast("long").alias("place"), F.sort_array(F.collect_set("event")).alias("events")))
+    alike = staged(cells.groupBy("g", "events").agg(F.min("place").alias("c"), F.count("*").alias("n")))
+    return cells.join(alike, ["g", "events"]).select("g", "cell_id", "c"), alike
 
 
-def _by_events(profile: DataFrame, similarity: float, keys: list[str], name: str) -> DataFrame:
-    """Average linkage of Jaccard distances within each group; ``profile`` has ``keys, cell_id, place, event``."""
+def _similar(alike: DataFrame) -> DataFrame:
+    """Pairs of clusters that share events, with sizes and the sum of their cells' similarities."""
+    pairs = _shared_events(alike.select("g", F.col("c").alias("id"), F.explode_outer("events").alias("event")), False)
+    a, b = (alike.select("g", F.col("c").alias(x), F.col("n").alias(f"n{x}")) for x in "ab")
+    s = F.col("na") * F.col("nb") * F.col("both") / (F.col("sa") + F.col("sb") - F.col("both"))
+    none = F.lit(0.0)
+    return pairs.join(a, ["g", "a"]).join(b, ["g", "b"]).select("g", "a", "b", "na", "nb", none.alias("pa"), none.alias("pb"), s.alias("s"))
 
-    def cluster(f: pd.DataFrame) -> pd.DataFrame:
-        f = f.sort_values(["place", "cell_id"])
-        cells = f["cell_id"].drop_duplicates()
-        some = f.dropna(subset=["event"])
-        cell = pd.Categorical(some["cell_id"], cells).codes
-        event = pd.factorize(some["event"])[0]
-        label = linkage.linkage_labels(linkage.jaccard_matrix(cell, event, len(cells)), 1 - similarity, "average") if len(some) else np.ones(len(cells), int)
-        out = {k: [f[k].iloc[0]] * len(cells) for k in keys}
-        return pd.DataFrame({**out, "label": [f"{name}{x}" for x in label], "cell_id": cells.to_numpy()})
 
-    schema = ", ".join(f"{k} string" for k in [*keys, "label", "cell_id"])
-    return profile.groupBy(*keys).applyInPandas(cluster, schema)
+def _by_events(members: DataFrame, similar: DataFrame, similarity: float, name: str) -> DataFrame:
+    """Average linkage of Jaccard distances within each group: ``g, cell_id, label``."""
+    if similarity <= 0:  # no two clusters are further apart than 1
+        members = members.withColumn("c", F.lit(0).cast("long"))
+    else:
+        members = agglomerate(similar, staged(members), 1 - similarity, "average")
+    return _numbered(members, name)
 
 
 def assign_event_profile(cells: DataFrame, events: DataFrame, similarity: float = 0.5, max_clones: int | None = None) -> DataFrame:
     """Average linkage on event profiles, cut so that clusters keep ``similarity``; then the cap.
 
-    ``cells``: ``tree_id, cell_id, place``; ties merge by place. No events: one clone.
+    ``cells``: ``tree_id, cell_id, place``; a clone's number follows its first place. No events: one clone.
     """
-    profile = cells.join(event_profile(events, cells), "cell_id")
-    return merge_to_n(_by_events(profile, similarity, ["tree_id"], "clone_").withColumnRenamed("label", "clone_id"), max_clones)
+    profile = cells.join(event_profile(events, cells), "cell_id").withColumnRenamed("tree_id", "g")
+    members, alike = _alike(profile)
+    clones = _by_events(members, _similar(alike), similarity, "clone_")
+    return merge_to_n(clones.select(F.col("g").alias("tree_id"), F.col("label").alias("clone_id"), "cell_id"), max_clones)
 
 
 def assign_hybrid(nodes: DataFrame, cells: DataFrame, events: DataFrame, min_cells: int, min_branch_length: float | None = None, similarity: float = 0.5, max_clones: int | None = None) -> DataFrame:
@@ -128,16 +157,16 @@ def assign_hybrid(nodes: DataFrame, cells: DataFrame, events: DataFrame, min_cel
     has fewer than ``min_cells`` cells, or when there are no events.
     """
     parts = assign_internal_node(nodes, 2, min_branch_length, max_clones).join(cells.select("tree_id", "cell_id", "place"), ["tree_id", "cell_id"])
-    profile = parts.join(event_profile(events, cells), "cell_id")
-    group = F.concat_ws("\u0001", "tree_id", "clone_id")
-    far = jaccard_distances(profile.select(group.alias("tree_id"), "cell_id", "event")).groupBy(F.col("tree_id").alias("g")).agg(F.sum("dist").alias("s"))
-    size = parts.groupBy("tree_id", "clone_id").agg(F.count("*").alias("n")).withColumn("g", group).join(far, "g", "left").fillna(0.0, ["s"])
-    size = size.withColumn("mean", 1 - 2 * F.col("s") / (F.col("n") * F.col("n")))
-    some = events.select("cell_id").join(cells.select("cell_id"), "cell_id", "left_semi").limit(1).agg((F.count("*") > 0).alias("some"))
-    split = size.filter((F.col("n") >= max(2, min_cells)) & (F.col("mean") < similarity)).join(some).filter("some").select("tree_id", "clone_id")
-    cut = _by_events(profile.join(split, ["tree_id", "clone_id"]), similarity, ["tree_id", "clone_id"], "_sub")
-    cut = cut.select("tree_id", F.concat("clone_id", "label").alias("clone_id"), "cell_id")
-    return parts.join(split, ["tree_id", "clone_id"], "left_anti").select("tree_id", "clone_id", "cell_id").union(cut)
+    parts = staged(parts.withColumn("g", F.concat_ws("\u0001", "tree_id", "clone_id")))
+    members, alike = _alike(parts.join(event_profile(events, cells), "cell_id").select("g", "cell_id", "place", "event"))
+    similar = staged(_similar(alike))
+    size = parts.groupBy("g").agg(F.count("*").alias("n"))
+    within = alike.groupBy("g").agg(F.sum(F.col("n") * F.col("n")).alias("own")).join(similar.groupBy("g").agg(F.sum("s").alias("s")), "g", "left").fillna(0.0, ["s"])
+    mean = (F.col("own") + 2 * F.col("s")) / (F.col("n") * F.col("n"))
+    split = staged(size.join(within, "g").filter((F.col("n") >= max(2, min_cells)) & (F.round(mean, DIGITS) < similarity)).select("g"))
+    cut = _by_events(members.join(split, "g", "left_semi"), similar.join(split, "g", "left_semi"), similarity, "_sub")
+    label = F.concat("clone_id", F.coalesce("label", F.lit("")))
+    return parts.join(cut, ["g", "cell_id"], "left").select("tree_id", label.alias("clone_id"), "cell_id")
 
 
 def handle_small_clones(clones: DataFrame, min_cells: int = 5, action: str = "flag") -> DataFrame:

@@ -13,10 +13,20 @@ from pyspark.sql import functions as F
 from ..functions.staging import staged
 
 SALTS = 16
+#: Places in preorder that share a key where nodes meet what is below them.
+TILE = 1024
 
 
-def _under(n: str, x: str):
-    return (F.col(f"{n}.tree_id") == F.col(f"{x}.tree_id")) & F.col(f"{x}.pre").between(F.col(f"{n}.pre"), F.col(f"{n}.last"))
+def _below(nodes: DataFrame, places: DataFrame, how: str = "inner") -> DataFrame:
+    """Join ``nodes`` (as ``n``) with those of ``places`` (as ``x``) that are under them.
+
+    A tree is cut into tiles of preorder numbers, so one tree is many keys. ``how`` may
+    be ``right`` to keep places under none.
+    """
+    tile = lambda c: F.floor(F.col(c) / TILE)
+    n = nodes.withColumn("tile", F.explode(F.sequence(tile("pre"), tile("last")))).alias("n")
+    x = places.withColumn("tile", tile("pre")).alias("x")
+    return n.join(x, (F.col("n.tree_id") == F.col("x.tree_id")) & (F.col("n.tile") == F.col("x.tile")) & F.col("x.pre").between(F.col("n.pre"), F.col("n.last")), how)
 
 
 def node_table(nodes: DataFrame) -> DataFrame:
@@ -40,8 +50,7 @@ def leaves(nodes: DataFrame) -> DataFrame:
 
 def clade_leaves(nodes: DataFrame) -> DataFrame:
     """All leaves below each internal node."""
-    n, x = nodes.filter("NOT is_leaf").alias("n"), nodes.filter("is_leaf").alias("x")
-    return n.join(x, _under("n", "x")).select("n.tree_id", "n.node_id", F.col("x.node_id").alias("leaf"))
+    return _below(nodes.filter("NOT is_leaf"), nodes.filter("is_leaf")).select("n.tree_id", "n.node_id", F.col("x.node_id").alias("leaf"))
 
 
 def find_node(nodes: DataFrame, label: str) -> DataFrame:
@@ -59,36 +68,47 @@ def mrca(nodes: DataFrame, cells: DataFrame) -> DataFrame:
     return nodes.select("tree_id").distinct().join(deepest, "tree_id", "left")
 
 
-def pairwise_distances(nodes: DataFrame) -> DataFrame:
-    """Distances of all leaves of each tree, both ways and with the diagonal: ``tree_id, cell_a, cell_b, dist``.
+def leaf_pairs(nodes: DataFrame) -> DataFrame:
+    """Each two leaves of a tree once: ``tree_id, a, b`` (places in preorder, ``a < b``), ``cell_a, cell_b, dist``.
 
-    Each pair meets once, at its deepest common ancestor, as leaves of two different
-    children, so nothing is aggregated; ``SALTS`` tasks share an ancestor. The result
-    has the square of a tree's leaves; to work on it within a task use
-    :func:`cladeworks.functions.linkage.tree_distances`.
+    A pair meets at its deepest common ancestor, as leaves of two different children, so
+    nothing is aggregated; ``SALTS`` tasks share an ancestor. The result has half the
+    square of a tree's leaves.
     """
-    leaf = nodes.filter("is_leaf").alias("x")
     parent = nodes.select("tree_id", F.col("node_id").alias("parent_id"), F.col("pre").alias("top"), F.col("root_dist").alias("up"))
-    child = nodes.filter("parent_id IS NOT NULL").join(parent, ["tree_id", "parent_id"]).alias("n")
-    under = child.join(leaf, _under("n", "x")).select("n.tree_id", "n.top", "n.up", F.col("n.pre").alias("child"), F.col("x.node_id").alias("cell"), F.col("x.root_dist").alias("r"))
-    a = under.withColumn("salt", F.pmod(F.xxhash64("cell"), F.lit(SALTS)))
-    b = under.select("tree_id", "top", F.col("child").alias("child_b"), F.col("cell").alias("other"), F.col("r").alias("rb"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"))
-    pairs = a.join(b, ["tree_id", "top", "salt"]).filter("child <> child_b")
-    far = pairs.select("tree_id", F.col("cell").alias("cell_a"), F.col("other").alias("cell_b"), (F.col("r") + F.col("rb") - 2 * F.col("up")).alias("dist"))
+    child = nodes.filter("parent_id IS NOT NULL").join(parent, ["tree_id", "parent_id"])
+    under = _below(child, nodes.filter("is_leaf")).select("n.tree_id", "n.top", "n.up", F.col("n.pre").alias("child"), F.col("x.pre").alias("a"), F.col("x.node_id").alias("cell_a"), F.col("x.root_dist").alias("r"))
+    left = under.withColumn("salt", F.pmod(F.xxhash64("a"), F.lit(SALTS)))
+    salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt")
+    right = under.select("tree_id", "top", F.col("child").alias("other"), F.col("a").alias("b"), F.col("cell_a").alias("cell_b"), F.col("r").alias("rb"), salts)
+    pairs = left.join(right, ["tree_id", "top", "salt"]).filter("child < other")
+    return pairs.select("tree_id", "a", "b", "cell_a", "cell_b", (F.col("r") + F.col("rb") - 2 * F.col("up")).alias("dist"))
+
+
+def pairwise_distances(nodes: DataFrame) -> DataFrame:
+    """Distances of all leaves of each tree, both ways and with the diagonal: ``tree_id, cell_a, cell_b, dist``."""
+    ways = F.explode(F.array(F.struct("cell_a", "cell_b"), F.struct(F.col("cell_b").alias("cell_a"), F.col("cell_a").alias("cell_b")))).alias("w")
+    far = leaf_pairs(nodes).select("tree_id", ways, "dist").select("tree_id", "w.cell_a", "w.cell_b", "dist")
     own = nodes.filter("is_leaf").select("tree_id", F.col("node_id").alias("cell_a"), F.col("node_id").alias("cell_b"), F.lit(0.0).alias("dist"))
     return far.union(own)
 
 
 def node_positions(nodes: DataFrame) -> DataFrame:
-    """Layout: ``x`` is the distance from the root, ``y`` a leaf's rank or the mean of the children's ``y``."""
+    """Layout: ``x`` is the distance from the root, ``y`` a leaf's rank or the mean of the children's ``y``.
+
+    The mean of means is a sum over the leaves below, each weighed by one over the
+    children of every node on the way; the weights are kept as logarithms from the root.
+    """
     rank = (F.row_number().over(Window.partitionBy("tree_id").orderBy("pre")) - 1).cast("double")
-    done = nodes.filter("is_leaf").select("tree_id", "node_id", "parent_id", "depth", rank.alias("y"))
-    deepest = nodes.agg(F.max("depth")).first()[0]
-    for level in range((deepest or 0) - 1, -1, -1):
-        kids = done.filter(F.col("depth") == level + 1).groupBy("tree_id", F.col("parent_id").alias("node_id")).agg(F.avg("y").alias("y"))
-        here = nodes.filter((F.col("depth") == level) & ~F.col("is_leaf")).select("tree_id", "node_id", "parent_id", "depth").join(kids, ["tree_id", "node_id"])
-        done = staged(done.unionByName(here)) if level % 8 == 0 else done.unionByName(here)
-    return done.join(nodes.select("tree_id", "node_id", F.col("root_dist").alias("x")), ["tree_id", "node_id"]).select("tree_id", "node_id", "x", "y")
+    leaf = nodes.filter("is_leaf").select("tree_id", "node_id", "pre", rank.alias("y"))
+    kids = nodes.groupBy("tree_id", F.col("parent_id").alias("node_id")).agg(F.log(F.count("*").cast("double")).alias("w"))
+    inner = nodes.join(kids, ["tree_id", "node_id"]).select("tree_id", "node_id", "pre", "last", "w")
+    above = _below(inner, nodes).filter("n.pre < x.pre").groupBy(F.col("x.tree_id").alias("tree_id"), F.col("x.pre").alias("pre")).agg(F.sum("n.w").alias("w"))
+    weight = nodes.select("tree_id", "node_id", "pre", "last", "is_leaf").join(above, ["tree_id", "pre"], "left").fillna(0.0, ["w"])
+    below = _below(weight.filter("NOT is_leaf"), leaf.join(weight.select("tree_id", "pre", "w"), ["tree_id", "pre"]))
+    mean = below.groupBy(F.col("n.tree_id").alias("tree_id"), F.col("n.node_id").alias("node_id")).agg(F.sum(F.col("x.y") * F.exp(F.col("n.w") - F.col("x.w"))).alias("y"))
+    y = leaf.select("tree_id", "node_id", "y").union(mean)
+    return y.join(nodes.select("tree_id", "node_id", F.col("root_dist").alias("x")), ["tree_id", "node_id"]).select("tree_id", "node_id", "x", "y")
 
 
 def _inner(nodes: DataFrame) -> DataFrame:
@@ -127,7 +147,7 @@ def longest_edges(parts: DataFrame, candidates: DataFrame, min_cells: int) -> Da
     ``parts``: ``tree_id, part, pre`` of each leaf.
     """
     size = parts.groupBy("tree_id", "part").agg(F.count("*").alias("n")).filter(F.col("n") >= 2 * min_cells)
-    within = parts.join(size, ["tree_id", "part"]).alias("x").join(candidates.alias("n"), _under("n", "x"))
+    within = _below(candidates, parts.join(size, ["tree_id", "part"]))
     count = within.groupBy(F.col("x.tree_id").alias("tree_id"), F.col("x.part").alias("part"), F.col("n.pre").alias("from"), F.col("n.last").alias("to"), "n.edge_length").agg(F.count("*").alias("below"), F.first("x.n").alias("n"))
     good = count.filter((F.col("below") >= min_cells) & (F.col("n") - F.col("below") >= min_cells))
     best = Window.partitionBy("tree_id", "part").orderBy(F.desc("edge_length"), "from")
@@ -163,8 +183,7 @@ def cut_at_nodes(nodes: DataFrame, labels: list[str]) -> DataFrame:
     """Each leaf goes to the smallest of the given clades that holds it (ties: the one given first), else ``unassigned``."""
     place = F.create_map(*[y for i, x in enumerate(labels) for y in (F.lit(x), F.lit(i))]) if labels else F.create_map().cast("map<string,int>")
     chosen = nodes.filter(F.col("node_id").isin(labels)).withColumn("place", place[F.col("node_id")]).join(node_table(nodes).select("tree_id", "node_id", "n_leaves"), ["tree_id", "node_id"])
-    x = nodes.filter("is_leaf").alias("x")
-    claims = x.join(chosen.alias("n"), _under("n", "x"), "left")
+    claims = _below(chosen, nodes.filter("is_leaf"), "right")
     first = Window.partitionBy("x.tree_id", "x.node_id").orderBy(F.col("n.n_leaves").asc_nulls_last(), "n.place")
     best = claims.withColumn("r", F.row_number().over(first)).filter("r = 1")
     return best.select("x.tree_id", F.coalesce("n.node_id", F.lit("unassigned")).alias("clone_id"), F.col("x.node_id").alias("cell_id"))
@@ -173,8 +192,7 @@ def cut_at_nodes(nodes: DataFrame, labels: list[str]) -> DataFrame:
 def annotate_nodes_with_clones(nodes: DataFrame, assignments: DataFrame) -> DataFrame:
     """Clone label of each node: a leaf's clone (or empty), an internal node's sorted clones below, joined by ``,``."""
     leaf = nodes.filter("is_leaf").join(assignments.select(F.col("cell_id").alias("node_id"), "clone_id"), "node_id", "left").select("tree_id", "node_id", "pre", F.coalesce("clone_id", F.lit("")).alias("clone_id"))
-    named = leaf.filter("clone_id <> ''").alias("x")
-    below = nodes.filter("NOT is_leaf").alias("n").join(named, _under("n", "x")).groupBy("n.tree_id", "n.node_id").agg(F.array_join(F.sort_array(F.collect_set("x.clone_id")), ",").alias("label"))
+    below = _below(nodes.filter("NOT is_leaf"), leaf.filter("clone_id <> ''")).groupBy("n.tree_id", "n.node_id").agg(F.array_join(F.sort_array(F.collect_set("x.clone_id")), ",").alias("label"))
     inner = nodes.filter("NOT is_leaf").select("tree_id", "node_id").join(below, ["tree_id", "node_id"], "left").fillna("", ["label"])
     return inner.union(leaf.select("tree_id", "node_id", F.col("clone_id").alias("label")))
 

@@ -4,11 +4,12 @@ import numpy as np
 import pytest
 from example import NEWICK, cell, cells, events, nodes, partition
 
-from cladeworks.functions.linkage import jaccard_matrix, linkage_labels, merge_smallest, tree_distances
+from cladeworks.functions.linkage import merge_smallest, tie
 from cladeworks.functions.newick import format_newick, parse_newick
 from cladeworks.operators import clones as G
 from cladeworks.operators import tree as T
 from cladeworks.operators import validate as V
+from cladeworks.operators.linkage import agglomerate
 
 
 def sets(*groups):
@@ -42,9 +43,7 @@ def test_distances(spark):
     assert len(d) == 144
     for (a, b), x in {(1, 2): 0.10, (1, 3): 0.51, (1, 5): 1.05, (1, 6): 1.42, (9, 11): 0.48}.items():
         assert d[cell(a), cell(b)] == pytest.approx(x) and d[cell(b), cell(a)] == pytest.approx(x)
-    f = n.toPandas()
-    m = tree_distances(*(f[c].to_numpy() for c in ("pre", "last", "is_leaf", "root_dist")))
-    assert all(m[i, j] == pytest.approx(d[cell(i + 1), cell(j + 1)]) for i in range(12) for j in range(12))
+    m = np.array([[d[cell(i), cell(j)] for j in range(1, 13)] for i in range(1, 13)])
     for i, j, k, l in [random.Random(1).sample(range(12), 4) for _ in range(50)]:  # four-point condition
         s = sorted([m[i, j] + m[k, l], m[i, k] + m[j, l], m[i, l] + m[j, k]])
         assert s[1] == pytest.approx(s[2])
@@ -96,8 +95,8 @@ def test_clone_descriptions(spark):
     assert rows == [("clone_003", 5, 1), ("clone_001", 4, 2), ("clone_002", 3, 3)]
 
 
-def naive(dist, threshold, method):
-    """Recomputes every distance of clusters from their members."""
+def naive(dist, threshold, method, ids=range(100)):
+    """Recomputes every distance of clusters from their members; of equal ones the smallest tie merges first."""
     clusters = [[i] for i in range(len(dist))]
 
     def far(a, b):
@@ -107,7 +106,7 @@ def naive(dist, threshold, method):
         return np.sqrt(max(0, 2 * (within(a + b) - within(a) - within(b))))
 
     while len(clusters) > 1:
-        d, i, j = min((round(far(a, b), 9), i, j) for i, a in enumerate(clusters) for j, b in enumerate(clusters) if i < j)
+        d, _, i, j = min((round(far(a, b), 9), tie(ids[a[0]], ids[b[0]]), i, j) for i, a in enumerate(clusters) for j, b in enumerate(clusters) if i < j)
         if d > threshold:
             break
         clusters[i] = clusters[i] + clusters.pop(j)
@@ -115,21 +114,69 @@ def naive(dist, threshold, method):
 
 
 @pytest.mark.parametrize("method", ["average", "ward"])
-def test_linkage_against_a_naive_loop(method):
+@pytest.mark.parametrize("finish", [0, 8])
+def test_linkage_against_a_naive_loop(spark, method, finish):
+    """Groups of points, half of them on a grid where most distances are equal; by rounds alone, and with the last merges in one task."""
     rng = np.random.default_rng(3)
-    for _ in range(20):
-        x = rng.normal(size=(12, 3))
-        d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
-        t = rng.uniform(0.5, 4)
-        labels = linkage_labels(d, t, method)
-        assert sets(*[np.flatnonzero(labels == k).tolist() for k in set(labels)]) == naive(d, t, method)
-        assert labels[0] == 1
+    want, pairs, members = {}, [], []
+    for g in range(8):
+        x = rng.normal(size=(14, 3)) if g % 2 else rng.integers(0, 3, size=(14, 2))
+        d = np.round(np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1)), 12)
+        d = d / d.max() if method == "average" else d
+        want[f"g{g}"] = naive(d, 0.45 if method == "average" else 1.5, method)
+        members += [(f"g{g}", i) for i in range(14)]
+        pairs += [(f"g{g}", i, j, 1, 1, 0.0, 0.0, float(1 - d[i, j] if method == "average" else d[i, j] ** 2)) for i in range(14) for j in range(i + 1, 14)]
+    pairs = spark.createDataFrame(pairs, "g string, a long, b long, na long, nb long, pa double, pb double, s double")
+    members = spark.createDataFrame([(g, i, i) for g, i in members], "g string, c long, i long")
+    got: dict = {}
+    for r in agglomerate(pairs, members, 0.45 if method == "average" else 1.5, method, finish).collect():
+        got.setdefault(r.g, {}).setdefault(r.c, []).append(r.i)
+    assert {g: sets(*v.values()) for g, v in got.items()} == want
+    assert all(c == min(v) for x in got.values() for c, v in x.items())
+
+
+def test_event_clusters_against_a_naive_loop(spark):
+    """Cells with few events, none, or equal ones; the profile strategy and the parts that hybrid splits."""
+    rng = random.Random(5)
+    n = nodes(spark)
+    place = [r.pre for r in n.filter("is_leaf").orderBy("pre").collect()]
+    for _ in range(2):
+        has = {i: {e for e in range(4) if rng.random() < 0.4} for i in range(1, 13)}
+        e = spark.createDataFrame([(cell(i), f"chr{x}", 1, 2, "gain") for i, s in has.items() for x in s], "cell_id string, chr string, start long, end long, event_type string")
+        d = np.array([[1 - len(has[i] & has[j]) / len(has[i] | has[j]) if has[i] | has[j] else 0.0 for j in has] for i in has])
+        got = partition(G.assign_clones("event_profile", n, cells(spark), e, similarity=0.6, min_cells=1))
+        assert got == {frozenset(i + 1 for i in s) for s in naive(d, 0.4, "average", place)}
+        mean = {}
+        for part in ([1, 2, 3, 4, 5], [6, 7, 8], [9, 10, 11, 12]):
+            own = d[np.ix_([i - 1 for i in part], [i - 1 for i in part])]
+            mean[tuple(part)] = [part] if 1 - own.mean() >= 0.6 else [[part[i] for i in s] for s in naive(own, 0.4, "average", [place[i - 1] for i in part])]
+        assert partition(G.assign_clones("hybrid", n, cells(spark), e, similarity=0.6, min_cells=2)) == sets(*[s for v in mean.values() for s in v])
+    none = e.limit(0)
+    assert partition(G.assign_clones("event_profile", n, cells(spark), none, min_cells=1)) == sets(range(1, 13))
+    assert partition(G.assign_clones("event_profile", n, cells(spark), events(spark), similarity=0.0, min_cells=1)) == sets(range(1, 13))
+
+
+def test_deep_tree(spark):
+    """A ladder of 1,500 levels: positions, leaves below and cuts, over several tiles."""
+    depth = 1500
+    rows, total = [("t", "n0", None, False, 0.0, 0, 2 * depth, 0, 0.0)], 2 * depth
+    for i in range(depth):
+        rows.append(("t", f"l{i}", f"n{i}", True, 1.0, 2 * i + 1, 2 * i + 1, i + 1, i + 1.0))
+        leaf = i == depth - 1
+        rows.append(("t", f"n{i + 1}", f"n{i}", leaf, 1.0, 2 * i + 2, 2 * i + 2 if leaf else total, i + 1, i + 1.0))
+    n = spark.createDataFrame(rows, "tree_id string, node_id string, parent_id string, is_leaf boolean, edge_length double, pre long, last long, depth long, root_dist double")
+    y = {r.node_id: r.y for r in T.node_positions(n).collect()}
+    want = {f"n{depth}": float(depth)}
+    for i in range(depth - 1, -1, -1):
+        want[f"l{i}"], want[f"n{i}"] = float(i), (i + want[f"n{i + 1}"]) / 2
+    assert len(y) == len(want) and all(y[k] == pytest.approx(v, abs=1e-6) for k, v in want.items())
+    assert T.clade_leaves(n).filter("node_id = 'n700'").count() == depth - 700 + 1
+    cut = T.cut_at_nodes(n, ["n100", "n1200"])
+    assert {r.clone_id: r["count"] for r in cut.groupBy("clone_id").count().collect()} == {"unassigned": 100, "n100": 1100, "n1200": 301}
 
 
 def test_small_helpers():
     assert merge_smallest([("a", 1), ("b", 1), ("c", 5)], 2) == {"a": "b", "b": "b", "c": "c"}
-    m = jaccard_matrix(np.array([0, 0, 1]), np.array([0, 1, 1]), 3)
-    assert m[0, 1] == pytest.approx(0.5) and m[2, 2] == 0 and m[0, 2] == 1
 
 
 def test_validation_report(spark):
