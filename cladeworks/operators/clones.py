@@ -5,6 +5,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,7 +16,8 @@ from ..functions.staging import staged
 from . import tree as T
 from .linkage import agglomerate
 
-SALTS = 16
+#: Ids of a block whose pairs one task counts.
+BLOCK = 512
 STRATEGIES = ("internal_node", "distance", "event_profile", "hybrid")
 
 
@@ -33,30 +35,35 @@ def profile_matrix(profile: DataFrame, max_columns: int = 400) -> DataFrame:
     return profile.groupBy("cell_id").pivot("event", names).agg(F.lit(1)).fillna(0) if names else profile.select("cell_id").distinct()
 
 
-def _salted(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of ``left`` (with ``a``) and ``right`` (with ``b``) at the same keys, ``a < b``; ``SALTS`` tasks share a key."""
-    salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
-    return left.withColumn("salt", F.pmod(F.xxhash64("a"), F.lit(SALTS))).join(right.withColumn("salt", salts), [*keys, "salt"]).filter("a < b")
-
-
 def _shared_events(profile: DataFrame, all_pairs: bool) -> DataFrame:
-    """Pairs of ids with their sizes and shared events: ``g, a, b, sa, sb, both``.
+    """Pairs of ids with their sizes and shared events: ``g, a, b, sa, sb, both`` with ``a < b``.
 
-    ``profile``: ``g, id, event`` (null: none). Pairs that share nothing come only with
-    ``all_pairs``. An event that all have is counted, not joined.
+    ``profile``: ``g, id, events`` (array). Pairs that share nothing come only with
+    ``all_pairs``. A group is cut into blocks of about ``BLOCK`` ids; each two blocks
+    meet in a task of their own, where a matrix product counts what they share.
     """
-    has = profile.filter("event IS NOT NULL").distinct()
-    size = profile.select("g", "id").distinct().join(has.groupBy("g", "id").agg(F.count("*").alias("size")), ["g", "id"], "left").fillna(0)
-    n = size.groupBy("g").agg(F.count("*").alias("n"))
-    spread = has.groupBy("g", "event").agg(F.count("*").alias("k")).join(n, "g")
-    common = spread.filter("k = n").groupBy("g").agg(F.count("*").alias("common"))
-    some = has.join(spread.filter("k < n").select("g", "event"), ["g", "event"])
-    met = _salted(some.select("g", "event", F.col("id").alias("a")), some.select("g", "event", F.col("id").alias("b")), ["g", "event"]).groupBy("g", "a", "b").agg(F.count("*").alias("both"))
-    sized = size if all_pairs else size.join(common.select("g"), "g", "left_semi")
-    grid = _salted(sized.select("g", F.col("id").alias("a")), sized.select("g", F.col("id").alias("b")), ["g"]).select("g", "a", "b", F.lit(0).cast("long").alias("both"))
-    pairs = met.union(grid).groupBy("g", "a", "b").agg(F.sum("both").alias("both")).join(common, "g", "left").fillna(0, ["common"])
-    pairs = pairs.join(size.select("g", F.col("id").alias("a"), F.col("size").alias("sa")), ["g", "a"]).join(size.select("g", F.col("id").alias("b"), F.col("size").alias("sb")), ["g", "b"])
-    return pairs.select("g", "a", "b", "sa", "sb", (F.col("both") + F.col("common")).alias("both"))
+    kind = profile.schema["id"].dataType.simpleString()
+    blocks = profile.groupBy("g").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    dealt = profile.join(blocks, "g").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    dealt = dealt.select("g", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "id", "events")
+
+    def meet(f: pd.DataFrame) -> pd.DataFrame:
+        f = f.sort_values("id", ignore_index=True)
+        row = np.repeat(np.arange(len(f)), f["events"].map(len))
+        code, names = pd.factorize(f["events"].explode().dropna())
+        has = np.zeros((len(f), len(names)), np.float32)
+        has[row, code] = 1
+        size = has.sum(axis=1).astype(int)
+        both = (has @ has.T).astype(int)
+        apart = f["lo"].to_numpy() != f["hi"].to_numpy()
+        own = f["own"].to_numpy()
+        wanted = np.triu(np.ones_like(both, bool), 1) & (~apart[:, None] | (own[:, None] != own[None, :]))
+        i, j = np.nonzero(wanted if all_pairs else wanted & (both > 0))
+        ids = f["id"].to_numpy()
+        return pd.DataFrame({"g": f["g"].iloc[0], "a": ids[i], "b": ids[j], "sa": size[i], "sb": size[j], "both": both[i, j]})
+
+    return dealt.groupBy("g", "lo", "hi").applyInPandas(meet, f"g string, a {kind}, b {kind}, sa long, sb long, both long")
 
 
 def jaccard_distances(profile: DataFrame) -> DataFrame:
@@ -64,7 +71,8 @@ def jaccard_distances(profile: DataFrame) -> DataFrame:
 
     ``profile``: ``tree_id, cell_id, event``. Two cells without events are at 0.
     """
-    pairs = _shared_events(profile.select(F.col("tree_id").alias("g"), F.col("cell_id").alias("id"), "event"), True)
+    cells = profile.groupBy(F.col("tree_id").alias("g"), F.col("cell_id").alias("id")).agg(F.collect_set("event").alias("events"))
+    pairs = _shared_events(cells, True)
     union = F.col("sa") + F.col("sb") - F.col("both")
     return pairs.select(F.col("g").alias("tree_id"), F.col("a").alias("cell_a"), F.col("b").alias("cell_b"), F.when(union > 0, 1 - F.col("both") / union).otherwise(0.0).alias("dist"))
 
@@ -122,7 +130,7 @@ def _alike(profile: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def _similar(alike: DataFrame) -> DataFrame:
     """Pairs of clusters that share events, with sizes and the sum of their cells' similarities."""
-    pairs = _shared_events(alike.select("g", F.col("c").alias("id"), F.explode_outer("events").alias("event")), False)
+    pairs = _shared_events(alike.select("g", F.col("c").alias("id"), "events"), False)
     a, b = (alike.select("g", F.col("c").alias(x), F.col("n").alias(f"n{x}")) for x in "ab")
     s = F.col("na") * F.col("nb") * F.col("both") / (F.col("sa") + F.col("sb") - F.col("both"))
     none = F.lit(0.0)

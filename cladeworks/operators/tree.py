@@ -68,11 +68,11 @@ def mrca(nodes: DataFrame, cells: DataFrame) -> DataFrame:
     return nodes.select("tree_id").distinct().join(deepest, "tree_id", "left")
 
 
-def leaf_pairs(nodes: DataFrame) -> DataFrame:
-    """Each two leaves of a tree once: ``tree_id, a, b`` (places in preorder, ``a < b``), ``cell_a, cell_b, dist``.
+def leaf_pairs(nodes: DataFrame, both_ways: bool = False) -> DataFrame:
+    """Each two leaves of a tree, once (``a < b``) or both ways: ``tree_id, a, b`` (places in preorder), ``cell_a, cell_b, dist``.
 
     A pair meets at its deepest common ancestor, as leaves of two different children, so
-    nothing is aggregated; ``SALTS`` tasks share an ancestor. The result has half the
+    nothing is aggregated; ``SALTS`` tasks share an ancestor. The result grows with the
     square of a tree's leaves.
     """
     parent = nodes.select("tree_id", F.col("node_id").alias("parent_id"), F.col("pre").alias("top"), F.col("root_dist").alias("up"))
@@ -81,14 +81,13 @@ def leaf_pairs(nodes: DataFrame) -> DataFrame:
     left = under.withColumn("salt", F.pmod(F.xxhash64("a"), F.lit(SALTS)))
     salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt")
     right = under.select("tree_id", "top", F.col("child").alias("other"), F.col("a").alias("b"), F.col("cell_a").alias("cell_b"), F.col("r").alias("rb"), salts)
-    pairs = left.join(right, ["tree_id", "top", "salt"]).filter("child < other")
+    pairs = left.join(right, ["tree_id", "top", "salt"]).filter("child <> other" if both_ways else "child < other")
     return pairs.select("tree_id", "a", "b", "cell_a", "cell_b", (F.col("r") + F.col("rb") - 2 * F.col("up")).alias("dist"))
 
 
 def pairwise_distances(nodes: DataFrame) -> DataFrame:
     """Distances of all leaves of each tree, both ways and with the diagonal: ``tree_id, cell_a, cell_b, dist``."""
-    ways = F.explode(F.array(F.struct("cell_a", "cell_b"), F.struct(F.col("cell_b").alias("cell_a"), F.col("cell_a").alias("cell_b")))).alias("w")
-    far = leaf_pairs(nodes).select("tree_id", ways, "dist").select("tree_id", "w.cell_a", "w.cell_b", "dist")
+    far = leaf_pairs(nodes, True).select("tree_id", "cell_a", "cell_b", "dist")
     own = nodes.filter("is_leaf").select("tree_id", F.col("node_id").alias("cell_a"), F.col("node_id").alias("cell_b"), F.lit(0.0).alias("dist"))
     return far.union(own)
 
