@@ -96,16 +96,16 @@ def node_positions(nodes: DataFrame) -> DataFrame:
     """Layout: ``x`` is the distance from the root, ``y`` a leaf's rank or the mean of the children's ``y``.
 
     The mean of means is a sum over the leaves below, each weighed by one over the
-    children of every node on the way; the weights are kept as logarithms from the root.
+    children of every node on the way; the weights are kept as logarithms from the root, to base 2, so that halves stay exact.
     """
     rank = (F.row_number().over(Window.partitionBy("tree_id").orderBy("pre")) - 1).cast("double")
     leaf = nodes.filter("is_leaf").select("tree_id", "node_id", "pre", rank.alias("y"))
-    kids = nodes.groupBy("tree_id", F.col("parent_id").alias("node_id")).agg(F.log(F.count("*").cast("double")).alias("w"))
+    kids = nodes.groupBy("tree_id", F.col("parent_id").alias("node_id")).agg(F.log2(F.count("*").cast("double")).alias("w"))
     inner = nodes.join(kids, ["tree_id", "node_id"]).select("tree_id", "node_id", "pre", "last", "w")
     above = _below(inner, nodes).filter("n.pre < x.pre").groupBy(F.col("x.tree_id").alias("tree_id"), F.col("x.pre").alias("pre")).agg(F.sum("n.w").alias("w"))
     weight = nodes.select("tree_id", "node_id", "pre", "last", "is_leaf").join(above, ["tree_id", "pre"], "left").fillna(0.0, ["w"])
     below = _below(weight.filter("NOT is_leaf"), leaf.join(weight.select("tree_id", "pre", "w"), ["tree_id", "pre"]))
-    mean = below.groupBy(F.col("n.tree_id").alias("tree_id"), F.col("n.node_id").alias("node_id")).agg(F.sum(F.col("x.y") * F.exp(F.col("n.w") - F.col("x.w"))).alias("y"))
+    mean = below.groupBy(F.col("n.tree_id").alias("tree_id"), F.col("n.node_id").alias("node_id")).agg(F.sum(F.col("x.y") * F.pow(F.lit(2.0), F.col("n.w") - F.col("x.w"))).alias("y"))
     y = leaf.select("tree_id", "node_id", "y").union(mean)
     return y.join(nodes.select("tree_id", "node_id", F.col("root_dist").alias("x")), ["tree_id", "node_id"]).select("tree_id", "node_id", "x", "y")
 
