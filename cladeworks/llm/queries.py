@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .conversations import conversation_report
 from .cross_polytope import nearest_neighbours
 from .decontaminate import contaminated_pairs
 from .jaccard_join import jaccard_components
@@ -15,6 +16,7 @@ from .maxent_lm import score_texts
 from .pieces import Vocabulary, decode_pieces, encode_pieces
 from .secret_scan import scan_secrets
 from .shared import materialize, shared_dir
+from .spelling import count_words, spelling_forms
 from .token_scan import count_tokens
 from .toxicity import learn_toxicity, score_toxicity
 from .url_trie import judge_urls
@@ -111,6 +113,45 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def damaged_conversations(conversations: DataFrame) -> DataFrame:
+    """``conv_id, turn, role, text`` damaged by a checksum of conversation and turn; nulls are one space there."""
+    said = lambda name: F.coalesce(F.col(name).cast("string"), F.lit(" "))
+    kind = F.crc32(F.concat(said("conv_id"), F.lit(":"), said("turn")).cast("binary")) % 20
+    rows = conversations.select("conv_id", "turn", said("role").alias("role"), said("text").alias("text"), kind.alias("kind")).filter("kind <> 0")
+    text = F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    role = F.when(F.col("kind") == 4, "user").otherwise(F.col("role"))
+    return rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), F.explode(F.expr("sequence(1, if(kind = 3, 2, 1))"))).drop("col")
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of each damaged conversation and its cheapest repair; one that lost all its rows has zeros."""
+    conversations = _table(spark, sf_dir, "conversations")
+    report = conversation_report(damaged_conversations(conversations))
+    ids = conversations.select(F.col("conv_id").alias("id")).distinct()
+    found = ids.join(report, F.col("id").eqNullSafe(F.col("conv_id")), "left")
+    longs = [F.coalesce(c, F.lit(0)).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    nothing = F.sha2(F.lit("").cast("binary"), 256)
+    return found.select(F.col("id").alias("conv_id"), *longs, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", nothing).alias("repaired_sha256"))
+
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def damaged_words(documents: DataFrame, min_length: int = 5) -> DataFrame:
+    """Runs of letters of all whole texts, some with a code point less by a checksum; a null doc_id reads as empty there."""
+    runs = F.regexp_extract_all(F.translate("text", UPPER, LOWER), F.lit("[a-z\u00c0-\u00ff]+"), F.lit(0))
+    rows = documents.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), F.explode(runs).alias("run"))
+    rows = rows.filter(F.length("run") >= min_length).withColumn("h", F.crc32(F.concat("id", F.lit(":"), "run").cast("binary")))
+    place = (F.col("h") % F.length("run")).cast("int")
+    less = F.concat(F.left("run", place), F.right("run", F.length("run") - place - 1))
+    return rows.select(F.when(F.col("h") % 97 == 0, less).otherwise(F.col("run")).alias("word"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of at least 5 code points and 3 occurrences with its near words' number, form and root."""
+    return spelling_forms(count_words(damaged_words(_table(spark, sf_dir, "documents"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -122,6 +163,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_cross_polytope_neighbours": op8_cross_polytope_neighbours,
     "op9_toxicity": op9_toxicity,
     "op10_url_filter": op10_url_filter,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLE_SQL: dict[str, str] = {
