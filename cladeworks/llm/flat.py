@@ -74,9 +74,9 @@ class Words:
         """For each word the index of its document in this slice."""
         return np.repeat(np.arange(self.n_docs), np.diff(self.bounds))
 
-    def hashes(self) -> np.ndarray:
-        """A 64-bit hash of each lower-cased word."""
-        lower = self.data + (((self.data >= 65) & (self.data <= 90)) * np.uint8(32))
+    def hashes(self, fold: bool = True) -> np.ndarray:
+        """A 64-bit hash of each word, lower-cased if ``fold``."""
+        lower = self.data + (((self.data >= 65) & (self.data <= 90)) * np.uint8(32)) if fold else self.data
         up, down = _powers(len(lower))
         total = np.zeros(len(lower) + 1, _U)
         np.cumsum((lower.astype(_U) + _U(1)) * up[: len(lower)], out=total[1:])

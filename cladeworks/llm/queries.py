@@ -17,6 +17,7 @@ from .pieces import Vocabulary, decode_pieces, encode_pieces
 from .secret_scan import scan_secrets
 from .shared import materialize, shared_dir
 from .spelling import count_words, spelling_forms
+from .suffix_trees import cut_repeats
 from .token_scan import count_tokens
 from .toxicity import learn_toxicity, score_toxicity
 from .url_trie import judge_urls
@@ -134,6 +135,12 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("conv_id"), *longs, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", nothing).alias("repaired_sha256"))
 
 
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of each whole text, those in passages of 20 words that start earlier too, and a digest of the others."""
+    cut = cut_repeats(_table(spark, sf_dir, "documents"), words=20)
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -164,6 +171,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": op9_toxicity,
     "op10_url_filter": op10_url_filter,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_substring_dedup": op12_substring_dedup,
     "op13_spelling_variants": op13_spelling_variants,
 }
 
