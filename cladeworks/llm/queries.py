@@ -175,6 +175,70 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_spelling_variants": op13_spelling_variants,
 }
 
+_CRC_TABLE = """crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS t
+)"""
+
+
+def _crc32(codes: str) -> str:
+    """SQL of the CRC-32 of a list of bytes; ``crc.t`` is its table."""
+    step = "xor(c >> 8, crc.t[(xor(c, b) & 255) + 1])"
+    return f"xor(list_reduce({codes}, lambda c, b: {step}, 4294967295), 4294967295)"
+
+
+def _op11_sql() -> str:
+    """A recursion over rows that holds the best edits for each state: none (z), system (s), user (u), assistant (a)."""
+    add = lambda x, cost, letter, said="NULL": (
+        f"{{'c': {x}.c + {cost}, 'e': {x}.e || '{letter}', 'o': " + (f"{x}.o" if said == "NULL" else f"CASE WHEN {x}.o IS NULL THEN {said} ELSE {x}.o || chr(10) || {said} END") + "}"
+    )
+    insert = lambda x, role: add(x, 2, "I", f"'{role}:'")
+    least = lambda *x: f"list_sort([{', '.join(x)}])[1]"
+    never = "{'c': 1000000000::BIGINT, 'e': '', 'o': NULL::VARCHAR}"
+    user = least("u", insert("z", "user"), insert("s", "user"), insert("a", "user"))
+    keep = lambda x, role: f"CASE WHEN r.i = '{role}' THEN {add(x, 'r.more', 'K', 'r.said')} ELSE {never} END"
+    to = lambda x, role: add(x, "2 + r.more", "R", f"'{role}:' || r.text")
+    gone = lambda x: add(x, 3, "D")
+    stays = lambda *x: f"CASE WHEN r.forced THEN {never} ELSE {least(*x)} END"
+    return rf"""
+WITH RECURSIVE {_CRC_TABLE}, k AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_crc32("list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda x: ascii(x)::BIGINT)")} % 20 AS kind
+  FROM conversations, crc
+), d AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM k WHERE kind <> 0
+), n AS (
+  SELECT *, row_number() OVER w AS pos, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth
+  FROM d WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy)
+), f AS (
+  SELECT *, CASE WHEN bare = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate' WHEN NOT regexp_matches(right(bare, 1), '[.!?]') THEN 'truncated' ELSE '' END AS fault,
+    left(role, 1) AS i, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) || left(role, 1) AS two
+  FROM n
+), r AS (
+  SELECT conv_id, pos, i, text, role || ':' || text AS said, fault IN ('blank', 'duplicate') AS forced, CASE WHEN fault = 'truncated' THEN 1 ELSE 0 END AS more FROM f
+), t AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+    count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (two NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+  FROM f GROUP BY conv_id
+), b AS (
+  SELECT conv_id, n, 1 AS pos, {{'c': 0::BIGINT, 'e': '', 'o': NULL::VARCHAR}} AS z, {never} AS s, {never} AS u, {never} AS a FROM t
+  UNION ALL
+  SELECT p.conv_id, p.n, p.pos + 1, {gone('z')}, {least(gone('s'), stays(keep('z', 's')))},
+    {least(gone('u'), stays(*(x for q in ('z', 's', 'a1') for x in (keep(q, 'u'), to(q, 'user')))))},
+    {least(gone('a'), stays(keep('u1', 'a'), to('u1', 'assistant')))}
+  FROM (SELECT *, {least('a', insert('u1', 'assistant'))} AS a1 FROM (SELECT *, {user} AS u1 FROM b WHERE pos <= n)) p
+  JOIN r ON r.conv_id IS NOT DISTINCT FROM p.conv_id AND r.pos = p.pos
+), e AS (
+  SELECT conv_id, {least('z', 'a', insert('u1', 'assistant'))} AS x FROM (SELECT *, {user} AS u1 FROM b WHERE pos = n + 1)
+)
+SELECT i.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(x.c, 0) AS cost, coalesce(x.e, '') AS audit, sha256(coalesce(x.o, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) i
+LEFT JOIN t ON t.conv_id IS NOT DISTINCT FROM i.conv_id LEFT JOIN e ON e.conv_id IS NOT DISTINCT FROM i.conv_id
+"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op4_warc": r"""
 WITH p AS (
@@ -222,5 +286,45 @@ WITH p AS (
   FROM h LEFT JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)
 )
 SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM m WHERE k = 1
+""",
+    "op11_conversation_repair": _op11_sql(),
+    "op12_substring_dedup": r"""
+WITH w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), e AS (
+  SELECT doc_id, i, md5(array_to_string(w[i + 1:i + 20], ' ')) AS k FROM (SELECT doc_id, w, unnest(range(len(w) - 19)) AS i FROM w WHERE len(w) >= 20)
+), late AS (
+  SELECT doc_id, i FROM e QUALIFY row_number() OVER (PARTITION BY k ORDER BY doc_id, i) > 1
+), gone AS (
+  SELECT doc_id, list(DISTINCT j) AS gone FROM (SELECT doc_id, unnest(range(i, i + 20)) AS j FROM late) GROUP BY doc_id
+), kept AS (
+  SELECT w.doc_id, len(w) AS n, list_distinct(coalesce(gone, [])) AS gone, w FROM w LEFT JOIN gone USING (doc_id)
+), words AS (
+  SELECT doc_id, string_agg(x, ' ' ORDER BY j) AS kept
+  FROM (SELECT doc_id, unnest(w) AS x, unnest(range(len(w))) AS j FROM w) ANTI JOIN (SELECT doc_id, unnest(gone) AS j FROM gone) USING (doc_id, j) GROUP BY doc_id
+)
+SELECT kept.doc_id, CAST(n AS BIGINT) AS n_words, CAST(len(gone) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM kept LEFT JOIN words USING (doc_id)
+""",
+    "op13_spelling_variants": rf"""
+WITH RECURSIVE {_CRC_TABLE}, runs AS (
+  SELECT coalesce(doc_id::VARCHAR, '') || ':' AS id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[a-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents
+), h AS (
+  SELECT run, count(*) AS n, {_crc32("flatten(list_transform(string_split(id || run, ''), lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT] ELSE [(192 + (unicode(x) >> 6))::BIGINT, (128 + (unicode(x) & 63))::BIGINT] END))")} AS h
+  FROM runs, crc WHERE length(run) >= 5 GROUP BY run, id, crc.t
+), c AS (
+  SELECT CASE WHEN h % 97 = 0 THEN left(run, (h % length(run))::INT) || right(run, length(run) - (h % length(run))::INT - 1) ELSE run END AS word, sum(n)::BIGINT AS n FROM h GROUP BY 1
+), v AS (SELECT word, n FROM c WHERE length(word) >= 5 AND n >= 3),
+less AS (SELECT word, n, i, left(word, i) || substr(word, i + 2) AS rest FROM (SELECT word, n, unnest(range(length(word))) AS i FROM v)),
+pairs AS (
+  SELECT DISTINCT a.word AS a, b.word AS b, b.n FROM less a JOIN less b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word AND length(a.word) = length(b.word)
+  UNION SELECT less.word, v.word, v.n FROM less JOIN v ON v.word = less.rest
+  UNION SELECT v.word, less.word, less.n FROM less JOIN v ON v.word = less.rest
+), best AS (SELECT a, count(*) AS n_near, max(n) AS top, min({{'n': -n, 'b': b}}).b AS b FROM pairs GROUP BY a),
+f AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN top >= 2 * n THEN b END AS form, CASE WHEN top >= 2 * n THEN top END AS form_n FROM v LEFT JOIN best ON a = word
+), way AS (
+  SELECT word, form AS root FROM f WHERE form IS NOT NULL UNION ALL SELECT way.word, f.form FROM way JOIN f ON f.word = way.root WHERE f.form IS NOT NULL
+), roots AS (SELECT way.word, root FROM way JOIN f ON f.word = way.root WHERE f.form IS NULL)
+SELECT word, form, coalesce(root, word) AS root, n, n_near, form_n FROM f LEFT JOIN roots USING (word)
 """,
 }
