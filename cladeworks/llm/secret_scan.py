@@ -15,7 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import materialize
+from .shared import materialize, shared_dir
 
 # Words that name a secret.
 KEYWORDS = r"token|secret|passw(?:or)?d|passwd|api[_-]?key|access[_-]?key|private[_-]?key|credential|auth|bearer"
@@ -118,12 +118,19 @@ def label_by_assignment(candidates: DataFrame) -> DataFrame:
 
 
 def train_forest(labelled: DataFrame, trees: int = 30, depth: int = 6, seed: int = 7) -> RandomForestClassificationModel | None:
-    """A forest on rows with :data:`FEATURES` and ``label``; None unless both labels are there."""
+    """A forest on rows with :data:`FEATURES` and ``label``; None unless both labels are there.
+
+    It is written to the shared folder and read back: a fitted model holds its training
+    summary, and with it the session, which can't go to executors once the session has
+    observations.
+    """
     rows = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(labelled).select("features", "label")
     rows = rows.repartition(4, F.xxhash64("features")).sortWithinPartitions(F.xxhash64("features"))
     if labelled.select("label").distinct().count() < 2:
         return None
-    return RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy="sqrt").fit(rows)
+    path = shared_dir(labelled.sparkSession)
+    RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy="sqrt").fit(rows).save(path)
+    return RandomForestClassificationModel.load(path)
 
 
 def _scored(docs: DataFrame, findings: DataFrame | None, threshold: float) -> DataFrame:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .shared import materialize
+from .shared import materialize, shared_dir
 from .splits import bases, file_sizes, read_lines, splits_of
 
 #: Free in a vocabulary of 50,256; its two bytes are one UTF-8 character, as Spark's text writer needs for what it puts after each row.
@@ -134,17 +134,23 @@ def count_tokens(docs: DataFrame, path: str, ranks_file: str, end: int = END_OF_
     """Tokens of each row's whole text: ``doc_id, n_tokens``.
 
     Writes ``docs(doc_id, text)`` as token files to ``path`` and counts by scanning
-    them. Rows are matched by task and place in it; should the second scan of ``docs``
-    have been dealt out in another way than the one that was written, or files hold
-    another number of documents, that is an error. Other columns are ignored; null ids
-    and repeated rows keep their rows; an empty table gives none.
+    them. Rows are matched by task and place in it. Where a second scan of ``docs`` is
+    dealt out in another way than the one that was written (what comes out of a shuffle
+    may be), ids and texts are written as a table first and read twice. Other columns
+    are ignored; null ids and repeated rows keep their rows; an empty table gives none.
     """
     written = write_token_files(docs, path, ranks_file, end)
     rows = materialize(_dealt(docs.select("doc_id")))
     again = rows.agg(*_signs()).first()
+    if (again.n, again.sign) != (written["n"], written["sign"]):
+        path = shared_dir(docs.sparkSession)
+        docs = materialize(docs.select("doc_id", F.col("text").cast("string").alias("text")))
+        written = write_token_files(docs, path, ranks_file, end)
+        rows = materialize(_dealt(docs.select("doc_id")))
+        again = rows.agg(*_signs()).first()
     part = F.regexp_extract("path", r"part-(\d+)-[^/]*$", 1).cast("long")
     found = materialize(scan_token_files(docs.sparkSession, path, end).filter("ended").select(part.alias("part"), "ordinal", "n_tokens"))
     if (again.n, again.sign) != (written["n"], written["sign"]) or found.count() != again.n:
-        raise RuntimeError("the rows were dealt out to tasks in two ways; write them as a table first")
+        raise RuntimeError("the rows were dealt out to tasks in two ways, or files were lost")
     rows = rows.select("doc_id", F.shiftright("place", 33).alias("part"), F.col("place").bitwiseAND((1 << 33) - 1).alias("ordinal"))
     return rows.join(found, ["part", "ordinal"], "left").select("doc_id", "n_tokens")
