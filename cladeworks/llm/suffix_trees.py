@@ -10,11 +10,13 @@ suffix tree of all texts. The tree is built in parts that fit a task:
 2. The first k words are the prefix that parts the suffixes. A prefix that stands once
    has no node below it and goes no further (a filter of bounded size, sized by the
    number of repeated prefixes; where it is full, more get through). A prefix with more
-   suffixes than a task should hold is lengthened to all words of a window.
+   suffixes than a task should hold is lengthened to all words that its suffixes carry;
+   those of the same words are then one, at the least of their places, which is
+   aggregated before the shuffle.
 3. Each task sorts its prefixes' suffixes, rightwards and leftwards; the common lengths
    of neighbours are the inner nodes. Leaves below one node of full depth are places of
    one passage, of which the first stays. Where the prefix is the whole passage the
-   leaves need no tree, only their least place, which is aggregated before the shuffle.
+   leaves need no tree, only their least place.
 """
 
 from __future__ import annotations
@@ -65,7 +67,8 @@ class _Anchors:
         new = np.ones(len(q), bool)
         new[1:] = q[1:] != q[:-1]
         first = np.flatnonzero(new)
-        self.q, self.low, self.gram = q[first], starts[first], least[first]
+        self.q, self.low = q[first], starts[first]
+        self.gram = mix(least[first] ^ _U(0xA0761D6478BD642F))  # least hashes are small: spread anew
         self.high = starts[np.append(first[1:], len(q)) - 1] if len(q) else starts
         self.doc = np.repeat(np.arange(w.n_docs), sizes)[first]
         self.base = w.bounds[self.doc]
@@ -113,15 +116,15 @@ def _spans(places: np.ndarray, sizes: np.ndarray, step: int = 1) -> np.ndarray:
     return np.repeat(places, sizes) + step * (np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - sizes, sizes))
 
 
-def _suffixes(docs: DataFrame, words: int, k: int, once, hot) -> DataFrame:
-    """Suffixes of prefixes that neither stand once nor too often, with the words beside their first k."""
+def _suffixes(docs: DataFrame, words: int, k: int, wanted) -> DataFrame:
+    """Suffixes of the prefixes that ``wanted`` picks, with the words beside their first k."""
 
     def run(batches):
         for batch in batches:
             ids, texts = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for w in word_slices(batch.column(2)):
                 a = _Anchors(w, words, k)
-                keep = np.flatnonzero(_held(once.value, a.gram) & ~_held(hot.value, a.gram))
+                keep = np.flatnonzero(wanted(a.gram))
                 q, doc = a.q[keep], w.first + a.doc[keep]
                 left, right = q - a.low[keep], words - k - (q - a.high[keep])
                 # Right words, then left ones from the nearest on.
@@ -138,27 +141,64 @@ def _suffixes(docs: DataFrame, words: int, k: int, once, hot) -> DataFrame:
     return docs.mapInArrow(run, "gram long, id long, hash long, q long, left int, right int, beside binary")
 
 
-def _frequent_windows(docs: DataFrame, words: int, k: int, hot) -> DataFrame:
-    """Windows whose anchor's prefix stands too often for a task, each with its whole passage as key."""
+def _beside(batch: pa.RecordBatch, n_left: int, n_right: int, span: int) -> list[np.ndarray]:
+    """Words to the right and to the left of each suffix of a batch, the nearest first, as rows of two matrices."""
+    left, right = (batch.column(i).to_numpy().astype(np.int64) for i in (n_left, n_right))
+    n, beside = len(batch), batch.column("beside")
+    _, where, data = beside.buffers()
+    offsets = np.frombuffer(where, np.int32)[beside.offset : beside.offset + n + 1].astype(np.int64)
+    flat = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]].view(_U) if n and offsets[-1] > offsets[0] else np.zeros(0, _U)
+    at = (offsets[:-1] - offsets[0]) // 8
+    sides = []
+    for begin, size in ((at, right), (at + right, left)):
+        matrix = np.zeros((span, n), _U)
+        matrix[_spans(np.zeros(n, np.int64), size), np.repeat(np.arange(n), size)] = flat[_spans(begin, size)]
+        sides.append(matrix)
+    return sides
 
-    def run(batches):
+
+def _frequent(suffixes: DataFrame, words: int, k: int) -> DataFrame:
+    """:func:`repeated_windows` of prefixes with too many suffixes for a task.
+
+    Suffixes with the same words count as one, at their least place; of these only the
+    windows are taken apart, each with all its words as its prefix.
+    """
+    span = words - k
+    content = ["gram", "left", "right", "beside"]
+    keyed = suffixes.withColumns({"ka": F.xxhash64(*content), "kb": F.xxhash64(F.lit(1), *content)})
+    keyed = materialize(keyed)
+    firsts = keyed.groupBy("ka", "kb").agg(F.min(F.struct("id", "hash", "q")).alias("first"), *(F.first(c).alias(c) for c in content))
+    firsts = materialize(firsts.select("ka", "kb", "first.id", "first.hash", "first.q", *content))
+
+    def windows(batches):
         for batch in batches:
-            ids, texts = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            for w in word_slices(batch.column(2)):
-                a = _Anchors(w, words, k)
-                keep = np.flatnonzero(_held(hot.value, a.gram))
-                sizes = a.high[keep] - a.low[keep] + 1
-                start = _spans(a.low[keep], sizes)
-                doc, base = np.repeat(w.first + a.doc[keep], sizes), np.repeat(a.base[keep], sizes)
-                ka, kb = np.zeros(len(start), _U), np.ones(len(start), _U)
-                for j in range(words):
-                    h = a.hashes[start + j]
-                    ka, kb = mix(ka * _U(0x2545F4914F6CDD1D) + h), mix(kb * _U(0xD6E8FEB86659FD93) ^ h)
+            right, left = _beside(batch, 6, 7, span)
+            n_left, n_right = batch.column(6).to_numpy(), batch.column(7).to_numpy()
+            gram = batch.column(5).to_numpy().view(_U)
+            for back in range(span + 1):
+                rows = np.flatnonzero((n_left >= back) & (span - n_right <= back))
+                keys = []
+                for seed in (0x2545F4914F6CDD1D, 0xD6E8FEB86659FD93):
+                    key = mix(gram[rows] ^ _U(seed)) + _U(back)
+                    for word in (*right[: span - back], *left[:back]):
+                        key = mix(key * _U(seed) + word[rows])
+                    keys.append(pa.array(key.view(np.int64)))
+                at = pa.array(rows)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ka.view(np.int64)), pa.array(kb.view(np.int64)), pa.array(ids[doc]), pa.array(texts[doc]), pa.array(start - base)], ["ka", "kb", "id", "hash", "start"]
+                    [*keys, *(batch.column(i).take(at) for i in range(5)), pa.array(np.full(len(rows), back, np.int32))], ["wa", "wb", "ka", "kb", "id", "hash", "q", "back"]
                 )
 
-    return docs.mapInArrow(run, "ka long, kb long, id long, hash long, start long")
+    each = firsts.mapInArrow(windows, "wa long, wb long, ka long, kb long, id long, hash long, q long, back int")
+    place = F.struct("id", "hash", "q")
+    least = each.groupBy("wa", "wb").agg(F.min(place).alias("least"))
+    late = each.join(least, ["wa", "wb"]).filter(place > F.col("least"))
+    bits = late.groupBy("ka", "kb").agg(F.sum(F.expr(f"shiftleft(1L, {span} - back)")).alias("late"))
+    known = firsts.select("ka", "kb", place.alias("first")).join(bits, ["ka", "kb"], "left")
+    met = keyed.select("ka", "kb", "id", "hash", "q", "left", "right").join(known, ["ka", "kb"])
+    # Another one of the same words repeats all windows of the first; bit span - back for each of them.
+    every = F.expr(f"shiftleft(2L, right) - shiftleft(1L, {span} - left)")
+    met = met.select("id", "hash", (F.col("q") - span).alias("start"), F.when(place > F.col("first"), every).otherwise(F.coalesce("late", F.lit(0))).alias("bits"))
+    return met.filter("bits <> 0")
 
 
 def _depths(keys: list[np.ndarray], group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -176,16 +216,7 @@ def _repeated(batch: pa.RecordBatch, words: int, k: int) -> pa.RecordBatch:
     """Windows of whole groups of suffixes that aren't the first place of their passage, as bits from ``start`` on."""
     group, ids, texts, q, left, right = (batch.column(i).to_numpy() for i in range(6))
     left, right, n, span = left.astype(np.int64), right.astype(np.int64), len(batch), words - k
-    beside = batch.column(6)
-    _, where, data = beside.buffers()
-    offsets = np.frombuffer(where, np.int32)[beside.offset : beside.offset + n + 1].astype(np.int64)
-    flat = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]].view(_U) if n and offsets[-1] > offsets[0] else np.zeros(0, _U)
-    at = (offsets[:-1] - offsets[0]) // 8
-    sides = []
-    for begin, size in ((at, right), (at + right, left)):
-        matrix = np.zeros((span, n), _U)
-        matrix[_spans(np.zeros(n, np.int64), size), np.repeat(np.arange(n), size)] = flat[_spans(begin, size)]
-        sides.append(_depths(list(matrix), group))
+    sides = [_depths(list(matrix), group) for matrix in _beside(batch, 4, 5, span)]
     by_place = np.lexsort((q, texts, ids))
     place = np.zeros(n, np.int64)
     step = (ids[by_place][1:] != ids[by_place][:-1]) | (texts[by_place][1:] != texts[by_place][:-1]) | (q[by_place][1:] != q[by_place][:-1])
@@ -231,7 +262,8 @@ def repeated_windows(docs: DataFrame, words: int) -> DataFrame:
     n_often = often.count()
     once = spark.sparkContext.broadcast(_filter(counts, counts.count()))
     hot = spark.sparkContext.broadcast(_filter(often, n_often))
-    suffixes = _suffixes(docs, words, k, once, hot).repartition("gram").sortWithinPartitions("gram")
+    few = lambda gram: _held(once.value, gram) & ~_held(hot.value, gram)
+    suffixes = _suffixes(docs, words, k, few).repartition("gram").sortWithinPartitions("gram")
 
     def trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -249,10 +281,7 @@ def repeated_windows(docs: DataFrame, words: int) -> DataFrame:
 
     found = suffixes.mapInArrow(trees, "id long, hash long, start long, bits long")
     if n_often:
-        windows = materialize(_frequent_windows(docs, words, k, hot))
-        firsts = windows.groupBy("ka", "kb").agg(F.min(F.struct("id", "hash", "start")).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
-        late = windows.join(firsts, ["ka", "kb"]).filter(F.struct("id", "hash", "start") > F.col("first"))
-        found = found.union(late.select("id", "hash", "start", F.lit(1).cast("long").alias("bits")))
+        found = found.union(_frequent(_suffixes(docs, words, k, lambda gram: _held(hot.value, gram)), words, k))
     return found
 
 
