@@ -1,26 +1,31 @@
-"""Left alignment of one variant inside known reference bases (H4, after Tan, Abecasis & Kang 2015)."""
+"""Shortest form of a variant (H4)."""
 
 from __future__ import annotations
 
+import pandas as pd
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
-def left_align_indel(pos: int, ref: str, alt: str, sequence: str | None, first: int) -> tuple[int, str, str, bool]:
-    """Position, alleles, and whether ``ref`` agrees with ``sequence``, whose first base is at ``first``."""
-    at = pos - first
-    if not sequence or at < 0 or sequence[at : at + len(ref)].upper() != ref.upper():
-        return pos, ref, alt, False
-    if ref.upper() == alt.upper():
-        return pos, ref, alt, True
-    moving = True
-    while moving:
-        moving = False
-        if ref and alt and ref[-1].upper() == alt[-1].upper():
-            ref, alt, moving = ref[:-1], alt[:-1], True
-        if not ref or not alt:
-            if at == 0:  # the base before isn't known here
-                after = sequence[len(ref) : len(ref) + 1]
-                return pos, ref + after, alt + after, True
-            at, pos, moving = at - 1, pos - 1, True
-            ref, alt = sequence[at] + ref, sequence[at] + alt
-    while len(ref) > 1 and len(alt) > 1 and ref[0].upper() == alt[0].upper():
-        ref, alt, pos = ref[1:], alt[1:], pos + 1
-    return pos, ref, alt, True
+
+def shortest(pos: int, ref: str, alt: str) -> tuple[int, str, str]:
+    """Position and alleles without the bases that both end with, then those that both begin with.
+
+    Of an insertion or a deletion one allele is empty; of others each keeps a base.
+    """
+    a, b, n = ref.upper(), alt.upper(), min(len(ref), len(alt))
+    tail = 0
+    while tail < n and a[len(a) - 1 - tail] == b[len(b) - 1 - tail]:
+        tail += 1
+    head = 0
+    while head < n - tail and a[head] == b[head]:
+        head += 1
+    return pos + head, ref[head : len(ref) - tail], alt[head : len(alt) - tail]
+
+
+def _shortest(pos: pd.Series, ref: pd.Series, alt: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([shortest(*x) for x in zip(pos, ref, alt, strict=True)], columns=["at", "drop", "add"])
+
+
+def simplest(pos: str, ref: str, alt: str) -> Column:
+    """:func:`shortest` of columns, as a struct ``at, drop, add``."""
+    return F.pandas_udf(_shortest, "at long, drop string, add string")(pos, ref, alt)

@@ -4,11 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.alleles import left_align_indel
 from ..functions.cigar import aligned_runs
 from ..functions.columns import KEY
 
@@ -135,38 +133,12 @@ def trim_alleles(calls: DataFrame) -> DataFrame:
     return out.drop("_s", "_p")
 
 
-def left_align(calls: DataFrame, reference: DataFrame, chunk: int) -> DataFrame:
-    """Indels moved as far left as the reference allows, within the chunk before their own.
-
-    ``reference``: ``chrom, chunk_index, sequence``, ``chunk`` bases each (positions
-    from 1 in chunk 0). Adds ``ref_matches``: whether ``ref`` is what the reference
-    has; others are returned unmoved.
-    """
-    at = F.floor((F.col("pos") - 1) / chunk).cast("long")
-    around = F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda d: at + d)
-    keyed = calls.withColumn("_id", F.xxhash64(*KEY)).withColumn("_home", at)
-    sites = keyed.select("_id", *KEY, "_home").distinct().withColumn("chunk_index", F.explode(around))
-    parts = sites.join(reference, ["chrom", "chunk_index"]).groupBy("_id", *KEY, "_home").agg(F.array_sort(F.collect_list(F.struct("chunk_index", "sequence"))).alias("parts"))
-    parts = parts.select("_id", *KEY, F.array_join(F.transform("parts", lambda p: p["sequence"]), "").alias("seq"), (F.col("parts")[0]["chunk_index"] * chunk + 1).alias("first"))
-
-    @F.pandas_udf("pos long, ref string, alt string, ref_matches boolean")
-    def align(pos: pd.Series, ref: pd.Series, alt: pd.Series, seq: pd.Series, first: pd.Series) -> pd.DataFrame:
-        rows = [left_align_indel(*x) for x in zip(pos, ref, alt, seq, first, strict=True)]
-        return pd.DataFrame(rows, columns=["pos", "ref", "alt", "ref_matches"])
-
-    moved = parts.withColumn("_m", align("pos", "ref", "alt", "seq", "first")).select(*[F.col(k).alias(f"_{k}") for k in KEY], "_m")
-    same = [calls[k].eqNullSafe(moved[f"_{k}"]) for k in KEY]
-    out = calls.join(moved, (same[0] & same[1] & same[2] & same[3]), "left")
-    new = {k: F.coalesce(F.col(f"_m.{k}"), F.col(k)) for k in ("pos", "ref", "alt")}
-    return out.withColumn("ref_matches", F.coalesce(F.col("_m.ref_matches"), F.lit(False))).withColumns(new).drop("_m", *[f"_{k}" for k in KEY])
-
-
 def pileup_counts(reads: DataFrame, reference: DataFrame, chunk: int) -> DataFrame:
     """Bases seen at each position of a clone: ``clone_id, chrom, pos, ref, alt, n_alt, depth``.
 
     ``reads``: ``clone_id, chrom, start`` (from 0), ``cigar, seq, flag``; unmapped,
     secondary, failed and duplicate reads are left out. ``reference`` as in
-    :func:`left_align`; rows where ``alt`` is ``ref`` give the reference count. Counts
+    :func:`~cladeworks.operators.alignment.left_align`; rows where ``alt`` is ``ref`` give the reference count. Counts
     are added up within each task before the shuffle.
     """
     used = reads.filter("(flag & 1796) = 0").select("clone_id", "chrom", "start", "seq", F.explode(aligned_runs(F.col("cigar"))).alias("r"))

@@ -15,6 +15,7 @@ from ..operators import pseudobulk as P
 from ..operators import report as R
 from ..operators import tree as T
 from ..operators import validate as V
+from ..operators.alignment import left_align
 from ..functions.staging import staging_path
 from ..sources import readers, writers
 from .testdata import view, with_views
@@ -152,17 +153,30 @@ query("e5_trim_alleles", f"SELECT chrom, pos + 2 AS pos, ref, alt FROM (SELECT D
 )
 
 
+#: Reference of the indels: this text again and again, with runs over several chunks of 64.
+_MOTIF = "GATTACAC" * 8 + "T" * 200 + "CA" * 60 + "ACGGTCTA" * 8
+
+
 def _aligned(get) -> DataFrame:
-    """A deletion of one base in a run of equal bases of a reference that repeats ``ACGTTTTT``."""
+    """Insertions of one and two bases, deletions of 1, 2 and 150 behind each call's position."""
     size = 64
+    n = len(_MOTIF)
     top = get("calls").groupBy("chrom").agg((F.max("pos") + 1000).alias("top"))
-    chunks = top.select("chrom", F.explode(F.sequence(F.lit(0), F.floor(F.col("top") / size))).alias("chunk_index")).withColumn("sequence", F.repeat(F.lit("ACGTTTTT"), size // 8))
-    start = F.floor(F.col("pos") / 8) * 8 + 1
-    calls = get("calls").select("chrom", (start + 6).alias("pos"), F.lit("TT").alias("ref"), F.lit("T").alias("alt")).distinct()
-    return K.left_align(calls, chunks, size)
-
-
-query("e5_left_align", "SELECT DISTINCT chrom, CAST(floor(pos / 8) AS BIGINT) * 8 + 3 AS pos, 'GT' AS ref, 'G' AS alt, true AS ref_matches FROM calls")(_aligned)
+    chunks = top.select("chrom", F.explode(F.sequence(F.lit(0), F.floor(F.col("top") / size))).alias("chunk_index"))
+    chunks = chunks.withColumn("sequence", F.substring(F.repeat(F.lit(_MOTIF), 2), (F.col("chunk_index") * size % n + 1).cast("int"), F.lit(size)))
+    calls = get("calls").select("chrom", "pos", (F.floor(F.col("pos") / 100) % 5).alias("kind")).distinct()
+    there = lambda size: F.substring(F.repeat(F.lit(_MOTIF), 2), ((F.col("pos") - 1) % n + 1).cast("int"), size)
+    gone = F.element_at(F.array(*[F.lit(x) for x in (1, 2, 0, 0, 150)]), (F.col("kind") + 1).cast("int"))
+    come = F.element_at(F.array(*[F.lit(x) for x in ("", "", "T", "CA", "")]), (F.col("kind") + 1).cast("int"))
+    return left_align(calls.select("chrom", "pos", there(gone + 1).alias("ref"), F.concat(there(F.lit(1)), come).alias("alt")), chunks, size)
+
+
+query("e5_left_align", f"""
+WITH RECURSIVE v AS (SELECT DISTINCT chrom, pos, CAST(floor(pos / 100) AS BIGINT) % 5 AS kind FROM calls), m AS (SELECT repeat('{_MOTIF}', 2) AS m, {len(_MOTIF)} AS n),
+s AS (
+  SELECT chrom, pos, kind, pos + 1 AS q, CASE kind WHEN 2 THEN 'T' WHEN 3 THEN 'CA' ELSE substr(m, pos % n + 1, [1, 2, 0, 0, 150][kind + 1]) END AS b, substr(m, (pos - 1) % n + 1, 1) AS f FROM v, m
+  UNION ALL SELECT chrom, pos, kind, q - 1, f || left(b, length(b) - 1), substr(m, (q - 3) % n + 1, 1) FROM s, m WHERE f = right(b, 1) AND q > 2)
+SELECT chrom, q - 1 AS pos, CASE WHEN kind IN (2, 3) THEN f ELSE f || b END AS ref, CASE WHEN kind IN (2, 3) THEN f || b ELSE f END AS alt, true AS ref_matches FROM s WHERE f <> right(b, 1)""")(_aligned)
 query("e6_clone_and_caller", "SELECT DISTINCT clone_id, caller FROM files")(
     lambda get: get("files").distinct().select(*[c.alias(n) for c, n in zip(C.clone_and_caller(F.concat(F.lit("/x/"), "clone_id", F.lit("."), "caller", F.lit(".norm.vcf.gz"))), ("clone_id", "caller"), strict=True)])
 )

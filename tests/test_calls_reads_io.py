@@ -1,11 +1,13 @@
 import gzip
+import random
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 from example import NEWICK, nodes
 
-from cladeworks.functions.alleles import left_align_indel
 from cladeworks.functions.cigar import aligned_runs, five_prime, reference_length
+from cladeworks.operators import alignment
 from cladeworks.operators import calls as K
 from cladeworks.operators import compare as X
 from cladeworks.operators import pseudobulk as P
@@ -113,12 +115,45 @@ def test_sam_duplicates_and_coverage(spark, tmp_path):
     assert (f.total, f.mapped, f.paired, f.read1) == (8, 6, 6, 6)
 
 
-def test_left_alignment_and_cigar():
-    seq = "GGGCACACACATTT"
-    assert left_align_indel(9, "ACA", "A", seq, 1) == (3, "GCA", "G", True)
-    assert left_align_indel(12, "TT", "T", seq, 1) == (11, "AT", "A", True)
-    assert left_align_indel(4, "C", "T", seq, 1) == (4, "C", "T", True)
-    assert left_align_indel(4, "G", "T", seq, 1)[3] is False
+def step_by_step(seq, pos, ref, alt):
+    """Left alignment of one variant by single steps."""
+    at = pos - 1
+    if at < 0 or not ref or seq[at : at + len(ref)] != ref:
+        return pos, ref, alt, False
+    moving = ref != alt
+    while moving:
+        moving = False
+        if ref and alt and ref[-1] == alt[-1]:
+            ref, alt, moving = ref[:-1], alt[:-1], True
+        if not ref or not alt:
+            if at == 0:
+                after = seq[len(ref)]
+                return 1, ref + after, alt + after, True
+            at, moving = at - 1, True
+            ref, alt = seq[at] + ref, seq[at] + alt
+    while len(ref) > 1 and len(alt) > 1 and ref[0] == alt[0] and ref != alt:
+        ref, alt, at = ref[1:], alt[1:], at + 1
+    return at + 1, ref, alt, True
+
+
+@pytest.mark.parametrize("chunk", [4, 16, 1000])
+def test_left_alignment_over_any_distance(spark, chunk):
+    rnd = random.Random(1)
+    seqs = {"runs": "AC" + "T" * 400 + "GATC" * 30 + "A" * 5, "start": "T" * 90 + "GTGTGT", "mixed": "".join(rnd.choice(["A" * rnd.randint(1, 9), "CA" * rnd.randint(1, 12), "GTA" * rnd.randint(1, 6), "C"]) for _ in range(60))}
+    rows = [("runs", 380, "TT", "T"), ("runs", 402, "T", "TTTT"), ("start", 90, "T", "TT"), ("start", 80, "TTT", "T"), ("runs", 3, "T" * 300 + "T", "T"), ("runs", 5, "G", "C"), ("runs", 5, "T", "<DEL>"), ("none", 5, "T", "TT"), ("runs", 0, "A", "AC"), (None, 5, "T", "TT"), ("runs", 5, "T", None)]
+    for chrom, seq in seqs.items():
+        for _ in range(120):
+            p, n, m = rnd.randint(1, len(seq) - 50), rnd.randint(1, 40), rnd.randint(1, 40)
+            ref = seq[p - 1 : p - 1 + n]
+            alt = rnd.choice([ref[: rnd.randint(1, n)], ref + seq[p - 1 + n :][:m], ref[0] + ref, ref + "".join(rnd.choice("ACGT") for _ in range(m % 4 + 1)), "ACGT"[m % 4]])
+            rows.append((chrom, p, ref, alt))
+    rows += rows[:5]
+    reference = spark.createDataFrame([(c, i // chunk, s[i : i + chunk]) for c, s in seqs.items() for i in range(0, len(s), chunk)], "chrom string, chunk_index int, sequence string")
+    calls = spark.createDataFrame([(*r, 1, "x") for r in rows], "chrom string, pos long, ref string, alt string, id int, bases string")
+    got = sorted(alignment.left_align(calls, reference, chunk).select("chrom", "pos", "ref", "alt", "ref_matches").collect(), key=str)
+    odd = {"<DEL>": True, None: False}
+    want = [(c, p, r, a, odd[a]) if a in odd else (c, *step_by_step(seqs.get(c, ""), p, r, a)) for c, p, r, a in rows]
+    assert [tuple(r) for r in got] == sorted(((c, p, r, a, bool(k)) for c, p, r, a, k in want), key=lambda x: str(Row(chrom=x[0], pos=x[1], ref=x[2], alt=x[3], ref_matches=x[4])))
 
 
 def test_cigars(spark):
