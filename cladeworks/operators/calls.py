@@ -1,4 +1,4 @@
-"""Call tables: filters, joins with resources, allele normalisation."""
+"""Call tables: filters, joins with resources, allele normalisation."""
 
 from __future__ import annotations
 
@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 from ..functions.cigar import aligned_runs
 from ..functions.columns import KEY
 
-BIN = 16_384
-BROADCAST_INTERVALS = 200_000
-
 
 def pass_filter(calls: DataFrame, pass_only: bool = True) -> DataFrame:
     """Records without a filter, or with ``PASS`` among theirs; all if switched off."""
@@ -46,21 +43,6 @@ def match_normals(clones: DataFrame, cells: DataFrame, normals: DataFrame) -> Da
     return patients.join(normal, "patient_id", "left").select("clone_id", "patient_id", "normal_id", "normal_bam")
 
 
-def restrict_to_intervals(rows: DataFrame, bed: DataFrame, pos: str = "pos") -> DataFrame:
-    """Rows whose position (from 1) lies in an interval ``chrom, start, end`` (from 0, end not included).
-
-    Few intervals (checked) are broadcast; many meet the rows in bins of 16,384 bases.
-    """
-    inside = (F.col(f"r.{pos}") > F.col("i.start")) & (F.col(f"r.{pos}") <= F.col("i.end"))
-    bed = bed.select("chrom", "start", "end")
-    if bed.limit(BROADCAST_INTERVALS + 1).count() <= BROADCAST_INTERVALS:
-        return rows.alias("r").join(F.broadcast(bed).alias("i"), (F.col("r.chrom") == F.col("i.chrom")) & inside, "left_semi")
-    bins = F.sequence(F.floor(F.col("start") / BIN), F.floor((F.col("end") - 1) / BIN))
-    bed = bed.filter("end > start").withColumn("_bin", F.explode(bins))
-    rows = rows.withColumn("_bin", F.floor((F.col(pos) - 1) / BIN))
-    return rows.alias("r").join(bed.alias("i"), (F.col("r.chrom") == F.col("i.chrom")) & (F.col("r._bin") == F.col("i._bin")) & inside, "left_semi").drop("_bin")
-
-
 def drop_known(calls: DataFrame, panel: DataFrame) -> DataFrame:
     """Calls whose key isn't in a panel of normals."""
     return calls.join(panel.select(*KEY).distinct(), KEY, "left_anti")

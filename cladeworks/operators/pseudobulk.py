@@ -10,12 +10,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.cigar import five_prime
+from ..functions.staging import staged
 
 # Bits of the SAM flag.
 PAIRED, PROPER, UNMAPPED, MATE_UNMAPPED, REVERSE, MATE_REVERSE, READ1, READ2, SECONDARY, QC_FAIL, DUPLICATE, SUPPLEMENTARY = (1 << i for i in range(12))
 SKIPPED = UNMAPPED | SECONDARY | QC_FAIL | DUPLICATE
 TILE = 500
 BROADCAST_CELLS = 1_000_000
+BROADCAST_GROUPS = 500_000  # 20 MB
 
 
 def _bit(mask: int) -> Column:
@@ -67,25 +69,39 @@ def build_pseudobulk(reads: DataFrame, assignments: DataFrame, sort: bool = True
     return ranged.sortWithinPartitions(*order)
 
 
+def _grid(reads: DataFrame, rows: DataFrame) -> DataFrame:
+    """Each clone of ``reads`` with each of ``rows``: the clones are broadcast while their checked number allows."""
+    clones = staged(reads.select("clone_id").distinct())
+    few = clones.limit(BROADCAST_CELLS + 1).count() <= BROADCAST_CELLS
+    return rows.crossJoin(F.broadcast(clones) if few else clones)
+
+
 def mark_duplicates(reads: DataFrame, across_cells: bool = False, enabled: bool = True) -> DataFrame:
     """Set the duplicate bit on all but the best read of each group; no read is removed.
 
     A group shares clone, cell (unless ``across_cells``), chromosome, unclipped 5'
-    position, strand and the mate's position and strand; the largest sum of base
-    qualities is best, ties go to the smaller ``read_id``. Unmapped, secondary and
-    supplementary reads are left as they are.
+    position, strand and the mate's position and strand, nulls being equal; the largest
+    sum of base qualities is best, ties go to the smaller ``read_id``, which names one
+    read of a group. Unmapped, secondary and supplementary reads are left as they are.
+    Groups of several reads are broadcast up to a checked number, so that reads needn't move.
     """
     if not enabled:
         return reads
     takes = F.col("flag").bitwiseAND(UNMAPPED | SECONDARY | SUPPLEMENTARY) == 0
     five = five_prime(F.col("start"), F.col("cigar"), _bit(REVERSE))
-    key = ["clone_id", *([] if across_cells else ["cell_id"]), "chrom", five, "mate_chrom", "mate_start", F.col("flag").bitwiseAND(REVERSE | MATE_REVERSE)]
-    # The group as 128 bits, so that rows are sorted by numbers; what takes no part would be one group by position, and its own id deals it out.
-    own = lambda *seed: F.when(takes, F.xxhash64(*seed, *key)).otherwise(F.xxhash64(*seed, "read_id"))
-    rows = reads.withColumns({"_takes": takes, "_a": own(F.lit(1)), "_b": own(F.lit(2))})
-    rank = F.row_number().over(Window.partitionBy("_takes", "_a", "_b").orderBy(F.desc("base_quality"), "read_id"))
-    flag = F.when(F.col("_takes") & (F.col("_r") > 1), F.col("flag").bitwiseOR(DUPLICATE)).otherwise(F.col("flag"))
-    return rows.withColumn("_r", rank).withColumn("flag", flag).select(reads.columns)
+    key = ["clone_id", *([] if across_cells else ["cell_id"]), "chrom", "mate_chrom", "mate_start"]
+    key = [*(F.col(c) for c in key), five, F.col("flag").bitwiseAND(REVERSE | MATE_REVERSE), *(F.col(c).isNull() for c in key)]
+    # The group as 128 bits; only numbers are added up, within tasks first, so that a pile of reads is a row for each of them.
+    rows = reads.withColumns({"_takes": takes, "_a": F.when(takes, F.xxhash64(*key)), "_b": F.when(takes, F.xxhash64(F.lit(1), *key)), "_q": F.coalesce(F.col("base_quality").cast("double"), F.lit(float("-inf")))})
+    groups = rows.filter("_takes").groupBy("_a", "_b").agg(F.count("*").alias("_n"), F.max("_q").alias("_top")).filter("_n > 1")
+    groups = staged(groups.select("_a", "_b", "_top"))
+    few = groups.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS
+    hint = (lambda df: F.broadcast(df)) if few else (lambda df: df)
+    tied = rows.filter("_takes").select("_a", "_b", "_q", "read_id").join(hint(groups), ["_a", "_b"]).filter("_q = _top")
+    best = staged(tied.groupBy("_a", "_b").agg(F.min("read_id").alias("_best")).withColumn("_known", F.lit(True)))
+    out = rows.join(hint(best), ["_a", "_b"], "left")
+    flag = F.when(F.col("_known") & ~F.col("read_id").eqNullSafe(F.col("_best")), F.col("flag").bitwiseOR(DUPLICATE)).otherwise(F.col("flag"))
+    return out.withColumn("flag", flag).select(reads.columns)
 
 
 def flag_stats(reads: DataFrame, by: str = "clone_id") -> DataFrame:
@@ -146,12 +162,30 @@ def coverage_summary(reads: DataFrame, chrom_sizes: DataFrame, tile: int = TILE)
     per = _steps(reads, tile).groupBy("clone_id", "chrom").agg(
         F.sum((F.col("until") - F.col("pos")) * F.col("depth")).alias("bases"), F.sum(F.col("until") - F.col("pos")).alias("covered"), F.min("depth").alias("low"), F.max("depth").alias("max_depth")
     )
-    grid = reads.select("clone_id").distinct().crossJoin(F.broadcast(chrom_sizes.select("chrom", "length")))
+    grid = _grid(reads, chrom_sizes.select("chrom", "length"))
     out = grid.join(per, ["clone_id", "chrom"], "left").fillna(0)
     least = F.when(F.col("covered") < F.col("length"), 0).otherwise(F.col("low"))
     return out.select("clone_id", "chrom", "length", "bases", (F.col("bases") / F.col("length")).alias("mean_depth"), least.alias("min_depth"), "max_depth")
 
 
+def coverage_targets(reads: DataFrame, targets: DataFrame, tile: int = TILE) -> DataFrame:
+    """Depth over each target ``chrom, start, end`` (from 0, end not included) in each clone.
+
+    Returns ``clone_id, chrom, start, end, bases, mean_depth, max_depth, covered`` (bases
+    of the target with any read); targets without reads have zeros, equal targets are
+    one, targets without a base are left out. Runs of depth and targets are both cut at
+    tiles and meet there, so neither a deep locus nor a long target is one task. Reads
+    count as in :func:`coverage_windows`.
+    """
+    wanted = targets.select("chrom", "start", "end").filter("end > start").distinct()
+    tiles = F.sequence(F.floor(F.col("start") / tile), F.floor((F.col("end") - 1) / tile))
+    pieces = wanted.withColumn("tile", F.explode(tiles)).withColumns({"a": F.greatest("start", F.col("tile") * tile), "b": F.least("end", (F.col("tile") + 1) * tile)})
+    met = _steps(reads, tile).join(pieces, ["chrom", "tile"]).filter("pos < b AND until > a").withColumn("shared", F.least("until", "b") - F.greatest("pos", "a"))
+    per = met.groupBy("clone_id", "chrom", "start", "end").agg(F.sum(F.col("shared") * F.col("depth")).alias("bases"), F.max("depth").alias("max_depth"), F.sum("shared").alias("covered"))
+    out = _grid(reads, wanted).join(per, ["clone_id", "chrom", "start", "end"], "left").fillna(0, ["bases", "max_depth", "covered"])
+    return out.select("clone_id", "chrom", "start", "end", "bases", (F.col("bases") / (F.col("end") - F.col("start"))).alias("mean_depth"), "max_depth", "covered")
+
+
 def coverage_distribution(reads: DataFrame, chrom_sizes: DataFrame, tile: int = TILE) -> DataFrame:
     """Per clone and depth the bases of just that depth and the share of the genome that has it or more."""
     per = _steps(reads, tile).groupBy("clone_id", "depth").agg(F.sum(F.col("until") - F.col("pos")).alias("bases"))

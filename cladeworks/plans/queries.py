@@ -16,6 +16,7 @@ from ..operators import report as R
 from ..operators import tree as T
 from ..operators import validate as V
 from ..operators.alignment import left_align
+from ..operators.intervals import restrict_to_intervals
 from ..functions.staging import staging_path
 from ..sources import readers, writers
 from .testdata import view, with_views
@@ -100,7 +101,10 @@ SELECT clone_id, {KEYS}, n_alt, CAST(depth AS BIGINT) AS depth, round(n_alt / de
 query("j5_match_normals", """
 SELECT DISTINCT clone_id, c.patient_id, n.sample_id AS normal_id, n.bam_path AS normal_bam FROM assignments JOIN cells c USING (cell_id) LEFT JOIN normals n USING (patient_id)""")(lambda get: K.match_normals(get("assignments"), get("cells"), get("normals")))
 query("j6_restrict_to_intervals", f"SELECT clone_id, caller, {KEYS} FROM calls c WHERE EXISTS (SELECT 1 FROM bed b WHERE b.chrom = c.chrom AND c.pos > b.start AND c.pos <= b.\"end\")")(
-    lambda get: K.restrict_to_intervals(get("calls"), get("bed")).select("clone_id", "caller", *C.KEY)
+    lambda get: restrict_to_intervals(get("calls"), get("bed")).select("clone_id", "caller", *C.KEY)
+)
+query("j6_overlapping_reads", "SELECT clone_id, cell_id, read_id FROM reads r WHERE EXISTS (SELECT 1 FROM genes b WHERE b.chrom = r.chrom AND b.start < r.\"end\" AND b.\"end\" > r.start)")(
+    lambda get: restrict_to_intervals(get("reads"), get("genes"), "start", "end").select("clone_id", "cell_id", "read_id")
 )
 query("j7_drop_known", f"SELECT clone_id, caller, {KEYS} FROM calls c WHERE NOT EXISTS (SELECT 1 FROM panel p WHERE p.chrom = c.chrom AND p.pos = c.pos AND p.ref = c.ref AND p.alt = c.alt)")(
     lambda get: K.drop_known(get("calls"), get("panel")).select("clone_id", "caller", *C.KEY)
@@ -339,8 +343,8 @@ query("t4_leaves", "SELECT tree_id, node_id, pre FROM nodes WHERE is_leaf ORDER
 query("t5_clade_leaves", f"SELECT n.tree_id, n.node_id, x.node_id AS leaf FROM nodes n JOIN nodes x ON {UNDER} WHERE NOT n.is_leaf AND x.is_leaf")(lambda get: T.clade_leaves(get("nodes")))
 query("t6_find_node", "SELECT tree_id, node_id, pre FROM nodes WHERE node_id = 'N7'")(lambda get: T.find_node(get("nodes"), "N7").select("tree_id", "node_id", "pre"))
 query("t7_mrca", """
-WITH k AS (SELECT tree_id, min(pre) AS lo, max(pre) AS hi FROM nodes WHERE is_leaf AND node_id IN (SELECT id FROM ids WHERE id LIKE '%21') GROUP BY 1), a AS (SELECT n.tree_id, arg_max(node_id, pre) AS mrca FROM nodes n JOIN k ON k.tree_id = n.tree_id AND pre <= lo AND last >= hi GROUP BY 1)
-SELECT DISTINCT nodes.tree_id, mrca FROM nodes LEFT JOIN a ON a.tree_id = nodes.tree_id""")(lambda get: T.mrca(get("nodes"), get("ids").filter("id LIKE '%21'")))
+WITH k AS (SELECT tree_id, min(pre) AS lo, max(pre) AS hi FROM nodes WHERE is_leaf AND node_id IN (SELECT id FROM dear) GROUP BY 1), a AS (SELECT n.tree_id, arg_max(node_id, pre) AS mrca FROM nodes n JOIN k ON k.tree_id = n.tree_id AND pre <= lo AND last >= hi GROUP BY 1)
+SELECT DISTINCT nodes.tree_id, mrca FROM nodes LEFT JOIN a ON a.tree_id = nodes.tree_id""")(lambda get: T.mrca(get("nodes"), get("dear")))
 query("t8_pairwise_distances", f"""
 WITH u AS (SELECT n.tree_id, n.root_dist AS up, x.node_id AS cell, x.root_dist AS r, n.pre AS np FROM nodes n JOIN nodes x ON {UNDER} WHERE NOT n.is_leaf AND x.is_leaf)
 SELECT a.tree_id, a.cell AS cell_a, b.cell AS cell_b, round(CASE WHEN a.cell = b.cell THEN 0 ELSE any_value(a.r) + any_value(b.r) - 2 * max(a.up) END, 6) AS dist FROM u a JOIN u b ON a.tree_id = b.tree_id AND a.np = b.np GROUP BY 1, 2, 3""")(lambda get: T.pairwise_distances(get("nodes")))
@@ -454,6 +458,10 @@ query("p8_coverage_windows", f"""SELECT clone_id, chrom, CAST(floor(p / 500) AS
 query("p8_coverage_summary", f"""
 SELECT c.clone_id, s.chrom, CAST(length AS BIGINT) AS length, CAST(coalesce(sum(depth), 0) AS BIGINT) AS bases, round(coalesce(sum(depth), 0) / length, 6) AS mean_depth, CASE WHEN count(depth) < length THEN 0 ELSE min(depth) END AS min_depth, coalesce(max(depth), 0) AS max_depth
 FROM (SELECT DISTINCT clone_id FROM reads) c CROSS JOIN {_SIZES} s LEFT JOIN {_DEPTH} d ON d.clone_id = c.clone_id AND d.chrom = s.chrom GROUP BY c.clone_id, s.chrom, s.length""")(lambda get: P.coverage_summary(get("reads"), chrom_sizes(get)))
+query("p8_coverage_targets", f"""
+WITH t AS (SELECT DISTINCT chrom, start, "end" FROM bed), g AS (SELECT t.*, clone_id FROM t CROSS JOIN (SELECT DISTINCT clone_id FROM reads))
+SELECT g.clone_id, g.chrom, g.start, g."end", CAST(coalesce(sum(depth), 0) AS BIGINT) AS bases, round(coalesce(sum(depth), 0) / (g."end" - g.start), 6) AS mean_depth, coalesce(max(depth), 0) AS max_depth, count(depth) AS covered
+FROM g LEFT JOIN {_DEPTH} d ON d.clone_id = g.clone_id AND d.chrom = g.chrom AND p >= start AND p < "end" GROUP BY 1, 2, 3, 4""")(lambda get: P.coverage_targets(get("reads"), get("bed")))
 _DIST = f"""(WITH k AS (SELECT clone_id, depth, count(*) AS bases FROM {_DEPTH} GROUP BY 1, 2), t AS (SELECT sum(length) AS total FROM {_SIZES}),
 a AS (SELECT clone_id, depth, bases FROM k UNION ALL SELECT clone_id, 0, any_value(total) - sum(bases) FROM k, t GROUP BY 1)
 SELECT clone_id, depth, CAST(bases AS BIGINT) AS bases, sum(bases) OVER (PARTITION BY clone_id ORDER BY depth DESC) / total AS share_at_least FROM a, t)"""

@@ -26,7 +26,7 @@ SELECT {_CELL.format("c_custkey")} AS cell_id, {_CLONE} AS clone_id, 'region' AS
 FROM {{customer}} JOIN {{nation}} ON c_nationkey = n_nationkey""",
     "normals": """
 SELECT 'N' || CAST(n_nationkey AS STRING) AS sample_id, 'P' || CAST(n_nationkey AS STRING) AS patient_id, '/normal/' || CAST(n_nationkey AS STRING) || '.bam' AS bam_path
-FROM {nation} WHERE n_nationkey % 2 = 0""",
+FROM {nation} WHERE n_nationkey IN (SELECT s_nationkey FROM {supplier} GROUP BY s_nationkey HAVING avg(s_acctbal) > 4000)""",
     # Two named levels above the cells of each region's tree; lengths in hundredths.
     "labelled": f"""
 SELECT 'T' || CAST(n_regionkey AS STRING) AS tree_id, n_regionkey AS r, n_nationkey AS n, CAST(c_custkey AS BIGINT) AS c, c_mktsegment AS s,
@@ -75,12 +75,15 @@ SELECT {_CELL.format("o_custkey")} AS cell_id, {_CLONE} AS clone_id,
     + CASE WHEN l_quantity < 3 THEN 8 ELSE 0 END + CASE WHEN l_tax > 0.07 THEN 256 ELSE 0 END + CASE WHEN l_linestatus = 'F' AND l_discount > 0.09 THEN 512 ELSE 0 END AS INT) AS flag,
   'chr' || CAST(1 + (l_suppkey + CASE WHEN l_quantity < 10 THEN 1 ELSE 0 END) % 22 AS STRING) AS mate_chrom, (l_partkey * 97 + l_linenumber * 13) % 20000 + 200 AS mate_start, CAST(l_extendedprice AS BIGINT) % 4000 AS base_quality
 FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey JOIN {{customer}} ON o_custkey = c_custkey JOIN {{nation}} ON c_nationkey = n_nationkey""",
-    "panel": "SELECT DISTINCT chrom, pos, ref, alt FROM {calls} WHERE pos % 700 = 0",
-    "germline": "SELECT 'chr' || CAST(1 + p_partkey % 22 AS STRING) AS chrom, 1000 + p_partkey * 100 AS pos, substr('ACGT', CAST(1 + p_partkey % 4 AS INT), 1) AS ref, substr('ACGT', CAST(1 + (p_partkey + 1) % 4 AS INT), 1) AS alt, p_retailprice / 2000 AS af FROM {part} WHERE p_partkey % 3 = 0",
-    "bed": "SELECT 'chr' || CAST(1 + p_partkey % 22 AS STRING) AS chrom, p_partkey * 100 AS start, p_partkey * 100 + 900 + p_partkey % 200 AS \"end\" FROM {part} WHERE p_partkey % 5 = 0",
+    "panel": "SELECT DISTINCT 'chr' || CAST(1 + p_partkey % 22 AS STRING) AS chrom, 1000 + p_partkey * 100 AS pos, substr('ACGT', CAST(1 + p_partkey % 4 AS INT), 1) AS ref, substr('ACGT', CAST(1 + (p_partkey + 1 + p_size % 3) % 4 AS INT), 1) AS alt FROM {part}",
+    "germline": "SELECT 'chr' || CAST(1 + p_partkey % 22 AS STRING) AS chrom, 1000 + p_partkey * 100 AS pos, substr('ACGT', CAST(1 + p_partkey % 4 AS INT), 1) AS ref, substr('ACGT', CAST(1 + (p_partkey + 1) % 4 AS INT), 1) AS alt, p_retailprice / 2000 AS af FROM {part}",
+    "bed": "SELECT 'chr' || CAST(1 + p_partkey % 22 AS STRING) AS chrom, p_partkey * 100 AS start, p_partkey * 100 + 900 + p_partkey % 200 AS \"end\" FROM {part}",
+    "genes": "SELECT 'chr' || CAST(1 + s_suppkey % 22 AS STRING) AS chrom, CAST(s_suppkey * 1777 % 20000 AS BIGINT) AS start, CAST(s_suppkey * 1777 % 20000 + 5 + s_suppkey % 40 AS BIGINT) AS \"end\" FROM {supplier}",
     "alleles": """
 SELECT clone_id, chrom, pos, ref, alt, CAST(count(*) AS BIGINT) AS n_alt FROM {calls} GROUP BY clone_id, chrom, pos, ref, alt""",
-    "ids": "SELECT cell_id AS id FROM {cells} WHERE cell_id LIKE '%1' OR cell_id LIKE '%2'",
+    # Cells with an order, and those with one of the dearest.
+    "ids": f"SELECT DISTINCT {_CELL.format('o_custkey')} AS id FROM {{orders}}",
+    "dear": f"SELECT DISTINCT {_CELL.format('o_custkey')} AS id FROM {{orders}} WHERE o_totalprice > (SELECT avg(o_totalprice) + 2 * stddev_pop(o_totalprice) FROM {{orders}})",
 }
 
 
