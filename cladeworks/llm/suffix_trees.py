@@ -116,8 +116,13 @@ def _spans(places: np.ndarray, sizes: np.ndarray, step: int = 1) -> np.ndarray:
     return np.repeat(places, sizes) + step * (np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - sizes, sizes))
 
 
-def _suffixes(docs: DataFrame, words: int, k: int, wanted) -> DataFrame:
-    """Suffixes of the prefixes that ``wanted`` picks, with the words beside their first k."""
+def _suffixes(docs: DataFrame, words: int, k: int, wanted, collapse: bool = False) -> DataFrame:
+    """Suffixes of the prefixes that ``wanted`` picks, with the words beside their first k.
+
+    With ``collapse`` those of one document with the same words are one row, at the
+    least place, and ``later`` holds their other places.
+    """
+    kinds = ["gram", "id", "hash", "q", "left", "right", "beside"]
 
     def run(batches):
         for batch in batches:
@@ -125,6 +130,9 @@ def _suffixes(docs: DataFrame, words: int, k: int, wanted) -> DataFrame:
             for w in word_slices(batch.column(2)):
                 a = _Anchors(w, words, k)
                 keep = np.flatnonzero(wanted(a.gram))
+                later = None
+                if collapse:
+                    keep, later = _same_words(a, keep, words, k)
                 q, doc = a.q[keep], w.first + a.doc[keep]
                 left, right = q - a.low[keep], words - k - (q - a.high[keep])
                 # Right words, then left ones from the nearest on.
@@ -133,12 +141,29 @@ def _suffixes(docs: DataFrame, words: int, k: int, wanted) -> DataFrame:
                 flat = a.hashes[at[np.argsort(order, kind="stable")]]
                 offsets = np.concatenate([[0], np.cumsum(8 * (left + right))]).astype(np.int32)
                 beside = pa.Array.from_buffers(pa.binary(), len(q), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(flat.tobytes())])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(a.gram[keep].view(np.int64)), pa.array(ids[doc]), pa.array(texts[doc]), pa.array(q - a.base[keep]), pa.array(left.astype(np.int32)), pa.array(right.astype(np.int32)), beside],
-                    ["gram", "id", "hash", "q", "left", "right", "beside"],
-                )
-
-    return docs.mapInArrow(run, "gram long, id long, hash long, q long, left int, right int, beside binary")
+                columns = [pa.array(a.gram[keep].view(np.int64)), pa.array(ids[doc]), pa.array(texts[doc]), pa.array(q - a.base[keep]), pa.array(left.astype(np.int32)), pa.array(right.astype(np.int32)), beside]
+                yield pa.RecordBatch.from_arrays([*columns, *([later] if collapse else [])], [*kinds, *(["later"] if collapse else [])])
+
+    return docs.mapInArrow(run, "gram long, id long, hash long, q long, left int, right int, beside binary" + (", later array<long>" if collapse else ""))
+
+
+def _same_words(a: _Anchors, keep: np.ndarray, words: int, k: int) -> tuple[np.ndarray, pa.ListArray]:
+    """Of the anchors ``keep`` the first of each document and words, and the places of the others."""
+    q = a.q[keep]
+    left, right = q - a.low[keep], words - k - (q - a.high[keep])
+    last = max(0, len(a.hashes) - 1)
+    key = mix(a.gram[keep] ^ (left * 64 + right).astype(_U))
+    for j in range(words - k):
+        for there, at in ((right > j, q + k + j), (left > j, q - 1 - j)):
+            word = a.hashes[np.clip(at, 0, last)] if len(q) else np.zeros(0, _U)
+            key = mix(key * _U(0x2545F4914F6CDD1D) + np.where(there, word, _U(0)))
+    order = np.lexsort((q, key, a.doc[keep]))
+    new = np.ones(len(order), bool)
+    new[1:] = (key[order][1:] != key[order][:-1]) | (a.doc[keep][order][1:] != a.doc[keep][order][:-1])
+    others = np.diff(np.append(np.flatnonzero(new), len(order))) - 1
+    offsets = np.concatenate([[0], np.cumsum(others)]).astype(np.int32)
+    places = (q - a.base[keep])[order][~new]
+    return keep[order[new]], pa.ListArray.from_arrays(pa.array(offsets), pa.array(places))
 
 
 def _beside(batch: pa.RecordBatch, n_left: int, n_right: int, span: int) -> list[np.ndarray]:
@@ -158,10 +183,10 @@ def _beside(batch: pa.RecordBatch, n_left: int, n_right: int, span: int) -> list
 
 
 def _frequent(suffixes: DataFrame, words: int, k: int) -> DataFrame:
-    """:func:`repeated_windows` of prefixes with too many suffixes for a task.
+    """Repeated windows of prefixes with too many suffixes for a task: ``id, hash, starts, bits`` (arrays).
 
-    Suffixes with the same words count as one, at their least place; of these only the
-    windows are taken apart, each with all its words as its prefix.
+    ``suffixes``: collapsed. Those with the same words count as one, at their least
+    place; of these only the windows are taken apart, each with all its words as its prefix.
     """
     span = words - k
     content = ["gram", "left", "right", "beside"]
@@ -194,11 +219,13 @@ def _frequent(suffixes: DataFrame, words: int, k: int) -> DataFrame:
     late = each.join(least, ["wa", "wb"]).filter(place > F.col("least"))
     bits = late.groupBy("ka", "kb").agg(F.sum(F.expr(f"shiftleft(1L, {span} - back)")).alias("late"))
     known = firsts.select("ka", "kb", place.alias("first")).join(bits, ["ka", "kb"], "left")
-    met = keyed.select("ka", "kb", "id", "hash", "q", "left", "right").join(known, ["ka", "kb"])
+    met = keyed.select("ka", "kb", "id", "hash", "q", "left", "right", "later").join(known, ["ka", "kb"])
     # Another one of the same words repeats all windows of the first; bit span - back for each of them.
     every = F.expr(f"shiftleft(2L, right) - shiftleft(1L, {span} - left)")
-    met = met.select("id", "hash", (F.col("q") - span).alias("start"), F.when(place > F.col("first"), every).otherwise(F.coalesce("late", F.lit(0))).alias("bits"))
-    return met.filter("bits <> 0")
+    own = F.when(place > F.col("first"), every).otherwise(F.coalesce("late", F.lit(0)))
+    starts = F.transform(F.concat(F.array("q"), "later"), lambda x: x - span)
+    bits = F.concat(F.array(own), F.transform("later", lambda _: every))
+    return met.filter((own != 0) | (F.size("later") > 0)).select("id", "hash", starts.alias("starts"), bits.alias("bits"))
 
 
 def _depths(keys: list[np.ndarray], group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -242,8 +269,8 @@ def _repeated(batch: pa.RecordBatch, words: int, k: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(ids[late]), pa.array(texts[late]), pa.array(q[late] - span), pa.array(bits[late])], ["id", "hash", "start", "bits"])
 
 
-def repeated_windows(docs: DataFrame, words: int) -> DataFrame:
-    """Windows that repeat an earlier one: ``id, hash, start, bits``, bit j for the window at ``start + j``.
+def repeated_windows(docs: DataFrame, words: int) -> list[DataFrame]:
+    """Windows that repeat an earlier one, by document: tables of ``id, hash, starts, bits``, bit j of a place for the window at ``start + j``.
 
     ``docs``: ``id long, hash long, text``; ``hash`` tells texts with one id apart.
     """
@@ -280,9 +307,11 @@ def repeated_windows(docs: DataFrame, words: int) -> DataFrame:
             yield _repeated(whole, words, k)
 
     found = suffixes.mapInArrow(trees, "id long, hash long, start long, bits long")
+    by_document = [found.groupBy("id", "hash").agg(F.collect_list("start").alias("starts"), F.collect_list("bits").alias("bits"))]
     if n_often:
-        found = found.union(_frequent(_suffixes(docs, words, k, lambda gram: _held(hot.value, gram)), words, k))
-    return found
+        often = _frequent(_suffixes(docs, words, k, lambda gram: _held(hot.value, gram), True), words, k)
+        by_document.append(often.groupBy("id", "hash").agg(*(F.flatten(F.collect_list(c)).alias(c) for c in ("starts", "bits"))))
+    return by_document
 
 
 def cut_repeats(docs: DataFrame, words: int = 20) -> DataFrame:
@@ -303,9 +332,10 @@ def cut_repeats(docs: DataFrame, words: int = 20) -> DataFrame:
         raise ValueError("words must be 1 to 100")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows = rows.select("doc_id", F.coalesce("doc_id", F.lit(_NO_ID)).alias("id"), F.xxhash64("text").alias("hash"), "text")
-    found = repeated_windows(rows.select("id", "hash", "text"), words)
-    marks = found.groupBy("id", "hash").agg(F.collect_list("start").alias("starts"), F.collect_list("bits").alias("bits"))
-    joined = rows.join(marks, ["id", "hash"], "left").select("doc_id", "text", "starts", "bits")
+    joined = rows
+    for i, marks in enumerate(repeated_windows(rows.select("id", "hash", "text"), words)):
+        joined = joined.join(marks.withColumnsRenamed({"starts": f"starts{i}", "bits": f"bits{i}"}), ["id", "hash"], "left")
+    joined = joined.drop("id", "hash")
 
     def run(batches):
         for batch in batches:
@@ -315,8 +345,10 @@ def cut_repeats(docs: DataFrame, words: int = 20) -> DataFrame:
             for i in range(len(batch)):
                 w = batch.column(1)[i].as_buffer().to_pybytes().split()
                 gone = np.zeros(len(w) + 1, np.int64)
-                if batch.column(2)[i].is_valid:
-                    start, bits = (np.asarray(batch.column(c)[i].values) for c in (2, 3))
+                for c in range(2, batch.num_columns, 2):
+                    if not batch.column(c)[i].is_valid:
+                        continue
+                    start, bits = (np.asarray(batch.column(c + d)[i].values) for d in (0, 1))
                     for j in range(words):
                         at = start[bits >> j & 1 == 1] + j
                         np.add.at(gone, at, 1)
