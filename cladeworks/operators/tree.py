@@ -29,6 +29,57 @@ def _below(nodes: DataFrame, places: DataFrame, how: str = "inner") -> DataFrame
     return n.join(x, (F.col("n.tree_id") == F.col("x.tree_id")) & (F.col("n.tile") == F.col("x.tile")) & F.col("x.pre").between(F.col("n.pre"), F.col("n.last")), how)
 
 
+def number_nodes(tree: DataFrame) -> DataFrame:
+    """Node tables of trees that are given as parents and children only.
+
+    ``tree``: ``tree_id, node_id, parent_id`` (null or empty: a root), ``edge_length`` and,
+    where there is one, ``place``, the order of the children of a node; else they go by
+    ``node_id``. Returns ``tree_id, node_id, parent_id, is_leaf, edge_length, pre, last, depth,
+    root_dist``. Null lengths count as 0. Node ids that repeat in a tree, several roots
+    of one tree, unknown parents and cycles are errors.
+
+    A tour goes down and up every edge; each of its steps knows the next one, and twice
+    as far every round, with the steps down and the depth summed up on the way. So rounds
+    grow with the logarithm of the nodes, whatever the shape, and one large tree is many
+    keys.
+    """
+    place = ["place"] if "place" in tree.columns else []
+    rows = tree.select("tree_id", "node_id", F.when(F.col("parent_id") != "", F.col("parent_id")).alias("parent_id"), F.coalesce(F.col("edge_length").cast("double"), F.lit(0.0)).alias("edge_length"), *place)
+    rows = staged(rows.withColumn("num", F.monotonically_increasing_id()))
+    known = rows.select("tree_id", F.col("node_id").alias("parent_id"), F.col("num").alias("parent"))
+    rows = staged(rows.join(known, ["tree_id", "parent_id"], "left"))
+    sizes = staged(rows.groupBy("tree_id").agg(F.count("*").alias("n"), F.count_if(F.expr("parent_id IS NULL")).alias("roots"), F.count_if(F.expr("parent_id IS NOT NULL AND parent IS NULL")).alias("lost"), F.count_distinct("num").alias("distinct"), F.count_distinct("node_id").alias("names")))
+    if not sizes.filter("roots <> 1 OR lost > 0 OR n <> distinct OR n <> names").isEmpty():
+        raise ValueError("a tree has one root, known parents and distinct nodes")
+    siblings = Window.partitionBy("parent").orderBy(*place, "node_id")
+    kids = staged(rows.filter("parent IS NOT NULL").select("num", "parent", "node_id", *place).withColumn("next", F.lead("num").over(siblings)).withColumn("rank", F.row_number().over(siblings)))
+    first = kids.filter("rank = 1").select(F.col("parent").alias("num"), F.col("num").alias("first"))
+    after = kids.select("num", "next")
+    linked = rows.select("num", "parent").join(first, "num", "left").join(after, "num", "left")
+    # A step is twice the node's number down to it, one more back up.
+    down = F.struct((2 * F.col("num")).alias("step"), F.when(F.col("first").isNotNull(), 2 * F.col("first")).otherwise(2 * F.col("num") + 1).alias("to"), F.lit(1).cast("long").alias("downs"), F.lit(1).cast("long").alias("level"))
+    up = F.struct((2 * F.col("num") + 1).alias("step"), F.when(F.col("next").isNotNull(), 2 * F.col("next")).otherwise(2 * F.col("parent") + 1).alias("to"), F.lit(0).cast("long").alias("downs"), F.lit(-1).cast("long").alias("level"))
+    tour = staged(linked.select(F.explode(F.array(down, up)).alias("x")).select("x.*"))
+    ways = staged(rows.select("num", F.col("parent").alias("up"), F.col("edge_length").alias("far")))
+    most = int(sizes.agg(F.max("n")).first()[0] or 0)
+    for _ in range(max(1, (4 * most).bit_length())):
+        if tour.filter("to IS NOT NULL").isEmpty():
+            break
+        on = tour.select(F.col("step").alias("to"), F.col("to").alias("then"), F.col("downs").alias("d"), F.col("level").alias("l"))
+        tour = staged(tour.join(on, "to", "left").select("step", F.col("then").alias("to"), (F.col("downs") + F.coalesce("d", F.lit(0))).alias("downs"), (F.col("level") + F.coalesce("l", F.lit(0))).alias("level")))
+        if not ways.filter("up IS NOT NULL").isEmpty():
+            over = ways.select(F.col("num").alias("up"), F.col("up").alias("then"), F.col("far").alias("more"))
+            ways = staged(ways.join(over, "up", "left").select("num", F.col("then").alias("up"), (F.col("far") + F.coalesce("more", F.lit(0.0))).alias("far")))
+    else:
+        raise ValueError("a tree has a cycle")
+    there = tour.withColumn("num", F.shiftright("step", 1))
+    into = there.filter("step % 2 = 0").select("num", F.col("downs").alias("left"), (-F.col("level")).alias("depth"))
+    out = there.filter("step % 2 = 1").select("num", F.col("downs").alias("rest"))
+    done = rows.join(into, "num").join(out, "num").join(ways.select("num", "far"), "num").join(sizes.select("tree_id", "n"), "tree_id")
+    pre, last = F.col("n") - F.col("left"), F.col("n") - F.col("rest") - 1
+    return done.select("tree_id", "node_id", "parent_id", (pre == last).alias("is_leaf"), "edge_length", pre.alias("pre"), last.alias("last"), "depth", F.col("far").alias("root_dist"))
+
+
 def node_table(nodes: DataFrame) -> DataFrame:
     """Nodes with the number of leaves below, from one running count per tree."""
     upto = Window.partitionBy("tree_id").orderBy("pre").rowsBetween(Window.unboundedPreceding, 0)

@@ -341,6 +341,9 @@ query("t2_node_table", f"SELECT * FROM {NODE_TABLE}")(lambda get: T.node_table(g
 query("t3_edge_table", "SELECT tree_id, node_id AS child, parent_id AS parent, round(edge_length, 6) AS edge_length FROM nodes WHERE parent_id IS NOT NULL")(lambda get: T.edge_table(get("nodes")))
 query("t4_leaves", "SELECT tree_id, node_id, pre FROM nodes WHERE is_leaf ORDER BY 1, 3")(lambda get: T.leaves(get("nodes")))
 query("t5_clade_leaves", f"SELECT n.tree_id, n.node_id, x.node_id AS leaf FROM nodes n JOIN nodes x ON {UNDER} WHERE NOT n.is_leaf AND x.is_leaf")(lambda get: T.clade_leaves(get("nodes")))
+query("t5_number_nodes", "SELECT tree_id, node_id, parent_id, is_leaf, round(edge_length, 6) AS edge_length, pre, last, depth, round(root_dist, 6) AS root_dist FROM nodes")(
+    lambda get: T.number_nodes(get("nodes").select("tree_id", "node_id", "parent_id", "edge_length", F.col("pre").alias("place")))
+)
 query("t6_find_node", "SELECT tree_id, node_id, pre FROM nodes WHERE node_id = 'N7'")(lambda get: T.find_node(get("nodes"), "N7").select("tree_id", "node_id", "pre"))
 query("t7_mrca", """
 WITH k AS (SELECT tree_id, min(pre) AS lo, max(pre) AS hi FROM nodes WHERE is_leaf AND node_id IN (SELECT id FROM dear) GROUP BY 1), a AS (SELECT n.tree_id, arg_max(node_id, pre) AS mrca FROM nodes n JOIN k ON k.tree_id = n.tree_id AND pre <= lo AND last >= hi GROUP BY 1)

@@ -30,6 +30,38 @@ def test_newick_round_trip_and_labels():
     assert len(parse_newick(deep)) == 3001
 
 
+def test_nodes_are_numbered_from_parents(spark):
+    """A tree of any shape, a ladder, and one node; then what is no tree."""
+    rnd = random.Random(4)
+    trees = {"one": [("x", None, 0.5)], "ladder": [(f"n{i}", f"n{i - 1}" if i else "", 1.0) for i in range(3000)]}
+    trees["any"] = [(f"m{i}", f"m{rnd.randrange(i)}" if i else None, rnd.randrange(9) / 8 if i % 5 else None) for i in range(400)]
+    want = {}
+    for t, rows in trees.items():
+        kids = {}
+        for node, up, _ in rows:
+            kids.setdefault(up or None, []).append(node)
+        length = {node: x or 0.0 for node, _, x in rows}
+        stack, pre = [(kids[None][0], 0, length[kids[None][0]], None)], 0
+        order = []
+        while stack:
+            node, depth, far, up = stack.pop()
+            order.append((node, up, depth, far))
+            stack += [(k, depth + 1, far + length[k], node) for k in sorted(kids.get(node, []), reverse=True)]
+        size = dict.fromkeys(length, 1)
+        for node, up, _, _ in reversed(order):
+            if up:
+                size[up] += size[node]
+        for pre, (node, up, depth, far) in enumerate(order):
+            want[t, node] = (up, size[node] == 1, pre, pre + size[node] - 1, depth, far)
+    df = spark.createDataFrame([(t, *r, 7) for t, rows in trees.items() for r in rows], "tree_id string, node_id string, parent_id string, edge_length double, num int")
+    got = {(r.tree_id, r.node_id): (r.parent_id, r.is_leaf, r.pre, r.last, r.depth, r.root_dist) for r in T.number_nodes(df).collect()}
+    assert got == want
+    assert T.number_nodes(df.limit(0)).count() == 0
+    for bad in ([("a", None), ("b", None)], [("a", None), ("b", "z")], [("a", None), ("b", "a"), ("b", "a")], [("r", None), ("a", "b"), ("b", "a")]):
+        with pytest.raises(ValueError):
+            T.number_nodes(spark.createDataFrame([("t", *r, 1.0) for r in bad], "tree_id string, node_id string, parent_id string, edge_length double"))
+
+
 def test_threshold_and_boundaries(spark):
     n = nodes(spark)
     assert T.cut_threshold(n).first().threshold == pytest.approx(0.3195442, abs=1e-6)
