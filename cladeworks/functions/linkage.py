@@ -71,6 +71,41 @@ def merge_clusters(a, b, s, size: dict, within: dict, threshold: float, method:
     return dict(zip(ids.tolist(), ids[goes].tolist(), strict=True))
 
 
+def merge_mutual(total: np.ndarray, n: np.ndarray, p: np.ndarray, ids: np.ndarray, threshold: float, method: str) -> np.ndarray:
+    """For each of the sorted ``ids`` the smallest id of its cluster, merging up to ``threshold``.
+
+    Same result as :func:`merge_clusters`, but all pairs that are each other's nearest
+    merge in one round, and the matrix of sums ``total`` shrinks with it.
+    """
+    home, names = np.arange(len(ids)), ids
+    while len(names) > 1:
+        h = heights(total, n[:, None], n[None, :], p[:, None], p[None, :], method)
+        np.fill_diagonal(h, np.inf)
+        low = h.min(axis=1)
+        live = np.flatnonzero(low <= threshold)
+        if not len(live):
+            break
+        near = np.full(len(names), -1)
+        for rows in np.array_split(live, max(1, len(live) * len(names) >> 20)):
+            order = np.where(h[rows] == low[rows, None], tie(np.minimum(names[rows, None], names), np.maximum(names[rows, None], names)), TIE_MODULUS)
+            near[rows] = order.argmin(axis=1)
+        i = live[(near[near[live]] == live) & (live < near[live])]
+        j = near[i]
+        within = p[i] + p[j] + total[i, j]
+        total[i] += total[j]
+        total[:, i] += total[:, j]
+        n, p = n.copy(), p.copy()
+        n[i] += n[j]
+        p[i] = within
+        stays = np.ones(len(names), bool)
+        stays[j] = False
+        to = np.arange(len(names))
+        to[j] = i
+        home = (np.cumsum(stays) - 1)[to][home]
+        total, n, p, names = total[np.ix_(stays, stays)], n[stays], p[stays], names[stays]
+    return names[home]
+
+
 def merge_smallest(sizes: list[tuple[str, int]], n: int) -> dict[str, str]:
     """Where each clone goes when the smallest joins the second smallest until ``n`` are left.
 

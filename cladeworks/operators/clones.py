@@ -14,7 +14,7 @@ from ..functions.columns import event_key
 from ..functions.linkage import DIGITS, merge_smallest
 from ..functions.staging import staged
 from . import tree as T
-from .linkage import agglomerate
+from .linkage import BLOCKS, WHOLE_CLUSTERS, agglomerate, agglomerate_blocks, block_row
 
 #: Ids of a block whose pairs one task counts.
 BLOCK = 512
@@ -112,10 +112,20 @@ def assign_distance(nodes: DataFrame, distance_threshold: float | None) -> DataF
     """Ward linkage on tree distances, cut at ``distance_threshold``."""
     if distance_threshold is None:
         raise ValueError("the distance strategy needs distance_threshold")
-    one, none = F.lit(1).cast("long"), F.lit(0.0)
-    pairs = T.leaf_pairs(nodes).select(F.col("tree_id").alias("g"), "a", "b", one.alias("na"), one.alias("nb"), none.alias("pa"), none.alias("pb"), (F.col("dist") * F.col("dist")).alias("s"))
-    members = nodes.filter("is_leaf").select(F.col("tree_id").alias("g"), F.col("pre").alias("c"), F.col("node_id").alias("cell_id"))
-    return _numbered(agglomerate(pairs, members, distance_threshold, "ward"), "clone_").select(F.col("g").alias("tree_id"), F.col("label").alias("clone_id"), "cell_id")
+    members = staged(nodes.filter("is_leaf").select(F.col("tree_id").alias("g"), F.col("pre").cast("long").alias("c"), F.col("node_id").alias("cell_id")))
+    small, large = _by_size(members)
+    out = agglomerate_blocks(T.distance_blocks(nodes.join(small.withColumnRenamed("g", "tree_id"), "tree_id", "left_semi")), members.join(small, "g", "left_semi"), distance_threshold, "ward")
+    if not large.isEmpty():
+        one, none = F.lit(1).cast("long"), F.lit(0.0)
+        pairs = T.leaf_pairs(nodes.join(large.withColumnRenamed("g", "tree_id"), "tree_id", "left_semi")).select(F.col("tree_id").alias("g"), "a", "b", one.alias("na"), one.alias("nb"), none.alias("pa"), none.alias("pb"), (F.col("dist") * F.col("dist")).alias("s"))
+        out = out.unionByName(agglomerate(pairs, members.join(large, "g", "left_semi"), distance_threshold, "ward"))
+    return _numbered(out, "clone_").select(F.col("g").alias("tree_id"), F.col("label").alias("clone_id"), "cell_id")
+
+
+def _by_size(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Groups of few enough clusters for one task, and the others."""
+    size = staged(members.groupBy("g").agg((F.count_distinct("c") <= WHOLE_CLUSTERS).alias("whole")))
+    return size.filter("whole").select("g"), size.filter("NOT whole").select("g")
 
 
 def _alike(profile: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -137,13 +147,54 @@ def _similar(alike: DataFrame) -> DataFrame:
     return pairs.join(a, ["g", "a"]).join(b, ["g", "b"]).select("g", "a", "b", "na", "nb", none.alias("pa"), none.alias("pb"), s.alias("s"))
 
 
-def _by_events(members: DataFrame, similar: DataFrame, similarity: float, name: str) -> DataFrame:
+def _similar_blocks(alike: DataFrame) -> DataFrame:
+    """The same sums by blocks (:data:`~cladeworks.operators.linkage.BLOCKS`) of ``BLOCK`` clusters."""
+    counts = alike.groupBy("g").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    dealt = alike.join(counts, "g").withColumn("own", F.pmod(F.xxhash64("c"), F.col("blocks")))
+    tiles = staged(dealt.groupBy("g", "own").agg(F.sort_array(F.collect_list(F.struct("c", "n", "events"))).alias("x")))
+    left = tiles.select("g", F.col("own").alias("lo"), F.col("x").alias("a"))
+    right = tiles.select("g", F.col("own").alias("hi"), F.col("x").alias("b"))
+    pairs = left.join(right, "g").filter("lo <= hi").repartition("g", "lo", "hi")
+
+    def run(frames):
+        for f in frames:
+            out = []
+            for r in f.itertuples():
+                names = {e: k for k, e in enumerate({e for side in (r.a, r.b) for x in side for e in x["events"]})}
+                has = []
+                for side in (r.a, r.b):
+                    m = np.zeros((len(side), len(names)), np.float32)
+                    for k, x in enumerate(side):
+                        m[k, [names[e] for e in x["events"]]] = 1
+                    has.append(m)
+                both = (has[0] @ has[1].T).astype(float)
+                size = [m.sum(axis=1).astype(float) for m in has]
+                ids, n = ([np.array([x[c] for x in side], int) for side in (r.a, r.b)] for c in ("c", "n"))
+                union = size[0][:, None] + size[1][None, :] - both
+                sums = n[0][:, None] * n[1][None, :] * both / np.maximum(union, 1)
+                if r.lo == r.hi:
+                    np.fill_diagonal(sums, 0)
+                out.append(block_row(r.g, r.lo, r.hi, *ids, *n, sums))
+            yield pd.DataFrame(out, columns=["g", "lo", "hi", "a", "b", "na", "nb", "sums"])
+
+    return pairs.mapInPandas(run, BLOCKS)
+
+
+def _sum_of_block(sums: pd.Series, own: pd.Series) -> pd.Series:
+    return pd.Series([np.frombuffer(x).sum() / (2 if o else 1) for x, o in zip(sums, own, strict=True)])
+
+
+def _by_events(members: DataFrame, alike: DataFrame, similarity: float, name: str, blocks: DataFrame | None = None) -> DataFrame:
     """Average linkage of Jaccard distances within each group: ``g, cell_id, label``."""
     if similarity <= 0:  # no two clusters are further apart than 1
-        members = members.withColumn("c", F.lit(0).cast("long"))
-    else:
-        members = agglomerate(similar, staged(members), 1 - similarity, "average")
-    return _numbered(members, name)
+        return _numbered(members.withColumn("c", F.lit(0).cast("long")), name)
+    members = staged(members)
+    small, large = _by_size(members)
+    blocks = _similar_blocks(alike.join(small, "g", "left_semi")) if blocks is None else blocks.join(small, "g", "left_semi")
+    out = agglomerate_blocks(blocks, members.join(small, "g", "left_semi"), 1 - similarity, "average")
+    if not large.isEmpty():
+        out = out.unionByName(agglomerate(_similar(alike.join(large, "g", "left_semi")), members.join(large, "g", "left_semi"), 1 - similarity, "average"))
+    return _numbered(out, name)
 
 
 def assign_event_profile(cells: DataFrame, events: DataFrame, similarity: float = 0.5, max_clones: int | None = None) -> DataFrame:
@@ -153,7 +204,7 @@ def assign_event_profile(cells: DataFrame, events: DataFrame, similarity: float
     """
     profile = cells.join(event_profile(events, cells), "cell_id").withColumnRenamed("tree_id", "g")
     members, alike = _alike(profile)
-    clones = _by_events(members, _similar(alike), similarity, "clone_")
+    clones = _by_events(members, alike, similarity, "clone_")
     return merge_to_n(clones.select(F.col("g").alias("tree_id"), F.col("label").alias("clone_id"), "cell_id"), max_clones)
 
 
@@ -167,12 +218,12 @@ def assign_hybrid(nodes: DataFrame, cells: DataFrame, events: DataFrame, min_cel
     parts = assign_internal_node(nodes, 2, min_branch_length, max_clones).join(cells.select("tree_id", "cell_id", "place"), ["tree_id", "cell_id"])
     parts = staged(parts.withColumn("g", F.concat_ws("\u0001", "tree_id", "clone_id")))
     members, alike = _alike(parts.join(event_profile(events, cells), "cell_id").select("g", "cell_id", "place", "event"))
-    similar = staged(_similar(alike))
+    similar = staged(_similar_blocks(alike))
     size = parts.groupBy("g").agg(F.count("*").alias("n"))
-    within = alike.groupBy("g").agg(F.sum(F.col("n") * F.col("n")).alias("own")).join(similar.groupBy("g").agg(F.sum("s").alias("s")), "g", "left").fillna(0.0, ["s"])
+    within = alike.groupBy("g").agg(F.sum(F.col("n") * F.col("n")).alias("own")).join(similar.groupBy("g").agg(F.sum(F.pandas_udf(_sum_of_block, "double")("sums", F.col("lo") == F.col("hi"))).alias("s")), "g", "left").fillna(0.0, ["s"])
     mean = (F.col("own") + 2 * F.col("s")) / (F.col("n") * F.col("n"))
     split = staged(size.join(within, "g").filter((F.col("n") >= max(2, min_cells)) & (F.round(mean, DIGITS) < similarity)).select("g"))
-    cut = _by_events(members.join(split, "g", "left_semi"), similar.join(split, "g", "left_semi"), similarity, "_sub")
+    cut = _by_events(members.join(split, "g", "left_semi"), alike.join(split, "g", "left_semi"), similarity, "_sub", similar.join(split, "g", "left_semi"))
     label = F.concat("clone_id", F.coalesce("label", F.lit("")))
     return parts.join(cut, ["g", "cell_id"], "left").select("tree_id", label.alias("clone_id"), "cell_id")
 

@@ -8,6 +8,7 @@ round only renames clusters in the table of pairs and adds up.
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -83,3 +84,39 @@ def agglomerate(pairs: DataFrame, members: DataFrame, threshold: float, method:
         members = staged(renamed(goes))
         members = staged(renamed(moved.filter("small").groupBy("g").applyInPandas(last, "g string, c long, to long")))
         pairs = moved.filter("NOT small").select("g", "a", "b", "na", "nb", "pa", "pb", "s")
+
+
+#: Groups with at most this many clusters are merged in one task, whose matrices then take some 400 MB.
+WHOLE_CLUSTERS = 4096
+BLOCKS = "g string, lo long, hi long, a array<long>, b array<long>, na array<long>, nb array<long>, sums binary"
+
+
+def block_row(g: str, lo: int, hi: int, a, b, na, nb, sums: np.ndarray) -> dict:
+    """A row of :data:`BLOCKS`: sums between the clusters ``a`` and ``b``, of sizes ``na`` and ``nb``."""
+    return {"g": g, "lo": lo, "hi": hi, "a": a, "b": b, "na": na, "nb": nb, "sums": np.ascontiguousarray(sums, float).tobytes()}
+
+
+def agglomerate_blocks(blocks: DataFrame, members: DataFrame, threshold: float, method: str) -> DataFrame:
+    """:func:`agglomerate` of groups whose pairs come as blocks (:data:`BLOCKS`), each two parts of a group once.
+
+    Blocks are made by many tasks; a group's are merged in one, which holds
+    ``WHOLE_CLUSTERS`` clusters at most. Clusters begin with a sum of 0 within.
+    """
+    threshold = round(threshold, L.DIGITS)
+
+    def merge(f: pd.DataFrame) -> pd.DataFrame:
+        ids = np.unique(np.concatenate([*f["a"], *f["b"]]))
+        if len(ids) > WHOLE_CLUSTERS:
+            raise ValueError(f"more than {WHOLE_CLUSTERS} clusters in a group")
+        total, n = np.zeros((len(ids), len(ids))), np.zeros(len(ids))
+        for r in f.itertuples():
+            i, j = np.searchsorted(ids, r.a), np.searchsorted(ids, r.b)
+            sums = np.frombuffer(r.sums).reshape(len(i), len(j))
+            total[np.ix_(i, j)] = sums
+            total[np.ix_(j, i)] = sums.T
+            n[i], n[j] = r.na, r.nb
+        to = L.merge_mutual(total, n, np.zeros(len(ids)), ids, threshold, method)
+        return pd.DataFrame({"g": f["g"].iloc[0], "c": ids, "to": to})
+
+    goes = blocks.groupBy("g").applyInPandas(merge, "g string, c long, to long")
+    return members.join(goes, ["g", "c"], "left").withColumn("c", F.coalesce("to", "c")).drop("to")

@@ -7,14 +7,19 @@ so ``x`` is under ``n`` when ``x.pre BETWEEN n.pre AND n.last`` in the same tree
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.staging import staged
+from .linkage import BLOCKS, block_row
 
 SALTS = 16
 #: Places in preorder that share a key where nodes meet what is below them.
 TILE = 1024
+#: Places in preorder of a block of distances.
+BLOCK = 512
 
 
 def _below(nodes: DataFrame, places: DataFrame, how: str = "inner") -> DataFrame:
@@ -136,6 +141,61 @@ def leaf_pairs(nodes: DataFrame, both_ways: bool = False) -> DataFrame:
     return pairs.select("tree_id", "a", "b", "cell_a", "cell_b", (F.col("r") + F.col("rb") - 2 * F.col("up")).alias("dist"))
 
 
+def distance_blocks(nodes: DataFrame) -> DataFrame:
+    """Squared distances of all leaves of a tree by blocks of two tiles: rows of :data:`~cladeworks.operators.linkage.BLOCKS`.
+
+    Clusters are leaves by their place in preorder. Two neighbouring leaves meet at the
+    parent of the node that follows the first; any two leaves meet at the shallowest
+    meeting between them. So a block needs its own two tiles of leaves and the
+    shallowest meeting of each tile between, and no pair is a row.
+    """
+    parent = nodes.select("tree_id", F.col("node_id").alias("parent_id"), F.col("root_dist").alias("up"))
+    after = nodes.filter("parent_id IS NOT NULL").join(parent, ["tree_id", "parent_id"]).select("tree_id", (F.col("pre") - 1).alias("pre"), (F.col("depth") - 1).alias("level"), "up")
+    leaf = nodes.filter("is_leaf").select("tree_id", "pre", "root_dist").join(after, ["tree_id", "pre"], "left")
+    tiles = leaf.groupBy(F.col("tree_id").alias("g"), F.floor(F.col("pre") / BLOCK).alias("tile")).agg(
+        F.sort_array(F.collect_list(F.struct("pre", "root_dist", F.coalesce("level", F.lit(0)).cast("long").alias("level"), F.coalesce("up", F.lit(0.0)).alias("up")))).alias("x"), F.min(F.struct("level", "up")).alias("least")
+    )
+    tiles = staged(tiles)
+    all_tiles = tiles.groupBy("g").agg(F.sort_array(F.collect_list(F.struct("tile", "least.level", "least.up"))).alias("line"))
+    left = tiles.select("g", F.col("tile").alias("lo"), F.col("x").alias("a"))
+    right = tiles.select("g", F.col("tile").alias("hi"), F.col("x").alias("b"))
+    pairs = left.join(right, "g").filter("lo <= hi").join(all_tiles, "g").repartition("g", "lo", "hi")
+
+    def meetings(level, up):
+        """Shallowest meeting from the first on, up to each one."""
+        least = np.minimum.accumulate(level)
+        first = np.maximum.accumulate(np.where(np.r_[True, least[1:] < least[:-1]], np.arange(len(level)), 0))
+        return level[first], up[first]
+
+    def run(frames):
+        for f in frames:
+            out = []
+            for r in f.itertuples():
+                a, b = (np.array([(x["pre"], x["root_dist"], x["level"], x["up"]) for x in side]) for side in (r.a, r.b))
+                n, m = len(a), len(b)
+                top = np.zeros((n, m))
+                if r.lo == r.hi:
+                    for i in range(n - 1):
+                        top[i, i + 1 :] = meetings(a[i:-1, 2], a[i:-1, 3])[1]
+                    dist = np.triu(a[:, 1][:, None] + b[:, 1][None, :] - 2 * top, 1)
+                    dist = dist + dist.T
+                else:
+                    between = [(x["level"], x["up"]) for x in r.line if r.lo < x["tile"] < r.hi]
+                    la, ua = (x[::-1] for x in meetings(a[::-1, 2], a[::-1, 3]))
+                    if between:
+                        least = min(between)
+                        low = least[0] < la
+                        la, ua = np.where(low, least[0], la), np.where(low, least[1], ua)
+                    lb, ub = np.full(m, np.inf), np.zeros(m)
+                    lb[1:], ub[1:] = meetings(b[:-1, 2], b[:-1, 3]) if m > 1 else ((), ())
+                    top = np.where(la[:, None] <= lb[None, :], ua[:, None], ub[None, :])
+                    dist = a[:, 1][:, None] + b[:, 1][None, :] - 2 * top
+                out.append(block_row(r.g, r.lo, r.hi, a[:, 0].astype(int), b[:, 0].astype(int), np.ones(n, int), np.ones(m, int), dist * dist))
+            yield pd.DataFrame(out, columns=["g", "lo", "hi", "a", "b", "na", "nb", "sums"])
+
+    return pairs.mapInPandas(run, BLOCKS)
+
+
 def pairwise_distances(nodes: DataFrame) -> DataFrame:
     """Distances of all leaves of each tree, both ways and with the diagonal: ``tree_id, cell_a, cell_b, dist``."""
     far = leaf_pairs(nodes, True).select("tree_id", "cell_a", "cell_b", "dist")

@@ -9,7 +9,7 @@ from cladeworks.functions.newick import format_newick, parse_newick
 from cladeworks.operators import clones as G
 from cladeworks.operators import tree as T
 from cladeworks.operators import validate as V
-from cladeworks.operators.linkage import agglomerate
+from cladeworks.operators.linkage import BLOCKS, agglomerate, agglomerate_blocks
 
 
 def sets(*groups):
@@ -167,6 +167,50 @@ def test_linkage_against_a_naive_loop(spark, method, finish):
     assert all(c == min(v) for x in got.values() for c, v in x.items())
 
 
+@pytest.mark.parametrize("method", ["average", "ward"])
+def test_linkage_of_blocks_against_a_naive_loop(spark, method):
+    """The same groups, their pairs in blocks of five clusters; and clusters of several cells."""
+    rng = np.random.default_rng(6)
+    want, blocks, members = {}, [], []
+    for g in range(6):
+        x = rng.normal(size=(14, 3)) if g % 2 else rng.integers(0, 3, size=(14, 2))
+        d = np.round(np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1)), 12)
+        d = d / d.max() if method == "average" else d
+        want[f"g{g}"] = naive(d, 0.45 if method == "average" else 1.5, method)
+        members += [(f"g{g}", i, i) for i in range(14)]
+        s = (1 - d if method == "average" else d**2) * (1 - np.eye(14))
+        for lo in range(3):
+            for hi in range(lo, 3):
+                a, b = (list(range(k * 5, min(14, k * 5 + 5))) for k in (lo, hi))
+                blocks.append((f"g{g}", lo, hi, a, b, [1] * len(a), [1] * len(b), bytearray(s[np.ix_(a, b)].tobytes())))
+    got: dict = {}
+    found = agglomerate_blocks(spark.createDataFrame(blocks, BLOCKS), spark.createDataFrame(members, "g string, c long, i long"), 0.45 if method == "average" else 1.5, method)
+    for r in found.collect():
+        got.setdefault(r.g, {}).setdefault(r.c, []).append(r.i)
+    assert {g: sets(*v.values()) for g, v in got.items()} == want
+    assert all(c == min(v) for x in got.values() for c, v in x.items())
+
+
+def test_distances_by_blocks(spark, monkeypatch):
+    """Blocks of few places hold what the pairs have."""
+    monkeypatch.setattr(T, "BLOCK", 5)
+    n = nodes(spark)
+    want = {(r.a, r.b): r.dist for r in T.leaf_pairs(n).collect()}
+    got = {}
+    for r in T.distance_blocks(n).collect():
+        m = np.frombuffer(r.sums).reshape(len(r.a), len(r.b))
+        got |= {(min(a, b), max(a, b)): m[i, j] ** 0.5 for i, a in enumerate(r.a) for j, b in enumerate(r.b) if a != b}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(v) for k, v in want.items())
+
+
+def test_large_groups_go_by_rounds(spark, monkeypatch):
+    """Beyond the size of one task the pairs' way gives the same clones."""
+    calls = lambda: [partition(G.assign_clones(s, nodes(spark), cells(spark), events(spark), distance_threshold=0.8, min_cells=1)) for s in ("distance", "event_profile")]
+    whole = calls()
+    monkeypatch.setattr(G, "WHOLE_CLUSTERS", 3)
+    assert calls() == whole
+
+
 def test_event_clusters_against_a_naive_loop(spark):
     """Cells with few events, none, or equal ones; the profile strategy and the parts that hybrid splits."""
     rng = random.Random(5)
