@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Iterator, Mapping
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.cigar import aligned_runs
 from ..functions.columns import KEY
+from ..functions.staging import staged
+
+BROADCAST_KEYS = 1_000_000
+PILEUP_TILE, PILEUP_BASES = 512, 4_000_000
 
 
 def pass_filter(calls: DataFrame, pass_only: bool = True) -> DataFrame:
@@ -43,14 +49,25 @@ def match_normals(clones: DataFrame, cells: DataFrame, normals: DataFrame) -> Da
     return patients.join(normal, "patient_id", "left").select("clone_id", "patient_id", "normal_id", "normal_bam")
 
 
+def _wanted(resource: DataFrame, calls: DataFrame) -> DataFrame:
+    """Rows of a resource whose key is among the calls'.
+
+    Resources are large and calls few: up to a checked number the calls' keys are
+    broadcast, so that only rows that pass move on.
+    """
+    keys = staged(calls.select(*KEY).distinct())
+    few = keys.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
+    return resource.join(F.broadcast(keys), KEY, "left_semi") if few else resource
+
+
 def drop_known(calls: DataFrame, panel: DataFrame) -> DataFrame:
     """Calls whose key isn't in a panel of normals."""
-    return calls.join(panel.select(*KEY).distinct(), KEY, "left_anti")
+    return calls.join(_wanted(panel.select(*KEY), calls).distinct(), KEY, "left_anti")
 
 
 def annotate_germline_af(calls: DataFrame, resource: DataFrame, default_af: float = 0.0000025) -> DataFrame:
     """Append ``germline_af``: the population frequency of the key, or the default."""
-    af = resource.groupBy(*KEY).agg(F.max("af").alias("germline_af"))
+    af = _wanted(resource.select(*KEY, "af"), calls).groupBy(*KEY).agg(F.max("af").alias("germline_af"))
     return calls.join(af, KEY, "left").withColumn("germline_af", F.coalesce("germline_af", F.lit(default_af)))
 
 
@@ -120,15 +137,45 @@ def pileup_counts(reads: DataFrame, reference: DataFrame, chunk: int) -> DataFra
 
     ``reads``: ``clone_id, chrom, start`` (from 0), ``cigar, seq, flag``; unmapped,
     secondary, failed and duplicate reads are left out. ``reference`` as in
-    :func:`~cladeworks.operators.alignment.left_align`; rows where ``alt`` is ``ref`` give the reference count. Counts
-    are added up within each task before the shuffle.
+    :func:`~cladeworks.operators.alignment.left_align`; rows where ``alt`` is ``ref`` give the reference count. A task adds
+    up its bases by place and hands on one row for each tile; bases are never rows before they are counted.
     """
     used = reads.filter("(flag & 1796) = 0").select("clone_id", "chrom", "start", "seq", F.explode(aligned_runs(F.col("cigar"))).alias("r"))
     # A run of aligned bases is a stretch of the reference and one of the read, base by base.
-    used = used.select("clone_id", "chrom", (F.col("start") + F.col("r.at") + 1).alias("first"), F.expr("substring(seq, r.i + 1, r.n)").alias("bases"))
-    counts = used.select("clone_id", "chrom", "first", F.posexplode(F.split("bases", "(?<=.)(?=.)")).alias("k", "alt")).filter("alt <> ''")
-    counts = counts.groupBy("clone_id", "chrom", (F.col("first") + F.col("k")).alias("pos"), "alt").agg(F.count("*").alias("n_alt"))
+    used = used.select("clone_id", "chrom", (F.col("start") + F.col("r.at")).alias("first"), F.expr("substring(seq, r.i + 1, r.n)").alias("bases")).filter("bases <> ''")
+    parts = used.mapInPandas(_count_bases, f"clone_id {reads.schema['clone_id'].dataType.simpleString()}, chrom string, tile long, seen array<struct<pos:long,alt:string,n:long>>")
+    tile = ["clone_id", "chrom", "tile"]
+    counts = parts.repartition(*tile).select(*tile, F.explode("seen").alias("x")).groupBy(*tile, "x.pos", "x.alt").agg(F.sum("x.n").alias("n_alt"))
+    counts = counts.withColumn("depth", F.sum("n_alt").over(Window.partitionBy(*tile, "pos")))
     counts = counts.withColumn("chunk_index", F.floor((F.col("pos") - 1) / chunk).cast("long")).join(reference, ["chrom", "chunk_index"], "left")
     ref = F.expr(f"substring(sequence, cast((pos - 1) % {chunk} as int) + 1, 1)")
-    counts = counts.withColumn("ref", ref).select("clone_id", "chrom", "pos", "ref", "alt", "n_alt")
-    return counts.withColumn("depth", F.sum("n_alt").over(Window.partitionBy("clone_id", "chrom", "pos")))
+    return counts.withColumn("ref", ref).select("clone_id", "chrom", "pos", "ref", "alt", "n_alt", "depth")
+
+
+def _count_bases(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Counts of each base at each place, added up in a task and cut at tiles: ``clone_id, chrom, tile, seen``."""
+    held: dict[tuple, list[np.ndarray]] = {}
+    size = 0
+
+    def flush():
+        rows = []
+        for (clone, chrom), codes in held.items():
+            code, n = np.unique(np.concatenate(codes), return_counts=True)
+            pos, alt = (code >> 8) + 1, (code & 255).astype(np.uint8).tobytes().decode("latin-1")
+            tile = (pos - 1) // PILEUP_TILE
+            for at in np.split(np.arange(len(code)), np.flatnonzero(np.diff(tile)) + 1):
+                rows.append((clone, chrom, int(tile[at[0]]), [{"pos": int(pos[k]), "alt": alt[k], "n": int(n[k])} for k in at]))
+        held.clear()
+        return pd.DataFrame(rows, columns=["clone_id", "chrom", "tile", "seen"])
+
+    for f in frames:
+        # Null clones and chromosomes are keys as well.
+        for clone, chrom, first, bases in zip(f["clone_id"], f["chrom"], f["first"], f["bases"], strict=True):
+            raw = np.frombuffer(bases.encode("latin-1", "replace"), np.uint8).astype(np.int64)
+            held.setdefault((clone, chrom), []).append(np.arange(first, first + len(raw)) << 8 | raw)
+            size += len(raw)
+            if size > PILEUP_BASES:
+                yield flush()
+                size = 0
+    if held:
+        yield flush()

@@ -252,7 +252,9 @@ def handle_small_clones(clones: DataFrame, min_cells: int = 5, action: str = "fl
 def rename_clones(clones: DataFrame) -> DataFrame:
     """Final names ``clone_001``... by the order of the provisional names as text, per tree."""
     rank = F.dense_rank().over(Window.partitionBy("tree_id").orderBy("clone_id")).cast("string")
-    return clones.withColumn("clone_id", F.concat(F.lit("clone_"), F.when(F.length(rank) < 3, F.lpad(rank, 3, "0")).otherwise(rank)))
+    name = F.concat(F.lit("clone_"), F.when(F.length(rank) < 3, F.lpad(rank, 3, "0")).otherwise(rank))
+    names = clones.select("tree_id", "clone_id").distinct().withColumn("_name", name)
+    return clones.join(names, ["tree_id", "clone_id"]).withColumn("clone_id", F.col("_name")).select(clones.columns)
 
 
 def assign_clones(strategy: str, nodes: DataFrame, cells: DataFrame, events: DataFrame | None = None, *, min_cells: int = 5, min_branch_length: float | None = None,

@@ -7,7 +7,7 @@ starts from the distinct (key, clone, caller): one shuffle on the key.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import KEY
@@ -46,7 +46,7 @@ def caller_concordance(calls: DataFrame, files: DataFrame) -> DataFrame:
     """
     n_files = files.groupBy("clone_id").agg(F.countDistinct("caller").alias("n_callers"))
     seen = calls.groupBy("clone_id", *KEY).agg(F.countDistinct("caller").alias("k"))
-    per = seen.join(F.broadcast(n_files), "clone_id").groupBy("clone_id").agg(
+    per = seen.join(n_files, "clone_id").groupBy("clone_id").agg(
         F.count("*").alias("n_variants_any"), F.count_if(F.col("k") >= F.col("n_callers")).alias("n_variants_all"), F.count_if(F.col("k") >= 2).alias("n_variants_2plus")
     )
     out = n_files.join(per, "clone_id", "left").fillna(0, ["n_variants_any", "n_variants_all", "n_variants_2plus"])
@@ -62,13 +62,18 @@ def variant_sharing(calls: DataFrame, files: DataFrame) -> DataFrame:
     """Per key the number of clones that have it, and ``private``, ``partial`` or ``shared`` (in all clones)."""
     n = files.agg(F.countDistinct("clone_id").alias("n"))
     k = calls.groupBy(*KEY).agg(F.countDistinct("clone_id").alias("n_clones_with_variant"))
-    kind = F.when(F.col("n_clones_with_variant") <= 1, "private").when(F.col("n_clones_with_variant") < F.col("n"), "partial").otherwise("shared")
-    return k.crossJoin(F.broadcast(n)).withColumn("sharing_class", kind).drop("n")
+    return k.crossJoin(F.broadcast(n)).withColumn("sharing_class", _sharing(F.col("n_clones_with_variant"), F.col("n"))).drop("n")
+
+
+def _sharing(k: Column, n: Column) -> Column:
+    return F.when(k <= 1, "private").when(k < n, "partial").otherwise("shared")
 
 
 def sharing_by_clone(calls: DataFrame, files: DataFrame) -> DataFrame:
     """Per clone the number of its keys of each sharing class."""
-    rows = clone_presence(calls).join(variant_sharing(calls, files), KEY)
+    n = files.agg(F.countDistinct("clone_id").alias("n"))
+    by_key = calls.groupBy(*KEY).agg(F.collect_set("clone_id").alias("cs")).crossJoin(F.broadcast(n))
+    rows = by_key.select(F.explode("cs").alias("clone_id"), _sharing(F.size("cs"), F.col("n")).alias("sharing_class"))
     return rows.groupBy("clone_id").pivot("sharing_class", ["private", "partial", "shared"]).agg(F.count(F.lit(1))).fillna(0)
 
 
@@ -128,9 +133,9 @@ def consensus_table(calls: DataFrame, clones: DataFrame, min_callers: int = 2, m
 
 def consensus_info(calls: DataFrame, min_callers: int = 2) -> DataFrame:
     """Per consensus key the number of clones with any support, and all their callers joined by ``,``."""
-    long = consensus_long(calls, min_callers)
     callers = F.array_join(F.sort_array(F.array_distinct(F.flatten(F.collect_list("callers")))), ",")
-    return long.groupBy(*KEY).agg(F.countDistinct("clone_id").alias("n_clones"), callers.alias("callers"))
+    per = _support(calls).groupBy(*KEY).agg(F.count("*").alias("n_clones"), callers.alias("callers"), F.max("n_callers").alias("_best"))
+    return per.filter(F.col("_best") >= min_callers).drop("_best")
 
 
 def consensus_summary(calls: DataFrame, min_callers: int = 2, pass_only: bool = True) -> DataFrame:

@@ -251,17 +251,23 @@ def cut_candidates(nodes: DataFrame, min_branch_length: float | None = None) ->
     return rows.select("tree_id", "node_id", "edge_length", "pre", "last")
 
 
-def longest_edges(parts: DataFrame, candidates: DataFrame, min_cells: int) -> DataFrame:
-    """Of each part the longest candidate that leaves ``min_cells`` on both sides (ties: first in preorder): ``tree_id, part, from, to``.
+def sized_candidates(nodes: DataFrame, min_branch_length: float | None = None) -> DataFrame:
+    """:func:`cut_candidates` as part of the whole tree: with ``part`` (empty), ``n``, the tree's leaves, and ``below``, those under the branch."""
+    counted = node_table(nodes).select("tree_id", "node_id", F.col("n_leaves").alias("below"))
+    size = nodes.filter("is_leaf").groupBy("tree_id").agg(F.count("*").alias("n"))
+    rows = cut_candidates(nodes, min_branch_length).join(counted, ["tree_id", "node_id"]).join(size, "tree_id")
+    return rows.select("tree_id", F.lit("").alias("part"), "n", "pre", "last", "edge_length", "below")
 
-    ``parts``: ``tree_id, part, pre`` of each leaf.
+
+def longest_edges(sized: DataFrame, min_cells: int) -> DataFrame:
+    """Of each part the longest candidate that leaves ``min_cells`` on both sides (ties: first in preorder): ``tree_id, part, from, to, under``.
+
+    ``sized``: ``tree_id, part, n`` (leaves of the part) and ``pre, last, edge_length,
+    below`` (leaves of the part under it) of each candidate.
     """
-    size = parts.groupBy("tree_id", "part").agg(F.count("*").alias("n")).filter(F.col("n") >= 2 * min_cells)
-    within = _below(candidates, parts.join(size, ["tree_id", "part"]))
-    count = within.groupBy(F.col("x.tree_id").alias("tree_id"), F.col("x.part").alias("part"), F.col("n.pre").alias("from"), F.col("n.last").alias("to"), "n.edge_length").agg(F.count("*").alias("below"), F.first("x.n").alias("n"))
-    good = count.filter((F.col("below") >= min_cells) & (F.col("n") - F.col("below") >= min_cells))
-    best = Window.partitionBy("tree_id", "part").orderBy(F.desc("edge_length"), "from")
-    return good.withColumn("r", F.row_number().over(best)).filter("r = 1").select("tree_id", "part", "from", "to")
+    good = sized.filter((F.col("below") >= min_cells) & (F.col("n") - F.col("below") >= min_cells))
+    best = good.groupBy("tree_id", "part").agg(F.max(F.struct("edge_length", (-F.col("pre")).alias("p"), "last", "below")).alias("x"))
+    return best.select("tree_id", "part", (-F.col("x.p")).alias("from"), F.col("x.last").alias("to"), F.col("x.below").alias("under"))
 
 
 def cut_into_clones(nodes: DataFrame, min_cells: int = 5, min_branch_length: float | None = None) -> DataFrame:
@@ -272,21 +278,33 @@ def cut_into_clones(nodes: DataFrame, min_cells: int = 5, min_branch_length: flo
     ``min_cells`` on both sides cuts it; the lower part gets ``0`` behind its path, the
     rest ``1``, and the order of the paths is that in which parts become final:
     ``clade_1`` and so on. All parts of all trees go through a round together.
+
+    A candidate belongs to the part around it. A cut takes its leaves off the candidates
+    above it and moves those below to the new part, so a round is linear in the
+    candidates and leaves of the parts that it cuts.
     """
     if min_cells < 1:
         raise ValueError("min_cells must be 1 or more")
-    candidates = staged(cut_candidates(nodes, min_branch_length))
-    parts = nodes.filter("is_leaf").select("tree_id", F.col("node_id").alias("cell_id"), "pre", F.lit("").alias("part"), F.lit(True).alias("live"))
+    sized = staged(sized_candidates(nodes, min_branch_length))
+    parts = nodes.filter("is_leaf").select("tree_id", F.col("node_id").alias("cell_id"), "pre", F.lit("").alias("part"))
+    done = None
     while True:
-        cut = staged(longest_edges(parts.filter("live"), candidates, min_cells))
+        cut = staged(longest_edges(sized, min_cells))
         if cut.isEmpty():
             break
-        moved = parts.join(cut, ["tree_id", "part"], "left")
-        side = F.when(F.col("pre").between(F.col("from"), F.col("to")), "0").otherwise("1")
-        hit = F.col("from").isNotNull()
-        parts = staged(moved.select("tree_id", "cell_id", "pre", F.when(hit, F.concat("part", side)).otherwise(F.col("part")).alias("part"), hit.alias("live")))
-    names = F.concat(F.lit("clade_"), F.dense_rank().over(Window.partitionBy("tree_id").orderBy("part")))
-    return parts.select("tree_id", names.alias("clone_id"), "cell_id", "part")
+        inside = F.col("pre").between(F.col("from"), F.col("to"))
+        part = F.concat("part", F.when(inside, "0").otherwise("1"))
+        above = (F.col("pre") < F.col("from")) & (F.col("last") >= F.col("to"))
+        n = F.when(inside, F.col("under")).otherwise(F.col("n") - F.col("under"))
+        below = F.when(above, F.col("below") - F.col("under")).otherwise(F.col("below"))
+        final = parts.join(cut, ["tree_id", "part"], "left_anti")
+        done = final if done is None else done.unionByName(final)
+        parts = staged(parts.join(cut, ["tree_id", "part"]).select("tree_id", "cell_id", "pre", part.alias("part")))
+        # Parts that weren't cut won't be, and the branch that was cut is no longer within a part.
+        sized = staged(sized.join(cut, ["tree_id", "part"]).filter(F.col("pre") != F.col("from")).select("tree_id", part.alias("part"), n.alias("n"), "pre", "last", "edge_length", below.alias("below")))
+    parts = parts if done is None else done.unionByName(parts)
+    names = parts.select("tree_id", "part").distinct().withColumn("k", F.dense_rank().over(Window.partitionBy("tree_id").orderBy("part")))
+    return parts.join(names, ["tree_id", "part"]).select("tree_id", F.concat(F.lit("clade_"), "k").alias("clone_id"), "cell_id", "part")
 
 
 def cut_at_nodes(nodes: DataFrame, labels: list[str]) -> DataFrame:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.staging import staged
+
 # Required columns, names that stand for others, and labels of tips that are no cells.
 REQUIRED = {
     "bam": {"cell_id", "bam_path", "sample_id", "patient_id"},
@@ -158,7 +160,8 @@ def validate_inputs(cells: DataFrame, meta: DataFrame, nodes: DataFrame, events:
         row = first.agg(F.array_join(F.sort_array(F.collect_list("x")), ", ").alias("x"), F.count("*").alias("n"))
         return row.filter("n > 0").select(F.lit(level).alias("level"), F.concat(F.lit(text), "x").alias("message"))
 
-    cross, trees = cross_validate(cells, meta, nodes), tree_stats(nodes)
+    # Each check is evaluated once, and its few rows are written for all that looks at them.
+    cross, trees = staged(cross_validate(cells, meta, nodes)), staged(tree_stats(nodes))
     found = [
         shown(find_duplicate_cells(cells), "cell_id", "BAM manifest: duplicate cell_id ", "error"),
         shown(find_duplicate_cells(meta), "cell_id", "cell metadata: duplicate cell_id ", "error"),
@@ -168,7 +171,7 @@ def validate_inputs(cells: DataFrame, meta: DataFrame, nodes: DataFrame, events:
         cross.filter("n_in_meta_not_bam > 0").select(F.lit("warning"), F.concat(F.lit("cross-check: cells without alignments: "), F.col("n_in_meta_not_bam").cast("string"))),
     ]
     if listing is not None:
-        faults = check_paths(cells, listing)
+        faults = staged(check_paths(cells, listing))
         found += [shown(faults.filter(F.col("level") == x), "path", f"BAM manifest: {t} ", x) for x, t in (("error", "missing or empty"), ("warning", "no index"))]
     messages = found[0]
     for f in found[1:]:

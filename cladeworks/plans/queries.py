@@ -211,6 +211,11 @@ SELECT clone_id, chrom, pos, ref, alt, n_alt, CAST(sum(n_alt) OVER (PARTITION BY
 
 # Validation and cells ----------------------------------------------------------------------------
 
+def _known_cells(get) -> DataFrame:
+    """Cells of the view ``ids``, as ``id, bam_path``."""
+    return get("ids").join(get("cells").select(F.col("cell_id").alias("id"), "bam_path"), "id")
+
+
 query("f2_standardize_events", "SELECT cell_id, chr, start, \"end\", event_type FROM cn_events")(
     lambda get: V.standardize_events(get("cn_events").withColumnsRenamed({"cell_id": "Cell", "chr": "Seqnames", "event_type": "Type", "start": "START"}))
 )
@@ -229,11 +234,11 @@ SELECT c.* FROM cells c JOIN (SELECT cell_id, count_if((flag & 2308) = 0) AS m F
     lambda get: P.filter_cells_by_metrics(get("cells"), P.duplicate_metrics(get("reads"), "cell_id"), 20)
 )
 query("j10_check_paths", """
-WITH l AS (SELECT bam_path AS path, CASE WHEN cell_id LIKE '%7' THEN 0 ELSE 10 END AS length FROM cells WHERE cell_id NOT LIKE '%5' UNION ALL SELECT bam_path || '.bai', 1 FROM cells WHERE cell_id LIKE '%2')
+WITH l AS (SELECT bam_path AS path, CASE WHEN d.id IS NOT NULL THEN 0 ELSE 10 END AS length FROM cells JOIN ids i ON i.id = cell_id LEFT JOIN dear d ON d.id = cell_id UNION ALL SELECT bam_path || '.bai', 1 FROM cells JOIN dear ON id = cell_id)
 SELECT cell_id, bam_path AS path, 'error' AS level, CASE WHEN length IS NULL THEN 'missing' ELSE 'empty' END AS problem FROM cells LEFT JOIN l ON path = bam_path WHERE coalesce(length, 0) = 0
-UNION ALL SELECT cell_id, bam_path || '.bai', 'warning', 'missing index' FROM cells WHERE cell_id NOT LIKE '%2'""")(
-    lambda get: V.check_paths(get("cells"), get("cells").filter("cell_id NOT LIKE '%5'").select(F.col("bam_path").alias("path"), F.when(F.col("cell_id").like("%7"), 0).otherwise(10).alias("length"))
-    .union(get("cells").filter("cell_id LIKE '%2'").select(F.concat("bam_path", F.lit(".bai")), F.lit(1))))
+UNION ALL SELECT cell_id, bam_path || '.bai', 'warning', 'missing index' FROM cells WHERE cell_id NOT IN (SELECT id FROM dear)""")(
+    lambda get: V.check_paths(get("cells"), _known_cells(get).join(get("dear"), "id", "left_semi").select("bam_path", F.lit(0).alias("length")).union(_known_cells(get).join(get("dear"), "id", "left_anti").select("bam_path", F.lit(10)))
+    .withColumnRenamed("bam_path", "path").union(_known_cells(get).join(get("dear"), "id", "left_semi").select(F.concat("bam_path", F.lit(".bai")), F.lit(1))))
 )
 query("v1_duplicate_cells", "SELECT cell_id, count(*) AS n FROM (SELECT cell_id FROM cells UNION ALL SELECT id FROM ids) GROUP BY 1 HAVING count(*) > 1")(
     lambda get: V.find_duplicate_cells(get("cells").select("cell_id").union(get("ids")))
@@ -241,29 +246,29 @@ query("v1_duplicate_cells", "SELECT cell_id, count(*) AS n FROM (SELECT cell_id
 query("v2_event_stats", "SELECT count(*) AS n_events, count(DISTINCT cell_id) AS n_cells FROM cn_events")(lambda get: V.event_stats(get("cn_events")))
 query("v3_tree_stats", "SELECT tree_id, count_if(is_leaf) AS n_leaves, count(*) AS n_nodes, count_if(is_leaf) >= 2 AS ok FROM nodes GROUP BY 1")(lambda get: V.tree_stats(get("nodes")))
 query("v4_cross_validate", """
-WITH b AS (SELECT DISTINCT cell_id FROM cells WHERE cell_id NOT LIKE '%9'), m AS (SELECT DISTINCT cell_id FROM cells WHERE cell_id NOT LIKE '%3'),
+WITH b AS (SELECT DISTINCT cell_id FROM cells), m AS (SELECT DISTINCT id AS cell_id FROM ids),
 j AS (SELECT b.cell_id AS x, m.cell_id AS y FROM b FULL JOIN m ON b.cell_id = m.cell_id)
 SELECT count(x) AS n_bam_cells, count(y) AS n_meta_cells, count_if(x IS NOT NULL AND y IS NOT NULL) AS n_overlap, count_if(y IS NULL) AS n_in_bam_not_meta, count_if(x IS NULL) AS n_in_meta_not_bam,
   round(100 * count_if(x IS NOT NULL AND y IS NOT NULL) / greatest(count(x), 1), 2) AS pct_overlap, 100 * count_if(x IS NOT NULL AND y IS NOT NULL) / greatest(count(x), 1) >= 50 AS ok,
   (SELECT count_if(is_leaf) FROM nodes) AS n_tree_leaves FROM j""")(
-    lambda get: V.cross_validate(get("cells").filter("cell_id NOT LIKE '%9'"), get("cells").filter("cell_id NOT LIKE '%3'"), get("nodes"))
+    lambda get: V.cross_validate(get("cells"), get("ids").withColumnRenamed("id", "cell_id"), get("nodes"))
 )
 query("v5_usable_cells", "SELECT tree_id, node_id AS cell_id, pre, count(*) OVER (PARTITION BY tree_id) >= 2 AS enough FROM nodes WHERE is_leaf AND node_id IN (SELECT id FROM ids)")(
     lambda get: V.usable_cells(get("nodes"), get("ids").withColumnRenamed("id", "cell_id"))
 )
 query("v6_validate_inputs", """
-WITH bad AS (SELECT DISTINCT bam_path AS path FROM cells WHERE cell_id LIKE '%55' ORDER BY 1 LIMIT 10), lost AS (SELECT DISTINCT coalesce(nullif(bai_path, ''), bam_path || '.bai') AS path FROM cells ORDER BY 1 LIMIT 10),
+WITH bad AS (SELECT DISTINCT bam_path AS path FROM cells WHERE cell_id NOT IN (SELECT id FROM ids) ORDER BY 1 LIMIT 10), lost AS (SELECT DISTINCT coalesce(nullif(bai_path, ''), bam_path || '.bai') AS path FROM cells ORDER BY 1 LIMIT 10),
 c AS (SELECT count(DISTINCT cell_id) AS n FROM cells), a AS (SELECT count(DISTINCT cell_id) AS n FROM assignments), b AS (SELECT count(DISTINCT cell_id) AS n FROM cells JOIN assignments USING (cell_id))
 SELECT 'BAM manifest: missing or empty ' || (SELECT string_agg(path, ', ' ORDER BY path) FROM bad) AS errors, 'BAM manifest: no index ' || (SELECT string_agg(path, ', ' ORDER BY path) FROM lost) AS warnings, 'failed' AS status,
   c.n AS n_bam_cells, a.n AS n_meta_cells, b.n AS n_overlap, round(100.0 * b.n / c.n, 2) AS pct_overlap, (SELECT count_if(is_leaf) FROM nodes) AS n_tree_leaves, (SELECT count(*) FROM nodes) AS n_tree_nodes,
   (SELECT count(*) FROM cn_events) AS n_events, (SELECT count(DISTINCT cell_id) FROM cn_events) AS n_event_cells FROM c, a, b""")(
-    lambda get: V.validate_inputs(get("cells"), get("assignments"), get("nodes"), get("cn_events"), get("cells").filter("cell_id NOT LIKE '%55'").select(F.col("bam_path").alias("path"), F.lit(1).alias("length")))
+    lambda get: V.validate_inputs(get("cells"), get("assignments"), get("nodes"), get("cn_events"), _known_cells(get).select(F.col("bam_path").alias("path"), F.lit(1).alias("length")))
     .withColumns({c: F.array_join(c, " | ") for c in ("errors", "warnings")})
 )
 query("u3_compare_ids", """
-WITH a AS (SELECT cell_id FROM cells WHERE cell_id NOT LIKE '%4'), b AS (SELECT id AS cell_id FROM ids UNION SELECT 'other')
+WITH a AS (SELECT cell_id FROM cells), b AS (SELECT id AS cell_id FROM ids UNION SELECT 'other')
 SELECT coalesce(a.cell_id, b.cell_id) AS cell_id, CASE WHEN a.cell_id IS NULL THEN 'right' WHEN b.cell_id IS NULL THEN 'left' ELSE 'both' END AS side FROM a FULL JOIN b ON a.cell_id = b.cell_id""")(
-    lambda get: V.compare_ids(get("cells").filter("cell_id NOT LIKE '%4'"), get("ids").withColumnRenamed("id", "cell_id").union(get("ids").select(F.lit("other")).distinct()))
+    lambda get: V.compare_ids(get("cells"), get("ids").withColumnRenamed("id", "cell_id").union(get("ids").select(F.lit("other")).distinct()))
 )
 query("w1_dedupe_cells", """
 SELECT cell_id, chr, start, event_type FROM (SELECT *, row_number() OVER (PARTITION BY cell_id ORDER BY chr, start, event_type) AS k FROM cn_events) WHERE k = 1""")(
@@ -385,10 +390,10 @@ z AS (SELECT tree_id, clone_id, count(*) AS n, row_number() OVER (PARTITION BY t
 query("t13_cut_at_nodes", f"""
 SELECT x.tree_id, coalesce(arg_min(n.node_id, l.n_leaves), 'unassigned') AS clone_id, x.node_id AS cell_id FROM nodes x LEFT JOIN (SELECT * FROM nodes WHERE node_id IN ('N1', 'N5', 'N8_BUILDING', 'N8')) n ON {UNDER} LEFT JOIN {LEAVES} l ON l.tree_id = n.tree_id AND l.node_id = n.node_id
 WHERE x.is_leaf GROUP BY x.tree_id, x.node_id""")(lambda get: T.cut_at_nodes(get("nodes"), ["N8", "N1", "N5", "N8_BUILDING"]))
-ASSIGNED = "(SELECT cell AS cell_id, s AS clone_id FROM labelled WHERE c % 4 <> 0)"
+ASSIGNED = "(SELECT cell AS cell_id, s AS clone_id FROM labelled JOIN ids ON id = cell)"
 query("t14_node_clones", f"""
 SELECT n.tree_id, n.node_id, array_to_string(list_sort(list(DISTINCT clone_id) FILTER (clone_id IS NOT NULL)), ',') AS label FROM nodes n JOIN nodes x ON {UNDER} AND x.is_leaf LEFT JOIN {ASSIGNED} a ON a.cell_id = x.node_id GROUP BY 1, 2""".replace("array_to_string(list_sort(list(DISTINCT clone_id) FILTER (clone_id IS NOT NULL)), ',')", "coalesce(array_to_string(list_sort(list(DISTINCT clone_id) FILTER (clone_id IS NOT NULL)), ','), '')"))(
-    lambda get: T.annotate_nodes_with_clones(get("nodes"), get("labelled").filter("c % 4 <> 0").select(F.col("cell").alias("cell_id"), F.col("s").alias("clone_id")))
+    lambda get: T.annotate_nodes_with_clones(get("nodes"), get("labelled").join(get("ids"), F.col("id") == F.col("cell")).select(F.col("cell").alias("cell_id"), F.col("s").alias("clone_id")))
 )
 query("j2_nodes_with_events", f"""
 SELECT t.*, coalesce(k, 0) AS n_events, coalesce(e, '') AS event_summary FROM {NODE_TABLE} t
@@ -413,7 +418,7 @@ WITH l AS (SELECT tree_id, pre FROM nodes WHERE is_leaf), k AS (SELECT tree_id,
 b AS (SELECT c.tree_id, c.pre AS f, c.last AS t, c.edge_length, count(*) AS below, any_value(n) AS n FROM nodes c JOIN {THRESHOLD} h USING (tree_id) JOIN k USING (tree_id) JOIN l ON l.tree_id = c.tree_id AND l.pre BETWEEN c.pre AND c.last
   WHERE NOT c.is_leaf AND c.parent_id IS NOT NULL AND c.edge_length >= threshold GROUP BY 1, 2, 3, 4)
 SELECT tree_id, '' AS part, f AS first_pre, t AS last_pre FROM (SELECT *, row_number() OVER (PARTITION BY tree_id ORDER BY edge_length DESC, f) AS k FROM b WHERE below >= 10 AND n - below >= 10) WHERE k = 1""")(
-    lambda get: T.longest_edges(get("nodes").filter("is_leaf").select("tree_id", F.lit("").alias("part"), "pre"), T.cut_candidates(get("nodes")), 10).withColumnsRenamed({"from": "first_pre", "to": "last_pre"})
+    lambda get: T.longest_edges(T.sized_candidates(get("nodes")), 10).select("tree_id", "part", F.col("from").alias("first_pre"), F.col("to").alias("last_pre"))
 )
 
 # Reads ---------------------------------------------------------------------------------------------

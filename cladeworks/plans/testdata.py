@@ -81,8 +81,8 @@ FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey JOIN {{customer}} O
     "genes": "SELECT 'chr' || CAST(1 + s_suppkey % 22 AS STRING) AS chrom, CAST(s_suppkey * 1777 % 20000 AS BIGINT) AS start, CAST(s_suppkey * 1777 % 20000 + 5 + s_suppkey % 40 AS BIGINT) AS \"end\" FROM {supplier}",
     "alleles": """
 SELECT clone_id, chrom, pos, ref, alt, CAST(count(*) AS BIGINT) AS n_alt FROM {calls} GROUP BY clone_id, chrom, pos, ref, alt""",
-    # Cells with an order, and those with one of the dearest.
-    "ids": f"SELECT DISTINCT {_CELL.format('o_custkey')} AS id FROM {{orders}}",
+    # Cells whose orders are dear on the whole, and those with one of the dearest.
+    "ids": f"SELECT {_CELL.format('o_custkey')} AS id FROM {{orders}} GROUP BY o_custkey HAVING avg(o_totalprice) > (SELECT avg(o_totalprice) FROM {{orders}})",
     "dear": f"SELECT DISTINCT {_CELL.format('o_custkey')} AS id FROM {{orders}} WHERE o_totalprice > (SELECT avg(o_totalprice) + 2 * stddev_pop(o_totalprice) FROM {{orders}})",
 }
 

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import KEY
-from ..functions.newick import format_newick
 
+#: Places in preorder whose text is put together at a time.
+PIECE = 4096
+#: A name with one of these is quoted.
+QUOTED = r"[\s(),:;'\[\]]"
 # Header lines of a VCF of consensus calls.
 VCF_HEADER = [
     "##fileformat=VCFv4.2",
@@ -57,14 +59,23 @@ def to_newick(nodes: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     """Newick text of each tree: ``tree_id, newick``.
 
     With ``labels`` (``tree_id, node_id, label``) internal nodes are named by their
-    clones; leaves keep their ids.
+    clones; leaves keep their ids. Each node gives its opening and its closing text;
+    they are put together by pieces of the preorder, then by tree.
     """
     rows = nodes.withColumn("label", F.col("node_id"))
     if labels is not None:
         named = labels.select("tree_id", "node_id", F.col("label").alias("clones"))
         rows = rows.join(named, ["tree_id", "node_id"], "left").withColumn("label", F.when(F.col("is_leaf"), F.col("node_id")).otherwise(F.coalesce("clones", F.lit(""))))
-
-    def text(f: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"tree_id": [f["tree_id"].iloc[0]], "newick": [format_newick(f.to_dict("records"))]})
-
-    return rows.select("tree_id", "label", "pre", "last", "edge_length").groupBy("tree_id").applyInPandas(text, "tree_id string, newick string")
+    above = nodes.select("tree_id", F.col("node_id").alias("parent_id"), F.col("pre").alias("above"))
+    rows = rows.join(above, ["tree_id", "parent_id"], "left")
+    quoted = F.when(F.col("label").rlike(QUOTED), F.concat(F.lit("'"), F.replace("label", F.lit("'"), F.lit("''")), F.lit("'"))).otherwise(F.coalesce("label", F.lit("")))
+    length = F.when(F.col("above").isNotNull(), F.concat(F.lit(":"), F.coalesce("edge_length", F.lit(0.0)).cast("string"))).otherwise("")
+    name, leaf = F.concat(quoted, length), F.col("pre") == F.col("last")
+    comma = F.when(F.col("pre") > F.col("above") + 1, ",").otherwise("")
+    # A node opens at its own place and closes behind the last one below it, the deepest first.
+    opens = F.struct(F.col("pre").alias("at"), F.lit(0).cast("long").alias("order"), F.concat(comma, F.when(leaf, name).otherwise("(")).alias("text"))
+    closes = F.struct(F.col("last").alias("at"), (F.lit(1) + F.col("last") - F.col("pre")).alias("order"), F.concat(F.lit(")"), name).alias("text"))
+    pieces = rows.select("tree_id", F.explode(F.array_compact(F.array(opens, F.when(~leaf, closes)))).alias("x"))
+    joined = lambda c: F.array_join(F.transform(F.sort_array(F.collect_list(c)), lambda x: x["text"]), "")
+    parts = pieces.groupBy("tree_id", F.floor(F.col("x.at") / PIECE).alias("piece")).agg(joined("x").alias("text"))
+    return parts.groupBy("tree_id").agg(F.concat(joined(F.struct("piece", "text")), F.lit(";")).alias("newick"))
