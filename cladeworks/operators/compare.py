@@ -7,12 +7,19 @@ starts from the distinct (key, clone, caller): one shuffle on the key.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import KEY
+from ..functions.staging import staged
 
 MAX_PIVOT = 400
+#: Clones whose counts of shared keys a task holds as a matrix (32 MB), and keys of a product.
+MAX_DENSE, KEY_ROWS = 2048, 2048
 
 
 def variant_set(calls: DataFrame) -> DataFrame:
@@ -90,21 +97,51 @@ def per_clone_variants(calls: DataFrame) -> DataFrame:
 def clone_similarity(calls: DataFrame, files: DataFrame) -> DataFrame:
     """Jaccard similarity of the key sets of each two clones, the diagonal included; 0 for two empty ones.
 
-    Pairs of clones are counted within the array of a key's clones, so no key is
-    joined with itself.
+    Up to ``MAX_DENSE`` clones, a task makes rows of bits of its keys' clones and adds up
+    products of these matrices; it hands on one row for each clone. With more clones
+    pairs are counted within the array of a key's clones. No key is joined with itself.
     """
-    clones = files.select("clone_id").distinct()
+    clones = staged(files.select("clone_id").distinct())
     by_key = calls.groupBy(*KEY).agg(F.collect_set("clone_id").alias("cs"))
-    pairs = by_key.select(F.explode("cs").alias("clone_a"), "cs").select("clone_a", F.explode("cs").alias("clone_b"))
-    both = pairs.groupBy("clone_a", "clone_b").agg(F.count("*").alias("n"))
+    names = [r.clone_id for r in clones.orderBy("clone_id").limit(MAX_DENSE + 1).collect()]
+    if len(names) <= MAX_DENSE:
+        both = _shared_keys(by_key, names)
+    else:
+        pairs = by_key.select(F.explode("cs").alias("clone_a"), "cs").select("clone_a", F.explode("cs").alias("clone_b"))
+        both = pairs.groupBy("clone_a", "clone_b").agg(F.count("*").alias("n"))
+    both = staged(both)
     size = both.filter("clone_a = clone_b")
-    grid = clones.select(F.col("clone_id").alias("clone_a")).crossJoin(F.broadcast(clones.select(F.col("clone_id").alias("clone_b"))))
+    few = len(names) <= MAX_DENSE
+    other = clones.select(F.col("clone_id").alias("clone_b"))
+    grid = clones.select(F.col("clone_id").alias("clone_a")).crossJoin(F.broadcast(other) if few else other)
     grid = grid.join(both, ["clone_a", "clone_b"], "left")
     grid = grid.join(size.select("clone_a", F.col("n").alias("na")), "clone_a", "left").join(size.select("clone_b", F.col("n").alias("nb")), "clone_b", "left").fillna(0)
     union = F.col("na") + F.col("nb") - F.col("n")
     return grid.select("clone_a", "clone_b", F.when(union > 0, F.col("n") / union).otherwise(0.0).alias("jaccard"))
 
 
+def _shared_keys(by_key: DataFrame, names: list[str]) -> DataFrame:
+    """Keys that each two of ``names`` share: ``clone_a, clone_b, n``, without zeros."""
+    place = {c: i for i, c in enumerate(names)}
+    m = len(names)
+
+    def multiply(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((m, m), np.int64)
+        for f in frames:
+            for at in range(0, len(f), KEY_ROWS):
+                sets = [[place[c] for c in cs if c in place] for cs in f["cs"].iloc[at : at + KEY_ROWS]]
+                has = np.zeros((len(sets), m), np.float32)
+                has[np.repeat(np.arange(len(sets)), [len(x) for x in sets]), [i for x in sets for i in x]] = 1
+                total += (has.T @ has).astype(np.int64)
+        found = np.flatnonzero(total.any(axis=1))
+        yield pd.DataFrame({"a": found, "n": [total[i] for i in found]})
+
+    parts = by_key.select("cs").mapInPandas(multiply, "a int, n array<long>")
+    added = parts.select("a", F.posexplode("n").alias("b", "n")).filter("n > 0").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    named = F.array(*[F.lit(c) for c in names]) if names else F.array().cast("array<string>")
+    return added.select(F.get(named, F.col("a")).alias("clone_a"), F.get(named, F.col("b")).alias("clone_b"), "n")
+
+
 def _support(calls: DataFrame) -> DataFrame:
     return calls.groupBy(*KEY, "clone_id").agg(F.countDistinct("caller").alias("n_callers"), F.sort_array(F.collect_set("caller")).alias("callers"))
 

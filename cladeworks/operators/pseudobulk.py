@@ -126,6 +126,27 @@ def duplicate_metrics(reads: DataFrame, by: str = "clone_id") -> DataFrame:
     return out.withColumn("dup_rate", F.when(F.col("mapped_reads") > 0, F.col("duplicates") / F.col("mapped_reads")).otherwise(0.0))
 
 
+def library_size(reads: Column, distinct: Column) -> Column:
+    """Molecules of a library of which ``reads`` drawn at random hit ``distinct``; null without duplicates.
+
+    The root of ``distinct / x = 1 - exp(-reads / x)`` (Lander and Waterman), by 64
+    bisections between ``distinct`` and the first of its doublings beyond the root.
+    """
+    n, c = reads.cast("double"), distinct.cast("double")
+    short = lambda x: c / x - 1 + F.exp(-n / x)
+    top = F.aggregate(F.sequence(F.lit(1), F.lit(64)), c, lambda x, _: F.when(short(x) > 0, 2 * x).otherwise(x))
+    ends = F.aggregate(
+        F.sequence(F.lit(1), F.lit(64)), F.struct(c.alias("lo"), top.alias("hi")),
+        lambda s, _: F.struct(F.when(short((s["lo"] + s["hi"]) / 2) > 0, (s["lo"] + s["hi"]) / 2).otherwise(s["lo"]).alias("lo"), F.when(short((s["lo"] + s["hi"]) / 2) > 0, s["hi"]).otherwise((s["lo"] + s["hi"]) / 2).alias("hi")),
+    )
+    return F.when((c > 0) & (n > c), F.round(ends["hi"]).cast("long"))
+
+
+def library_sizes(metrics: DataFrame, by: str = "clone_id") -> DataFrame:
+    """``library_size`` of each row of :func:`duplicate_metrics`."""
+    return metrics.select(by, library_size(F.col("mapped_reads"), F.col("mapped_reads") - F.col("duplicates")).alias("library_size"))
+
+
 def clone_totals(reads: DataFrame) -> DataFrame:
     """Reads and bases of each clone and, with a null clone, of all: the whole-tumour pseudobulk."""
     return reads.rollup("clone_id").agg(F.count("*").alias("n_reads"), F.sum(F.col("end") - F.col("start")).alias("n_bases"), F.grouping("clone_id").cast("int").alias("all_clones"))

@@ -206,19 +206,46 @@ def pairwise_distances(nodes: DataFrame) -> DataFrame:
 def node_positions(nodes: DataFrame) -> DataFrame:
     """Layout: ``x`` is the distance from the root, ``y`` a leaf's rank or the mean of the children's ``y``.
 
-    The mean of means is a sum over the leaves below, each weighed by one over the
-    children of every node on the way; the weights are kept as logarithms from the root, to base 2, so that halves stay exact.
+    Trees contract in rounds, as many as the logarithm of the nodes whatever the shape: a
+    node that is known adds to its parent's sum; a parent that waits for one child only
+    is a linear function of it, and of that child's own one child, twice as deep each
+    round. So a round is linear in the nodes that aren't known yet.
     """
     rank = (F.row_number().over(Window.partitionBy("tree_id").orderBy("pre")) - 1).cast("double")
-    leaf = nodes.filter("is_leaf").select("tree_id", "node_id", "pre", rank.alias("y"))
-    kids = nodes.groupBy("tree_id", F.col("parent_id").alias("node_id")).agg(F.log2(F.count("*").cast("double")).alias("w"))
-    inner = nodes.join(kids, ["tree_id", "node_id"]).select("tree_id", "node_id", "pre", "last", "w")
-    above = _below(inner, nodes).filter("n.pre < x.pre").groupBy(F.col("x.tree_id").alias("tree_id"), F.col("x.pre").alias("pre")).agg(F.sum("n.w").alias("w"))
-    weight = nodes.select("tree_id", "node_id", "pre", "last", "is_leaf").join(above, ["tree_id", "pre"], "left").fillna(0.0, ["w"])
-    below = _below(weight.filter("NOT is_leaf"), leaf.join(weight.select("tree_id", "pre", "w"), ["tree_id", "pre"]))
-    mean = below.groupBy(F.col("n.tree_id").alias("tree_id"), F.col("n.node_id").alias("node_id")).agg(F.sum(F.col("x.y") * F.pow(F.lit(2.0), F.col("n.w") - F.col("x.w"))).alias("y"))
-    y = leaf.select("tree_id", "node_id", "y").union(mean)
-    return y.join(nodes.select("tree_id", "node_id", F.col("root_dist").alias("x")), ["tree_id", "node_id"]).select("tree_id", "node_id", "x", "y")
+    above = nodes.select("tree_id", F.col("node_id").alias("parent_id"), F.col("pre").alias("up"))
+    kids = nodes.filter("parent_id IS NOT NULL").groupBy("tree_id", F.col("parent_id").alias("node_id")).agg(F.count("*").alias("wait"))
+    placed = nodes.select("tree_id", "node_id", "parent_id", F.col("pre").alias("at"), "is_leaf").join(above, ["tree_id", "parent_id"], "left").join(kids, ["tree_id", "node_id"], "left")
+    share = kids.select("tree_id", F.col("node_id").alias("parent_id"), (1 / F.col("wait")).alias("w"))
+    placed = staged(placed.join(share, ["tree_id", "parent_id"], "left").select("tree_id", "at", "up", "w", "wait", "is_leaf"))
+    key = ["tree_id", "at"]
+    leaf = nodes.filter("is_leaf").select("tree_id", F.col("pre").alias("at"), rank.alias("y"))
+    fresh = staged(leaf.join(placed, key).select(*key, "up", "w", "y"))
+    live = placed.filter("NOT is_leaf").select(*key, "up", "w", F.lit(0.0).alias("sum"), "wait", F.lit(None).cast("long").alias("link"), F.lit(0.0).alias("slope"))
+    known = [fresh]
+    while True:
+        gains = fresh.groupBy("tree_id", F.col("up").alias("at")).agg(F.sum(F.col("w") * F.col("y")).alias("gain"), F.count("*").alias("came"))
+        child = live.select("tree_id", F.col("up").alias("at"), F.col("at").alias("only"), F.col("w").alias("only_w")).groupBy("tree_id", "at").agg(F.min("only").alias("only"), F.min("only_w").alias("only_w"))
+        value = fresh.select("tree_id", F.col("at").alias("link"), F.col("y").alias("below"))
+        free = F.col("link").isNull()
+        rows = live.join(gains, key, "left").withColumns({"sum": F.when(free, F.col("sum") + F.coalesce("gain", F.lit(0.0))).otherwise(F.col("sum")), "wait": F.when(free, F.col("wait") - F.coalesce("came", F.lit(0))).otherwise(F.col("wait"))})
+        one = free & (F.col("wait") == 1)
+        rows = rows.join(child, key, "left").withColumns({"slope": F.when(one, F.col("only_w")).otherwise(F.col("slope")), "link": F.when(one, F.col("only")).otherwise(F.col("link"))})
+        y = F.when(F.col("wait") == 0, F.col("sum")).otherwise(F.col("sum") + F.col("slope") * F.col("below"))
+        rows = staged(rows.join(value, ["tree_id", "link"], "left").select(*key, "up", "w", "sum", "wait", "link", "slope", y.alias("y")))
+        fresh, rest = rows.filter("y IS NOT NULL").select(*key, "up", "w", "y"), rows.filter("y IS NULL").drop("y")
+        if rest.isEmpty() or fresh.isEmpty() and rest.filter("link IS NOT NULL").isEmpty():
+            break
+        known.append(fresh)
+        further = rest.filter("link IS NOT NULL").select("tree_id", F.col("at").alias("link"), F.col("sum").alias("s"), F.col("slope").alias("k"), F.col("link").alias("next"))
+        on = F.col("next").isNotNull()
+        live = rest.join(further, ["tree_id", "link"], "left").select(*key, "up", "w", F.when(on, F.col("sum") + F.col("slope") * F.col("s")).otherwise(F.col("sum")).alias("sum"), "wait", F.coalesce("next", "link").alias("link"), F.when(on, F.col("slope") * F.col("k")).otherwise(F.col("slope")).alias("slope"))
+        live = staged(live)
+    known.append(fresh)
+    out = known[0]
+    for part in known[1:]:
+        out = out.union(part)
+    named = nodes.select("tree_id", F.col("pre").alias("at"), "node_id", F.col("root_dist").alias("x"))
+    return named.join(out.select(*key, "y"), key).select("tree_id", "node_id", "x", "y")
 
 
 def _inner(nodes: DataFrame) -> DataFrame:

@@ -497,6 +497,82 @@ c AS (SELECT clone_id, round(count(*) / (SELECT sum(length) FROM {_SIZES}), 6) A
 SELECT clone_id, total, mapped, dup_rate, mean_depth, records, snps FROM f FULL JOIN c USING (clone_id) FULL JOIN k USING (clone_id)""")(
     lambda get: R.qc_table(P.flag_stats(get("reads")), P.duplicate_metrics(get("reads")), P.coverage_summary(get("reads"), chrom_sizes(get)).groupBy("clone_id").agg((F.sum("bases") / F.sum("length")).alias("mean_depth")), K.caller_stats(get("calls")))
 )
+_DUPLICATES = f"(SELECT clone_id, count_if({_TAKES}) AS m, count_if({_TAKES} AND (marked & 1024) <> 0) AS d FROM {_MARKED.format('')} GROUP BY 1)"
+#: Bisection as in the operator: doublings until the end lies beyond the root, then halves.
+_LIBRARY = f"""(WITH RECURSIVE t AS (
+  SELECT clone_id, CAST(m AS DOUBLE) AS n, CAST(m - d AS DOUBLE) AS c, CAST(m - d AS DOUBLE) AS lo, CAST(m - d AS DOUBLE) AS hi, 0 AS k FROM {_DUPLICATES} WHERE d > 0 AND m > d
+  UNION ALL
+  SELECT clone_id, n, c, CASE WHEN k >= 64 AND c / ((lo + hi) / 2) - 1 + exp(-n / ((lo + hi) / 2)) > 0 THEN (lo + hi) / 2 ELSE lo END,
+    CASE WHEN k < 64 THEN CASE WHEN c / hi - 1 + exp(-n / hi) > 0 THEN 2 * hi ELSE hi END WHEN c / ((lo + hi) / 2) - 1 + exp(-n / ((lo + hi) / 2)) > 0 THEN hi ELSE (lo + hi) / 2 END, k + 1 FROM t WHERE k < 128)
+SELECT clone_id, CAST(round(hi) AS BIGINT) AS library_size FROM t WHERE k = 128)"""
+query("p7_library_size", f"SELECT clone_id, library_size FROM {_DUPLICATES} LEFT JOIN {_LIBRARY} USING (clone_id)")(lambda get: P.library_sizes(P.duplicate_metrics(P.mark_duplicates(get("reads"), across_cells=True))))
+# Calls of which some are longer than a base, and some have two alternatives.
+_LONGER = "(SELECT clone_id, caller, ref, CASE WHEN pos % 300 = 0 THEN alt || 'T' WHEN pos % 1100 = 0 THEN alt || ',' || ref || 'C' ELSE alt END AS alt FROM calls)"
+
+
+def _longer(get) -> DataFrame:
+    alt = F.when(F.col("pos") % 300 == 0, F.concat("alt", F.lit("T"))).when(F.col("pos") % 1100 == 0, F.concat("alt", F.lit(","), "ref", F.lit("C"))).otherwise(F.col("alt"))
+    return get("calls").withColumn("alt", alt)
+
+
+_KINDS = """count(*) AS records, count_if(length(alt) = 1) AS snps, count_if(length(alt) = 2) AS indels, CAST(count_if(contains(alt, ',')) AS BIGINT) AS multiallelic,
+  count_if(ref || alt IN ('AG', 'GA', 'CT', 'TC')) AS ts, count_if(length(alt) = 1 AND ref || alt NOT IN ('AG', 'GA', 'CT', 'TC')) AS tv"""
+query("m8_caller_stats_by_kind", f"""
+SELECT clone_id, caller, records, snps, indels, CAST(0 AS BIGINT) AS others, multiallelic, ts AS transitions, tv AS transversions, round(ts / nullif(tv, 0), 6) AS ts_tv
+FROM (SELECT clone_id, caller, {_KINDS} FROM {_LONGER} GROUP BY 1, 2)""")(lambda get: K.caller_stats(_longer(get)))
+_FIVES = ", ".join(f"max(CASE WHEN depth >= {d} THEN share_at_least END) AS s{d}" for d in (1, 5, 10, 30))
+query("q3_qc_details", f"""
+WITH f AS (SELECT clone_id, count(*) AS total, count_if((flag & 4) = 0) AS mapped, count_if({_PAIR}) AS pairs, count_if({_PAIR} AND {_B(2)} AND NOT {_B(4)}) AS proper FROM reads GROUP BY 1),
+d AS (SELECT clone_id, CASE WHEN m > 0 THEN d / m ELSE 0 END AS dup_rate FROM {_DUPLICATES}),
+c AS (SELECT clone_id, count(*) / (SELECT sum(length) FROM {_SIZES}) AS mean_depth FROM {_BASES} GROUP BY 1),
+h AS (SELECT clone_id, max(CASE WHEN share_at_least >= 0.5 THEN depth END) AS median_depth, {_FIVES} FROM {_DIST} GROUP BY 1),
+k AS (SELECT clone_id, {_KINDS} FROM {_LONGER} GROUP BY 1)
+SELECT clone_id, total, mapped, round(100 * mapped / total, 2) AS mapped_pct, round(100 * proper / nullif(pairs, 0), 2) AS properly_paired_pct, round(dup_rate, 6) AS dup_rate, library_size, round(mean_depth, 6) AS mean_depth, median_depth,
+  {", ".join(f"round(100 * coalesce(s{d}, 0), 4) AS pct_{d}x" for d in (1, 5, 10, 30))}, records, snps, indels, multiallelic, round(ts / nullif(tv, 0), 6) AS ts_tv
+FROM f FULL JOIN d USING (clone_id) FULL JOIN {_LIBRARY} USING (clone_id) FULL JOIN c USING (clone_id) FULL JOIN h USING (clone_id) FULL JOIN k USING (clone_id)""")(
+    lambda get: R.qc_details(
+        P.flag_stats(get("reads")), P.duplicate_metrics(P.mark_duplicates(get("reads"), across_cells=True)),
+        P.coverage_summary(get("reads"), chrom_sizes(get)).groupBy("clone_id").agg((F.sum("bases") / F.sum("length")).alias("mean_depth")),
+        P.coverage_headline(P.coverage_distribution(get("reads"), chrom_sizes(get))), K.caller_stats(_longer(get)),
+    )
+)
+query("x4_caller_concordance_of_finders", f"""
+SELECT n.clone_id, n_callers, count(k) AS n_variants_any, count_if(k >= n_callers) AS n_variants_all, count_if(k >= 2) AS n_variants_2plus,
+  round(CASE WHEN count(k) > 0 THEN count_if(k >= n_callers) / count(k) ELSE 0 END, 6) AS concordance_rate
+FROM (SELECT clone_id, count(DISTINCT caller) AS n_callers FROM calls GROUP BY 1) n
+LEFT JOIN (SELECT clone_id, {KEYS}, count(DISTINCT caller) AS k FROM {PASSED} GROUP BY ALL) s USING (clone_id) GROUP BY 1, 2""")(
+    lambda get: X.caller_concordance(passed(get), get("calls").select("clone_id", "caller").distinct())
+)
+# Reads clipped at both ends, with five bases of the reference left out after the first twenty.
+_CLIPPED = """(SELECT *, flag % 7 AS lead, flag % 5 AS trail FROM reads)"""
+_CLIPPED_FIVE = "CASE WHEN (flag & 16) <> 0 THEN \"end\" + 5 + trail - 1 ELSE start - lead END"
+
+
+def _clipped(get) -> DataFrame:
+    text = lambda c: c.cast("string")
+    size = F.col("end") - F.col("start")
+    cut = lambda n: F.when(n > 0, F.concat(text(n), F.lit("S"))).otherwise("")
+    reads = get("reads").withColumn("cigar", F.concat(F.lit("2H"), cut(F.col("flag") % 7), F.lit("20M5D"), text(size - 20), F.lit("M"), cut(F.col("flag") % 5)))
+    return reads.withColumn("seq", F.concat(F.repeat(F.lit("N"), F.col("flag") % 7), F.expr("substring(repeat('ACGT', 40), cast(start % 4 as int) + 1, cast(`end` - start as int))"), F.repeat(F.lit("N"), F.col("flag") % 5)))
+
+
+query("w5_clipped_reads", f"SELECT clone_id, cell_id, read_id, marked AS flag FROM {_MARKED.format('cell_id,')}".replace(_FIVE, _CLIPPED_FIVE).replace("FROM reads)", f"FROM {_CLIPPED})"))(
+    lambda get: P.mark_duplicates(_clipped(get)).select("clone_id", "cell_id", "read_id", "flag")
+)
+
+
+@query("p9_pileup_gaps", """
+WITH used AS (SELECT clone_id, chrom, start, "end" FROM reads WHERE (flag & 1796) = 0),
+b AS (SELECT clone_id, chrom, start, unnest(range(start, "end")) AS p FROM used),
+c AS (SELECT clone_id, chrom, p + CASE WHEN p - start >= 20 THEN 6 ELSE 1 END AS pos, substr('ACGT', CAST(p % 4 AS INT) + 1, 1) AS alt, count(*) AS n_alt FROM b GROUP BY ALL)
+SELECT clone_id, chrom, CAST(floor(pos / 100) AS BIGINT) AS place, alt, CAST(sum(n_alt) AS BIGINT) AS n_alt, count(*) AS positions FROM c GROUP BY ALL""")
+def _gaps(get) -> DataFrame:
+    reads = _clipped(get)
+    chunks = reads.groupBy("chrom").agg(F.max("end").alias("top")).select("chrom", F.explode(F.sequence(F.lit(0), F.floor(F.col("top") / 1000))).alias("chunk_index"), F.lit("ACGA" * 250).alias("sequence"))
+    found = K.pileup_counts(reads, chunks, 1000)
+    return found.groupBy("clone_id", "chrom", F.floor(F.col("pos") / 100).alias("place"), "alt").agg(F.sum("n_alt").alias("n_alt"), F.count("*").alias("positions"))
+
+
 query("l4_preview", f"SELECT *, (SELECT count(*) FROM (SELECT 1 FROM {SUPPORT} GROUP BY {KEYS} HAVING max(n_callers) >= 2)) - 20 AS n_more FROM (SELECT {KEYS}, max(n_callers) AS max_callers FROM {SUPPORT} GROUP BY {KEYS} HAVING max(n_callers) >= 2 ORDER BY 1, 2, 3, 4 LIMIT 20)")(
     lambda get: R.preview(X.consensus_variants(passed(get)), R.TEXT_ROWS, *C.KEY)
 )
