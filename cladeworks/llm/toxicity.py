@@ -28,7 +28,7 @@ HOMOGLYPHS = {
     "а": "a", "в": "b", "с": "c", "е": "e", "һ": "h", "і": "i", "ј": "j", "к": "k", "м": "m", "н": "h", "о": "o", "р": "p", "ѕ": "s", "т": "t", "у": "y", "х": "x",
     "α": "a", "β": "b", "ε": "e", "η": "n", "ι": "i", "κ": "k", "ν": "v", "ο": "o", "ρ": "p", "τ": "t", "υ": "u", "χ": "x", "ı": "i", "ɑ": "a", "ɡ": "g",
 }
-# Signs that stand for letters when a letter follows.
+# Signs that stand for letters beside a letter.
 SUBSTITUTES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s"}
 MIN_PREFIX, MAX_PREFIX = 4, 10
 SHORT_WORD = 2  # letters of a word that may be an entry as a whole
@@ -37,18 +37,24 @@ COUNTED_ENTRIES = 600_000  # entries that a task counts before it hands them on
 
 
 def _fold_table() -> dict[int, str | None]:
-    table: dict[int, str | None] = {cp: None for cp in (0xAD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF)}
-    for cp in [*range(0x41, 0x5B), *range(0xC0, 0x250), *range(0x1E00, 0x1F00), *range(0xFF21, 0xFF5B)]:
-        plain = "".join(c for c in unicodedata.normalize("NFKD", chr(cp).lower()) if not unicodedata.combining(c))
+    """What becomes of a code point: joiners and combining marks go, letters of all styles become plain small ones."""
+    marks = [*range(0x300, 0x370), *range(0x1AB0, 0x1B00), *range(0x1DC0, 0x1E00), *range(0x20D0, 0x2100), *range(0xFE00, 0xFE30)]
+    table: dict[int, str | None] = {cp: None for cp in (0xAD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF, *marks)}
+    styled = [*range(0x1D00, 0x1DC0), *range(0x2070, 0x20A0), *range(0x2100, 0x2150), *range(0x249C, 0x24EA), *range(0xFB00, 0xFB07), *range(0xFF10, 0xFF5B), *range(0x1D400, 0x1D800), *range(0x1F110, 0x1F16A)]
+    for cp in [*range(0x41, 0x5B), *range(0xC0, 0x250), *range(0x1E00, 0x1F00), *styled]:
+        plain = "".join(c for c in unicodedata.normalize("NFKD", chr(cp).lower()).lower() if not unicodedata.combining(c)).strip("()")
         if plain and plain != chr(cp):
             table[cp] = plain
     for seen, plain in HOMOGLYPHS.items():
         table[ord(seen)] = table[ord(seen.upper())] = plain
+    for cp, plain in list(table.items()):  # styled letters of other scripts look like theirs
+        if plain in HOMOGLYPHS:
+            table[cp] = HOMOGLYPHS[plain]
     return table
 
 
 _TABLE = _fold_table()
-_SIGN = re.compile(r"(?<![0134578@$])[0134578@$]++(?=[^\W\d_])")  # whole runs, each looked at once
+_SIGN = re.compile(r"(?<=[^\W\d_])[0134578@$]++|(?<![0134578@$])[0134578@$]++(?=[^\W\d_])")  # whole runs, each looked at once
 _AS_LETTERS = str.maketrans(SUBSTITUTES)
 _GAP = re.compile(r"[\W\d_]+")
 

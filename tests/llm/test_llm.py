@@ -548,6 +548,14 @@ def test_hadamard_keeps_lengths():
 # 9 -------------------------------------------------------------------------------------------------
 
 
+def test_folding_of_marks_styles_and_digits():
+    """Marks that stand by themselves, letters of other styles, digits on either side of a letter."""
+    words = lambda t: toxicity.fold(t).split()
+    assert words("i\u0301di\u0300\u0323ot") == words("ídiot") == words("𝐢𝓭𝕚𝖔𝚝") == words("ⓘⓓⓘⓞⓣ") == words("ＩＤＩＯＴ") == words("1d10t") == words("idi07") == ["idiot"]
+    assert words("a55 55 a-5 5") == ["ass", "a"] and words("⒤diot ᴵdiot ﬁne") == ["idiot", "idiot", "fine"]
+    assert words("кот 𝛂lpha") == ["kot", "alpha"] and words("日本 x\u200bx") == ["日本", "xx"]
+
+
 def test_toxicity_folding_and_phrases():
     model = toxicity.ToxicityModel({"idiot": 5.0, "trash": 4.0}, ["trash can"], [-3.0, 1.0, 1.0, 0.0, 0.0])
     scores = model.score(["you idiot", "you 1D10T", "you іdіоt", "you ídïót", "you i\u200bdiot", "an idiotic thing"])
