@@ -66,7 +66,7 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = digested.filter("record_type = 'response'")
     full = held.select(F.col("page_id").alias("refers_to"), "payload_bytes", "payload_digest").filter("payload_bytes >= 1000").distinct()
     revisits = digested.filter("record_type = 'revisit'").select("page_id", "record_type", "refers_to", F.col("named").alias("payload_digest"))
-    revisits = revisits.join(full, ["refers_to", "payload_digest"])  # a page_id may be there with several payloads
+    revisits = revisits.join(full.hint("merge"), ["refers_to", "payload_digest"])  # a page_id may be there with several payloads
     return held.drop("named").unionByName(revisits).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

@@ -38,7 +38,7 @@ def plan_records(pages: DataFrame, least_bytes: int = 1000) -> DataFrame:
     pages = pages.select("page_id", "url", F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload")).withColumn("digest", F.sha1("payload"))
     large = pages.filter(F.octet_length("payload") >= least_bytes).filter("page_id IS NOT NULL").select("page_id", "digest")
     kept = large.groupBy("digest").agg(F.max("page_id").alias("refers_to"), F.min("page_id").alias("least")).filter("refers_to <> least").select("digest", "refers_to")
-    revisits = materialize(large.join(kept, "digest").filter("page_id <> refers_to").select("page_id", "digest", "refers_to").distinct())
+    revisits = materialize(large.join(kept.hint("merge"), "digest").filter("page_id <> refers_to").select("page_id", "digest", "refers_to").distinct())
     shared = pages.sparkSession.sparkContext.broadcast(hash_filter(revisits.select(F.xxhash64("page_id", "digest").alias("h"))))
 
     @F.arrow_udf("boolean")
@@ -47,7 +47,7 @@ def plan_records(pages: DataFrame, least_bytes: int = 1000) -> DataFrame:
 
     pages = pages.withColumn("_may", may_revisit(F.xxhash64("page_id", "digest")))
     alone = pages.filter("NOT _may").withColumn("refers_to", F.lit(None).cast(pages.schema["page_id"].dataType))
-    return alone.unionByName(pages.filter("_may").join(revisits, ["page_id", "digest"], "left")).drop("_may")
+    return alone.unionByName(pages.filter("_may").join(revisits.hint("merge"), ["page_id", "digest"], "left")).drop("_may")
 
 
 def write_warc(pages: DataFrame, path: str, least_bytes: int = 1000, date: str = "2020-01-01T00:00:00Z") -> None:
@@ -173,13 +173,13 @@ def reachable_entries(candidates: DataFrame, max_rounds: int = 48) -> DataFrame:
     reached = candidates.filter("at = 0").select("file_key", "at")
     known = -1
     for _ in range(max_rounds):
-        step = reached.join(jump, ["file_key", "at"]).select("file_key", F.col("to").alias("at"))
-        reached = materialize(reached.union(step.join(candidates, ["file_key", "at"], "left_semi")).distinct())
+        step = reached.join(jump.hint("merge"), ["file_key", "at"]).select("file_key", F.col("to").alias("at"))
+        reached = materialize(reached.union(step.join(candidates.hint("merge"), ["file_key", "at"], "left_semi")).distinct())
         if (now := reached.count()) == known:
             break
         known = now
         far = jump.select("file_key", F.col("at").alias("to"), F.col("to").alias("farther"))
-        jump = materialize(jump.join(far, ["file_key", "to"]).select("file_key", "at", F.col("farther").alias("to")))
+        jump = materialize(jump.join(far.hint("merge"), ["file_key", "to"]).select("file_key", "at", F.col("farther").alias("to")))
     return reached
 
 
@@ -248,6 +248,9 @@ def _parsed(pieces: DataFrame) -> DataFrame:
     return rows.withColumn("payload", payload).drop("http", "block")
 
 
+# Tables of records and splits grow with the archives: they are joined by shuffles, whatever their size.
+
+
 def read_warc(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
     """All records of the uncompressed archives below ``path``.
 
@@ -261,19 +264,19 @@ def read_warc(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
     scan = materialize(scan_candidates(spark, path))
     summary = materialize(bases(scan.filter("kind = 0").select("file_key", "split", F.col("at").alias("n_bytes"), "edge")))
     where = summary.select("file_key", "split", "base")
-    inside = scan.filter("kind = 1").join(where, ["file_key", "split"]).select("file_key", "split", *[(F.col(c) + F.col("base")).alias(c) for c in ("at", "leave", "last", "body")])
+    inside = scan.filter("kind = 1").join(where.hint("merge"), ["file_key", "split"]).select("file_key", "split", *[(F.col(c) + F.col("base")).alias(c) for c in ("at", "leave", "last", "body")])
     candidates = materialize(inside.union(_stitched(summary)))
     entries = reachable_entries(candidates.select("file_key", "at", "leave"))
     if strict:
-        ends = candidates.join(entries, ["file_key", "at"], "left_semi").groupBy("file_key").agg(F.max("leave").alias("end"))
-        sizes = summary.groupBy("file_key").agg(F.sum("n_bytes").alias("size")).join(ends, "file_key", "left")
+        ends = candidates.join(entries.hint("merge"), ["file_key", "at"], "left_semi").groupBy("file_key").agg(F.max("leave").alias("end"))
+        sizes = summary.groupBy("file_key").agg(F.sum("n_bytes").alias("size")).join(ends.hint("merge"), "file_key", "left")
         bad = sizes.filter("end IS NULL OR end <> size").join(file_sizes(spark, path).select("file_key", "path"), "file_key").select("path", "end").take(1)
         if bad:
             raise ValueError(f"the records of {bad[0].path} don't end with the file (last known end: byte {bad[0].end})")
     # Of each split the first reached record, and the record that covers its start.
-    entered = candidates.join(entries, ["file_key", "at"], "left_semi").groupBy("file_key", "split").agg(F.min("at").alias("enters"), F.max(F.struct("at", "leave", "last", "body")).alias("e"))
+    entered = candidates.join(entries.hint("merge"), ["file_key", "at"], "left_semi").groupBy("file_key", "split").agg(F.min("at").alias("enters"), F.max(F.struct("at", "leave", "last", "body")).alias("e"))
     before = Window.partitionBy("file_key").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
-    plan = summary.select("file_key", "split", "base").join(entered, ["file_key", "split"], "left").withColumn("c", F.last("e", ignorenulls=True).over(before))
+    plan = summary.select("file_key", "split", "base").join(entered.hint("merge"), ["file_key", "split"], "left").withColumn("c", F.last("e", ignorenulls=True).over(before))
     covers = F.col("base") < F.col("c.leave") - 4
     plan = plan.select(
         "file_key", "split", "base", "enters",
