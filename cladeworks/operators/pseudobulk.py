@@ -81,8 +81,9 @@ def mark_duplicates(reads: DataFrame, across_cells: bool = False, enabled: bool
 
     A group shares clone, cell (unless ``across_cells``), chromosome, unclipped 5'
     position, strand and the mate's position and strand, nulls being equal; the largest
-    sum of base qualities is best, ties go to the smaller ``read_id``, which names one
-    read of a group. Unmapped, secondary and supplementary reads are left as they are.
+    sum of base qualities is best, ties go to the smaller ``read_id``, then to a hash of
+    the row; of equal rows one is kept. Unmapped, secondary and supplementary reads are
+    left as they are.
     Groups of several reads are broadcast up to a checked number, so that reads needn't move.
     """
     if not enabled:
@@ -97,11 +98,18 @@ def mark_duplicates(reads: DataFrame, across_cells: bool = False, enabled: bool
     groups = staged(groups.select("_a", "_b", "_top"))
     few = groups.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS
     hint = (lambda df: F.broadcast(df)) if few else (lambda df: df)
-    tied = rows.filter("_takes").select("_a", "_b", "_q", "read_id").join(hint(groups), ["_a", "_b"]).filter("_q = _top")
-    best = staged(tied.groupBy("_a", "_b").agg(F.min("read_id").alias("_best")).withColumn("_known", F.lit(True)))
-    out = rows.join(hint(best), ["_a", "_b"], "left")
-    flag = F.when(F.col("_known") & ~F.col("read_id").eqNullSafe(F.col("_best")), F.col("flag").bitwiseOR(DUPLICATE)).otherwise(F.col("flag"))
-    return out.withColumn("flag", flag).select(reads.columns)
+    # Of the reads of the best quality the first by id and a hash of all columns stays; equal rows are told apart by their number.
+    tied = rows.filter("_takes").withColumn("_h", F.xxhash64(*reads.columns)).join(hint(groups), ["_a", "_b"]).filter("_q = _top")
+    equal = tied.groupBy("_a", "_b", "read_id", "_h").agg(F.count("*").alias("_c"), F.first(F.struct(*reads.columns)).alias("_row"))
+    pick = F.struct("_c", F.when(F.col("_c") > 1, F.col("_row")).alias("_row"), F.col("read_id").alias("_id"), "_h")
+    best = staged(equal.groupBy("_a", "_b").agg(F.min_by(pick, F.struct("read_id", "_h")).alias("_best")))
+    marked = F.col("flag").bitwiseOR(DUPLICATE)
+    out = rows.withColumn("_h", F.xxhash64(*reads.columns)).join(hint(best), ["_a", "_b"], "left")
+    stays = F.col("read_id").eqNullSafe(F.col("_best._id")) & (F.col("_h") == F.col("_best._h"))
+    flag = F.when(F.col("_best").isNotNull() & ~stays, marked).otherwise(F.col("flag"))
+    out = out.filter(F.col("_best").isNull() | ~stays | (F.col("_best._c") == 1)).withColumn("flag", flag).select(reads.columns)
+    copies = best.filter("_best._c > 1").select("_best._row.*", F.posexplode(F.sequence(F.lit(1).cast("long"), F.col("_best._c"))).alias("_i", "_k"))
+    return out.unionByName(copies.withColumn("flag", F.when(F.col("_i") > 0, marked).otherwise(F.col("flag"))).select(reads.columns))
 
 
 def flag_stats(reads: DataFrame, by: str = "clone_id") -> DataFrame:

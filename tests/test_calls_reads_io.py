@@ -156,6 +156,19 @@ def test_left_alignment_over_any_distance(spark, chunk):
     assert [tuple(r) for r in got] == sorted(((c, p, r, a, bool(k)) for c, p, r, a, k in want), key=lambda x: str(Row(chrom=x[0], pos=x[1], ref=x[2], alt=x[3], ref_matches=x[4])))
 
 
+@pytest.mark.parametrize("few", [500_000, 0])
+def test_duplicates_of_odd_reads(spark, few, monkeypatch):
+    """One read of each group stays: a pile, equal rows, null keys that are not one another's."""
+    monkeypatch.setattr(P, "BROADCAST_GROUPS", few)
+    row = lambda clone, cell, read, mate, q, flag=0: (clone, cell, read, "chr1", 100, "10M", mate, 300, flag, q)
+    rows = [row("k", "c", f"r{i:05}", "chr1", i % 50) for i in range(2000)]
+    rows += [row(None, "x", "n1", "chr1", 1), row("x", None, "n2", "chr1", 1), row(None, "x", "n3", "chr1", 2), row("m", "c", "same", None, None), row("m", "c", "same", None, None), row("m", "c", "same", None, None), row("m", "c", "gone", "chr1", 9, 4)]
+    df = spark.createDataFrame(rows, "clone_id string, cell_id string, read_id string, chrom string, start long, cigar string, mate_chrom string, mate_start long, flag int, base_quality int").repartition(5)
+    got = P.mark_duplicates(df).collect()
+    kept = sorted((r.read_id for r in got if not r.flag & P.DUPLICATE))
+    assert len(got) == len(rows) and kept == ["gone", "n2", "n3", "r00049", "same"]
+
+
 def test_cigars(spark):
     rows = [("2S2M1D1I1M1H", False), ("2S2M1D1I1M1H", True), ("75M", False), ("75M", True), ("10M5N3=", True), ("4H3S9M", False), (None, False)]
     got = spark.createDataFrame(rows, "cigar string, reverse boolean").select(
