@@ -10,6 +10,7 @@ from cladeworks.functions.cigar import aligned_runs, five_prime, reference_lengt
 from cladeworks.operators import alignment
 from cladeworks.operators import calls as K
 from cladeworks.operators import compare as X
+from cladeworks.operators import intervals
 from cladeworks.operators import pseudobulk as P
 from cladeworks.operators import tree as T
 from cladeworks.sources import readers, writers
@@ -179,12 +180,62 @@ def test_cigars(spark):
     assert [[tuple(x) for x in r.runs or []] for r in got] == [[(0, 2, 2), (3, 5, 1)]] * 2 + [[(0, 0, 75)]] * 2 + [[(0, 0, 10), (15, 10, 3)], [(0, 3, 9)], []]
 
 
-def test_intervals_in_bins(spark, monkeypatch):
+def test_intervals_in_bins(spark):
     calls = spark.createDataFrame([("chr1", p) for p in (1, 10, 11, 20000, 40000)], "chrom string, pos long")
-    bed = spark.createDataFrame([("chr1", 10, 20000), ("chr1", 5, 12)], "chrom string, start long, end long")
-    few = sorted(r.pos for r in K.restrict_to_intervals(calls, bed).collect())
-    monkeypatch.setattr(K, "BROADCAST_INTERVALS", 0)
-    assert few == sorted(r.pos for r in K.restrict_to_intervals(calls, bed).collect()) == [10, 11, 20000]
+    bed = spark.createDataFrame([("chr1", 10, 20000), ("chr1", 5, 12), ("chr2", 0, 50000), ("chr1", 30000, 30000)], "chrom string, start long, end long")
+    assert sorted(r.pos for r in intervals.restrict_to_intervals(calls, bed).collect()) == [10, 11, 20000]
+
+
+@pytest.mark.parametrize("size", [8, 16_384])
+def test_spans_that_overlap_intervals(spark, size, monkeypatch):
+    """Spans that begin before an interval, hold it, or lie within; over many bins or in one; each comes out once."""
+    monkeypatch.setattr(intervals, "BIN", size)
+    rnd = random.Random(size)
+    bed = [("chr1", a, a + rnd.choice([0, 1, 3, 30, 90])) for a in (rnd.randrange(500) for _ in range(15))] + [("chr2", 7, 9)] * 2 + [("chr3", None, 5)]
+    rows = [(c, a, a + rnd.choice([0, 1, 2, 9, 40, 300]), i) for i in range(300) for c, a in [(rnd.choice(["chr1", "chr2", "chr4"]), rnd.randrange(900))]] + [("chr1", 0, 10_000, -1), (None, 1, 2, -2), ("chr1", None, 5, -3)]
+    rows.append(rows[0])
+    inside = lambda c, a, b: a is not None and b > a and any(c == x and y is not None and z > y and y < b and z > a for x, y, z in bed)
+    got = intervals.restrict_to_intervals(spark.createDataFrame(rows, "chrom string, a long, b long, i long"), spark.createDataFrame(bed, "chrom string, start long, end long"), "a", "b")
+    assert sorted(r.i for r in got.collect()) == sorted(i for c, a, b, i in rows if inside(c, a, b))
+
+
+def test_coverage_of_targets(spark):
+    reads = [("k", "chr1", 90, 150, 0), ("k", "chr1", 95, 99, 0), ("k", "chr1", 200, 260, 0), ("m", "chr1", 100, 101, 0), ("m", "chr2", 0, 5000, 1024)]
+    df = spark.createDataFrame(reads, "clone_id string, chrom string, start long, end long, flag int")
+    targets = [("chr1", 100, 110), ("chr1", 120, 130), ("chr1", 0, 2000), ("chr2", 5, 5), ("chr2", 1, 3), ("chr1", 100, 110)]
+    got = {(r.clone_id, r.start, r.end): (r.bases, r.mean_depth, r.max_depth, r.covered) for r in P.coverage_targets(df, spark.createDataFrame(targets, "chrom string, start long, end long"), 64).collect()}
+    assert got == {
+        ("k", 100, 110): (10, 1.0, 1, 10), ("k", 120, 130): (10, 1.0, 1, 10), ("k", 0, 2000): (124, 0.062, 2, 120), ("k", 1, 3): (0, 0.0, 0, 0),
+        ("m", 100, 110): (1, 0.1, 1, 1), ("m", 120, 130): (0, 0.0, 0, 0), ("m", 0, 2000): (1, 0.0005, 1, 1), ("m", 1, 3): (0, 0.0, 0, 0),
+    }
+
+
+def test_library_size_is_the_root(spark):
+    import math
+
+    rows = [(1000, 900), (10**9, 5 * 10**8), (50, 50), (7, 0), (100, 99), (10**6, 1000)]
+    got = [r.x for r in spark.createDataFrame(rows, "n long, c long").select(P.library_size(F.col("n"), F.col("c")).alias("x")).collect()]
+    assert got[2:4] == [None, None]
+    for (n, c), x in zip(rows, got, strict=True):
+        if x:
+            low, high = c, c * 2**40
+            for _ in range(200):
+                mid = (low + high) / 2
+                low, high = (mid, high) if c / mid - 1 + math.exp(-n / mid) > 0 else (low, mid)
+            assert x == pytest.approx(high, rel=1e-6, abs=1)
+
+
+def test_similarity_of_many_clones(spark, monkeypatch):
+    """Products of bits, and pairs where there are more clones than a matrix takes."""
+    rnd = random.Random(2)
+    has = {f"c{i}": {k for k in range(40) if rnd.random() < 0.3} for i in range(12)} | {"empty": set(), "none": set()}
+    calls = spark.createDataFrame([(c, "x", "chr1", k, "A", "C") for c, ks in has.items() for k in ks], "clone_id string, caller string, chrom string, pos long, ref string, alt string")
+    files = spark.createDataFrame([(c, "x") for c in has], "clone_id string, caller string")
+    want = {(a, b): len(x & y) / len(x | y) if x | y else 0.0 for a, x in has.items() for b, y in has.items()}
+    for most in (2048, 3):
+        monkeypatch.setattr(X, "MAX_DENSE", most)
+        got = {(r.clone_a, r.clone_b): r.jaccard for r in X.clone_similarity(calls, files).collect()}
+        assert got.keys() == want.keys() and all(got[k] == pytest.approx(v) for k, v in want.items())
 
 
 def test_registered_queries_match_their_sql(spark):
@@ -196,7 +247,7 @@ def test_registered_queries_match_their_sql(spark):
     d, con = "/root/testdata/sf0.001", duckdb.connect()
     for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{d}/{t}.parquet')")
-    for name in ("x4_caller_concordance", "x11_consensus_table", "w5_mark_duplicates", "t12_cut_into_clones", "p8_coverage_summary"):
+    for name in ("x4_caller_concordance", "x11_consensus_table", "w5_mark_duplicates", "t12_cut_into_clones", "p8_coverage_summary", "j6_overlapping_reads", "s10_to_newick", "q3_qc_details"):
         got, want = QUERIES[name](spark, d).toPandas(), con.execute(ORACLE_SQL[name]).df()
         cols = sorted(want.columns)
         text = lambda f: sorted(map(tuple, f[cols].map(lambda v: f"{v:.6g}" if isinstance(v, float) else str(v)).to_numpy()))  # noqa: B023, E731
