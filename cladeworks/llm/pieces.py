@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import bisect
 import heapq
+import math
 import re
 from dataclasses import dataclass, field
 from itertools import chain
@@ -24,11 +25,16 @@ from pyspark.sql import types as T
 
 _UNIT = re.compile(r" +[^ ]*|[^ ]+")
 _LOW = -1e18
+_NEVER = -1e8  # pieces of lower scores are there, but not used
 
 
 @dataclass
 class Vocabulary:
-    """Pieces (with plain blanks) and scores of a model with byte fallback."""
+    """Pieces (with plain blanks) and log probabilities of a model with byte fallback.
+
+    A unigram model has such scores. Those of a BPE model are merge ranks, whose sums
+    would prefer many early merges to whole words; they become probabilities by Zipf's law.
+    """
 
     pieces: list[str]
     scores: list[float]
@@ -49,7 +55,26 @@ class Vocabulary:
             raise ValueError("the model has no byte pieces, so texts may not survive encoding")
         if any(" " in p.lstrip(" ") for p, ok in zip(pieces, normal, strict=True) if ok):
             raise ValueError("a piece holds a blank after a letter")
-        return cls(pieces, [sp.get_score(i) for i in range(n)], normal, bytes_)
+        scores = [sp.get_score(i) for i in range(n)]
+        held = [s for s, ok in zip(scores, normal, strict=True) if ok and s > _NEVER]
+        if _are_ranks(held):
+            likely = _by_rank(held)
+            scores = [likely[s] if ok and s > _NEVER else s for s, ok in zip(scores, normal, strict=True)]
+        return cls(pieces, scores, normal, bytes_)
+
+
+def _are_ranks(scores: list[float]) -> bool:
+    """Whether scores are merge ranks of a BPE model, negated: whole numbers, each once."""
+    return len(scores) > 1 and all(s <= 0 and float(s).is_integer() for s in scores) and len(set(scores)) == len(scores)
+
+
+def _by_rank(scores: list[float]) -> dict[float, float]:
+    """Log probabilities by Zipf's law, 1 / (rank * H), which sum to 1 over all scores.
+
+    They are multiples of 2^-16, so that sums are exact in any order and ties stay ties.
+    """
+    log_h = math.log(sum(1 / k for k in range(1, len(scores) + 1)))
+    return {s: round((-math.log(k) - log_h) * 65536) / 65536 for k, s in enumerate(sorted(scores, reverse=True), 1)}
 
 
 _SPREAD = (np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F))
@@ -74,7 +99,7 @@ class Segmenter:
         v = self.vocabulary
         self.edges = {p: (s, i) for i, (p, s, ok) in enumerate(zip(v.pieces, v.scores, v.normal, strict=True)) if ok}
         self.longest = max(map(len, self.edges))
-        self.unknown = min((s for s, _ in self.edges.values() if s > -1e8), default=0.0) - 10.0
+        self.unknown = min((s for s, _ in self.edges.values() if s > _NEVER), default=0.0) - 10.0
         self.score_of = np.array([*v.scores, _LOW])
         self._tables()
         self.forget()

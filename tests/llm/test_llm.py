@@ -100,6 +100,21 @@ def test_pieces_round_trip(spark, vocabulary):
     assert queries.op1_sentencepiece(spark, SMALL).filter("NOT round_trip").count() == 0
 
 
+def test_pieces_a_word_against_the_models_encoder(spark, vocabulary):
+    """Merge ranks weigh as probabilities: about as many pieces as the model's own merges make, whole words kept."""
+    import sentencepiece
+
+    own = sentencepiece.SentencePieceProcessor(model_file=f"{queries.TOKENIZERS}/piece_bpe_32k.model")
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").filter("text IS NOT NULL").select("doc_id", "text")
+    rows = pieces.encode_pieces(docs, vocabulary).collect()
+    want = sum(map(len, own.encode([r.text for r in rows])))
+    assert sum(len(r.ids) for r in rows) <= 1.02 * want
+    said = "the quick international organisation of tokens"
+    assert [vocabulary.pieces[i] for i in pieces.Segmenter(vocabulary).encode(said)[0][1]] == [f" {w}" for w in said.split()]
+    held = [s for s, ok in zip(vocabulary.scores, vocabulary.normal, strict=True) if ok and s > -1e8]
+    assert sum(np.exp(held)) == pytest.approx(1, abs=0.01)
+
+
 # 2 -------------------------------------------------------------------------------------------------
 
 
