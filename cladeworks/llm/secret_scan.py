@@ -12,19 +12,34 @@ from __future__ import annotations
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import StopWordsRemover, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .shared import materialize, shared_dir
 
-# Words that name a secret.
-KEYWORDS = r"token|secret|passw(?:or)?d|passwd|api[_-]?key|access[_-]?key|private[_-]?key|credential|auth|bearer"
-CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?:={1,2}(?![A-Za-z0-9+/_=-]))?"
+# Words that name a secret, and beginnings of tokens that services give out.
+KEYWORDS = r"token|secret|passw(?:or)?d|passwd|api[_-]?key|access[_-]?key|private[ _-]?key|credential|auth(?!ors?\b)|bearer"
+PREFIXES = r"ghp_|gho_|ghs_|github_pat_|glpat-|sk_live_|rk_live_|xox[abp]-|AKIA|AIza|npm_|hf_"
+
+_NAME = rf"(?i:{KEYWORDS})[A-Za-z0-9_-]{{0,12}}[\"']?\s{{0,2}}[:=]\s{{0,2}}"
+_RUN = "(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+"
+_PADDING = "(?:={1,2}(?![A-Za-z0-9+/_=-]))?"
+#: Forms of candidates, of which the first that fits counts; each tells by one character in front whether it may begin.
+CANDIDATE = "|".join([
+    r"(?<=-)(?<=PRIVATE KEY-----)[A-Za-z0-9+/=\s\\]{16,}+(?=-----END)",  # a block between its lines
+    r"(?<=:)(?<=://[^\s/:@]{1,64}:)[^\s/@\"']{4,}+(?=@)",  # a password in a URL
+    rf"{_RUN}(?:\.[A-Za-z0-9_-]{{16,}}+)+",  # dotted parts are one
+    rf"(?<=[\"'`])(?<={_NAME}[\"'`])[^\s\"'`]{{6,}}+(?=[\"'`])",  # a quoted value of a secret's name, whatever its signs
+    rf"(?<=[:=]|[:=] )(?<={_NAME})(?!(?i:bearer|basic|token)\b)[A-Za-z0-9+/_!@#$%^*~-]{{6,}}+{_PADDING}",  # one without quotes
+    _RUN + _PADDING,
+])
 LEFT, RIGHT = 80, 40  # characters beside a candidate
 FEATURES = [
     "length", "transitions", "runs", "digits", "capitals", "hexadecimal", "signs", "vowels", "coverage",
     "slashes", "after_path", "before_extension", "keyword", "assigned", "quoted", "left_letters", "right_letters",
+    "in_block", "in_url", "known_prefix", "dots",
 ]
+FORM_FINDINGS = 64  # of each form
 DICTIONARY_WORDS = 20_000
 MAX_FINDINGS = 20_000  # of each label
 BROADCAST_BYTES = 32 << 20
@@ -39,7 +54,10 @@ def find_candidates(docs: DataFrame) -> DataFrame:
     """Every candidate of each whole text: ``doc_id, text_hash, candidate, start, left, right``.
 
     A candidate is a run of 16 or more letters, digits and ``+/_-``, with one or two
-    ``=`` as padding at its end (elsewhere ``=`` parts name and value); ``start`` is its
+    ``=`` as padding at its end (elsewhere ``=`` parts name and value), or several such
+    runs with dots between; the whole body of a private key between its BEGIN and END
+    lines; a password in a URL; or 6 or more characters that a secret's name is given
+    in one line or the next, in quotes with any signs. ``start`` is its
     place from 1. ``left`` and ``right`` are up to 80 and 40 characters beside it, but no
     more than the candidate before and the one after. ``text_hash`` is the xxhash64 of
     the text. The work grows with the text's length.
@@ -89,28 +107,81 @@ def with_features(candidates: DataFrame, dictionary: list[str]) -> DataFrame:
         "slashes": _count("/", c),
         "after_path": left.rlike(r"[/.~:\\]$").cast("double"),
         "before_extension": right.rlike(r"^\.[A-Za-z0-9]{1,5}\b").cast("double"),
-        "keyword": left.rlike(rf"(?i)(?:{KEYWORDS})[^\n]{{0,16}}$").cast("double"),
+        "keyword": left.rlike(rf"(?i)(?:{KEYWORDS})[^\n]{{0,16}}(?:[:=][ \t]*[|>]?-?\s*)?[\"'`]?$").cast("double"),
         "assigned": left.rlike(r"[:=]\s*(?:[a-zA-Z]{1,12} )?[\"'`]?$").cast("double"),
         "quoted": (left.rlike(r"[\"'`]$") & right.rlike(r"^[\"'`]")).cast("double"),
         "left_letters": F.length(F.regexp_extract(left, r"(\p{L}*)[^\p{L}]*$", 1)).cast("double"),
         "right_letters": F.length(F.regexp_extract(right, r"^[^\p{L}]*(\p{L}*)", 1)).cast("double"),
+        **{name: form.cast("double") for name, form in _forms().items()},
+        "dots": _count(r"\.", c),
     }).drop("_all", "_new")
 
 
+def _forms() -> dict[str, Column]:
+    """Signs of a secret in a candidate's own form and place."""
+    left, right = F.col("left"), F.col("right")
+    return {
+        "in_block": left.rlike("PRIVATE KEY-----$") & right.startswith("-----END"),
+        "in_url": left.rlike(r"://[^\s/:@]{1,64}:$") & right.startswith("@"),
+        "known_prefix": F.col("candidate").rlike(f"^(?:{PREFIXES})[A-Za-z0-9_-]{{12,}}"),
+    }
+
+
+def form_findings(spark: SparkSession) -> DataFrame:
+    """Findings of forms that a corpus may hold too seldom to learn from: ``candidate, left, right, label``.
+
+    ``FORM_FINDINGS`` for each form, with values from hashes as secrets, and with words
+    and placeholders, and hashes in other places, as what only looks alike.
+    """
+    i = F.col("id")
+    digest = lambda salt: F.base64(F.unhex(F.sha2(F.concat(F.lit(salt), i.cast("string")), 256)))
+    token = lambda salt: F.translate(digest(salt), "+/=", "xY")
+    cut = lambda text, least, spread: F.left(text, (least + i % spread).cast("int"))
+    some = lambda *values: F.get(F.array(*(F.lit(v) if isinstance(v, str) else v for v in values)), (i % len(values)).cast("int"))
+    short = F.concat(cut(token("short"), 5, 9), some("7", "!4", "x9", "2$"), some("a", "Q8", "k"))
+    jwt = F.concat(F.lit("eyJ"), token("a"), F.lit(".eyJ"), token("b"), cut(token("c"), 4, 30), F.lit("."), token("d"))
+    words = some("changeme", "password", "placeholder", "required", "disabled", "none-given", "your-password", "username")
+    url, at = some("postgres://app:", "https://admin:", "see amqp://guest:", "mysql://root_user:"), some("@db.local:5432/x", "@host/", "@10.0.0.1 ")
+    named = some('password = "', "api_key = '", "passwd: ", 'SECRET="', "auth_token=", "db_password:\n  ", 'token": "')
+    after = some('" and', "' end", "\n", '"', " ", "\n", '"}')
+    beside = some("Authorization: Bearer ", "the value ", "cookie session=", "", "use: ")
+    forms = [
+        (F.concat(F.lit("\n"), digest("a"), digest("b"), F.lit("\n"), digest("c"), F.lit("\n")), F.lit("-----BEGIN RSA PRIVATE KEY-----"), F.lit("-----END RSA PRIVATE KEY-----"), 1),
+        (jwt, beside, some(" ", "\n", '"'), 1),
+        (F.concat(some("ghp_", "sk_live_", "glpat-", "AKIA", "npm_", "xoxb-"), cut(token("a"), 20, 20)), beside, some(" ", ",", "\n"), 1),
+        (short, url, at, 1),
+        (short, named, after, 1),
+        (cut(token("a"), 18, 24), named, after, 1),
+        (words, url, at, 0),
+        (words, named, after, 0),
+        (F.concat(words, F.lit("internalpackage.organisationname."), words, F.lit("implementation")), beside, some(" ", "\n"), 0),
+        (F.concat(digest("a"), F.left(digest("b"), F.lit(20))), F.lit("-----BEGIN PUBLIC KEY-----\n"), F.lit("\n-----END PUBLIC KEY-----"), 0),
+        (cut(token("a"), 18, 24), some("checksum ", "sha1:", "commit ", "see /objects/", "id="), some(" ", ".bin", "\n"), 0),
+    ]
+    rows = F.array(*(F.struct(c.alias("candidate"), left.alias("left"), right.alias("right"), F.lit(float(y)).alias("label")) for c, left, right, y in forms))
+    return spark.range(FORM_FINDINGS).select(F.explode(rows).alias("f")).select("f.*")
+
+
 def label_by_assignment(candidates: DataFrame) -> DataFrame:
     """Labels for want of reviewed findings: ``candidate, left, right, label``.
 
     Two kinds of evidence that don't depend on each other must agree on a 1: a name of
     a secret is given the value (``name = "v"``, ``name: v``, ``name=v``, ``"name": "v"``,
     ``Authorization: Bearer v``), and the value looks drawn at random, having ten
-    different characters, letters among them, and digits in two places. All else is 0: words and numbers beside such a name, and random values, as checksums, beside
+    different characters (six, if it is shorter than 16), letters among them, and digits
+    in two places (one). So is a 1 what stands in a private key's block, or is drawn and
+    is a password in a URL or begins like a service's token. All else is 0: words and numbers beside such a name, and random values, as checksums, beside
     others. At most ``MAX_FINDINGS`` findings of each label are used, picked by a hash
     of the finding.
     """
     named = F.col("left").rlike(rf"(?i)(?:{KEYWORDS})[a-z0-9_-]{{0,12}}[\"']?\s*(?:[:=]\s*(?:bearer |basic |token )?|[\"'])[\"'`]?$")
-    random = (F.regexp_count("candidate", F.lit("[0-9]+")) >= 2) & (F.size(F.array_distinct(F.split("candidate", ""))) >= 10)
+    size = F.length("candidate")
+    different = F.size(F.array_distinct(F.split("candidate", "")))
+    random = (F.regexp_count("candidate", F.lit("[0-9]+")) >= F.when(size < 16, 1).otherwise(2)) & (different >= F.when(size < 16, 6).otherwise(10))
     random = random & F.col("candidate").rlike("[A-Za-z]") & ~F.col("candidate").rlike("(?i)example|changeme|placeholder")
-    rows = candidates.select("candidate", "left", "right", (named & random).cast("double").alias("label")).distinct()
+    forms = _forms()
+    secret = forms["in_block"] | random & (named | forms["in_url"] | forms["known_prefix"])
+    rows = candidates.select("candidate", "left", "right", secret.cast("double").alias("label")).distinct()
     rows = rows.withColumn("pick", F.xxhash64("candidate", "left", "right"))
     # Only hashes go to the driver: candidates may be long.
     last = [rows.filter(F.col("label") == x).select("pick").orderBy("pick").limit(MAX_FINDINGS).agg(F.max("pick").alias("last")).withColumn("label", F.lit(x)) for x in (0.0, 1.0)]
@@ -118,18 +189,18 @@ def label_by_assignment(candidates: DataFrame) -> DataFrame:
 
 
 def train_forest(labelled: DataFrame, trees: int = 30, depth: int = 6, seed: int = 7) -> RandomForestClassificationModel | None:
-    """A forest on rows with :data:`FEATURES` and ``label``; None unless both labels are there.
+    """A forest on rows with :data:`FEATURES`, ``label`` and ``weight``; None unless both labels are there.
 
     It is written to the shared folder and read back: a fitted model holds its training
     summary, and with it the session, which can't go to executors once the session has
     observations.
     """
-    rows = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(labelled).select("features", "label")
+    rows = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(labelled).select("features", "label", "weight")
     rows = rows.repartition(4, F.xxhash64("features")).sortWithinPartitions(F.xxhash64("features"))
     if labelled.select("label").distinct().count() < 2:
         return None
     path = shared_dir(labelled.sparkSession)
-    RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy="sqrt").fit(rows).save(path)
+    RandomForestClassifier(weightCol="weight", numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy="sqrt").fit(rows).save(path)
     return RandomForestClassificationModel.load(path)
 
 
@@ -138,7 +209,12 @@ def _scored(docs: DataFrame, findings: DataFrame | None, threshold: float) -> Da
     candidates = materialize(find_candidates(docs))
     dictionary = corpus_dictionary(docs)
     labelled = label_by_assignment(candidates) if findings is None else findings.select("candidate", "left", "right", F.col("label").cast("double"))
-    labelled = materialize(with_features(labelled.filter("label IN (0, 1)"), dictionary))
+    labelled = labelled.filter("label IN (0, 1)").withColumn("weight", F.lit(1.0))
+    if findings is None:  # forms weigh as much as the corpus, however large that is
+        forms = form_findings(docs.sparkSession)
+        total = labelled.agg((F.count("*") / forms.count()).alias("weight"))
+        labelled = labelled.unionByName(forms.crossJoin(F.broadcast(total.select(F.greatest("weight", F.lit(1.0)).alias("weight")))))
+    labelled = materialize(with_features(labelled, dictionary))
     model, featured = train_forest(labelled), with_features(candidates, dictionary)
     if model is None:
         only = labelled.agg(F.coalesce(F.max("label"), F.lit(0.0))).first()[0]
