@@ -1,7 +1,8 @@
 """Benchmark decontamination by template windows.
 
 Words become canonical: numbers, names and units turn into typed placeholders, all
-else is lower-cased. Windows of canonical words are hashed and hash-joined between
+else is lower-cased; names of several words and number words in a row are one
+placeholder. Windows of canonical words are hashed and hash-joined between
 documents and benchmark items, beside windows of plain lower-cased words. Where
 placeholders stand for other values than in the item, the values must be consistent:
 within an alignment one item value always stands for one document value, and of names
@@ -16,7 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .flat import SLICE_BYTES, Words, mix, string_buffers
@@ -33,16 +34,24 @@ NUMBER_WORDS = "zero one two three four five six seven eight nine ten eleven twe
 PLAIN, NUMBER, NAME, UNIT = 0, 1, 2, 3
 
 
+@dataclass
+class Reading:
+    """One way to take the words of a slice: texts' bounds, and of each token its hash, its kind, and what it is hashed as."""
+
+    bounds: np.ndarray
+    values: np.ndarray  # hash of the lower-cased word, or words
+    kinds: np.ndarray
+    canonical: np.ndarray  # the same hash, or that of the placeholder, by kind
+
+
 @dataclass
 class Tokens:
-    """Canonical words of a slice of a string column."""
+    """Words of a slice of a string column."""
 
     first: int
     n_docs: int
-    bounds: np.ndarray
-    plain: np.ndarray  # hash of the lower-cased word
-    kinds: tuple[np.ndarray, np.ndarray]  # with capitals at the start of a sentence as plain words, and as names
-    canonical: tuple[np.ndarray, np.ndarray]  # the same hash, or that of the placeholder, by kind
+    #: Plain words; canonical ones with doubtful names (at the start of a sentence, in capitals) as plain words, and as names.
+    readings: tuple[Reading, Reading, Reading]
 
 
 def _word_set(words) -> np.ndarray:
@@ -53,6 +62,14 @@ def _word_set(words) -> np.ndarray:
     return np.unique(Words(0, 1, raw, starts, ends, np.array([0, len(starts)])).hashes())
 
 
+def _joined(hashes: np.ndarray, follows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First words of runs, whose other words are marked by ``follows``, and a hash of each run."""
+    keep = np.flatnonzero(~follows)
+    place = np.arange(len(hashes)) - keep[np.cumsum(~follows) - 1] if len(keep) else keep
+    parts = np.where(follows, mix(hashes + place.astype(np.uint64)), hashes)
+    return keep, np.add.reduceat(parts, keep) if len(keep) else parts
+
+
 def canonical_slices(column: pa.Array, limit: int = SLICE_BYTES):
     """Cut a string column into slices and its texts into canonical words.
 
@@ -61,7 +78,9 @@ def canonical_slices(column: pa.Array, limit: int = SLICE_BYTES):
     ``,`` count as one word; letters right behind digits are a word of their own) or a
     number word; a unit is a unit word after a number; a name is a word with a capital
     and a small letter in front. Where such a word starts a sentence it may be either,
-    so there are two readings.
+    as may a word in capitals, so there are two readings. Names in a row with a blank,
+    a hyphen or an apostrophe between them are one name; so is a number with number
+    words behind it one number.
     """
     units, numbers = _word_set(UNITS), _word_set(NUMBER_WORDS)
     placeholder = mix(np.arange(4, dtype=np.uint64) + np.uint64(0xF00D))
@@ -97,15 +116,16 @@ def canonical_slices(column: pa.Array, limit: int = SLICE_BYTES):
             joined[0] = False
             joined[1:] &= number[:-1] & np.isin(raw[np.minimum(ends[:-1], len(raw) - 1)], (44, 46))
         if joined.any():  # 3.14 and 1,000 are one word
-            keep = np.flatnonzero(~joined)
-            group = np.cumsum(~joined) - 1
-            place = np.arange(len(starts)) - keep[group]
-            total = np.zeros(len(keep), np.uint64)
-            np.add.at(total, group, mix(plain + place.astype(np.uint64)) * joined + plain * ~joined)
+            keep, plain = _joined(plain, joined)
             bounds = np.searchsorted(keep, bounds)
             tail = np.append(keep[1:], len(starts)) - 1
-            starts, ends, plain, number, head = starts[keep], ends[tail], total, number[keep], head[keep]
-        number = number | np.isin(plain, numbers)
+            starts, ends, number, head = starts[keep], ends[tail], number[keep], head[keep]
+        spelled = np.isin(plain, numbers)
+        number = number | spelled
+        close = ~head  # one blank, hyphen or apostrophe behind the word before
+        if len(starts):
+            close[0] = False
+            close[1:] &= (starts[1:] - ends[:-1] == 1) & np.isin(raw[np.minimum(ends[:-1], len(raw) - 1)], (32, 39, 45))
         stop = np.concatenate([[0], np.cumsum((raw == 46) | (raw == 33) | (raw == 63) | (raw == 10) | (raw == 58))])
         opens = head.copy()
         if len(starts):
@@ -113,44 +133,56 @@ def canonical_slices(column: pa.Array, limit: int = SLICE_BYTES):
         first = raw[starts] if len(starts) else np.zeros(0, np.uint8)
         second = raw[np.minimum(starts + 1, max(len(raw) - 1, 0))] if len(starts) else first
         capital = ((first >= 65) & (first <= 90) & ((second >= 97) & (second <= 122) | (second >= 128))) | ((first == 0xC3) & (second >= 0x80) & (second <= 0x9E))
+        shouted = (first >= 65) & (first <= 90) & (second >= 65) & (second <= 90) & (ends - starts > 1)
         capital &= ends - starts > 1
-        kinds = []
-        for names in (capital & ~opens, capital):
+        readings = [Reading(bounds, plain, np.zeros(len(plain), np.int8), plain)]
+        for names in (capital & ~opens, capital | shouted):
             kind = np.where(number, NUMBER, np.where(names, NAME, PLAIN)).astype(np.int8)
+            follows = np.zeros(len(starts), bool)
             if len(starts):
                 unit = np.isin(plain, units) & ~head
                 unit[1:] &= number[:-1]
                 unit[0] = False
                 kind[unit] = UNIT
-            kinds.append(kind)
-        yield Tokens(at, end - at, bounds, plain, tuple(kinds), tuple(np.where(k > 0, placeholder[k], plain) for k in kinds))
+                follows[1:] = close[1:] & (kind[1:] == kind[:-1]) & ((kind[1:] == NAME) | (kind[1:] == NUMBER) & spelled[1:])
+            keep, value = _joined(plain, follows)
+            kind = kind[keep]
+            readings.append(Reading(np.searchsorted(keep, bounds), value, kind, np.where(kind > 0, placeholder[kind], value)))
+        yield Tokens(at, end - at, tuple(readings))
         at = end
 
 
-def _windows(t: Tokens, size: int):
-    """Start and document of each window, and per reading (plain words first) its hash and number of slots."""
-    sizes = np.diff(t.bounds)
+def _windows(r: Reading, size: int, template: bool):
+    """Start, text, hash and number of slots of each window.
+
+    Windows of a template with fewer than two plain words are hashed by their values.
+    """
+    sizes = np.diff(r.bounds)
     count = np.maximum(sizes - size + 1, 0)
     ends = np.cumsum(count)
-    start = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - count - t.bounds[:-1], count)
-    doc = np.repeat(np.arange(t.n_docs), count)
-    readings = []
-    for add, words, kind in ((0, t.plain, None), *((100, c, k) for c, k in zip(t.canonical, t.kinds, strict=True))):
-        h = np.full(len(start), size + add, np.uint64)
+    start = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - count - r.bounds[:-1], count)
+
+    def hashed(words: np.ndarray, at: np.ndarray) -> np.ndarray:
+        h = np.full(len(at), size + 100 * template, np.uint64)
         for j in range(size):
-            h = h * np.uint64(0x2545F4914F6CDD1D) + words[start + j]
-        slots = np.concatenate([[0], np.cumsum(kind > 0)]) if kind is not None else np.zeros(len(t.plain) + 1, np.int64)
-        readings.append((mix(h), slots[start + size] - slots[start] if len(start) else start))
-    return start, doc, readings
+            h = h * np.uint64(0x2545F4914F6CDD1D) + words[at + j]
+        return mix(h)
+
+    h = hashed(r.canonical, start)
+    slots = np.concatenate([[0], np.cumsum(r.kinds > 0)])
+    held = slots[start + size] - slots[start]
+    bare = np.flatnonzero(held > size - 2)
+    h[bare], held[bare] = hashed(r.values, start[bare]), 0
+    return start, np.repeat(np.arange(len(sizes)), count), h, held
 
 
 def _window_rows(texts: DataFrame, id_name: str, sizes: list[int], shortest: int, bloom=None) -> DataFrame:
-    """``h, templ, heavy, id, pos, slots`` of each window; with ``bloom`` only those it may hold.
+    """``h, reading, heavy, id, pos, slots`` of each window; with ``bloom`` only those it may hold.
 
     Without ``bloom``, as for items, a text has the windows of the largest size that
-    it can fill. A template of windows needs two plain words and ``shortest`` words in
-    all; ``heavy`` ones are slots for the more part. A slot is the hash of its word, with
-    1 in the last bit for names.
+    it can fill. Reading 0 is of plain words; windows of the others need ``shortest``
+    tokens; ``heavy`` ones are slots for the more part. A slot is the hash of its words,
+    with 1 in the last bit for names. ``pos`` counts tokens of the reading.
     """
 
     def run(batches):
@@ -161,35 +193,29 @@ def _window_rows(texts: DataFrame, id_name: str, sizes: list[int], shortest: int
                 out = ([], [], [], [], [])
                 slots = []
                 for size in sizes:
-                    start, doc, readings = _windows(t, size)
-                    for reading, (h, held) in enumerate(readings):
-                        pick = (held > 0) & (held <= size - 2) & (size >= shortest) if reading else np.ones(len(h), bool)
-                        if reading == 2:
-                            pick &= h != readings[1][0]
+                    for k, r in enumerate(t.readings):
+                        if k and size < shortest:
+                            continue
+                        start, doc, h, held = _windows(r, size, k > 0)
+                        pick = np.ones(len(h), bool) if bits is None else may_hold(bits, h)
                         if bits is None and size < sizes[-1]:
-                            pick &= np.diff(t.bounds)[doc] == size
-                        if bits is not None:
-                            pick &= may_hold(bits, h)
+                            pick &= np.diff(r.bounds)[doc] == size
                         at = np.flatnonzero(pick)
                         out[0].append(h[at].view(np.int64))
-                        out[1].append(np.full(len(at), reading > 0))
+                        out[1].append(np.full(len(at), k))
                         out[2].append(2 * held[at] > size)
                         out[3].append(ids[t.first + doc[at]])
-                        out[4].append(start[at] - t.bounds[doc[at]])
-                        if reading:
-                            kind = t.kinds[reading - 1]
-                            value = (t.plain & ~np.uint64(1)) | (kind == NAME).astype(np.uint64)
-                            slots += [value[s : s + size][kind[s : s + size] > 0].view(np.int64).tolist() for s in start[at]]
-                        else:
-                            slots += [[]] * len(at)
-                h, templ, heavy, who, pos = (np.concatenate(x) if x else np.zeros(0) for x in out)
+                        out[4].append(start[at] - r.bounds[doc[at]])
+                        value = (r.values & ~np.uint64(1)) | (r.kinds == NAME).astype(np.uint64)
+                        slots += [value[s : s + size][r.kinds[s : s + size] > 0].view(np.int64).tolist() if n else [] for s, n in zip(start[at], held[at], strict=True)]
+                h, reading, heavy, who, pos = (np.concatenate(x) if x else np.zeros(0) for x in out)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h, pa.int64()), pa.array(templ, pa.bool_()), pa.array(heavy, pa.bool_()), pa.array(who.astype(np.int64)), pa.array(pos.astype(np.int32)), pa.array(slots, pa.list_(pa.int64()))],
-                    ["h", "templ", "heavy", "id", "pos", "slots"],
+                    [pa.array(h, pa.int64()), pa.array(reading.astype(np.int32)), pa.array(heavy, pa.bool_()), pa.array(who.astype(np.int64)), pa.array(pos.astype(np.int32)), pa.array(slots, pa.list_(pa.int64()))],
+                    ["h", "reading", "heavy", "id", "pos", "slots"],
                 )
 
     rows = texts.filter(F.col(id_name).isNotNull() & F.col("text").isNotNull()).select(F.col(id_name).cast("long").alias("id"), "text")
-    return rows.mapInArrow(run, "h long, templ boolean, heavy boolean, id long, pos int, slots array<long>")
+    return rows.mapInArrow(run, "h long, reading int, heavy boolean, id long, pos int, slots array<long>").withColumn("templ", F.col("reading") > 0)
 
 
 def _item_sizes(benchmark: DataFrame, window: int) -> list[int]:
@@ -198,7 +224,7 @@ def _item_sizes(benchmark: DataFrame, window: int) -> list[int]:
     def run(batches):
         for batch in batches:
             for t in canonical_slices(batch.column(0)):
-                n = np.unique(np.diff(t.bounds))
+                n = np.unique(np.concatenate([np.diff(r.bounds) for r in t.readings]))
                 yield pa.RecordBatch.from_arrays([pa.array(n.astype(np.int32))], ["n"])
 
     lengths = benchmark.filter("text IS NOT NULL").select("text").mapInArrow(run, "n int").filter(f"n >= 1 AND n < {window}").distinct()
@@ -210,15 +236,19 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, window: int = 8, c
 
     ``docs``: ``doc_id, text``; ``benchmark``: ``item_id, text``; other columns are
     ignored. A pair is returned when at least ``coverage`` of the item's windows of
-    ``window`` words (one window for an item of fewer words) are found in the document,
-    either word for word, or as a template in an alignment whose slots are consistent.
-    Templates that are slots for the more part count only in an alignment that has all
-    of the item's windows. Items of fewer than ``shortest`` words are matched word for
-    word only. ``reparameterised`` says that templates were needed. Null ids, null texts
-    and texts without words hold nothing; repeated rows count once; an empty table on
-    either side gives no rows. The benchmark side of the join is as large as the
-    benchmark; whole documents are scanned, and only windows that pass a 2 MB filter
-    leave the scan.
+    ``window`` words (one window for an item of fewer words) are found in the document:
+    of its plain words, or in one of its readings as a template, in alignments whose
+    slots are consistent. Templates that are slots for the more part count only in an
+    alignment that has all of the reading's windows. Items of fewer than ``shortest``
+    words are matched word for word only. ``coverage`` is the best share found,
+    ``n_windows`` the number of windows of plain words; ``reparameterised`` says that
+    templates were needed. Null ids, null texts and texts without words hold nothing;
+    repeated rows count once; an empty table on either side gives no rows.
+
+    Whole documents are scanned, and only windows that pass a 2 MB filter leave the scan.
+    A pair must share one of the item's rarest windows, as many as can be missed and one
+    more; only pairs that do meet by the others, so that windows which many items and
+    many documents share (instructions, answer letters) make no product of the two.
     """
     if window < 2 or not 0 < coverage <= 1:
         raise ValueError("window must be 2 or more and coverage in (0, 1]")
@@ -226,31 +256,41 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, window: int = 8, c
     sizes = _item_sizes(benchmark, window)
     items = materialize(_window_rows(benchmark, "item_id", sizes, shortest).distinct())
     bloom = spark.sparkContext.broadcast(hash_filter(items))
-    whole = items.filter("NOT templ").groupBy("id").agg(F.countDistinct("pos").alias("n_windows"))
-    hits = materialize(_window_rows(docs, "doc_id", sizes, shortest, bloom))
-    both = hits.alias("d").join(items.alias("i"), (F.col("d.h") == F.col("i.h")) & (F.col("d.templ") == F.col("i.templ")))
-    both = both.select(
-        F.col("d.id").alias("doc_id"), F.col("i.id").alias("item_id"), F.col("d.templ").alias("templ"), F.col("d.heavy").alias("heavy"),
-        F.col("i.pos").alias("pos"), (F.col("d.pos") - F.col("i.pos")).alias("shift"), F.arrays_zip(F.col("i.slots").alias("theirs"), F.col("d.slots").alias("ours")).alias("slots"),
-    )
+    n = materialize(items.groupBy(F.col("id").alias("item_id"), "reading").agg(F.countDistinct("pos").alias("n_windows")))
+    hits = materialize(_window_rows(docs, "doc_id", sizes, shortest, bloom).withColumnRenamed("id", "doc_id"))
+    near = materialize(_may_pair(hits, items, n, coverage))
+    theirs = near.join(items.withColumnsRenamed({"id": "item_id", "pos": "at", "slots": "theirs", "reading": "of"}).drop("heavy"), "item_id")
+    both = theirs.join(hits, ["doc_id", "h", "templ"]).select(
+        "doc_id", "item_id", "of", "reading", "templ", "heavy", F.col("at").alias("pos"), (F.col("pos") - F.col("at")).alias("shift"), F.arrays_zip("theirs", F.col("slots").alias("ours")).alias("slots")
+    )
     both = materialize(both)
-    at = ["doc_id", "item_id", "shift"]
+    at = ["doc_id", "item_id", "of", "reading", "shift"]
     slots = both.filter("templ").select(*at, F.explode("slots").alias("s")).select(*at, "s.theirs", "s.ours").distinct()
     clash = slots.groupBy(*at, "theirs").agg(F.count("*").alias("c")).filter("c > 1").select(*at)
     clash = clash.union(slots.filter("ours & 1 = 1").groupBy(*at, "ours").agg(F.count("*").alias("c")).filter("c > 1").select(*at)).distinct()
-    exact = both.filter("NOT templ").select(*at, "pos", F.lit(0).alias("by"), "heavy")
-    shaped = both.filter("templ").join(clash, at, "left_anti").select(*at, "pos", F.lit(1).alias("by"), "heavy")
-    every = exact.union(shaped)
-    full = every.groupBy(*at).agg(F.countDistinct("pos").alias("n"), F.bool_or("heavy").alias("heavy")).filter("heavy").join(whole, F.col("item_id") == whole.id).filter("n = n_windows")
-    light = every.filter("NOT heavy").select("doc_id", "item_id", "pos", "by")
-    heavy = every.filter("heavy").join(full.select(*at), at, "left_semi").select("doc_id", "item_id", "pos", "by")
-    found = light.union(heavy).groupBy("doc_id", "item_id", "pos").agg(F.min("by").alias("by"))
-    found = found.groupBy("doc_id", "item_id").agg(F.count("*").alias("found"), F.count_if(F.col("by") == 0).alias("word_for_word"))
-    out = found.join(whole, found.item_id == whole.id).filter(F.col("found") >= coverage * F.col("n_windows"))
-    return out.select(
-        "doc_id", "item_id", (F.col("found") / F.col("n_windows")).alias("coverage"), F.col("n_windows").cast("long").alias("n_windows"),
-        (F.col("word_for_word") < coverage * F.col("n_windows")).alias("reparameterised"),
-    )
+    every = both.filter("NOT templ").union(both.filter("templ").join(clash, at, "left_anti").select(both.columns)).select(*at, "pos", "heavy")
+    n_of = n.withColumnRenamed("reading", "of")
+    full = every.groupBy(*at).agg(F.countDistinct("pos").alias("n"), F.bool_or("heavy").alias("heavy")).filter("heavy").join(n_of, ["item_id", "of"]).filter("n = n_windows")
+    found = every.filter("NOT heavy").union(every.filter("heavy").join(full.select(*at), at, "left_semi").select(every.columns))
+    found = found.groupBy("doc_id", "item_id", "of").agg(F.countDistinct("pos").alias("found")).join(n_of, ["item_id", "of"])
+    found = found.filter(F.col("found") >= coverage * F.col("n_windows"))
+    best = found.groupBy("doc_id", "item_id").agg(F.max(F.col("found") / F.col("n_windows")).alias("coverage"), (~F.bool_or(F.col("of") == 0)).alias("reparameterised"))
+    whole = n.filter("reading = 0").select("item_id", F.col("n_windows").cast("long").alias("n_windows"))
+    return best.join(whole, "item_id").select("doc_id", "item_id", "coverage", "n_windows", "reparameterised")
+
+
+def _may_pair(hits: DataFrame, items: DataFrame, n: DataFrame, coverage: float) -> DataFrame:
+    """Documents and items that share one of the item's rarest windows: ``doc_id, item_id``.
+
+    Of a reading's ``n`` windows ``n - ceil(coverage * n)`` can be missed; so a pair to be
+    found shares one of any that are one more. Rare means in few items.
+    """
+    common = items.groupBy("h", "templ").agg(F.countDistinct("id").alias("n_items"))
+    places = items.join(common, ["h", "templ"]).groupBy(F.col("id").alias("item_id"), "reading", "pos").agg(F.max("n_items").alias("n_items"))
+    rank = F.row_number().over(Window.partitionBy("item_id", "reading").orderBy("n_items", "pos"))
+    places = places.withColumn("rank", rank).join(n, ["item_id", "reading"]).filter(F.col("rank") <= F.col("n_windows") - F.ceil(coverage * F.col("n_windows")) + 1)
+    rare = items.withColumnRenamed("id", "item_id").join(places.select("item_id", "reading", "pos"), ["item_id", "reading", "pos"], "left_semi")
+    return hits.select("doc_id", "h", "templ").distinct().join(rare.select("item_id", "h", "templ").distinct(), ["h", "templ"]).select("doc_id", "item_id").distinct()
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

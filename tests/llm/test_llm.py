@@ -143,6 +143,28 @@ def test_decontamination(spark):
     assert contaminated_pairs(docs, bench.limit(0)).count() == contaminated_pairs(docs.limit(0), bench).count() == 0
 
 
+def test_decontamination_of_names_and_numbers_of_several_words(spark):
+    item = "If Mary Ann buys 3 apples from Bob and gives Mary Ann's teacher Mr Lee two of them how many are left for Mary Ann"
+    texts = [
+        "so if Tim buys twenty-five apples from Sue Ellen Park and gives Tim's teacher Anna four of them how many are left for Tim then",
+        "so if TIM buys 7 apples from SUE and gives TIM's teacher ANNA two hundred of them how many are left for TIM then",
+        "so if Tim Lee buys 3 apples from Sue and gives Tim Lee's teacher Anna two of them how many are left for Tim Burton then",
+        "so if Tim buys 7 apples from Sue and gives Tim's teacher Tim two of them how many are left for Tim then",
+    ]
+    bench = spark.createDataFrame([(1, item), (2, "Mary Ann Lee Bob"), (3, "Twenty Five")], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.reparameterised, r.coverage) for r in contaminated_pairs(docs_of(spark, texts), bench).collect()}
+    assert got == {(0, 1): (True, 1.0), (1, 1): (True, 1.0), (0, 3): (False, 1.0)}
+
+
+def test_decontamination_with_a_window_that_everything_shares(spark):
+    """Instructions that all items and documents hold find no pair, and don't hide one."""
+    told = "Read the question below with care and answer with one letter only"
+    unlike = lambda i: " ".join(f"{w}{chr(97 + i)}" for w in "lorem ipsum dolor sit amet elit sed diam nonummy nibh euismod tincidunt ut laoreet dolore magna aliquam erat volutpat wisi".split())
+    bench = spark.createDataFrame([(i, f"{told} {unlike(i)}") for i in range(20)], "item_id long, text string")
+    docs = docs_of(spark, [f"{told} and no more" for _ in range(30)] + [f"{told} {unlike(4)}", unlike(7), f"{told} again {told}"])
+    assert {(r.doc_id, r.item_id) for r in contaminated_pairs(docs, bench).collect()} == {(30, 4), (31, 7)}
+
+
 def test_leaks_of_the_tables(spark):
     """All benchmark passages found by a plain search are found."""
     bench = {r.item_id: re.findall(r"\w+", r.text.lower()) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()}
