@@ -19,14 +19,18 @@ from ..functions.columns import KEY
 from ..functions.staging import staged
 
 
+def _chunks(reference: DataFrame) -> DataFrame:
+    """The reference as a side of joins that is never broadcast: Spark takes one that is exploded or well compressed for small."""
+    return reference.select("chrom", F.col("chunk_index").cast("long").alias("chunk_index"), "sequence").hint("merge")
+
+
 def _with_reference(rows: DataFrame, reference: DataFrame, text: str, first: str, chunk: int) -> DataFrame:
     """``rows`` once for each chunk that a text touches, with the text's ``piece`` there and what the reference has (``found``)."""
     low, high = F.floor((F.col(first) - 1) / chunk), F.floor((F.col(first) + F.length(text) - 2) / chunk)
     cut = rows.withColumn("chunk_index", F.explode(F.sequence(low, high))).withColumn("begin", F.col("chunk_index") * chunk + 1)
     cut = cut.withColumn("a", F.greatest(first, "begin")).withColumn("b", F.least(F.col(first) + F.length(text), F.col("begin") + chunk))
     cut = cut.withColumn("piece", F.substring(F.col(text), (F.col("a") - F.col(first) + 1).cast("int"), (F.col("b") - F.col("a")).cast("int")))
-    known = reference.select(F.col("chrom"), F.col("chunk_index").cast("long").alias("chunk_index"), "sequence")
-    joined = cut.join(known, ["chrom", "chunk_index"], "left")
+    joined = cut.join(_chunks(reference), ["chrom", "chunk_index"], "left")
     found = F.substring(F.col("sequence"), (F.col("a") - F.col("begin") + 1).cast("int"), (F.col("b") - F.col("a")).cast("int"))
     return joined.withColumn("found", F.coalesce(found, F.lit(""))).drop("sequence")
 
@@ -48,7 +52,7 @@ def _last_difference(a: Column | str, b: Column | str) -> Column:
 
 def _stops(moving: DataFrame, reference: DataFrame, chunk: int) -> DataFrame:
     """For each ``id, chrom, length, upto`` the last place up to ``upto`` where the reference isn't as ``length`` further on: ``id, stop`` (0: none)."""
-    parts = reference.select("chrom", F.col("chunk_index").cast("long").alias("chunk_index"), "sequence")
+    parts = _chunks(reference)
     live = moving.withColumns({"next": F.floor((F.col("upto") - 1) / chunk), "wide": F.lit(1).cast("long")})
     done = None
     while True:
@@ -57,7 +61,7 @@ def _stops(moving: DataFrame, reference: DataFrame, chunk: int) -> DataFrame:
         looks = asked.select("chrom", "length", "chunk_index", "size").distinct()
         at = looks.withColumn("shifted", F.col("chunk_index") + F.floor(F.col("length") / chunk))
         own = at.join(parts, ["chrom", "chunk_index"], "left")
-        ahead = lambda k, name: parts.select("chrom", (F.col("chunk_index") - k).alias("shifted"), F.col("sequence").alias(name))
+        ahead = lambda k, name: parts.select("chrom", (F.col("chunk_index") - k).alias("shifted"), F.col("sequence").alias(name)).hint("merge")
         both = own.join(ahead(0, "near"), ["chrom", "shifted"], "left").join(ahead(1, "far"), ["chrom", "shifted"], "left")
         skip = (F.col("length") % chunk).cast("int")
         size = F.col("size").cast("int")
@@ -115,7 +119,7 @@ def left_align(calls: DataFrame, reference: DataFrame, chunk: int) -> DataFrame:
     front = F.col("to") > 1
     beside = F.when(front, F.col("to") - 1).otherwise(F.when(F.col("drop") == "", F.lit(1)).otherwise(1 + F.col("length")))
     moved = moved.withColumn("beside", beside).withColumn("chunk_index", F.floor((F.col("beside") - 1) / chunk))
-    based = moved.join(reference.select("chrom", F.col("chunk_index").cast("long").alias("chunk_index"), "sequence"), ["chrom", "chunk_index"], "left")
+    based = moved.join(_chunks(reference), ["chrom", "chunk_index"], "left")
     base = F.coalesce(F.substring(F.col("sequence"), ((F.col("beside") - 1) % chunk + 1).cast("int"), F.lit(1)), F.lit(""))
     whole, only = F.when(front, F.concat(base, "bases")).otherwise(F.concat("bases", base)), base
     gone = F.col("add") == ""
