@@ -18,9 +18,9 @@ from pyspark.sql import types as T
 from .shared import materialize
 
 BLOCK_ROWS, BLOCK_QUERIES = 4096, 1024
-#: By hashes: up to how many distinct vectors they are used, tables, and probes of each. Either gives a recall of 0.9
-#: or more even on 2,000 vectors without any structure (0.98 and 0.975, which look at 48 % and 24 % of them).
-SETTINGS = {1: (1 << 20, 16, 6), 2: (1 << 62, 32, 128)}
+#: Tables, and probes of each, by hashes. Either gives a recall of 0.9 or more even on 2,000 vectors without any
+#: structure (0.98 and 0.975, which look at 48 % and 24 % of them).
+SETTINGS = {1: (16, 6), 2: (32, 128)}
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -203,7 +203,7 @@ def _ranked(probe: DataFrame, index: DataFrame, kind: str, keep: int) -> DataFra
 
 
 def nearest_neighbours(
-    vectors: DataFrame, k: int = 5, query_mod: int = 50, tables: int | None = None, probes: int | None = None, hashes: int | None = None, seed: int = 7
+    vectors: DataFrame, k: int = 5, query_mod: int = 50, tables: int | None = None, probes: int | None = None, hashes: int = 1, seed: int = 7
 ) -> DataFrame:
     """The ``k`` nearest found of each query: ``query_id, rank, vec_id, score``.
 
@@ -214,19 +214,16 @@ def nearest_neighbours(
     one with null or non-finite components takes no part, and vectors meet only those
     of their own length. More ``tables`` and ``probes`` raise recall, more ``hashes``
     (axes of a bucket's key) keep buckets small; what isn't given comes from
-    :data:`SETTINGS` by the number of distinct vectors. Every vector is indexed, and
+    :data:`SETTINGS` by ``hashes``, whatever the number of vectors. Every vector is indexed, and
     every bucket probed is searched whole, in blocks. Queries that so find fewer than
     ``k`` others are searched exactly, so all candidates come back where there are no
     more than ``k``; an empty table gives none.
     """
-    if min(k, query_mod, tables or 1, probes or 1, hashes or 1) < 1:
+    if min(k, query_mod, tables or 1, probes or 1, hashes) < 1:
         raise ValueError("k, query_mod, tables, probes and hashes must be 1 or more")
     kind = "<f4" if isinstance(vectors.schema["embedding"].dataType.elementType, T.FloatType) else "<f8"
     entries, queries = distinct_vectors(vectors, k + 1, query_mod, kind)
-    if hashes is None:
-        rows = entries.count()
-        hashes = next(h for h, (most, _, _) in SETTINGS.items() if rows <= most)
-    _, usual_tables, usual_probes = SETTINGS[min(hashes, max(SETTINGS))]
+    usual_tables, usual_probes = SETTINGS[min(hashes, max(SETTINGS))]
     tables, probes = tables or usual_tables, probes or usual_probes
     asked = queries.groupBy("vec").agg(F.array(F.min("id")).alias("ids"))
     met = _ranked(materialize(_coded(asked, kind, tables, hashes, probes, seed)), materialize(_coded(entries, kind, tables, hashes, 1, seed)), kind, k + 1)
