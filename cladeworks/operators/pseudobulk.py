@@ -88,30 +88,49 @@ def mark_duplicates(reads: DataFrame, across_cells: bool = False, enabled: bool
     """
     if not enabled:
         return reads
-    takes = F.col("flag").bitwiseAND(UNMAPPED | SECONDARY | SUPPLEMENTARY) == 0
-    five = five_prime(F.col("start"), F.col("cigar"), _bit(REVERSE))
-    key = ["clone_id", *([] if across_cells else ["cell_id"]), "chrom", "mate_chrom", "mate_start"]
-    key = [*(F.col(c) for c in key), five, F.col("flag").bitwiseAND(REVERSE | MATE_REVERSE), *(F.col(c).isNull() for c in key)]
-    # The group as 128 bits; only numbers are added up, within tasks first, so that a pile of reads is a row for each of them.
-    rows = reads.withColumns({"_takes": takes, "_a": F.when(takes, F.xxhash64(*key)), "_b": F.when(takes, F.xxhash64(F.lit(1), *key)), "_q": F.coalesce(F.col("base_quality").cast("double"), F.lit(float("-inf")))})
-    groups = rows.filter("_takes").groupBy("_a", "_b").agg(F.count("*").alias("_n"), F.max("_q").alias("_top")).filter("_n > 1")
-    groups = staged(groups.select("_a", "_b", "_top"))
-    few = groups.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS
-    hint = (lambda df: F.broadcast(df)) if few else (lambda df: df)
+    # Written once: keys are dear where alignments have clips and gaps, and all that follows reads only the columns it needs.
+    rows = staged(_grouped(reads, across_cells))
+    groups = rows.filter("_a IS NOT NULL").groupBy("_a", "_b").agg(F.count("*").alias("_n"), F.max(_quality()).alias("_top")).filter("_n > 1")
+    hint = _few(groups := staged(groups.select("_a", "_b", "_top")))
     # Of the reads of the best quality the first by id and a hash of all columns stays; equal rows are told apart by their number.
-    tied = rows.filter("_takes").withColumn("_h", F.xxhash64(*reads.columns)).join(hint(groups), ["_a", "_b"]).filter("_q = _top")
-    equal = tied.groupBy("_a", "_b", "read_id", "_h").agg(F.count("*").alias("_c"), F.first(F.struct(*reads.columns)).alias("_row"))
-    pick = F.struct("_c", F.when(F.col("_c") > 1, F.col("_row")).alias("_row"), F.col("read_id").alias("_id"), "_h")
+    hashed = rows.withColumn("_h", F.xxhash64(*reads.columns))
+    tied = hashed.join(hint(groups), ["_a", "_b"]).filter(_quality() == F.col("_top"))
+    equal = tied.groupBy("_a", "_b", "read_id", "_h").agg(F.count("*").alias("_c"))
+    pick = F.struct("_c", F.col("read_id").alias("_id"), "_h")
     best = staged(equal.groupBy("_a", "_b").agg(F.min_by(pick, F.struct("read_id", "_h")).alias("_best")))
     marked = F.col("flag").bitwiseOR(DUPLICATE)
-    out = rows.withColumn("_h", F.xxhash64(*reads.columns)).join(hint(best), ["_a", "_b"], "left")
     stays = F.col("read_id").eqNullSafe(F.col("_best._id")) & (F.col("_h") == F.col("_best._h"))
     flag = F.when(F.col("_best").isNotNull() & ~stays, marked).otherwise(F.col("flag"))
+    out = hashed.join(hint(best), ["_a", "_b"], "left")
     out = out.filter(F.col("_best").isNull() | ~stays | (F.col("_best._c") == 1)).withColumn("flag", flag).select(reads.columns)
-    copies = best.filter("_best._c > 1").select("_best._row.*", F.posexplode(F.sequence(F.lit(1).cast("long"), F.col("_best._c"))).alias("_i", "_k"))
+    several = staged(best.filter("_best._c > 1"))
+    copies = hashed.join(_few(several)(several), ["_a", "_b"]).filter(stays).groupBy("_a", "_b").agg(F.first(F.struct(*reads.columns)).alias("_row"), F.count("*").alias("_c"))
+    copies = copies.select("_row.*", F.posexplode(F.sequence(F.lit(1).cast("long"), F.col("_c"))).alias("_i", "_k"))
     return out.unionByName(copies.withColumn("flag", F.when(F.col("_i") > 0, marked).otherwise(F.col("flag"))).select(reads.columns))
 
 
+def _quality() -> Column:
+    return F.coalesce(F.col("base_quality").cast("double"), F.lit(float("-inf")))
+
+
+def _few(rows: DataFrame):
+    """Broadcasts ``rows`` while their checked number allows."""
+    few = rows.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS
+    return F.broadcast if few else lambda df: df
+
+
+def _grouped(reads: DataFrame, across_cells: bool) -> DataFrame:
+    """Reads with their group of possible duplicates as 128 bits, ``_a`` and ``_b``; null for reads that take no part.
+
+    Only numbers are added up, within tasks first, so that a pile of reads is a row for each of them.
+    """
+    takes = F.col("flag").bitwiseAND(UNMAPPED | SECONDARY | SUPPLEMENTARY) == 0
+    key = ["clone_id", *([] if across_cells else ["cell_id"]), "chrom", "mate_chrom", "mate_start"]
+    rows = reads.withColumn("_five", five_prime(F.col("start"), F.col("cigar"), _bit(REVERSE)))
+    key = [*(F.col(c) for c in key), F.col("_five"), F.col("flag").bitwiseAND(REVERSE | MATE_REVERSE), *(F.col(c).isNull() for c in key)]
+    return rows.withColumns({"_a": F.when(takes, F.xxhash64(*key)), "_b": F.when(takes, F.xxhash64(F.lit(1), *key))}).drop("_five")
+
+
 def flag_stats(reads: DataFrame, by: str = "clone_id") -> DataFrame:
     """Counts of alignment flags, for reads that pass QC and that fail it, and percentages of the mapped and paired."""
     primary = ~_bit(SECONDARY) & ~_bit(SUPPLEMENTARY)
