@@ -131,6 +131,29 @@ def _grouped(reads: DataFrame, across_cells: bool) -> DataFrame:
     return rows.withColumns({"_a": F.when(takes, F.xxhash64(*key)), "_b": F.when(takes, F.xxhash64(F.lit(1), *key))}).drop("_five")
 
 
+def marked_metrics(reads: DataFrame, across_cells: bool = False) -> DataFrame:
+    """:func:`duplicate_metrics` of each clone after :func:`mark_duplicates`, by counts of groups alone: no read is marked or moved.
+
+    All reads of a group but the best are duplicates; the best one keeps its own bit. So
+    reads meet again only where some of a group have the bit, some not, and the best
+    quality is in both.
+    """
+    rows = _grouped(reads, across_cells).withColumns({"_d": _bit(DUPLICATE), "_q": _quality()})
+    groups = rows.groupBy("clone_id", "_a", "_b").agg(F.count("*").alias("_n"), F.max(F.when(F.col("_d"), F.col("_q"))).alias("_old"), F.max(F.when(~F.col("_d"), F.col("_q"))).alias("_new"))
+    groups = groups.withColumn("_n", F.when(F.col("_a").isNotNull(), F.col("_n")).otherwise(0))
+    kept = F.coalesce(F.col("_old") > F.col("_new"), F.col("_new").isNull()).cast("long")
+    tied = F.coalesce(F.col("_old") == F.col("_new"), F.lit(False)) & F.col("_a").isNotNull()
+    found = groups.groupBy("clone_id").agg(F.sum("_n").alias("mapped_reads"), F.sum(F.when(F.col("_a").isNotNull(), F.col("_n") - 1 + kept).otherwise(0)).alias("duplicates"), F.count_if(tied).alias("_tied"))
+    found = staged(found)
+    if not found.filter("_tied > 0").isEmpty():
+        unsure = staged(groups.filter(tied).select("_a", "_b", F.col("_old").alias("_top")))
+        met = rows.withColumn("_h", F.xxhash64(*reads.columns)).join(_few(unsure)(unsure), ["_a", "_b"]).filter("_q = _top")
+        own = met.groupBy("clone_id", "_a", "_b").agg(F.min_by("_d", F.struct("read_id", "_h")).alias("_d")).groupBy(F.col("clone_id").alias("_clone")).agg(F.count_if("_d").alias("_more"))
+        found = found.join(own, F.col("clone_id").eqNullSafe(F.col("_clone")), "left").withColumn("duplicates", F.col("duplicates") + F.coalesce("_more", F.lit(0)))
+    rate = F.when(F.col("mapped_reads") > 0, F.col("duplicates") / F.col("mapped_reads")).otherwise(0.0)
+    return found.select("clone_id", "mapped_reads", "duplicates", rate.alias("dup_rate"))
+
+
 def flag_stats(reads: DataFrame, by: str = "clone_id") -> DataFrame:
     """Counts of alignment flags, for reads that pass QC and that fail it, and percentages of the mapped and paired."""
     primary = ~_bit(SECONDARY) & ~_bit(SUPPLEMENTARY)
