@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
 
 #: Fixed values of the order among equal distances; products stay below 2^63.
@@ -106,15 +108,108 @@ def merge_mutual(total: np.ndarray, n: np.ndarray, p: np.ndarray, ids: np.ndarra
     return names[home]
 
 
+def shared_counts(a: np.ndarray, na: np.ndarray, b: np.ndarray, nb: np.ndarray) -> np.ndarray:
+    """How many codes each set of the left shares with each of the right.
+
+    ``a``: the codes of all sets of the left, one set behind the other, ``na`` how many each has.
+    """
+    both = np.zeros((len(na), len(nb)), np.float32)
+    names = np.intersect1d(a, b)
+    if not len(names):
+        return both
+    found = []
+    for codes, n in ((a, na), (b, nb)):
+        at = np.minimum(np.searchsorted(names, codes), len(names) - 1)
+        known = names[at] == codes
+        found.append((np.repeat(np.arange(len(n)), n)[known], at[known]))
+    (i, x), (j, y) = found
+    order = np.argsort(y, kind="stable")
+    j, y = j[order], y[order]
+    first, many = np.searchsorted(y, np.arange(len(names))), np.bincount(y, minlength=len(names))
+    meet = many[x]
+    if 100 * meet.sum() < both.size * len(names):  # few pairs share a code: count those
+        flat = both.ravel()
+        for part in np.array_split(np.arange(len(x)), max(1, int(meet.sum()) >> 21)):
+            m = meet[part]
+            at = np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m) + np.repeat(first[x[part]], m)
+            key, n = np.unique(np.repeat(i[part], m) * len(nb) + j[at], return_counts=True)
+            flat[key] += n
+        return both
+    for k in range(0, len(names), 1024):
+        has = []
+        for row, code, n in ((i, x, len(na)), (j, y, len(nb))):
+            here = (code >= k) & (code < k + 1024)
+            m = np.zeros((n, min(1024, len(names) - k)), np.float32)
+            m[row[here], code[here] - k] = 1
+            has.append(m)
+        both += has[0] @ has[1].T
+    return both
+
+
+def cluster_sums(values, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sums over points by their clusters: the clusters of both sides, and a matrix.
+
+    ``a``, ``b``: the clusters of points, sorted. ``values(rows, columns)`` gives the
+    matrix of two slices of points, small enough for a processor's cache.
+    """
+    (ua, fa), (ub, fb) = (np.unique(x, return_index=True) for x in (a, b))
+    out = np.zeros((len(ua), len(ub)))
+    wide = 2048
+    tall = max(1, (1 << 16) // min(wide, len(b)))
+    for y in range(0, len(b), wide):
+        j0, j1 = np.searchsorted(fb, y, "right") - 1, np.searchsorted(fb, min(y + wide, len(b)))
+        starts_b = np.maximum(fb[j0:j1] - y, 0)
+        for x in range(0, len(a), tall):
+            i0, i1 = np.searchsorted(fa, x, "right") - 1, np.searchsorted(fa, min(x + tall, len(a)))
+            part = values(slice(x, x + tall), slice(y, y + wide))
+            part = np.add.reduceat(part, starts_b, axis=1) if len(starts_b) < part.shape[1] else part
+            starts_a = np.maximum(fa[i0:i1] - x, 0)
+            out[i0:i1, j0:j1] += np.add.reduceat(part, starts_a, axis=0) if len(starts_a) < len(part) else part
+    return ua, ub, out
+
+
+def nearest(s, na, nb, pa, pb, ids, others, threshold: float, method: str, same: bool):
+    """Clusters ``ids`` that have one of ``others`` up to ``threshold``, the best of each, its distance and :func:`tie`.
+
+    The first three are places. Arguments as in :func:`heights`, a side in each; with
+    ``same`` both sides are the same clusters.
+    """
+    if method == "average":
+        near, least = np.empty(s.shape, bool), (1 - threshold - 2 * 10**-DIGITS) * nb
+        for x in range(0, len(s), 32):
+            np.greater_equal(s[x : x + 32], na[x : x + 32, None] * least, out=near[x : x + 32])
+    else:
+        h = heights(s, na[:, None], nb[None, :], pa[:, None], pb[None, :], method)
+        if same:
+            np.fill_diagonal(h, np.inf)
+        near = (h == h.min(axis=1)[:, None]) & (h <= threshold)
+    if same:
+        np.fill_diagonal(near, False)
+    r, c = np.nonzero(near)
+    h = heights(s[r, c], na[r], nb[c], pa[r], pb[c], method)
+    r, c, h = r[h <= threshold], c[h <= threshold], h[h <= threshold]
+    t = tie(np.minimum(ids[r], others[c]), np.maximum(ids[r], others[c]))
+    order = np.lexsort((others[c], t, h, r))
+    first = order[np.unique(r[order], return_index=True)[1]]
+    return r[first], c[first], h[first], t[first]
+
+
 def merge_smallest(sizes: list[tuple[str, int]], n: int) -> dict[str, str]:
     """Where each clone goes when the smallest joins the second smallest until ``n`` are left.
 
     ``sizes`` in existing order, which also breaks ties.
     """
-    size = dict(sizes)
-    goes = {k: k for k in size}
-    while len(size) > max(n, 1):
-        low, second = sorted(size, key=size.get)[:2]
-        size[second] += size.pop(low)
-        goes = {k: second if v == low else v for k, v in goes.items()}
-    return goes
+    heap = [(size, k) for k, (_, size) in enumerate(sizes)]
+    heapq.heapify(heap)
+    into = list(range(len(sizes)))
+    while len(heap) > max(n, 1):
+        size, low = heapq.heappop(heap)
+        into[low] = heap[0][1]
+        heapq.heapreplace(heap, (heap[0][0] + size, heap[0][1]))
+    for k in range(len(into)):
+        way = [k]
+        while into[way[-1]] != way[-1]:
+            way.append(into[way[-1]])
+        for x in way:
+            into[x] = way[-1]
+    return {name: sizes[into[k]][0] for k, (name, _) in enumerate(sizes)}

@@ -7,16 +7,18 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import event_key
-from ..functions.linkage import DIGITS, merge_smallest
+from ..functions.linkage import DIGITS, cluster_sums, merge_smallest, shared_counts
 from ..functions.staging import staged
 from . import tree as T
-from .linkage import BLOCKS, WHOLE_CLUSTERS, agglomerate, agglomerate_blocks, block_row
+from .linkage import BLOCKS, WHOLE_CLUSTERS, agglomerate_blocks, agglomerate_points, block_row, tile_pairs
 
-#: Ids of a block whose pairs one task counts.
+#: Clusters of a block whose sums one task makes.
 BLOCK = 512
 STRATEGIES = ("internal_node", "distance", "event_profile", "hybrid")
 
@@ -35,46 +37,40 @@ def profile_matrix(profile: DataFrame, max_columns: int = 400) -> DataFrame:
     return profile.groupBy("cell_id").pivot("event", names).agg(F.lit(1)).fillna(0) if names else profile.select("cell_id").distinct()
 
 
-def _shared_events(profile: DataFrame, all_pairs: bool) -> DataFrame:
-    """Pairs of ids with their sizes and shared events: ``g, a, b, sa, sb, both`` with ``a < b``.
-
-    ``profile``: ``g, id, events`` (array). Pairs that share nothing come only with
-    ``all_pairs``. A group is cut into blocks of about ``BLOCK`` ids; each two blocks
-    meet in a task of their own, where a matrix product counts what they share.
-    """
-    kind = profile.schema["id"].dataType.simpleString()
-    blocks = profile.groupBy("g").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    dealt = profile.join(blocks, "g").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    dealt = dealt.select("g", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "id", "events")
-
-    def meet(f: pd.DataFrame) -> pd.DataFrame:
-        f = f.sort_values("id", ignore_index=True)
-        row = np.repeat(np.arange(len(f)), f["events"].map(len))
-        code, names = pd.factorize(f["events"].explode().dropna())
-        has = np.zeros((len(f), len(names)), np.float32)
-        has[row, code] = 1
-        size = has.sum(axis=1).astype(int)
-        both = (has @ has.T).astype(int)
-        apart = f["lo"].to_numpy() != f["hi"].to_numpy()
-        own = f["own"].to_numpy()
-        wanted = np.triu(np.ones_like(both, bool), 1) & (~apart[:, None] | (own[:, None] != own[None, :]))
-        i, j = np.nonzero(wanted if all_pairs else wanted & (both > 0))
-        ids = f["id"].to_numpy()
-        return pd.DataFrame({"g": f["g"].iloc[0], "a": ids[i], "b": ids[j], "sa": size[i], "sb": size[j], "both": both[i, j]})
-
-    return dealt.groupBy("g", "lo", "hi").applyInPandas(meet, f"g string, a {kind}, b {kind}, sa long, sb long, both long")
-
-
 def jaccard_distances(profile: DataFrame) -> DataFrame:
     """Jaccard distance of each two cells of a group: ``tree_id, cell_a, cell_b, dist`` with ``cell_a < cell_b``.
 
-    ``profile``: ``tree_id, cell_id, event``. Two cells without events are at 0.
+    ``profile``: ``tree_id, cell_id, event``. Two cells without events are at 0. Tiles of
+    cells meet, each two in a row, and events are compared by 64-bit hashes; only the
+    result grows with the square of a group's cells, and it leaves a task in pieces.
     """
-    cells = profile.groupBy(F.col("tree_id").alias("g"), F.col("cell_id").alias("id")).agg(F.collect_set("event").alias("events"))
-    pairs = _shared_events(cells, True)
-    union = F.col("sa") + F.col("sb") - F.col("both")
-    return pairs.select(F.col("g").alias("tree_id"), F.col("a").alias("cell_a"), F.col("b").alias("cell_b"), F.when(union > 0, 1 - F.col("both") / union).otherwise(0.0).alias("dist"))
+    kind = profile.schema["cell_id"].dataType.simpleString()
+    code = F.when(F.col("event").isNotNull(), F.xxhash64("event"))
+    cells = profile.groupBy(F.col("tree_id").alias("g"), "cell_id").agg(F.collect_set(code).alias("codes"))
+    pairs = tile_pairs(cells, ["cell_id", "codes"])
+
+    def run(batches):
+        for batch in batches:
+            for k in range(batch.num_rows):
+                r = {c: batch.column(c)[k] for c in batch.schema.names}
+                ids, others = r["a_cell_id"].values, r["b_cell_id"].values
+                (na, ca), (nb, cb) = ((pc.list_value_length(x).to_numpy(), x.flatten().to_numpy()) for x in (r["a_codes"].values, r["b_codes"].values))
+                both, same = shared_counts(ca, na, cb, nb), r["same"].as_py()
+                names = pa.chunked_array([ids] if same else [ids, others]).combine_chunks()
+                names = names.take(pc.array_sort_indices(names))
+                x, y = (pc.index_in(v, names).to_numpy() for v in (ids, others))
+                for i in range(0, len(x), 64):
+                    a, b = np.broadcast_arrays(x[i : i + 64, None], y[None, :])
+                    wanted = a < b if same else np.ones(a.shape, bool)
+                    shared = both[i : i + 64].astype(float)
+                    union = na[i : i + 64, None] + nb[None, :] - shared
+                    dist = np.where(union > 0, 1 - shared / np.maximum(union, 1), 0.0)[wanted]
+                    a, b = a[wanted], b[wanted]
+                    g = pa.DictionaryArray.from_arrays(pa.array(np.zeros(len(a), np.int32)), pa.array([r["g"].as_py()], pa.string())).dictionary_decode()
+                    first, second = (names.take(pa.array(z)) for z in (np.minimum(a, b), np.maximum(a, b)))
+                    yield pa.RecordBatch.from_arrays([g, first, second, pa.array(dist)], ["tree_id", "cell_a", "cell_b", "dist"])
+
+    return pairs.mapInArrow(run, f"tree_id string, cell_a {kind}, cell_b {kind}, dist double")
 
 
 def merge_to_n(clones: DataFrame, max_clones: int | None) -> DataFrame:
@@ -116,9 +112,8 @@ def assign_distance(nodes: DataFrame, distance_threshold: float | None) -> DataF
     small, large = _by_size(members)
     out = agglomerate_blocks(T.distance_blocks(nodes.join(small.withColumnRenamed("g", "tree_id"), "tree_id", "left_semi")), members.join(small, "g", "left_semi"), distance_threshold, "ward")
     if not large.isEmpty():
-        one, none = F.lit(1).cast("long"), F.lit(0.0)
-        pairs = T.leaf_pairs(nodes.join(large.withColumnRenamed("g", "tree_id"), "tree_id", "left_semi")).select(F.col("tree_id").alias("g"), "a", "b", one.alias("na"), one.alias("nb"), none.alias("pa"), none.alias("pb"), (F.col("dist") * F.col("dist")).alias("s"))
-        out = out.unionByName(agglomerate(pairs, members.join(large, "g", "left_semi"), distance_threshold, "ward"))
+        points, inner = T.leaf_points(nodes.join(large.withColumnRenamed("g", "tree_id"), "tree_id", "left_semi"))
+        out = out.unionByName(agglomerate_points(points, ["top", "e"], members.join(large, "g", "left_semi"), distance_threshold, "ward", T.distance_sums, staged(inner)))
     return _numbered(out, "clone_").select(F.col("g").alias("tree_id"), F.col("label").alias("clone_id"), "cell_id")
 
 
@@ -138,13 +133,24 @@ def _alike(profile: DataFrame) -> tuple[DataFrame, DataFrame]:
     return cells.join(alike, ["g", "events"]).select("g", "cell_id", "c"), alike
 
 
-def _similar(alike: DataFrame) -> DataFrame:
-    """Pairs of clusters that share events, with sizes and the sum of their cells' similarities."""
-    pairs = _shared_events(alike.select("g", F.col("c").alias("id"), "events"), False)
-    a, b = (alike.select("g", F.col("c").alias(x), F.col("n").alias(f"n{x}")) for x in "ab")
-    s = F.col("na") * F.col("nb") * F.col("both") / (F.col("sa") + F.col("sb") - F.col("both"))
-    none = F.lit(0.0)
-    return pairs.join(a, ["g", "a"]).join(b, ["g", "b"]).select("g", "a", "b", "na", "nb", none.alias("pa"), none.alias("pb"), s.alias("s"))
+def _similar_points(alike: DataFrame) -> DataFrame:
+    """Clusters of cells with equal events as points: ``g, c, n, codes`` (events as 64-bit hashes)."""
+    return alike.select("g", "c", "n", F.transform("events", lambda e: F.xxhash64(e)).alias("codes"))
+
+
+def similar_sums(row, a: dict, b: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sums of their cells' Jaccard similarities between clusters of points with ``codes``."""
+    na, nb = (np.array([len(c) for c in x["codes"]]) for x in (a, b))
+    both = shared_counts(np.concatenate(a["codes"]), na, np.concatenate(b["codes"]), nb)
+
+    def values(i, j):
+        k = both[i, j].astype(float)
+        k /= np.maximum(na[i, None] + nb[None, j] - k, 1)
+        k *= a["n"][i, None]
+        k *= b["n"][None, j]
+        return k
+
+    return cluster_sums(values, a["to"], b["to"])
 
 
 def _similar_blocks(alike: DataFrame) -> DataFrame:
@@ -193,7 +199,7 @@ def _by_events(members: DataFrame, alike: DataFrame, similarity: float, name: st
     blocks = _similar_blocks(alike.join(small, "g", "left_semi")) if blocks is None else blocks.join(small, "g", "left_semi")
     out = agglomerate_blocks(blocks, members.join(small, "g", "left_semi"), 1 - similarity, "average")
     if not large.isEmpty():
-        out = out.unionByName(agglomerate(_similar(alike.join(large, "g", "left_semi")), members.join(large, "g", "left_semi"), 1 - similarity, "average"))
+        out = out.unionByName(agglomerate_points(_similar_points(alike.join(large, "g", "left_semi")), ["codes"], members.join(large, "g", "left_semi"), 1 - similarity, "average", similar_sums))
     return _numbered(out, name)
 
 

@@ -100,7 +100,8 @@ def agglomerate_blocks(blocks: DataFrame, members: DataFrame, threshold: float,
     """:func:`agglomerate` of groups whose pairs come as blocks (:data:`BLOCKS`), each two parts of a group once.
 
     Blocks are made by many tasks; a group's are merged in one, which holds
-    ``WHOLE_CLUSTERS`` clusters at most. Clusters begin with a sum of 0 within.
+    ``WHOLE_CLUSTERS`` clusters at most. The diagonal of a block of one part with itself
+    holds the sums within its clusters.
     """
     threshold = round(threshold, L.DIGITS)
 
@@ -115,8 +116,108 @@ def agglomerate_blocks(blocks: DataFrame, members: DataFrame, threshold: float,
             total[np.ix_(i, j)] = sums
             total[np.ix_(j, i)] = sums.T
             n[i], n[j] = r.na, r.nb
-        to = L.merge_mutual(total, n, np.zeros(len(ids)), ids, threshold, method)
+        within = total.diagonal().copy()
+        np.fill_diagonal(total, 0)
+        to = L.merge_mutual(total, n, within, ids, threshold, method)
         return pd.DataFrame({"g": f["g"].iloc[0], "c": ids, "to": to})
 
     goes = blocks.groupBy("g").applyInPandas(merge, "g string, c long, to long")
     return members.join(goes, ["g", "c"], "left").withColumn("c", F.coalesce("to", "c")).drop("to")
+
+
+#: Points of a tile; each two tiles of a group meet in a row of their own.
+TILE = 1024
+
+
+def tile_pairs(points: DataFrame, columns: list[str], fresh: bool = False) -> DataFrame:
+    """Each two tiles of a group once: ``g, lo, hi, same``, and arrays ``a_{column}`` and ``b_{column}`` sorted by the first column.
+
+    ``points``: ``g`` and ``columns``; those of equal first column are in one tile. With
+    ``fresh``, a boolean column, only pairs with a tile of fresh points.
+    """
+    key = ["g", "fresh"]
+    points = points if fresh else points.withColumn("fresh", F.lit(True))
+    count = points.groupBy(*key).agg(F.ceil(F.count("*") / TILE).alias("tiles"))
+    dealt = points.join(count, key).withColumn("tile", F.pmod(F.xxhash64(columns[0]), F.col("tiles")))
+    packed = dealt.groupBy(*key, "tile").agg(F.sort_array(F.collect_list(F.struct(*columns))).alias("x"))
+    packed = staged(packed.select(*key, F.when(F.col("fresh"), -1 - F.col("tile")).otherwise(F.col("tile")).alias("tile"), *[F.col("x")[c].alias(c) for c in columns]))
+    left = packed.filter("fresh").select("g", F.col("tile").alias("lo"), *[F.col(c).alias(f"a_{c}") for c in columns])
+    right = packed.select("g", F.col("tile").alias("hi"), *[F.col(c).alias(f"b_{c}") for c in columns])
+    tasks = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return left.join(right, "g").filter("lo <= hi").withColumn("same", F.col("lo") == F.col("hi")).repartition(tasks, "g", "lo", "hi")
+
+
+def agglomerate_points(points: DataFrame, columns: list[str], members: DataFrame, threshold: float, method: str, sums, extra: DataFrame | None = None) -> DataFrame:
+    """:func:`agglomerate` of groups of any size without a table of their pairs.
+
+    ``points``: ``g, c, n`` and ``columns``, from which ``sums(row, side_a, side_b)``
+    makes the clusters of two tiles and the matrix of sums between them; ``extra`` holds
+    columns of a group that ``row`` has too. Each round makes the sums anew, tile by
+    tile, keeps each cluster's nearest, and merges all that are each other's. Only
+    clusters that merged, or whose nearest did, look for it again, and the others look
+    at these. A group of few enough clusters is finished by :func:`agglomerate_blocks`.
+    So time grows with the square of the points, but disk and memory don't.
+    """
+    threshold = round(threshold, L.DIGITS)
+    use = ["to", "c", "n", "cn", "cp", *columns]
+    near = "g string, to long, h double, tie long, other long, s double, on double, op double"
+
+    def between(row):
+        a, b = ({c: getattr(row, f"{x}_{c}") for c in use} for x in "ab")
+        ia, ib, s = sums(row, a, b)
+        (na, pa), (nb, pb) = ((x["cn"][f], x["cp"][f]) for x in (a, b) for f in [np.unique(x["to"], return_index=True)[1]])
+        return ia, ib, s, na, nb, pa, pb
+
+    def look(frames):
+        for f in frames:
+            for r in f.itertuples():
+                ia, ib, s, na, nb, pa, pb = between(r)
+                for own, other, t, n, m, p, q in [(ia, ib, s, na, nb, pa, pb)] + [(ib, ia, s.T, nb, na, pb, pa)] * (not r.same):
+                    i, j, h, ties = L.nearest(t, n, m, p, q, own, other, threshold, method, r.same)
+                    yield pd.DataFrame({"g": r.g, "to": own[i], "h": h, "tie": ties, "other": other[j], "s": t[i, j], "on": m[j], "op": q[j]})
+
+    def block(frames):
+        for f in frames:
+            for r in f.itertuples():
+                ia, ib, s, na, nb, pa, _ = between(r)
+                if r.same:
+                    np.fill_diagonal(s, pa)
+                yield pd.DataFrame([block_row(r.g, r.lo, r.hi, ia, ib, na.astype(int), nb.astype(int), s)])
+
+    def met(x, fresh):
+        out = tile_pairs(x, use, fresh)
+        return out if extra is None else out.join(extra, "g")
+
+    size = points.groupBy("g").agg(F.count("*").alias("k"))
+    known = F.lit(None).cast("struct<h:double,tie:long,other:long,s:double,on:double,op:double>").alias("best")
+    live = staged(points.select("g", "c", "n", *columns, F.col("c").alias("to"), F.col("n").cast("double").alias("cn"), F.lit(0.0).alias("cp"), F.lit(True).alias("fresh"), known))
+    final, rest = [], []
+    while True:
+        size = staged(live.groupBy("g").agg(F.count_distinct("to").alias("k")))
+        rest.append(live.join(size.filter(F.col("k") <= WHOLE_CLUSTERS), "g", "left_semi"))
+        size = size.filter(F.col("k") > WHOLE_CLUSTERS)
+        if size.isEmpty():
+            break
+        live = live.join(size, "g", "left_semi")
+        found = met(live, True).mapInPandas(look, near)
+        pick = F.struct("h", "tie", "other", "s", "on", "op").alias("best")
+        before = live.filter("best IS NOT NULL").select("g", "to", "best").distinct()
+        best = staged(found.select("g", "to", pick).unionByName(before).groupBy("g", "to").agg(F.min("best").alias("best")))
+        back = best.select("g", F.col("to").alias("other"), F.col("best.other").alias("back"))
+        pair = staged(best.select("g", "to", F.col("best.other").alias("other"), "best").join(back, ["g", "other"], "left").select("g", "to", "best", F.coalesce(F.col("back") == F.col("to"), F.lit(False)).alias("met")))
+        gone = pair.select("g", F.col("to").alias("nearest"), F.col("met").alias("lost"))
+        goes = pair.withColumn("nearest", F.col("best.other")).join(gone, ["g", "nearest"], "left").select("g", "to", F.col("best").alias("now"), "met", (F.col("met") | F.coalesce("lost", F.lit(False))).alias("stale"))
+        moved = live.drop("best", "fresh").join(goes, ["g", "to"], "left")
+        final.append(moved.filter("now IS NULL").select("g", "c", "to"))
+        b = F.col("now")
+        live = staged(moved.filter("now IS NOT NULL").select("g", "c", "n", *columns, F.when(F.col("met"), F.least("to", b["other"])).otherwise(F.col("to")).alias("to"),
+                      F.when(F.col("met"), F.col("cn") + b["on"]).otherwise(F.col("cn")).alias("cn"), F.when(F.col("met"), F.col("cp") + b["op"] + b["s"]).otherwise(F.col("cp")).alias("cp"),
+                      F.col("stale").alias("fresh"), F.when(~F.col("stale"), b).alias("best")))
+    left = rest[0]
+    for x in rest[1:]:
+        left = left.unionByName(x)
+    left = staged(left.drop("fresh", "best"))
+    ends = agglomerate_blocks(met(left, False).mapInPandas(block, BLOCKS), left.select("g", F.col("to").alias("c"), F.col("c").alias("point")), threshold, method).select("g", F.col("point").alias("c"), F.col("c").alias("to"))
+    for x in final:
+        ends = ends.unionByName(x)
+    return members.join(ends, ["g", "c"], "left").withColumn("c", F.coalesce("to", "c")).drop("to")

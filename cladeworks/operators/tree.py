@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import linkage as L
 from ..functions.staging import staged
 from .linkage import BLOCKS, block_row
 
@@ -196,6 +197,63 @@ def distance_blocks(nodes: DataFrame) -> DataFrame:
     return pairs.mapInPandas(run, BLOCKS)
 
 
+def leaf_points(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Leaves as points of :func:`~cladeworks.operators.linkage.agglomerate_points`, and a tree's inner nodes in one row.
+
+    Points: ``g, c`` (place in preorder), ``n`` (1), ``top`` (place of the parent) and
+    ``e``, the length above. The other: ``g, place, level, up, root``, arrays in preorder,
+    ``up`` the distance of the parent from the root.
+    """
+    parent = nodes.select("tree_id", F.col("node_id").alias("parent_id"), F.col("pre").cast("long").alias("top"), F.col("root_dist").alias("up"))
+    under = nodes.join(parent, ["tree_id", "parent_id"], "left")
+    points = under.filter("is_leaf AND top IS NOT NULL").select(F.col("tree_id").alias("g"), F.col("pre").cast("long").alias("c"), F.lit(1).cast("long").alias("n"), "top", (F.col("root_dist") - F.col("up")).alias("e"))
+    inner = under.filter("NOT is_leaf").groupBy(F.col("tree_id").alias("g")).agg(F.sort_array(F.collect_list(F.struct("pre", "depth", F.coalesce("up", F.lit(0.0)).alias("up"), "root_dist"))).alias("x"))
+    return points, inner.select("g", F.col("x.pre").alias("place"), F.col("x.depth").alias("level"), F.col("x.up").alias("up"), F.col("x.root_dist").alias("root"))
+
+
+def _apart(place: np.ndarray, level: np.ndarray, up: np.ndarray, root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Distances between the inner nodes at the places ``a`` and those at ``b``.
+
+    Two nodes meet above the shallowest node that lies behind the first, up to the second.
+    """
+    a, b = np.searchsorted(place, a), np.searchsorted(place, b)
+    least = [np.arange(len(place))]  # the shallowest of 1, 2, 4... nodes from each on
+    while 2 << len(least) - 1 <= len(place):
+        x, y = least[-1][: -(1 << len(least) - 1)], least[-1][1 << len(least) - 1 :]
+        least.append(np.where(level[x] <= level[y], x, y))
+    lo, hi = np.minimum(a[:, None], b[None, :]), np.maximum(a[:, None], b[None, :])
+    out = np.zeros(lo.shape)
+    for k, first in enumerate(least):
+        i, j = np.nonzero((hi - lo >= 1 << k) & (hi - lo < 2 << k))
+        x, y = first[lo[i, j] + 1], first[hi[i, j] + 1 - (1 << k)]
+        out[i, j] = root[lo[i, j]] + root[hi[i, j]] - 2 * up[np.where(level[x] <= level[y], x, y)]
+    return out
+
+
+def distance_sums(row, a: dict, b: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sums of squared distances between clusters of :func:`leaf_points`: leaves below one parent count as one.
+
+    A distance is what is above each leaf and what is between their parents.
+    """
+    sides = []
+    for x in (a, b):
+        key, at = np.unique(np.stack([x["to"], x["top"]]), axis=1, return_inverse=True)
+        n, e = np.bincount(at), np.bincount(at, x["e"])
+        ids, own = np.unique(x["to"], return_inverse=True)
+        tops, top = np.unique(key[1], return_inverse=True)
+        sides.append((key[0], n.astype(float), e, tops, top, np.bincount(own).astype(float), np.bincount(own, x["e"]), np.bincount(own, x["e"] ** 2)))
+    (ka, na, ea, ta, pa, *wa), (kb, nb, eb, tb, pb, *wb) = sides
+    apart = _apart(row.place, row.level, row.up, row.root, ta, tb)
+
+    def values(i, j):
+        d = apart[np.ix_(pa[i], pb[j])]
+        return d * ((d * na[i, None] + 2 * ea[i, None]) * nb[None, j] + 2 * na[i, None] * eb[None, j])
+
+    ia, ib, s = L.cluster_sums(values, ka, kb)
+    (na, ea, qa), (nb, eb, qb) = wa, wb
+    return ia, ib, s + qa[:, None] * nb + na[:, None] * qb + 2 * ea[:, None] * eb
+
+
 def pairwise_distances(nodes: DataFrame) -> DataFrame:
     """Distances of all leaves of each tree, both ways and with the diagonal: ``tree_id, cell_a, cell_b, dist``."""
     far = leaf_pairs(nodes, True).select("tree_id", "cell_a", "cell_b", "dist")
