@@ -186,18 +186,26 @@ def _similar_blocks(alike: DataFrame) -> DataFrame:
     return pairs.mapInPandas(run, BLOCKS)
 
 
-def _sum_of_block(sums: pd.Series, own: pd.Series) -> pd.Series:
-    return pd.Series([np.frombuffer(x).sum() / (2 if o else 1) for x, o in zip(sums, own, strict=True)])
+def _similarity_within(alike: DataFrame) -> DataFrame:
+    """Per group the sum of similarities of each two of its clusters' cells: ``g, s``; two tiles hand on one number."""
+    points = _similar_points(alike).withColumnRenamed("c", "to")
+
+    def run(frames):
+        for f in frames:
+            for r in f.itertuples():
+                s = similar_sums(r, *({c: getattr(r, f"{x}_{c}") for c in ("to", "n", "codes")} for x in "ab"))[2]
+                yield pd.DataFrame({"g": [r.g], "s": [(s.sum() - s.trace()) / 2 if r.same else s.sum()]})
+
+    return tile_pairs(points, ["to", "n", "codes"]).mapInPandas(run, "g string, s double").groupBy("g").agg(F.sum("s").alias("s"))
 
 
-def _by_events(members: DataFrame, alike: DataFrame, similarity: float, name: str, blocks: DataFrame | None = None) -> DataFrame:
+def _by_events(members: DataFrame, alike: DataFrame, similarity: float, name: str) -> DataFrame:
     """Average linkage of Jaccard distances within each group: ``g, cell_id, label``."""
     if similarity <= 0:  # no two clusters are further apart than 1
         return _numbered(members.withColumn("c", F.lit(0).cast("long")), name)
     members = staged(members)
     small, large = _by_size(members)
-    blocks = _similar_blocks(alike.join(small, "g", "left_semi")) if blocks is None else blocks.join(small, "g", "left_semi")
-    out = agglomerate_blocks(blocks, members.join(small, "g", "left_semi"), 1 - similarity, "average")
+    out = agglomerate_blocks(_similar_blocks(alike.join(small, "g", "left_semi")), members.join(small, "g", "left_semi"), 1 - similarity, "average")
     if not large.isEmpty():
         out = out.unionByName(agglomerate_points(_similar_points(alike.join(large, "g", "left_semi")), ["codes"], members.join(large, "g", "left_semi"), 1 - similarity, "average", similar_sums))
     return _numbered(out, name)
@@ -224,12 +232,11 @@ def assign_hybrid(nodes: DataFrame, cells: DataFrame, events: DataFrame, min_cel
     parts = assign_internal_node(nodes, 2, min_branch_length, max_clones).join(cells.select("tree_id", "cell_id", "place"), ["tree_id", "cell_id"])
     parts = staged(parts.withColumn("g", F.concat_ws("\u0001", "tree_id", "clone_id")))
     members, alike = _alike(parts.join(event_profile(events, cells), "cell_id").select("g", "cell_id", "place", "event"))
-    similar = staged(_similar_blocks(alike))
     size = parts.groupBy("g").agg(F.count("*").alias("n"))
-    within = alike.groupBy("g").agg(F.sum(F.col("n") * F.col("n")).alias("own")).join(similar.groupBy("g").agg(F.sum(F.pandas_udf(_sum_of_block, "double")("sums", F.col("lo") == F.col("hi"))).alias("s")), "g", "left").fillna(0.0, ["s"])
+    within = alike.groupBy("g").agg(F.sum(F.col("n") * F.col("n")).alias("own")).join(_similarity_within(alike), "g", "left").fillna(0.0, ["s"])
     mean = (F.col("own") + 2 * F.col("s")) / (F.col("n") * F.col("n"))
     split = staged(size.join(within, "g").filter((F.col("n") >= max(2, min_cells)) & (F.round(mean, DIGITS) < similarity)).select("g"))
-    cut = _by_events(members.join(split, "g", "left_semi"), alike.join(split, "g", "left_semi"), similarity, "_sub", similar.join(split, "g", "left_semi"))
+    cut = _by_events(members.join(split, "g", "left_semi"), alike.join(split, "g", "left_semi"), similarity, "_sub")
     label = F.concat("clone_id", F.coalesce("label", F.lit("")))
     return parts.join(cut, ["g", "cell_id"], "left").select("tree_id", label.alias("clone_id"), "cell_id")
 
