@@ -307,9 +307,17 @@ def clone_cell_events(assignments: DataFrame, events: DataFrame) -> DataFrame:
 
 
 def clone_events(assignments: DataFrame, events: DataFrame) -> DataFrame:
-    """Per clone every event with the share of the clone's cells that have it."""
-    size = assignments.groupBy("clone_id").agg(F.countDistinct("cell_id").alias("n"))
-    per = clone_cell_events(assignments, events).groupBy("clone_id", "event").agg(F.countDistinct("cell_id").alias("k"))
+    """Per clone every event with the share of the clone's cells that have it.
+
+    Repeated events of a cell are neighbours in the order that the join needs anyway, so
+    a task holds one sort of its rows and no table of distinct cells and events.
+    """
+    assigned = assignments.select("cell_id", "clone_id").repartition("cell_id").distinct()
+    size = assigned.groupBy("clone_id").agg(F.count("cell_id").alias("n"))
+    keyed = events.select("cell_id", event_key(events.columns).alias("event")).filter("cell_id IS NOT NULL")
+    new = F.coalesce(F.lag("event").over(Window.partitionBy("cell_id").orderBy("event")) != F.col("event"), F.lit(True))
+    has = keyed.withColumn("new", new).filter("new").join(assigned, "cell_id")
+    per = has.groupBy("clone_id", "event").agg(F.count("*").alias("k"))
     return per.join(size, "clone_id").select("clone_id", "event", (F.col("k") / F.col("n")).alias("fraction_cells"))
 
 
