@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,7 +17,8 @@ from ..functions import linkage as L
 from ..functions.staging import staged
 from .linkage import BLOCKS, block_row
 
-SALTS = 16
+#: Parts of the tiles of leaves on either side where each two meet.
+PAIR_PARTS = 64
 #: Places in preorder that share a key where nodes meet what is below them.
 TILE = 1024
 #: Places in preorder of a block of distances.
@@ -125,21 +127,101 @@ def mrca(nodes: DataFrame, cells: DataFrame) -> DataFrame:
     return nodes.select("tree_id").distinct().join(deepest, "tree_id", "left")
 
 
-def leaf_pairs(nodes: DataFrame, both_ways: bool = False) -> DataFrame:
-    """Each two leaves of a tree, once (``a < b``) or both ways: ``tree_id, a, b`` (places in preorder), ``cell_a, cell_b, dist``.
+def _leaf_tiles(nodes: DataFrame, size: int) -> DataFrame:
+    """Leaves by tiles of ``size`` places: ``g, tile``, ``x`` (``pre, root_dist, level, up, cell`` in preorder) and ``line`` (``tile, level, up`` of the tree's tiles).
 
-    A pair meets at its deepest common ancestor, as leaves of two different children, so
-    nothing is aggregated; ``SALTS`` tasks share an ancestor. The result grows with the
-    square of a tree's leaves.
+    ``level`` and ``up`` are the depth and root distance of the node where a leaf meets the
+    next one, in ``line`` those of the shallowest such node of a tile.
     """
-    parent = nodes.select("tree_id", F.col("node_id").alias("parent_id"), F.col("pre").alias("top"), F.col("root_dist").alias("up"))
-    child = nodes.filter("parent_id IS NOT NULL").join(parent, ["tree_id", "parent_id"])
-    under = _below(child, nodes.filter("is_leaf")).select("n.tree_id", "n.top", "n.up", F.col("n.pre").alias("child"), F.col("x.pre").alias("a"), F.col("x.node_id").alias("cell_a"), F.col("x.root_dist").alias("r"))
-    left = under.withColumn("salt", F.pmod(F.xxhash64("a"), F.lit(SALTS)))
-    salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt")
-    right = under.select("tree_id", "top", F.col("child").alias("other"), F.col("a").alias("b"), F.col("cell_a").alias("cell_b"), F.col("r").alias("rb"), salts)
-    pairs = left.join(right, ["tree_id", "top", "salt"]).filter("child <> other" if both_ways else "child < other")
-    return pairs.select("tree_id", "a", "b", "cell_a", "cell_b", (F.col("r") + F.col("rb") - 2 * F.col("up")).alias("dist"))
+    parent = nodes.select("tree_id", F.col("node_id").alias("parent_id"), F.col("root_dist").alias("up"))
+    after = nodes.filter("parent_id IS NOT NULL").join(parent, ["tree_id", "parent_id"]).select("tree_id", (F.col("pre") - 1).alias("pre"), (F.col("depth") - 1).alias("level"), "up")
+    leaf = nodes.filter("is_leaf").select("tree_id", "pre", "root_dist", F.col("node_id").alias("cell")).join(after, ["tree_id", "pre"], "left")
+    tiles = leaf.groupBy(F.col("tree_id").alias("g"), F.floor(F.col("pre") / size).alias("tile")).agg(
+        F.sort_array(F.collect_list(F.struct("pre", "root_dist", F.coalesce("level", F.lit(0)).cast("long").alias("level"), F.coalesce("up", F.lit(0.0)).alias("up"), "cell"))).alias("x"), F.min(F.struct("level", "up")).alias("least")
+    )
+    tiles = staged(tiles)
+    line = tiles.groupBy("g").agg(F.sort_array(F.collect_list(F.struct("tile", "least.level", "least.up"))).alias("line"))
+    return tiles.join(line, "g").select("g", "tile", "x", "line")
+
+
+def _meetings(level: np.ndarray, up: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Shallowest meeting from the first on, up to each one."""
+    least = np.minimum.accumulate(level)
+    first = np.maximum.accumulate(np.where(np.r_[True, least[1:] < least[:-1]], np.arange(len(level)), 0))
+    return level[first], up[first]
+
+
+def _meet(level_a: np.ndarray, up_a: np.ndarray, level_b: np.ndarray, up_b: np.ndarray, between: list | None) -> np.ndarray:
+    """Root distances of where the leaves of two tiles meet; ``between`` is None for one tile with itself (zero diagonal), else holds the tiles' meetings between."""
+    n, m = len(level_a), len(level_b)
+    if between is None:
+        top = np.zeros((n, n))
+        for i in range(n - 1):
+            top[i, i + 1 :] = _meetings(level_a[i:-1], up_a[i:-1])[1]
+        return top + top.T
+    la, ua = (x[::-1] for x in _meetings(level_a[::-1], up_a[::-1]))
+    if between:
+        least = min(between)
+        low = least[0] < la
+        la, ua = np.where(low, least[0], la), np.where(low, least[1], ua)
+    lb, ub = np.full(m, np.inf), np.zeros(m)
+    lb[1:], ub[1:] = _meetings(level_b[:-1], up_b[:-1]) if m > 1 else ((), ())
+    return np.where(la[:, None] <= lb[None, :], ua[:, None], ub[None, :])
+
+
+def _leaf_distances(nodes: DataFrame, whole: bool) -> DataFrame:
+    """Each two leaves once (with places), or ``whole``: both ways and with the diagonal.
+
+    Tiles of leaves meet in a Cartesian product: its tasks read their parts of both
+    sides, so no shuffle grows with the pairs, and pairs leave a task in pieces.
+    """
+    tiles = staged(_leaf_tiles(nodes, TILE))
+    parts = min(PAIR_PARTS, max(1, -(-tiles.count() // 4)))
+    left = tiles.select("g", F.col("tile").alias("lo"), F.col("x").alias("a"), "line").repartition(parts, "g", "lo")
+    right = tiles.select(F.col("g").alias("h"), F.col("tile").alias("hi"), F.col("x").alias("b")).repartition(parts, "h", "hi")
+    pairs = left.join(right.hint("shuffle_replicate_nl"), (F.col("g") == F.col("h")) & (F.col("lo") <= F.col("hi"))).drop("h")
+
+    def run(batches):
+        for batch in batches:
+            for k in range(batch.num_rows):
+                r = {c: batch.column(c)[k] for c in batch.schema.names}
+                lo, hi = r["lo"].as_py(), r["hi"].as_py()
+                (level_a, up_a, ra, pa_, ca), (level_b, up_b, rb, pb, cb) = (
+                    [*(r[x].values.field(c).to_numpy() for c in ("level", "up", "root_dist", "pre")), r[x].values.field("cell")] for x in "ab"
+                )
+                line = r["line"].values
+                tile, level, up = (line.field(c).to_numpy(zero_copy_only=False) for c in ("tile", "level", "up"))
+                inside = (tile > lo) & (tile < hi)
+                top = _meet(level_a, up_a, level_b, up_b, None if lo == hi else list(zip(level[inside], up[inside], strict=True)))
+                for i in range(0, len(ra), 64):
+                    dist = ra[i : i + 64, None] + rb[None, :] - 2 * top[i : i + 64]
+                    x, y = (z.reshape(-1) for z in np.broadcast_arrays(np.arange(i, i + len(dist))[:, None], np.arange(len(rb))[None, :]))
+                    dist = dist.reshape(-1)
+                    if lo == hi:
+                        if whole:
+                            dist[x == y] = 0.0
+                        else:
+                            x, y, dist = (z[x < y] for z in (x, y, dist))
+                    first, second, d = ca.take(pa.array(x)), cb.take(pa.array(y)), pa.array(dist)
+                    g = pa.DictionaryArray.from_arrays(pa.array(np.zeros(len(x), np.int32)), pa.array([r["g"].as_py()], pa.string())).dictionary_decode()
+                    if whole:
+                        yield pa.RecordBatch.from_arrays([g, first, second, d], ["tree_id", "cell_a", "cell_b", "dist"])
+                        if lo < hi:
+                            yield pa.RecordBatch.from_arrays([g, second, first, d], ["tree_id", "cell_a", "cell_b", "dist"])
+                    else:
+                        yield pa.RecordBatch.from_arrays([g, pa.array(pa_[x]), pa.array(pb[y]), first, second, d], ["tree_id", "a", "b", "cell_a", "cell_b", "dist"])
+
+    kind = nodes.schema["node_id"].dataType.simpleString()
+    places = "" if whole else "a long, b long, "
+    return pairs.mapInArrow(run, f"tree_id string, {places}cell_a {kind}, cell_b {kind}, dist double")
+
+
+def leaf_pairs(nodes: DataFrame) -> DataFrame:
+    """Each two leaves of a tree once (``a < b``): ``tree_id, a, b`` (places in preorder), ``cell_a, cell_b, dist``.
+
+    The result grows with the square of a tree's leaves, what is kept doesn't.
+    """
+    return _leaf_distances(nodes, False)
 
 
 def distance_blocks(nodes: DataFrame) -> DataFrame:
@@ -150,23 +232,10 @@ def distance_blocks(nodes: DataFrame) -> DataFrame:
     meeting between them. So a block needs its own two tiles of leaves and the
     shallowest meeting of each tile between, and no pair is a row.
     """
-    parent = nodes.select("tree_id", F.col("node_id").alias("parent_id"), F.col("root_dist").alias("up"))
-    after = nodes.filter("parent_id IS NOT NULL").join(parent, ["tree_id", "parent_id"]).select("tree_id", (F.col("pre") - 1).alias("pre"), (F.col("depth") - 1).alias("level"), "up")
-    leaf = nodes.filter("is_leaf").select("tree_id", "pre", "root_dist").join(after, ["tree_id", "pre"], "left")
-    tiles = leaf.groupBy(F.col("tree_id").alias("g"), F.floor(F.col("pre") / BLOCK).alias("tile")).agg(
-        F.sort_array(F.collect_list(F.struct("pre", "root_dist", F.coalesce("level", F.lit(0)).cast("long").alias("level"), F.coalesce("up", F.lit(0.0)).alias("up")))).alias("x"), F.min(F.struct("level", "up")).alias("least")
-    )
-    tiles = staged(tiles)
-    all_tiles = tiles.groupBy("g").agg(F.sort_array(F.collect_list(F.struct("tile", "least.level", "least.up"))).alias("line"))
-    left = tiles.select("g", F.col("tile").alias("lo"), F.col("x").alias("a"))
+    tiles = _leaf_tiles(nodes, BLOCK)
+    left = tiles.select("g", F.col("tile").alias("lo"), F.col("x").alias("a"), "line")
     right = tiles.select("g", F.col("tile").alias("hi"), F.col("x").alias("b"))
-    pairs = left.join(right, "g").filter("lo <= hi").join(all_tiles, "g").repartition("g", "lo", "hi")
-
-    def meetings(level, up):
-        """Shallowest meeting from the first on, up to each one."""
-        least = np.minimum.accumulate(level)
-        first = np.maximum.accumulate(np.where(np.r_[True, least[1:] < least[:-1]], np.arange(len(level)), 0))
-        return level[first], up[first]
+    pairs = left.join(right, "g").filter("lo <= hi").repartition("g", "lo", "hi")
 
     def run(frames):
         for f in frames:
@@ -174,23 +243,10 @@ def distance_blocks(nodes: DataFrame) -> DataFrame:
             for r in f.itertuples():
                 a, b = (np.array([(x["pre"], x["root_dist"], x["level"], x["up"]) for x in side]) for side in (r.a, r.b))
                 n, m = len(a), len(b)
-                top = np.zeros((n, m))
+                between = None if r.lo == r.hi else [(x["level"], x["up"]) for x in r.line if r.lo < x["tile"] < r.hi]
+                dist = a[:, 1][:, None] + b[:, 1][None, :] - 2 * _meet(a[:, 2], a[:, 3], b[:, 2], b[:, 3], between)
                 if r.lo == r.hi:
-                    for i in range(n - 1):
-                        top[i, i + 1 :] = meetings(a[i:-1, 2], a[i:-1, 3])[1]
-                    dist = np.triu(a[:, 1][:, None] + b[:, 1][None, :] - 2 * top, 1)
-                    dist = dist + dist.T
-                else:
-                    between = [(x["level"], x["up"]) for x in r.line if r.lo < x["tile"] < r.hi]
-                    la, ua = (x[::-1] for x in meetings(a[::-1, 2], a[::-1, 3]))
-                    if between:
-                        least = min(between)
-                        low = least[0] < la
-                        la, ua = np.where(low, least[0], la), np.where(low, least[1], ua)
-                    lb, ub = np.full(m, np.inf), np.zeros(m)
-                    lb[1:], ub[1:] = meetings(b[:-1, 2], b[:-1, 3]) if m > 1 else ((), ())
-                    top = np.where(la[:, None] <= lb[None, :], ua[:, None], ub[None, :])
-                    dist = a[:, 1][:, None] + b[:, 1][None, :] - 2 * top
+                    np.fill_diagonal(dist, 0)
                 out.append(block_row(r.g, r.lo, r.hi, a[:, 0].astype(int), b[:, 0].astype(int), np.ones(n, int), np.ones(m, int), dist * dist))
             yield pd.DataFrame(out, columns=["g", "lo", "hi", "a", "b", "na", "nb", "sums"])
 
@@ -256,9 +312,7 @@ def distance_sums(row, a: dict, b: dict) -> tuple[np.ndarray, np.ndarray, np.nda
 
 def pairwise_distances(nodes: DataFrame) -> DataFrame:
     """Distances of all leaves of each tree, both ways and with the diagonal: ``tree_id, cell_a, cell_b, dist``."""
-    far = leaf_pairs(nodes, True).select("tree_id", "cell_a", "cell_b", "dist")
-    own = nodes.filter("is_leaf").select("tree_id", F.col("node_id").alias("cell_a"), F.col("node_id").alias("cell_b"), F.lit(0.0).alias("dist"))
-    return far.union(own)
+    return _leaf_distances(nodes, True)
 
 
 def node_positions(nodes: DataFrame) -> DataFrame:
