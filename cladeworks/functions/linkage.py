@@ -108,6 +108,163 @@ def merge_mutual(total: np.ndarray, n: np.ndarray, p: np.ndarray, ids: np.ndarra
     return names[home]
 
 
+class _Kinds:
+    """State of :func:`merge_kinds`: a row of ``h`` for each kind, the clusters of each by the smallest place."""
+
+    def __init__(self, total, n, p, at, ids, method):
+        self.s, self.n, self.p, self.at, self.ids, self.method = total, n, p, at, ids, method
+        self.many = np.array([len(x) for x in at])
+        self.into = np.arange(len(ids))
+        self.h = heights(total, n[:, None], n[None, :], p[:, None], p[None, :], method)
+        self.h[np.diag_indices(len(n))] = np.where(self.many > 1, self.h.diagonal(), np.inf)
+        self.low = self.h.min(axis=1)
+
+    def row(self) -> int:
+        """A free row; the matrices grow where none is."""
+        free = np.flatnonzero(self.many == 0)
+        if len(free):
+            return free[0]
+        old = len(self.n)
+        self.s, self.h = (np.pad(x, (0, old), constant_values=v) for x, v in ((self.s, 0.0), (self.h, np.inf)))
+        self.n, self.p, self.many = (np.pad(x, (0, old), constant_values=v) for x, v in ((self.n, 1.0), (self.p, 0.0), (self.many, 0)))
+        self.low = np.pad(self.low, (0, old), constant_values=np.inf)
+        self.at.extend(np.zeros(0, int) for _ in range(old))
+        return old
+
+    def update(self, changed: list[int]) -> None:
+        """Heights of the kinds ``changed``, whose sums, sizes and clusters are known, and the nearest of all."""
+        stale = (self.h[:, changed] == self.low[:, None]).any(axis=1) & np.isfinite(self.low)
+        for k in changed:
+            new = heights(self.s[k], self.n[k], self.n, self.p[k], self.p, self.method)
+            new[self.many == 0] = np.inf
+            if self.many[k] < 2:
+                new[k] = np.inf
+            if self.many[k] == 0:
+                new[:] = np.inf
+            self.h[k] = self.h[:, k] = new
+            self.low = np.minimum(self.low, new)
+        stale[changed] = True
+        self.low[stale] = self.h[stale].min(axis=1)
+
+    def put(self, k: int, sums: np.ndarray, n: float, p: float, places: np.ndarray) -> None:
+        """One cluster of those with the smallest ``places`` as the kind ``k``."""
+        self.into[places] = places.min()
+        self.s[k] = self.s[:, k] = sums
+        self.n[k], self.p[k], self.at[k], self.many[k] = n, p, places.min(keepdims=True), 1
+
+    def collapse(self, kinds: np.ndarray) -> None:
+        """All clusters of ``kinds``, each two at the same distance, become one."""
+        m, own = self.many[kinds].astype(float), self.s[np.ix_(kinds, kinds)]
+        p = (m * self.p[kinds]).sum() + (m @ own @ m - m @ own.diagonal()) / 2
+        places = np.concatenate([self.at[k] for k in kinds])
+        sums, n = m @ self.s[kinds], (m * self.n[kinds]).sum()
+        self.many[kinds] = 0
+        self.put(kinds[0], sums, n, p, places)
+        self.update(list(kinds))
+
+    def nearest_of(self, one: int, places: np.ndarray, count: int) -> np.ndarray:
+        """Which ``count`` of ``places`` the cluster ``one`` takes in, the smallest :func:`tie` with what it is by then first."""
+        if count == len(places):
+            return places
+        taken = []
+        while count:
+            order = places[np.argsort(tie(self.ids[np.minimum(one, places)], self.ids[np.maximum(one, places)]), kind="stable")][:count]
+            less = np.flatnonzero(order < one)
+            order = order[: less[0] + 1] if len(less) else order  # from here on it has another name
+            taken.append(order)
+            one, count, places = min(one, order[-1]), count - len(order), np.setdiff1d(places, order)
+        return np.concatenate(taken)
+
+    def absorb(self, a: int, t: int, threshold: float) -> None:
+        """The one cluster of kind ``a`` takes in clusters of kind ``t`` while these are nearest to it and it to them."""
+        m, done, step = int(self.many[t]), 0, 64
+        others = self.h[t].copy()
+        others[[a, t]] = np.inf
+        other, own = others.min(), self.h[t, t]
+        alive = (self.many > 0) & (np.arange(len(self.n)) != a)
+        while done < m:
+            j = np.arange(done, min(done + step, m))
+            grown = self.n[a] + j * self.n[t]
+            p = self.p[a] + j * (self.s[a, t] + self.p[t]) + j * (j - 1) / 2 * self.s[t, t]
+            h = heights(self.s[a][None, alive] + j[:, None] * self.s[t][None, alive], grown[:, None], self.n[None, alive], p[:, None], self.p[None, alive], self.method)
+            here = np.flatnonzero(np.flatnonzero(alive) == t)[0]
+            to = h[:, here].copy()
+            h[:, here] = np.inf
+            good = (to <= threshold) & (to < h.min(axis=1)) & (to < np.where(m - j > 1, np.minimum(own, other), other))
+            good[0] |= not done  # the pair that was found
+            run = len(j) if good.all() else int(good.argmin())
+            done, step = done + run, 2 * step
+            if run < len(j):
+                break
+        one = self.at[a][0]
+        taken = self.nearest_of(one, self.at[t], done)
+        p = self.p[a] + done * (self.s[a, t] + self.p[t]) + done * (done - 1) / 2 * self.s[t, t]
+        self.at[t], self.many[t] = np.setdiff1d(self.at[t], taken), m - done
+        self.put(a, self.s[a] + done * self.s[t], self.n[a] + done * self.n[t], p, np.append(taken, one))
+        self.update([a, t])
+
+    def one_pair(self, kinds: np.ndarray, low: float) -> None:
+        """Of all pairs of clusters of ``kinds`` at the distance ``low`` the one with the smallest :func:`tie` merges."""
+        best = None
+        for k, j in zip(*np.nonzero(np.triu(self.h[np.ix_(kinds, kinds)] == low)), strict=True):
+            k, j = kinds[k], kinds[j]
+            wide = max(1, (1 << 20) // len(self.at[j]))
+            for i in range(0, len(self.at[k]), wide):
+                x, y = (z.ravel() for z in np.broadcast_arrays(self.at[k][i : i + wide, None], self.at[j]))
+                x, y = np.minimum(x, y)[x != y], np.maximum(x, y)[x != y]
+                if len(x):
+                    t = tie(self.ids[x], self.ids[y])
+                    f = np.lexsort((y, x, t))[0] if len(x) < 64 else min(np.flatnonzero(t == t.min()), key=lambda f: (x[f], y[f]))
+                    best = min(best or (np.inf,), (t[f], x[f], y[f], k, j))
+        _, x, y, k, j = best
+        sums, n, p = self.s[k] + self.s[j], self.n[k] + self.n[j], self.p[k] + self.p[j] + self.s[k, j]
+        for q in {k, j}:
+            self.at[q] = self.at[q][(self.at[q] != x) & (self.at[q] != y)]
+            self.many[q] = len(self.at[q])
+        to = self.row()
+        self.put(to, np.pad(sums, (0, len(self.n) - len(sums))), n, p, np.array([x, y]))
+        self.update(list({k, j, to}))
+
+
+def merge_kinds(total: np.ndarray, n: np.ndarray, p: np.ndarray, names: list[np.ndarray], threshold: float, method: str) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted ids, and for each the smallest id of its cluster, merging up to ``threshold``.
+
+    Same result as :func:`merge_clusters` where many clusters are alike: those of one kind
+    have the same sums with all others. ``names`` holds the ids of each kind, ``total[k, l]``
+    the sum between a cluster of kind ``k`` and another of kind ``l``, ``n`` and ``p`` the size
+    and the sum within. Clusters that are all at one distance from each other, nearer
+    than any other, merge at once, and so does what one cluster takes in of one kind; so
+    matrices and steps grow with the kinds.
+    """
+    ids = np.sort(np.concatenate(names))
+    x = _Kinds(total.astype(float), n.astype(float), p.astype(float), [np.searchsorted(ids, np.sort(k)) for k in names], ids, method)
+    while True:
+        first = int(x.low.argmin())
+        low = x.low[first]
+        if not low <= threshold:
+            break
+        kinds = np.array([first])
+        while True:
+            more = np.flatnonzero((x.h[kinds] == low).any(axis=0))
+            more = np.union1d(kinds, more)
+            if len(more) == len(kinds):
+                break
+            kinds = more
+        near = x.h[np.ix_(kinds, kinds)] == low
+        alone = (x.many[kinds] == 1) & np.eye(len(kinds), dtype=bool)
+        if (near | alone).all():
+            x.collapse(kinds)
+        elif len(kinds) == 2 and not near.diagonal().any() and (x.many[kinds] == 1).any():
+            a, t = kinds if x.many[kinds[0]] == 1 else kinds[::-1]
+            x.absorb(a, t, threshold)
+        else:
+            x.one_pair(kinds, low)
+    into = x.into
+    while (into[into] != into).any():
+        into = into[into]
+    return ids, ids[into]
+
+
 def shared_counts(a: np.ndarray, na: np.ndarray, b: np.ndarray, nb: np.ndarray) -> np.ndarray:
     """How many codes each set of the left shares with each of the right.
 

@@ -16,7 +16,7 @@ from ..functions.columns import event_key
 from ..functions.linkage import DIGITS, cluster_sums, merge_smallest, shared_counts
 from ..functions.staging import staged
 from . import tree as T
-from .linkage import BLOCKS, WHOLE_CLUSTERS, agglomerate_blocks, agglomerate_points, block_row, tile_pairs
+from .linkage import BLOCKS, WHOLE_CLUSTERS, agglomerate_blocks, agglomerate_kinds, agglomerate_points, block_row, tile_pairs
 
 #: Clusters of a block whose sums one task makes.
 BLOCK = 512
@@ -105,15 +105,23 @@ def _numbered(clusters: DataFrame, name: str) -> DataFrame:
 
 
 def assign_distance(nodes: DataFrame, distance_threshold: float | None) -> DataFrame:
-    """Ward linkage on tree distances, cut at ``distance_threshold``."""
+    """Ward linkage on tree distances, cut at ``distance_threshold``.
+
+    In a large tree leaves below one parent at one length from it are merged as a kind;
+    where even those are many, tile by tile.
+    """
     if distance_threshold is None:
         raise ValueError("the distance strategy needs distance_threshold")
     members = staged(nodes.filter("is_leaf").select(F.col("tree_id").alias("g"), F.col("pre").cast("long").alias("c"), F.col("node_id").alias("cell_id")))
     small, large = _by_size(members)
     out = agglomerate_blocks(T.distance_blocks(nodes.join(small.withColumnRenamed("g", "tree_id"), "tree_id", "left_semi")), members.join(small, "g", "left_semi"), distance_threshold, "ward")
     if not large.isEmpty():
-        points, inner = T.leaf_points(nodes.join(large.withColumnRenamed("g", "tree_id"), "tree_id", "left_semi"))
-        out = out.unionByName(agglomerate_points(points, ["top", "e"], members.join(large, "g", "left_semi"), distance_threshold, "ward", T.distance_sums, staged(inner)))
+        points, inner = map(staged, T.leaf_points(nodes.join(large.withColumnRenamed("g", "tree_id"), "tree_id", "left_semi")))
+        kinds = staged(T.leaf_kinds(points))
+        few, many = _by_size(kinds)
+        out = out.unionByName(agglomerate_kinds(T.kind_blocks(kinds.join(few, "g", "left_semi"), inner), kinds.join(few, "g", "left_semi"), members.join(few, "g", "left_semi"), distance_threshold, "ward"))
+        if not many.isEmpty():
+            out = out.unionByName(agglomerate_points(points.join(many, "g", "left_semi"), ["top", "e"], members.join(many, "g", "left_semi"), distance_threshold, "ward", T.distance_sums, inner))
     return _numbered(out, "clone_").select(F.col("g").alias("tree_id"), F.col("label").alias("clone_id"), "cell_id")
 
 

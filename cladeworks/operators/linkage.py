@@ -125,6 +125,33 @@ def agglomerate_blocks(blocks: DataFrame, members: DataFrame, threshold: float,
     return members.join(goes, ["g", "c"], "left").withColumn("c", F.coalesce("to", "c")).drop("to")
 
 
+def agglomerate_kinds(blocks: DataFrame, kinds: DataFrame, members: DataFrame, threshold: float, method: str) -> DataFrame:
+    """:func:`agglomerate` of groups in which many points are alike: those of a kind have the same sums with all others.
+
+    ``kinds``: ``g, c, names``, a kind's number and the ids of its points. ``blocks``
+    (:data:`BLOCKS`): the sums between points of two kinds, on the diagonal those between
+    two points of one. A group of ``WHOLE_CLUSTERS`` kinds at most is merged in one task
+    that holds a matrix of its kinds and an id for each point.
+    """
+    threshold = round(threshold, L.DIGITS)
+
+    def merge(f: pd.DataFrame, named: pd.DataFrame) -> pd.DataFrame:
+        named = named.sort_values("c")
+        kind = named["c"].to_numpy()
+        total = np.zeros((len(kind), len(kind)))
+        for r in f.itertuples():
+            i, j = np.searchsorted(kind, r.a), np.searchsorted(kind, r.b)
+            sums = np.frombuffer(r.sums).reshape(len(i), len(j))
+            total[np.ix_(i, j)] = sums
+            total[np.ix_(j, i)] = sums.T
+        one = np.ones(len(kind))
+        ids, to = L.merge_kinds(total, one, one * 0, list(named["names"]), threshold, method)
+        return pd.DataFrame({"g": named["g"].iloc[0], "c": ids, "to": to})
+
+    goes = blocks.groupBy("g").cogroup(kinds.groupBy("g")).applyInPandas(merge, "g string, c long, to long")
+    return members.join(goes, ["g", "c"], "left").withColumn("c", F.coalesce("to", "c")).drop("to")
+
+
 #: Points of a tile; each two tiles of a group meet in a row of their own.
 TILE = 1024
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import linkage as L
 from ..functions.staging import staged
-from .linkage import BLOCKS, block_row
+from .linkage import BLOCKS, block_row, tile_pairs
 
 #: Parts of the tiles of leaves on either side where each two meet.
 PAIR_PARTS = 64
@@ -310,6 +310,24 @@ def distance_sums(row, a: dict, b: dict) -> tuple[np.ndarray, np.ndarray, np.nda
     return ia, ib, s + qa[:, None] * nb + na[:, None] * qb + 2 * ea[:, None] * eb
 
 
+def leaf_kinds(points: DataFrame) -> DataFrame:
+    """Points of :func:`leaf_points` below one parent and at one length from it as one: ``g, c`` (the smallest place), ``top, e, names`` (all places)."""
+    return points.groupBy("g", "top", "e").agg(F.min("c").alias("c"), F.collect_list("c").alias("names"))
+
+
+def kind_blocks(kinds: DataFrame, inner: DataFrame) -> DataFrame:
+    """Squared distances between leaves of two kinds, and between two leaves of one: rows of :data:`~cladeworks.operators.linkage.BLOCKS`."""
+    use = ["to", "top", "e"]
+
+    def run(frames):
+        for f in frames:
+            for r in f.itertuples():
+                ia, ib, s = distance_sums(r, *({c: getattr(r, f"{x}_{c}") for c in use} for x in "ab"))
+                yield pd.DataFrame([block_row(r.g, r.lo, r.hi, ia, ib, np.ones(len(ia), int), np.ones(len(ib), int), s)])
+
+    return tile_pairs(kinds.withColumnRenamed("c", "to"), use).join(inner, "g").mapInPandas(run, BLOCKS)
+
+
 def pairwise_distances(nodes: DataFrame) -> DataFrame:
     """Distances of all leaves of each tree, both ways and with the diagonal: ``tree_id, cell_a, cell_b, dist``."""
     return _leaf_distances(nodes, True)
