@@ -265,6 +265,164 @@ def merge_kinds(total: np.ndarray, n: np.ndarray, p: np.ndarray, names: list[np.
     return ids, ids[into]
 
 
+#: Points by points whose similarities are made at a time, small enough for a processor's cache.
+NEAR_POINTS = 1 << 17
+#: What similarities in single precision are off by at most.
+SLACK = 1e-5
+
+
+def jaccard(words: np.ndarray, size: np.ndarray, a, b) -> np.ndarray:
+    """Jaccard similarities (two empty sets: 0) of the sets ``a`` and ``b``, given as rows of 64-bit words; ``size`` gives their precision."""
+    both = np.bitwise_count(words[a, None, 0] & words[None, b, 0]).astype(size.dtype)
+    for w in range(1, words.shape[1]):
+        both += np.bitwise_count(words[a, None, w] & words[None, b, w])
+    of = size[a, None] + size[None, b]
+    of -= both
+    np.maximum(of, 1, out=of)
+    return np.divide(both, of, out=both)
+
+
+def near_lists(words: np.ndarray, weight: np.ndarray, starts: np.ndarray, lo: int, hi: int, least: float, most: int):
+    """For each of the clusters ``lo`` to ``hi`` all clusters of at least a similarity: this similarity, how many they are, and which.
+
+    Clusters are runs of points, from ``starts`` on. The similarity is ``least``, or that of
+    the ``most``-th nearest where more would be listed.
+    """
+    ends = np.append(starts[1:], len(words))
+    size = np.bitwise_count(words).sum(axis=1).astype(np.float32)
+    n = np.add.reduceat(weight.astype(float), starts)
+    single = len(starts) == len(words)
+    blocks, at = [], 0
+    while at < len(starts):
+        to = max(at + 1, int(np.searchsorted(ends, starts[at] + 4096, "right")))
+        blocks.append((at, to))
+        at = to
+    cut, many, found = np.full(hi - lo, least), np.zeros(hi - lo, int), []
+    at = lo
+    while at < hi:
+        to = min(hi, max(at + 1, int(np.searchsorted(ends, starts[at] + 32, "right"))))
+        sim = np.zeros((to - at, len(starts)), np.float32)
+        for x, y in blocks:
+            tall = max(1, NEAR_POINTS // (ends[y - 1] - starts[x]))
+            for i in range(starts[at], ends[to - 1], tall):
+                rows = slice(i, min(i + tall, ends[to - 1]))
+                part = jaccard(words, size, rows, slice(starts[x], ends[y - 1]))
+                if single:
+                    sim[i - starts[at] : rows.stop - starts[at], x:y] = part
+                    continue
+                part = np.add.reduceat(part * weight[None, starts[x] : ends[y - 1]], starts[x:y] - starts[x], axis=1) * weight[rows, None]
+                first = np.searchsorted(ends, i, "right")
+                own = np.maximum(starts[first : np.searchsorted(starts, rows.stop)] - i, 0)
+                sim[first - at : first - at + len(own), x:y] += np.add.reduceat(part, own, axis=0) / (n[first : first + len(own), None] * n[None, x:y])
+        sim[np.arange(to - at), np.arange(at, to)] = -1
+        r, c = np.nonzero(sim >= least - SLACK)
+        count = np.bincount(r, minlength=to - at)
+        for k in np.flatnonzero(count > most):
+            cut[at - lo + k] = max(least, float(np.partition(sim[k], -most)[-most]))
+        keep = sim[r, c] >= cut[at - lo + r] - SLACK
+        many[at - lo : to - lo] = np.bincount(r[keep], minlength=to - at)
+        found.append(c[keep].astype(np.int32))
+        at = to
+    return cut, many, np.concatenate(found)
+
+
+def merge_listed(words: np.ndarray, weight: np.ndarray, starts: np.ndarray, names: np.ndarray, cut: np.ndarray, lists: list[np.ndarray], threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """For each cluster the smallest name of what it is merged into by average linkage up to ``threshold``, and whether that waits for new lists.
+
+    Clusters are runs of points, sets with a ``weight`` each; ``lists`` holds for each all
+    clusters of the similarity ``cut`` and more (:func:`near_lists`). A merged cluster is no nearer
+    to another than one of its parts was, so its list comes from theirs, and what is in
+    neither has less than the mean of their cuts. Merges as :func:`merge_clusters` does,
+    except where a list doesn't say which cluster is the nearest: that one waits, and
+    so does each whose nearest waits.
+    """
+    k = len(starts)
+    size = np.bitwise_count(words).sum(axis=1).astype(float)
+    weight = weight.astype(float)
+    points = np.split(np.arange(len(words)), starts[1:]) + [None] * k
+    held = np.append(np.diff(np.append(starts, len(words))), np.zeros(k, int))
+    one = np.append(np.where(held[:k] == 1, starts, -1), np.full(k, -1))
+    n = np.append(np.add.reduceat(weight, starts), np.zeros(k))
+    names, cut = (np.append(x, np.zeros(k, x.dtype)) for x in (names, cut))
+    now, waits, lists, sums = np.arange(2 * k), np.zeros(2 * k, bool), lists + [None] * k, [None] * (2 * k)
+    least = 1 - threshold - 10**-DIGITS
+
+    def between(x: int, others: np.ndarray) -> np.ndarray:
+        at = one[others]
+        out, big = np.zeros(len(others)), at < 0
+        for which in (~big, big):
+            if not which.any():
+                continue
+            own = at[which] if which is not big else np.concatenate([points[o] for o in others[big]])
+            total, tall = 0.0, max(1, NEAR_POINTS // len(own))
+            for i in range(0, len(points[x]), tall):
+                part = points[x][i : i + tall]
+                total = total + weight[part] @ jaccard(words, size, part, own)
+            total *= weight[own]
+            out[which] = total if which is not big else np.add.reduceat(total, np.cumsum(held[others[big]]) - held[others[big]])
+        return out
+
+    def current(ids: np.ndarray) -> np.ndarray:
+        out = now[ids]
+        while (now[out] != out).any():
+            out = now[out]
+        now[ids] = out
+        return out
+
+    def keep(x: int, ids: np.ndarray, s: np.ndarray) -> None:
+        good = s >= n[x] * n[ids] * least
+        lists[x], sums[x] = ids[good], s[good]
+
+    def push(x: int) -> None:
+        ids = lists[x]
+        if not len(ids):
+            waits[x] = cut[x] - SLACK / 2 > least
+            return
+        h = heights(sums[x], n[x], n[ids], 0, 0, "average")
+        low = np.flatnonzero(h == h.min())
+        y = ids[low]
+        t = tie(np.minimum(names[x], names[y]), np.maximum(names[x], names[y]))
+        f = int(t.argmin())
+        if h[low[f]] <= threshold:
+            heapq.heappush(heap, (float(h[low[f]]), int(t[f]), x, int(y[f])))
+        else:
+            waits[x] = cut[x] - SLACK / 2 > least
+
+    heap: list = []
+    for x in range(k):
+        keep(x, lists[x], between(x, lists[x]))
+        push(x)
+    z = k
+    while heap:
+        h, _, x, y = heapq.heappop(heap)
+        if now[x] != x:
+            continue
+        if now[y] != y:
+            to = current(lists[x])
+            same = to == lists[x]
+            new = np.unique(to[~same])
+            keep(x, np.append(lists[x][same], new), np.append(sums[x][same], between(x, new)))
+            push(x)
+            continue
+        unsure = [c for c in (x, y) if cut[c] - SLACK / 2 > max(least, 1 - h)]
+        waits[unsure] = True
+        if waits[x] or waits[y]:
+            waits[x] = True
+            continue
+        ids = np.append(lists[x], lists[y])
+        now[[x, y]] = z
+        ids = np.unique(current(ids))
+        ids = ids[ids != z]
+        points[z], held[z], n[z], names[z] = np.append(points[x], points[y]), held[x] + held[y], n[x] + n[y], min(names[x], names[y])
+        cut[z] = max(least, (n[x] * cut[x] + n[y] * cut[y]) / n[z])
+        lists[x] = lists[y] = sums[x] = sums[y] = points[x] = points[y] = None
+        keep(z, ids, between(z, ids))
+        push(z)
+        z += 1
+    to = current(np.arange(k))
+    return names[to], waits[to]
+
+
 def shared_counts(a: np.ndarray, na: np.ndarray, b: np.ndarray, nb: np.ndarray) -> np.ndarray:
     """How many codes each set of the left shares with each of the right.
 

@@ -13,10 +13,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import event_key
-from ..functions.linkage import DIGITS, cluster_sums, merge_smallest, shared_counts
+from ..functions.linkage import DIGITS, NEAR_POINTS, cluster_sums, jaccard, merge_smallest, shared_counts
 from ..functions.staging import staged
 from . import tree as T
-from .linkage import BLOCKS, WHOLE_CLUSTERS, agglomerate_blocks, agglomerate_kinds, agglomerate_points, block_row, tile_pairs
+from .linkage import BLOCKS, WHOLE_CLUSTERS, agglomerate_blocks, agglomerate_kinds, agglomerate_points, agglomerate_sets, block_row, by_ranges, packed_sets, tile_pairs
 
 #: Clusters of a block whose sums one task makes.
 BLOCK = 512
@@ -195,16 +195,31 @@ def _similar_blocks(alike: DataFrame) -> DataFrame:
 
 
 def _similarity_within(alike: DataFrame) -> DataFrame:
-    """Per group the sum of similarities of each two of its clusters' cells: ``g, s``; two tiles hand on one number."""
-    points = _similar_points(alike).withColumnRenamed("c", "to")
-
-    def run(frames):
+    """Per group the sum of similarities of each two of its clusters' cells: ``g, s``; a range of clusters hands on one number."""
+    sets, over = packed_sets(_similar_points(alike))
+
+    def run(r, lo, hi):
+        n, words = np.frombuffer(r.n, np.int64).astype(float), np.frombuffer(r.words, np.uint64).reshape(r.k, -1)
+        size = np.bitwise_count(words).sum(axis=1).astype(float)
+        total, tall = 0.0, max(1, NEAR_POINTS // r.k)
+        for i in range(lo, hi, tall):
+            own = slice(i, min(i + tall, hi))
+            for j in range(0, r.k, NEAR_POINTS):
+                other = slice(j, j + NEAR_POINTS)
+                total += n[own] @ (jaccard(words, size, own, other) @ n[other])
+        return {"s": (total - (n[lo:hi] ** 2)[size[lo:hi] > 0].sum()) / 2}
+
+    def tiles(frames):
         for f in frames:
             for r in f.itertuples():
                 s = similar_sums(r, *({c: getattr(r, f"{x}_{c}") for c in ("to", "n", "codes")} for x in "ab"))[2]
                 yield pd.DataFrame({"g": [r.g], "s": [(s.sum() - s.trace()) / 2 if r.same else s.sum()]})
 
-    return tile_pairs(points, ["to", "n", "codes"]).mapInPandas(run, "g string, s double").groupBy("g").agg(F.sum("s").alias("s"))
+    out = by_ranges(sets, run, "s double")
+    if not over.isEmpty():
+        points = _similar_points(alike).join(over, "g", "left_semi").withColumnRenamed("c", "to")
+        out = out.unionByName(tile_pairs(points, ["to", "n", "codes"]).mapInPandas(tiles, "g string, s double"))
+    return out.groupBy("g").agg(F.sum("s").alias("s"))
 
 
 def _by_events(members: DataFrame, alike: DataFrame, similarity: float, name: str) -> DataFrame:
@@ -215,7 +230,11 @@ def _by_events(members: DataFrame, alike: DataFrame, similarity: float, name: st
     small, large = _by_size(members)
     out = agglomerate_blocks(_similar_blocks(alike.join(small, "g", "left_semi")), members.join(small, "g", "left_semi"), 1 - similarity, "average")
     if not large.isEmpty():
-        out = out.unionByName(agglomerate_points(_similar_points(alike.join(large, "g", "left_semi")), ["codes"], members.join(large, "g", "left_semi"), 1 - similarity, "average", similar_sums))
+        points = staged(_similar_points(alike.join(large, "g", "left_semi")))
+        sets, over = packed_sets(points)
+        out = out.unionByName(agglomerate_sets(sets, members.join(large, "g", "left_semi").join(over, "g", "left_anti"), 1 - similarity))
+        if not over.isEmpty():
+            out = out.unionByName(agglomerate_points(points.join(over, "g", "left_semi"), ["codes"], members.join(over, "g", "left_semi"), 1 - similarity, "average", similar_sums))
     return _numbered(out, name)
 
 

@@ -248,3 +248,107 @@ def agglomerate_points(points: DataFrame, columns: list[str], members: DataFrame
     for x in final:
         ends = ends.unionByName(x)
     return members.join(ends, ["g", "c"], "left").withColumn("c", F.coalesce("to", "c")).drop("to")
+
+
+#: 64-bit words of a group's sets that a task may hold, and pairs of a group that are listed at a time (4 bytes a pair).
+SET_WORDS, LISTED = 1 << 23, 1 << 25
+#: Clusters of a range at least, and ranges of a group at most; each range meets all points of its group.
+RANGE, RANGES = 512, 256
+SETS = "g string, k long, at binary, c binary, n binary, words binary"
+
+
+def packed_sets(points: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Groups of weighted sets as a row each (:data:`SETS`), and those with too many words for one, ``g``.
+
+    ``points``: ``g, c, n, codes`` (array of longs). ``words`` has a bit for each code of
+    the group, ``at`` the cluster of each point, of which there are ``k``.
+    """
+    codes = points.select("g", "c", F.explode("codes").alias("code"))
+    names = staged(codes.select("g", "code").distinct().withColumn("bit", F.row_number().over(Window.partitionBy("g").orderBy("code")) - 1))
+    wide = names.groupBy("g").agg(F.ceil(F.count("*") / 64).alias("wide"))
+    sizes = staged(points.groupBy("g").agg(F.count("*").alias("k")).join(wide, "g", "left").select("g", F.coalesce("wide", F.lit(1)).alias("wide"), (F.col("k") * F.coalesce("wide", F.lit(1)) > SET_WORDS).alias("over")))
+    bits = codes.join(names, ["g", "code"]).groupBy("g", "c").agg(F.collect_list("bit").alias("bits"))
+    fit = points.select("g", "c", "n").join(sizes.filter("NOT over").select("g", "wide"), "g").join(bits, ["g", "c"], "left")
+
+    def pack(f: pd.DataFrame) -> pd.DataFrame:
+        f = f.sort_values("c")
+        words = np.zeros((len(f), int(f["wide"].iloc[0])), np.uint64)
+        for k, x in enumerate(f["bits"]):
+            if x is not None:
+                np.bitwise_or.at(words[k], x >> 6, np.uint64(1) << (x & 63).astype(np.uint64))
+        c = f["c"].to_numpy(np.int64)
+        return pd.DataFrame({"g": f["g"].iloc[0], "k": len(c), "at": [c.tobytes()], "c": [c.tobytes()], "n": [f["n"].to_numpy(np.int64).tobytes()], "words": [words.tobytes()]})
+
+    return staged(fit.groupBy("g").applyInPandas(pack, SETS)), sizes.filter("over").select("g")
+
+
+def _unpacked(r) -> tuple[np.ndarray, ...]:
+    """Of a row of :data:`SETS`: clusters, where each starts, ids, weights and words of the points."""
+    at, c, n = (np.frombuffer(x, np.int64) for x in (r.at, r.c, r.n))
+    names, starts = np.unique(at, return_index=True)
+    return names, starts, c, n, np.frombuffer(r.words, np.uint64).reshape(len(c), -1)
+
+
+def by_ranges(sets: DataFrame, run, schema: str) -> DataFrame:
+    """``run(row, lo, hi)`` for ranges of the clusters of each group, as ``g`` and the columns of ``schema``.
+
+    A range meets the row of its group in a Cartesian product, so nothing is shuffled by range.
+    """
+    many = F.greatest(F.lit(1), F.least(F.lit(RANGES), F.ceil(F.col("k") / RANGE)))
+    ranges = staged(sets.select("g", "k", F.ceil(F.col("k") / many).alias("step")).select(F.col("g").alias("own"), F.col("step"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1, F.col("step"))).alias("lo")))
+    rows = ranges.count()
+    left = ranges.repartition(max(1, min(64, rows)), "own", "lo")
+    right = sets.repartition(max(1, min(8, rows)), "g")
+    pairs = left.join(right.hint("shuffle_replicate_nl"), F.col("own") == F.col("g")).drop("own")
+
+    def each(frames):
+        for f in frames:
+            for r in f.itertuples():
+                yield pd.DataFrame([{"g": r.g} | run(r, r.lo, min(r.lo + r.step, r.k))])
+
+    return pairs.mapInPandas(each, f"g string, {schema}")
+
+
+def agglomerate_sets(sets: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
+    """:func:`agglomerate` by the average Jaccard distance of weighted sets (:func:`packed_sets`).
+
+    Many tasks list the clusters near each cluster, as far as ``LISTED`` pairs of a group
+    go; a task a group then merges all for which the lists tell which is the nearest.
+    Those that are left, which lists ended too early for, go through another round. No
+    pair is shuffled but those listed.
+    """
+    threshold = round(threshold, L.DIGITS)
+
+    def near(r, lo, hi):
+        _, starts, _, n, words = _unpacked(r)
+        cut, many, found = L.near_lists(words, n, starts, lo, hi, 1 - threshold - 10**-L.DIGITS, max(1, LISTED // len(starts)))
+        return {"lo": lo, "cut": cut.tobytes(), "many": many.tobytes(), "found": found.tobytes()}
+
+    def merge(f: pd.DataFrame, lists: pd.DataFrame) -> pd.DataFrame:
+        r = next(f.itertuples())
+        names, starts, c, n, words = _unpacked(r)
+        cut, near = [], []
+        for x in lists.sort_values("lo").itertuples():
+            cut.append(np.frombuffer(x.cut))
+            near += np.split(np.frombuffer(x.found, np.int32), np.cumsum(np.frombuffer(x.many, np.int64))[:-1])
+        to, waits = L.merge_listed(words, n, starts, names, np.concatenate(cut), near, threshold)
+        own = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(c))))
+        to, waits = to[own], waits[own]
+        left = np.flatnonzero(waits)
+        left = left[np.lexsort((c[left], to[left]))]
+        k = len(np.unique(to[left]))
+        rest = {x: [v[left].tobytes()] for x, v in (("at", to), ("c", c), ("n", n), ("words", words))}
+        return pd.DataFrame({"g": r.g, "k": k, **rest, "ends": [c[~waits]], "to": [to[~waits]]})
+
+    found = []
+    while not sets.isEmpty():
+        lists = by_ranges(sets, near, "lo long, cut binary, many binary, found binary")
+        out = staged(sets.groupBy("g").cogroup(lists.groupBy("g")).applyInPandas(merge, f"{SETS}, ends array<long>, to array<long>"))
+        found.append(out.select("g", F.explode(F.arrays_zip(F.col("ends").alias("c"), "to")).alias("x")).select("g", "x.c", "x.to"))
+        sets = out.filter("k > 0").drop("ends", "to")
+    if not found:
+        return members
+    ends = found[0]
+    for x in found[1:]:
+        ends = ends.unionByName(x)
+    return members.join(ends, ["g", "c"], "left").withColumn("c", F.coalesce("to", "c")).drop("to")
