@@ -156,11 +156,30 @@ def agglomerate_kinds(blocks: DataFrame, kinds: DataFrame, members: DataFrame, t
 TILE = 1024
 
 
-def tile_pairs(points: DataFrame, columns: list[str], fresh: bool = False) -> DataFrame:
+def unbuffered(pairs: DataFrame, parts: int) -> DataFrame:
+    """Pairs of tiles with one side taken apart, before the other is: generated code keeps all rows that one of its input rows makes.
+
+    ``coalesce`` to as many partitions as there are ends that code's stage and moves
+    nothing, so those are the rows of one tile and not of a pair of tiles.
+    """
+    return pairs.coalesce(max(1, parts * parts))
+
+
+#: Parts of the tiles on either side where each two meet.
+PAIR_PARTS = 64
+
+
+def meeting_parts(tiles: DataFrame) -> int:
+    """Parts of either side for a Cartesian product of tiles."""
+    return min(PAIR_PARTS, max(1, -(-tiles.count() // 4)))
+
+
+def tile_pairs(points: DataFrame, columns: list[str], fresh: bool = False, extra: DataFrame | None = None) -> DataFrame:
     """Each two tiles of a group once: ``g, lo, hi, same``, and arrays ``a_{column}`` and ``b_{column}`` sorted by the first column.
 
     ``points``: ``g`` and ``columns``; those of equal first column are in one tile. With
-    ``fresh``, a boolean column, only pairs with a tile of fresh points.
+    ``fresh``, a boolean column, only pairs with a tile of fresh points. ``extra`` holds
+    columns of a group. Tiles meet in a Cartesian product, so no tile is shuffled for each pair.
     """
     key = ["g", "fresh"]
     points = points if fresh else points.withColumn("fresh", F.lit(True))
@@ -168,10 +187,11 @@ def tile_pairs(points: DataFrame, columns: list[str], fresh: bool = False) -> Da
     dealt = points.join(count, key).withColumn("tile", F.pmod(F.xxhash64(columns[0]), F.col("tiles")))
     packed = dealt.groupBy(*key, "tile").agg(F.sort_array(F.collect_list(F.struct(*columns))).alias("x"))
     packed = staged(packed.select(*key, F.when(F.col("fresh"), -1 - F.col("tile")).otherwise(F.col("tile")).alias("tile"), *[F.col("x")[c].alias(c) for c in columns]))
+    parts = meeting_parts(packed)
     left = packed.filter("fresh").select("g", F.col("tile").alias("lo"), *[F.col(c).alias(f"a_{c}") for c in columns])
-    right = packed.select("g", F.col("tile").alias("hi"), *[F.col(c).alias(f"b_{c}") for c in columns])
-    tasks = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return left.join(right, "g").filter("lo <= hi").withColumn("same", F.col("lo") == F.col("hi")).repartition(tasks, "g", "lo", "hi")
+    left = (left if extra is None else left.join(extra, "g")).repartition(parts, "g", "lo")
+    right = packed.select(F.col("g").alias("h"), F.col("tile").alias("hi"), *[F.col(c).alias(f"b_{c}") for c in columns]).repartition(parts, "h", "hi")
+    return left.join(right.hint("shuffle_replicate_nl"), (F.col("g") == F.col("h")) & (F.col("lo") <= F.col("hi"))).drop("h").withColumn("same", F.col("lo") == F.col("hi"))
 
 
 def agglomerate_points(points: DataFrame, columns: list[str], members: DataFrame, threshold: float, method: str, sums, extra: DataFrame | None = None) -> DataFrame:
@@ -212,8 +232,7 @@ def agglomerate_points(points: DataFrame, columns: list[str], members: DataFrame
                 yield pd.DataFrame([block_row(r.g, r.lo, r.hi, ia, ib, na.astype(int), nb.astype(int), s)])
 
     def met(x, fresh):
-        out = tile_pairs(x, use, fresh)
-        return out if extra is None else out.join(extra, "g")
+        return tile_pairs(x, use, fresh, extra)
 
     size = points.groupBy("g").agg(F.count("*").alias("k"))
     known = F.lit(None).cast("struct<h:double,tie:long,other:long,s:double,on:double,op:double>").alias("best")

@@ -15,10 +15,8 @@ from pyspark.sql import functions as F
 
 from ..functions import linkage as L
 from ..functions.staging import staged
-from .linkage import BLOCKS, block_row, tile_pairs
+from .linkage import BLOCKS, PAIR_PARTS, block_row, meeting_parts, tile_pairs, unbuffered
 
-#: Parts of the tiles of leaves on either side where each two meet.
-PAIR_PARTS = 64
 #: Places in preorder that share a key where nodes meet what is below them.
 TILE = 1024
 #: Places in preorder of a block of distances.
@@ -127,18 +125,22 @@ def mrca(nodes: DataFrame, cells: DataFrame) -> DataFrame:
     return nodes.select("tree_id").distinct().join(deepest, "tree_id", "left")
 
 
+def _meeting_leaves(nodes: DataFrame, size: int) -> DataFrame:
+    """Leaves with their tile of ``size`` places: ``g, tile, pre, root_dist, cell`` and ``meet``, ``level`` and ``up``, depth and root distance of the node where a leaf meets the next one."""
+    parent = nodes.select("tree_id", F.col("node_id").alias("parent_id"), F.col("root_dist").alias("up"))
+    after = nodes.filter("parent_id IS NOT NULL").join(parent, ["tree_id", "parent_id"]).select("tree_id", (F.col("pre") - 1).alias("pre"), (F.col("depth") - 1).alias("level"), "up")
+    leaf = nodes.filter("is_leaf").select("tree_id", "pre", "root_dist", F.col("node_id").alias("cell")).join(after, ["tree_id", "pre"], "left")
+    meet = F.struct(F.coalesce("level", F.lit(0)).cast("long").alias("level"), F.coalesce("up", F.lit(0.0)).alias("up"))
+    return leaf.select(F.col("tree_id").alias("g"), F.floor(F.col("pre") / size).alias("tile"), "pre", "root_dist", "cell", meet.alias("meet"))
+
+
 def _leaf_tiles(nodes: DataFrame, size: int) -> DataFrame:
     """Leaves by tiles of ``size`` places: ``g, tile``, ``x`` (``pre, root_dist, level, up, cell`` in preorder) and ``line`` (``tile, level, up`` of the tree's tiles).
 
-    ``level`` and ``up`` are the depth and root distance of the node where a leaf meets the
-    next one, in ``line`` those of the shallowest such node of a tile.
+    ``level`` and ``up`` are those of :func:`_meeting_leaves`, in ``line`` those of the
+    shallowest node where leaves of a tile meet the next one.
     """
-    parent = nodes.select("tree_id", F.col("node_id").alias("parent_id"), F.col("root_dist").alias("up"))
-    after = nodes.filter("parent_id IS NOT NULL").join(parent, ["tree_id", "parent_id"]).select("tree_id", (F.col("pre") - 1).alias("pre"), (F.col("depth") - 1).alias("level"), "up")
-    leaf = nodes.filter("is_leaf").select("tree_id", "pre", "root_dist", F.col("node_id").alias("cell")).join(after, ["tree_id", "pre"], "left")
-    tiles = leaf.groupBy(F.col("tree_id").alias("g"), F.floor(F.col("pre") / size).alias("tile")).agg(
-        F.sort_array(F.collect_list(F.struct("pre", "root_dist", F.coalesce("level", F.lit(0)).cast("long").alias("level"), F.coalesce("up", F.lit(0.0)).alias("up"), "cell"))).alias("x"), F.min(F.struct("level", "up")).alias("least")
-    )
+    tiles = _meeting_leaves(nodes, size).groupBy("g", "tile").agg(F.sort_array(F.collect_list(F.struct("pre", "root_dist", "meet.level", "meet.up", "cell"))).alias("x"), F.min("meet").alias("least"))
     tiles = staged(tiles)
     line = tiles.groupBy("g").agg(F.sort_array(F.collect_list(F.struct("tile", "least.level", "least.up"))).alias("line"))
     return tiles.join(line, "g").select("g", "tile", "x", "line")
@@ -173,47 +175,58 @@ def _leaf_distances(nodes: DataFrame, whole: bool) -> DataFrame:
     """Each two leaves once (with places), or ``whole``: both ways and with the diagonal.
 
     Tiles of leaves meet in a Cartesian product: its tasks read their parts of both
-    sides, so no shuffle grows with the pairs, and pairs leave a task in pieces.
+    sides, so no shuffle grows with the pairs. Leaves of two tiles meet at the shallowest of
+    three nodes: where the first meets the rest of its tile, the second the leaves before it in
+    its own, and the tiles between; so a pair is a row of two arrays and an expression.
     """
     tiles = staged(_leaf_tiles(nodes, TILE))
-    parts = min(PAIR_PARTS, max(1, -(-tiles.count() // 4)))
-    left = tiles.select("g", F.col("tile").alias("lo"), F.col("x").alias("a"), "line").repartition(parts, "g", "lo")
-    right = tiles.select(F.col("g").alias("h"), F.col("tile").alias("hi"), F.col("x").alias("b")).repartition(parts, "h", "hi")
-    pairs = left.join(right.hint("shuffle_replicate_nl"), (F.col("g") == F.col("h")) & (F.col("lo") <= F.col("hi"))).drop("h")
+    count, parts = tiles.count(), meeting_parts(tiles)
+    names = ["tree_id", *(() if whole else ("a", "b")), "cell_a", "cell_b", "dist"]
+    out = _tile_distances(tiles, whole, min(count, PAIR_PARTS**2)).select(names)
+    if count == 1:
+        return out
+    order = Window.partitionBy("g", "tile").orderBy("pre")
+    behind, before = (F.min("meet").over(order.rowsBetween(*x)) for x in ((0, Window.unboundedFollowing), (Window.unboundedPreceding, -1)))
+    leaf = _meeting_leaves(nodes, TILE).select("g", "tile", "pre", "root_dist", "cell", behind.alias("behind"), before.alias("before"))
+    side = lambda c: F.sort_array(F.collect_list(F.struct("pre", "root_dist", "cell", F.coalesce(f"{c}.level", F.lit(2**31)).alias("level"), F.coalesce(f"{c}.up", F.lit(0.0)).alias("up"))))
+    sides = staged(leaf.groupBy("g", "tile").agg(side("behind").alias("behind"), side("before").alias("before")).join(tiles.select("g", "tile", "line"), ["g", "tile"]))
+    ways = [("behind", "before", True), ("before", "behind", False)][: 2 if whole else 1]
+    left, right = (sides.select("g", "tile", "line", F.explode(F.array(*(F.struct(F.lit(w[2]).alias("on"), F.col(w[k]).alias("x")) for w in ways))).alias("y")) for k in (0, 1))
+    left = left.select("g", F.col("tile").alias("lo"), "line", "y.on", F.col("y.x").alias("a")).repartition(parts, "g", "lo", "on")
+    right = right.select(F.col("g").alias("h"), F.col("tile").alias("hi"), F.col("y.on").alias("to"), F.col("y.x").alias("b")).repartition(parts, "h", "hi", "to")
+    met = left.join(right.hint("shuffle_replicate_nl"), (F.col("g") == F.col("h")) & (F.col("on") == F.col("to")) & F.when(F.col("on"), F.col("lo") < F.col("hi")).otherwise(F.col("lo") > F.col("hi")))
+    inside = F.filter("line", lambda x: (x["tile"] > F.least("lo", "hi")) & (x["tile"] < F.greatest("lo", "hi")))
+    least = F.array_min(F.transform(inside, lambda x: F.struct(x["level"].alias("level"), x["up"].alias("up"))))
+    # An array of one is looked at once a pair of tiles, a column once a row.
+    met = met.select("g", "a", "b", F.explode(F.array(least)).alias("m"))
+    low = lambda x: F.col("m.level") < x["level"]
+    met = met.select("g", "b", F.inline(F.transform("a", lambda x: F.struct(x["pre"], x["root_dist"], x["cell"], F.when(low(x), F.col("m.level")).otherwise(x["level"]), F.when(low(x), F.col("m.up")).otherwise(x["up"])))).alias("a", "root_a", "cell_a", "level_a", "up_a"))
+    met = unbuffered(met, parts).select("g", "a", "root_a", "cell_a", "level_a", "up_a", F.inline("b").alias("b", "root_b", "cell_b", "level_b", "up_b"))
+    top = F.when(F.col("level_a") <= F.col("level_b"), F.col("up_a")).otherwise(F.col("up_b"))
+    return out.unionByName(met.withColumn("tree_id", F.col("g")).withColumn("dist", F.col("root_a") + F.col("root_b") - 2 * top).select(names))
+
+
+def _tile_distances(tiles: DataFrame, whole: bool, tasks: int) -> DataFrame:
+    """Distances of the leaves of each tile, dealt over ``tasks``, which they leave in pieces; ``whole``: both ways and with the diagonal."""
 
     def run(batches):
         for batch in batches:
             for k in range(batch.num_rows):
-                r = {c: batch.column(c)[k] for c in batch.schema.names}
-                lo, hi = r["lo"].as_py(), r["hi"].as_py()
-                (level_a, up_a, ra, pa_, ca), (level_b, up_b, rb, pb, cb) = (
-                    [*(r[x].values.field(c).to_numpy() for c in ("level", "up", "root_dist", "pre")), r[x].values.field("cell")] for x in "ab"
-                )
-                line = r["line"].values
-                tile, level, up = (line.field(c).to_numpy(zero_copy_only=False) for c in ("tile", "level", "up"))
-                inside = (tile > lo) & (tile < hi)
-                top = _meet(level_a, up_a, level_b, up_b, None if lo == hi else list(zip(level[inside], up[inside], strict=True)))
-                for i in range(0, len(ra), 64):
-                    dist = ra[i : i + 64, None] + rb[None, :] - 2 * top[i : i + 64]
-                    x, y = (z.reshape(-1) for z in np.broadcast_arrays(np.arange(i, i + len(dist))[:, None], np.arange(len(rb))[None, :]))
+                x = batch.column("x")[k].values
+                level, up, root, pre = (x.field(c).to_numpy() for c in ("level", "up", "root_dist", "pre"))
+                cell, name, top = x.field("cell"), batch.column("g")[k].as_py(), _meet(level, up, level, up, None)
+                for i in range(0, len(root), 64):
+                    dist = root[i : i + 64, None] + root[None, :] - 2 * top[i : i + 64]
+                    a, b = (z.reshape(-1) for z in np.broadcast_arrays(np.arange(i, i + len(dist))[:, None], np.arange(len(root))[None, :]))
                     dist = dist.reshape(-1)
-                    if lo == hi:
-                        if whole:
-                            dist[x == y] = 0.0
-                        else:
-                            x, y, dist = (z[x < y] for z in (x, y, dist))
-                    first, second, d = ca.take(pa.array(x)), cb.take(pa.array(y)), pa.array(dist)
-                    g = pa.DictionaryArray.from_arrays(pa.array(np.zeros(len(x), np.int32)), pa.array([r["g"].as_py()], pa.string())).dictionary_decode()
-                    if whole:
-                        yield pa.RecordBatch.from_arrays([g, first, second, d], ["tree_id", "cell_a", "cell_b", "dist"])
-                        if lo < hi:
-                            yield pa.RecordBatch.from_arrays([g, second, first, d], ["tree_id", "cell_a", "cell_b", "dist"])
-                    else:
-                        yield pa.RecordBatch.from_arrays([g, pa.array(pa_[x]), pa.array(pb[y]), first, second, d], ["tree_id", "a", "b", "cell_a", "cell_b", "dist"])
-
-    kind = nodes.schema["node_id"].dataType.simpleString()
-    places = "" if whole else "a long, b long, "
-    return pairs.mapInArrow(run, f"tree_id string, {places}cell_a {kind}, cell_b {kind}, dist double")
+                    dist[a == b] = 0.0
+                    if not whole:
+                        a, b, dist = (z[a < b] for z in (a, b, dist))
+                    g = pa.DictionaryArray.from_arrays(pa.array(np.zeros(len(a), np.int32)), pa.array([name], pa.string())).dictionary_decode()
+                    yield pa.RecordBatch.from_arrays([g, pa.array(pre[a]), pa.array(pre[b]), cell.take(pa.array(a)), cell.take(pa.array(b)), pa.array(dist)], ["tree_id", "a", "b", "cell_a", "cell_b", "dist"])
+
+    kind = tiles.schema["x"].dataType.elementType["cell"].dataType.simpleString()
+    return tiles.select("g", "x").repartition(tasks, "g", F.col("x")[0]["pre"]).mapInArrow(run, f"tree_id string, a long, b long, cell_a {kind}, cell_b {kind}, dist double")
 
 
 def leaf_pairs(nodes: DataFrame) -> DataFrame:
@@ -325,7 +338,7 @@ def kind_blocks(kinds: DataFrame, inner: DataFrame) -> DataFrame:
                 ia, ib, s = distance_sums(r, *({c: getattr(r, f"{x}_{c}") for c in use} for x in "ab"))
                 yield pd.DataFrame([block_row(r.g, r.lo, r.hi, ia, ib, np.ones(len(ia), int), np.ones(len(ib), int), s)])
 
-    return tile_pairs(kinds.withColumnRenamed("c", "to"), use).join(inner, "g").mapInPandas(run, BLOCKS)
+    return tile_pairs(kinds.withColumnRenamed("c", "to"), use, extra=inner).mapInPandas(run, BLOCKS)
 
 
 def pairwise_distances(nodes: DataFrame) -> DataFrame:
