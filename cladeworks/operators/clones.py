@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import event_key
 from ..functions.linkage import DIGITS, NEAR_POINTS, cluster_sums, jaccard, merge_smallest, shared_counts
 from ..functions.staging import staged
+from . import linkage
 from . import tree as T
 from .linkage import BLOCKS, WHOLE_CLUSTERS, agglomerate_blocks, agglomerate_kinds, agglomerate_points, agglomerate_sets, block_row, by_ranges, packed_sets, tile_pairs
 
@@ -41,36 +42,41 @@ def jaccard_distances(profile: DataFrame) -> DataFrame:
     """Jaccard distance of each two cells of a group: ``tree_id, cell_a, cell_b, dist`` with ``cell_a < cell_b``.
 
     ``profile``: ``tree_id, cell_id, event``. Two cells without events are at 0. Tiles of
-    cells meet, each two in a row, and events are compared by 64-bit hashes; only the
-    result grows with the square of a group's cells, and it leaves a task in pieces.
+    cells meet in a Cartesian product, and events are told apart by 64-bit hashes; a row
+    that leaves Python is a cell with all cells of a tile. Only the result grows with
+    the square of a group's cells.
     """
-    kind = profile.schema["cell_id"].dataType.simpleString()
     code = F.when(F.col("event").isNotNull(), F.xxhash64("event"))
     cells = profile.groupBy(F.col("tree_id").alias("g"), "cell_id").agg(F.collect_set(code).alias("codes"))
-    pairs = tile_pairs(cells, ["cell_id", "codes"])
+    placed = cells.withColumn("tile", F.floor((F.row_number().over(Window.partitionBy("g").orderBy("cell_id")) - 1) / linkage.TILE))
+    tiles = placed.groupBy("g", "tile").agg(F.sort_array(F.collect_list(F.struct("cell_id", "codes"))).alias("x"))
+    tiles = staged(tiles.select("g", "tile", F.col("x.cell_id").alias("cells"), F.col("x.codes").alias("codes")))
+    parts = linkage.meeting_parts(tiles)
+    left = tiles.select("g", F.col("tile").alias("lo"), F.col("cells").alias("a_cells"), F.col("codes").alias("a_codes")).repartition(parts, "g", "lo")
+    right = tiles.select(F.col("g").alias("h"), F.col("tile").alias("hi"), F.col("cells").alias("b_cells"), F.col("codes").alias("b_codes")).repartition(parts, "h", "hi")
+    pairs = left.join(right.hint("shuffle_replicate_nl"), (F.col("g") == F.col("h")) & (F.col("lo") <= F.col("hi")))
 
     def run(batches):
         for batch in batches:
             for k in range(batch.num_rows):
                 r = {c: batch.column(c)[k] for c in batch.schema.names}
-                ids, others = r["a_cell_id"].values, r["b_cell_id"].values
                 (na, ca), (nb, cb) = ((pc.list_value_length(x).to_numpy(), x.flatten().to_numpy()) for x in (r["a_codes"].values, r["b_codes"].values))
-                both, same = shared_counts(ca, na, cb, nb), r["same"].as_py()
-                names = pa.chunked_array([ids] if same else [ids, others]).combine_chunks()
-                names = names.take(pc.array_sort_indices(names))
-                x, y = (pc.index_in(v, names).to_numpy() for v in (ids, others))
-                for i in range(0, len(x), 64):
-                    a, b = np.broadcast_arrays(x[i : i + 64, None], y[None, :])
-                    wanted = a < b if same else np.ones(a.shape, bool)
+                both, ids, others, same = shared_counts(ca, na, cb, nb), r["a_cells"].values, r["b_cells"].values, r["lo"] == r["hi"]
+                for i in range(0, len(ids), 64):
                     shared = both[i : i + 64].astype(float)
                     union = na[i : i + 64, None] + nb[None, :] - shared
-                    dist = np.where(union > 0, 1 - shared / np.maximum(union, 1), 0.0)[wanted]
-                    a, b = a[wanted], b[wanted]
-                    g = pa.DictionaryArray.from_arrays(pa.array(np.zeros(len(a), np.int32)), pa.array([r["g"].as_py()], pa.string())).dictionary_decode()
-                    first, second = (names.take(pa.array(z)) for z in (np.minimum(a, b), np.maximum(a, b)))
-                    yield pa.RecordBatch.from_arrays([g, first, second, pa.array(dist)], ["tree_id", "cell_a", "cell_b", "dist"])
+                    dist = np.where(union > 0, 1 - shared / np.maximum(union, 1), 0.0)
+                    first = np.arange(i, i + len(dist)) + 1 if same else np.zeros(len(dist), int)  # in its own tile a cell meets those behind
+                    ends = pa.array(np.append(0, np.cumsum(len(others) - first)), pa.int32())
+                    names = pa.concat_arrays([others.slice(x) for x in first])
+                    dist = dist[np.arange(len(others)) >= first[:, None]]
+                    g = pa.array([r["g"].as_py()] * len(first), pa.string())
+                    yield pa.RecordBatch.from_arrays([g, ids.slice(i, len(first)), pa.ListArray.from_arrays(ends, names), pa.ListArray.from_arrays(ends, pa.array(dist))], ["tree_id", "cell_a", "others", "dists"])
 
-    return pairs.mapInArrow(run, f"tree_id string, cell_a {kind}, cell_b {kind}, dist double")
+    kind = profile.schema["cell_id"].dataType.simpleString()
+    met = pairs.mapInArrow(run, f"tree_id string, cell_a {kind}, others array<{kind}>, dists array<double>")
+    met = met.select("tree_id", "cell_a", "others", F.posexplode("dists").alias("at", "dist"))
+    return met.select("tree_id", "cell_a", F.col("others")[F.col("at")].alias("cell_b"), "dist")
 
 
 def merge_to_n(clones: DataFrame, max_clones: int | None) -> DataFrame:
